@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,20 @@ def staged(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:
+    """A small file of the driver's, sent to each executor, where SparkFiles.get(name) is its own copy.
+
+    The name must tell the content: Spark keeps the first file of a name, and so does this.
+    """
+    folder = Path(tempfile.gettempdir()) / f"loomstone-{os.getpid()}"
+    folder.mkdir(exist_ok=True)
+    if not (folder / name).exists():
+        write(str(folder / f"{name}.new"))
+        (folder / f"{name}.new").rename(folder / name)
+    spark.sparkContext.addFile(str(folder / name))
+    return name
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of the batches whose texts hold about `limit` bytes; a longer text is a slice of its own."""
     for batch in batches:

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,6 +22,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomstone.llm.common import shipped
+
 #: The rules of the production filter: (rule, verdict).
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
@@ -88,10 +89,7 @@ def url_verdicts(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, def
     """One row per page: host, path, the longest rule that fits or null, and the verdict."""
     spark = pages.sparkSession
     verdicts = dict(rules)
-    folder = tempfile.mkdtemp(prefix="loomstone-urls-")
-    name = f"rules-{xxhash.xxh64_hexdigest(repr(sorted(verdicts.items())))}.digests"
-    DigestArray.write(verdicts, f"{folder}/{name}")
-    spark.sparkContext.addFile(f"{folder}/{name}")  # sent to each executor; its own copy is mapped there
+    name = shipped(spark, f"rules-{xxhash.xxh64_hexdigest(repr(sorted(verdicts)))}.digests", lambda path: DigestArray.write(verdicts, path))
     lengths = sorted({len(r) - r.index("/") for r in verdicts}, reverse=True)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
