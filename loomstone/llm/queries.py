@@ -6,20 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstone.llm import positional_index, url_filter
+from loomstone.llm import edit_join, positional_index, sentence_spans, simhash_vptree, url_filter
 from loomstone.llm.common import docs_of
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.op6(spark, sf_dir)
+
+
+def op7_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_vptree.op7(spark, sf_dir)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(docs_of(spark, sf_dir, "pages"))
 
 
+def op9_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_join.op9(spark, sf_dir)
+
+
 def op10_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional_index.op10(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_url_filter, op10_positional_decontamination)}
+    return {f.__name__: f for f in (op6_sentence_spans, op7_simhash_vptree, op8_url_filter, op9_edit_join, op10_positional_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
