@@ -2,7 +2,7 @@
 
 A page is read tag by tag into leaf blocks, runs of inline content between block tags, each with its ancestors' tags and
 with what their class and id names speak of. The CRF scores the blocks by these, by text features (words, share of linked
-characters, sentence marks, digits, equality with the title) and by their neighbours through its transitions. It is
+characters, sentence marks) and by their neighbours through its transitions. It is
 trained in this process on labelled pages that the generator below writes from many layouts; pages are decoded by Viterbi
 in padded numpy batches.
 
@@ -61,7 +61,7 @@ FEATURES = {
     for k, name in enumerate(
         [f"in:{t}" for t in _TAGS] + [f"own:{t}" for t in (*_OWN, "?")] + [f"topic:{t}" for t in TOPICS] + [f"own-topic:{t}" for t in TOPICS]
         + [f"words:{b}" for b in range(7)] + [f"links:{b}" for b in range(4)] + [f"marks:{b}" for b in range(3)]
-        + ["stop", "title", "copyright", "first", "page-article", "page-main", "in-page-article", "in-page-main", "no-body-tag", "bias"]
+        + ["stop", "copyright", "first", "page-article", "page-main", "in-page-article", "in-page-main", "no-body-tag", "bias"]
         + [f"inside:{t}:{o}" for t in ("article", "main", "content") for o in ("aside", "nav", "header", "footer", "form", "ul", "ad", "comment", "side", "notice", "meta", "plain")], 1,
     )
 }
@@ -88,12 +88,12 @@ def topics_of(attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
-def blocks_of(page: str) -> tuple[list[Block], str]:
-    """The leaf blocks in page order and the title."""
+def blocks_of(page: str) -> list[Block]:
+    """The leaf blocks in page order."""
     blocks: list[Block] = []
     stack: list[tuple[str, frozenset[str]]] = []
     parts: list[str] = []
-    title, linked, in_link, skipping, at = "", 0, 0, 0, 0
+    linked, in_link, skipping, at = 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -108,10 +108,7 @@ def blocks_of(page: str) -> tuple[list[Block], str]:
         m = _TAG.search(page, at)
         text = page[at : m.start()] if m else page[at:]
         if text:
-            if skipping:
-                if stack and stack[-1][0] == "title":
-                    title += text
-            else:
+            if not skipping:
                 parts.append(text)
                 linked += len(text) if in_link else 0
         if not m:
@@ -143,10 +140,10 @@ def blocks_of(page: str) -> tuple[list[Block], str]:
             stack.append((tag, topics_of(m[3])))
         skipping = sum(t in SKIPPED for t, _ in stack)
     flush()
-    return blocks, " ".join(html_lib.unescape(title).split())
+    return blocks
 
 
-def features_of(blocks: list[Block], title: str) -> np.ndarray:
+def features_of(blocks: list[Block]) -> np.ndarray:
     """Feature numbers (blocks, SLOTS), padded by 0."""
     out = np.zeros((len(blocks), SLOTS), dtype=np.int64)
     has_article = any("article" in b.tags for b in blocks)
@@ -166,8 +163,6 @@ def features_of(blocks: list[Block], title: str) -> np.ndarray:
         names.append("bias")
         if b.text[-1] in ".!?":
             names.append("stop")
-        if title and b.text in (title, title[: len(b.text)]):
-            names.append("title")
         if "©" in b.text or "(c)" in b.text:
             names.append("copyright")
         if k == 0:
@@ -270,7 +265,7 @@ def labelled_pages(seed: int, n: int = 260) -> Iterator[tuple[str, list[str], in
         before = echo + "".join(chrome(k) for k in ("header", "nav", "notice", "ad", "form", "side") if rng.random() < 0.5)
         after = "".join(chrome(k) for k in ("comments", "side", "ad", "form", "nav", "footer", "notice") if rng.random() < 0.45)
         page = f"<!DOCTYPE html><html><head><title>{title}</title><script>var x='<p>{words(1, 3)}</p>';</script></head><body>{before}{body}{after}</body></html>"
-        yield (page[: page.index("</article>")] if rng.random() < 0.1 and "</article>" in page[len(before) :] and body.startswith("<article") and "comment" not in inner else page), kept, len(blocks_of(f"<body>{before}")[0])
+        yield (page[: page.index("</article>")] if rng.random() < 0.1 and "</article>" in page[len(before) :] and body.startswith("<article") and "comment" not in inner else page), kept, len(blocks_of(f"<body>{before}"))
 
 
 def labels_of(blocks: list[Block], kept: list[str], before: int) -> np.ndarray:
@@ -287,8 +282,8 @@ def model(seed: int = 3) -> Crf:
     """The CRF, trained once in a process."""
     rows = []
     for page, kept, before in labelled_pages(seed):
-        blocks, title = blocks_of(page)
-        rows.append((features_of(blocks, title), labels_of(blocks, kept, before)))
+        blocks = blocks_of(page)
+        rows.append((features_of(blocks), labels_of(blocks, kept, before)))
     time = max(len(label) for _, label in rows)
     features, labels = np.zeros((len(rows), time, SLOTS), dtype=np.int64), np.zeros((len(rows), time), dtype=np.int64)
     for k, (f, label) in enumerate(rows):
@@ -299,7 +294,7 @@ def model(seed: int = 3) -> Crf:
 def main_texts(pages: list[str], crf: Crf) -> list[str]:
     """The article of each page, its blocks joined by newlines."""
     parsed = [blocks_of(p) for p in pages]
-    sizes = np.array([len(b) for b, _ in parsed], dtype=np.int64)
+    sizes = np.array([len(b) for b in parsed], dtype=np.int64)
     out = [""] * len(pages)
     order = [k for k in np.argsort(sizes, kind="stable").tolist() if sizes[k]]
     for a in range(0, len(order), 256):
@@ -310,10 +305,10 @@ def main_texts(pages: list[str], crf: Crf) -> list[str]:
             some = who[b : b + step]
             features = np.zeros((len(some), time, SLOTS), dtype=np.int64)
             for i, k in enumerate(some):
-                features[i, : sizes[k]] = features_of(*parsed[k])
+                features[i, : sizes[k]] = features_of(parsed[k])
             labels = crf.viterbi(crf.scores(features), sizes[some])
             for i, k in enumerate(some):
-                out[k] = "\n".join(x.text for x, keep in zip(parsed[k][0], labels[i].tolist(), strict=False) if keep)
+                out[k] = "\n".join(x.text for x, keep in zip(parsed[k], labels[i].tolist(), strict=False) if keep)
     return out
 
 
