@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstone.llm import bpe_lexicon, edit_join, html_crf, pii_crf, positional_index, sentence_spans, simhash_vptree, url_filter
+from loomstone.llm import bpe_lexicon, edit_join, html_crf, kneser_ney, pii_crf, positional_index, sentence_spans, simhash_vptree, url_filter
 from loomstone.llm.common import docs_of
 
 
@@ -14,6 +14,10 @@ def op2_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.op2(spark, sf_dir)
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.op3(spark, sf_dir)
+
+
 def op4_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.op4(spark, sf_dir)
 
@@ -43,7 +47,7 @@ def op10_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_lexicon, op4_html_crf, op5_pii_crf, op6_sentence_spans, op7_simhash_vptree, op8_url_filter, op9_edit_join, op10_positional_decontamination)}
+    return {f.__name__: f for f in (op2_bpe_lexicon, op3_kneser_ney, op4_html_crf, op5_pii_crf, op6_sentence_spans, op7_simhash_vptree, op8_url_filter, op9_edit_join, op10_positional_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
