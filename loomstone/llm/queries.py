@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstone.llm import bpe_lexicon, edit_join, html_crf, kneser_ney, pii_crf, positional_index, sentence_spans, simhash_vptree, url_filter
+from loomstone.llm import bpe_lexicon, edit_join, html_crf, kneser_ney, pii_crf, positional_index, robust_outliers, sentence_spans, simhash_vptree, url_filter
 from loomstone.llm.common import docs_of
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_outliers.op1(spark, sf_dir)
+
+
 def op2_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.op2(spark, sf_dir)
 
@@ -47,7 +51,7 @@ def op10_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_lexicon, op3_kneser_ney, op4_html_crf, op5_pii_crf, op6_sentence_spans, op7_simhash_vptree, op8_url_filter, op9_edit_join, op10_positional_decontamination)}
+    return {f.__name__: f for f in (op1_robust_outliers, op2_bpe_lexicon, op3_kneser_ney, op4_html_crf, op5_pii_crf, op6_sentence_spans, op7_simhash_vptree, op8_url_filter, op9_edit_join, op10_positional_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
