@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one step of an Arrow operator works on at a time; whole texts, never parts of them.
 CHUNK_BYTES = 4 << 20
@@ -43,6 +44,16 @@ def staged(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checked(side: DataFrame, *lists: str) -> DataFrame:
+    """A staged join side, marked for broadcast if its counted rows and list elements are under the bounds above.
+
+    Beyond them it is returned unmarked, and the join is shuffled.
+    """
+    elements = sum((F.coalesce(F.size(c), F.lit(0)) for c in lists), F.lit(0))
+    rows, inside = side.agg(F.count("*"), F.coalesce(F.sum(elements), F.lit(0))).first()
+    return F.broadcast(side) if rows <= BROADCAST_ROWS and rows * 16 * len(side.columns) + inside * 8 <= BROADCAST_BYTES else side
+
+
 def shipped(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:
     """A small file of the driver's, sent to each executor, where SparkFiles.get(name) is its own copy.
 

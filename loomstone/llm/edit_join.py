@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstone.llm.common import chunks, docs_of, staged, texts_of
+from loomstone.llm.common import CHUNK_BYTES, checked, chunks, docs_of, staged, texts_of
 
 #: Edits that near lines may be apart, and code points from which lines are compared for nearness.
 THRESHOLD, MIN_CHARS = 2, 24
@@ -130,8 +130,9 @@ def within(left: list[str], right: list[str], threshold: int = THRESHOLD) -> np.
     todo = np.flatnonzero(np.abs(m - n) <= threshold)
     width = 2 * threshold + 1
     one, full = np.uint64(1), np.uint64((1 << width) - 1)
-    for a in range(0, len(todo), 4096):
-        who = todo[a : a + 4096]
+    todo = todo[np.argsort(np.maximum(m[todo], n[todo]), kind="stable")]
+    cells = np.cumsum(np.maximum(m[todo], n[todo]) + 2 * width + 2) // (1 << 20)  # pairs of like length, a bounded block at a time
+    for who in np.split(todo, np.flatnonzero(np.diff(cells)) + 1) if len(todo) else ():
         rows, cols = m[who], n[who]
         tall, wide = int(rows.max()), int(cols.max())
         p = np.zeros((len(who), tall + 2 * width + 2), dtype=np.uint32)
@@ -175,7 +176,7 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     buckets = max(16, (lines or 0) * (threshold + 1) * 4 // BUCKET)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, limit=CHUNK_BYTES // 2):
             distinct = {x for t in texts_of(chunk.column(1)) for x in t.split(b"\n") if len(x) >= min_chars}
             entries = entries_of(sorted(distinct), threshold, min_chars)
             bucket = entries["key"] % np.uint64(buckets)
@@ -191,7 +192,7 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     pairs = staged(texts.mapInArrow(emit, "bucket int, entries binary").groupBy("bucket").applyInArrow(meet, "a long, b long").distinct(), "pairs")
     wanted = staged(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
     line = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line")).select(F.xxhash64("line").alias("id"), "line")
-    found = staged(line.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "lines")
+    found = staged(line.join(checked(wanted), "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "lines")
     both = pairs.join(found.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(found.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +219,7 @@ def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_C
 def deduplicated(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with its repeated and near-repeated lines cut out of `text`, and __lines and __removed, both counts."""
     gone = staged(removals(docs, threshold, min_chars).select(F.col("doc_id").alias("__id"), F.col("lines").alias("__gone")), "gone")
-    joined = docs.join(gone, F.expr("doc_id <=> __id"), "left")
+    joined = docs.join(checked(gone, "__gone"), F.expr("doc_id <=> __id"), "left")
     rest = r"transform(array(split(text, '\n', -1)), ls -> array_join(transform(array_except(sequence(0, size(ls) - 1), __gone), i -> ls[i]), '\n'))[0]"
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.expr(rest))
     count = F.expr(r"cast(coalesce(size(filter(split(text, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')), 0) AS long)")
