@@ -35,9 +35,11 @@ def numbers(text: Column, pattern: str) -> Column:
 def references(text: Column) -> Column:
     """array<struct<number, ref_kind>>: each number that the text names once, closing stronger than mentioning."""
     closes, bare = numbers(text, CLOSING), numbers(text, BARE)
-    kinds = [(closes, CLOSES), (F.array_except(bare, closes), MENTIONS)]
-    parts = [F.transform(ns, lambda n, kind=kind: F.struct(n.alias("number"), F.lit(kind).alias("ref_kind"))) for ns, kind in kinds]
-    return F.concat(*parts)
+
+    def of_kind(found: Column, kind: str) -> Column:
+        return F.transform(found, lambda n: F.struct(n.alias("number"), F.lit(kind).alias("ref_kind")))
+
+    return F.concat(of_kind(closes, CLOSES), of_kind(F.array_except(bare, closes), MENTIONS))
 
 
 def epoch(text: Column) -> Column:

@@ -36,20 +36,20 @@ def _record(raw: DataFrame, number: bool, channel: str) -> DataFrame:
 
 
 _SHARED = ["record_id", "channel", "timestamp", "author", "text", "labels"]
-_NO_FILE = F.lit(None).cast("string").alias("file_path")
-_NO_PARENT = [F.lit(None).cast("bigint").alias("parent_id"), F.lit(None).cast("string").alias("parent_channel")]
+_NO_FILE = "cast(NULL AS string) AS file_path"
+_NO_PARENT = ["cast(NULL AS bigint) AS parent_id", "cast(NULL AS string) AS parent_channel"]
 
 
 def issues(raw: DataFrame) -> DataFrame:
     """Closed items that are no pull requests: the key decides, even with a null value."""
     own = ~F.coalesce(F.array_contains(F.json_object_keys("raw"), "pull_request"), F.lit(False))
     r = _record(raw.where(own), True, "github.issue").where("record_id IS NOT NULL")
-    return r.select(*_SHARED, _NO_FILE, *_NO_PARENT, epoch(F.col("j.closed_at")).alias("closed_at"))
+    return r.select(*_SHARED, *map(F.expr, [_NO_FILE, *_NO_PARENT]), epoch(F.col("j.closed_at")).alias("closed_at"))
 
 
 def pulls(raw: DataFrame) -> DataFrame:
     r = _record(raw, True, "github.pr").where("record_id IS NOT NULL")
-    return r.select(*_SHARED, _NO_FILE, *_NO_PARENT, epoch(F.col("j.closed_at")).alias("closed_at"), epoch(F.col("j.merged_at")).alias("merged_at"), F.col("j.merge_commit_sha").alias("merge_commit_sha"))
+    return r.select(*_SHARED, *map(F.expr, [_NO_FILE, *_NO_PARENT]), epoch(F.col("j.closed_at")).alias("closed_at"), epoch(F.col("j.merged_at")).alias("merged_at"), F.col("j.merge_commit_sha").alias("merge_commit_sha"))
 
 
 def reviews(raw: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def reviews(raw: DataFrame) -> DataFrame:
 
 def comments(raw: DataFrame) -> DataFrame:
     r = _record(raw, False, "github.comment").where("record_id IS NOT NULL")
-    return r.select(*_SHARED, _NO_FILE, url_number(F.col("j.issue_url")).alias("parent_id"), F.lit("github.issue_or_pr").alias("parent_channel"))
+    return r.select(*_SHARED, F.expr(_NO_FILE), url_number(F.col("j.issue_url")).alias("parent_id"), F.lit("github.issue_or_pr").alias("parent_channel"))
 
 
 @dataclass(frozen=True)
