@@ -44,7 +44,9 @@ def ancestors(commits: DataFrame, heads: DataFrame, *by: str) -> DataFrame:
                 if p in parents and p not in seen:
                     seen.add(p)
                     todo.append(p)
-        return pd.DataFrame({**{k: [v] * len(seen) for k, v in zip(keys, key[:width], strict=True)}, "sha": sorted(seen)}, columns=[*keys, "sha"])
+        held = history if len(history) else heads_
+        same = {k: pd.Series([v] * len(seen), dtype=held[k].dtype) for k, v in zip(keys, key[:width], strict=True)}
+        return pd.DataFrame({**same, "sha": pd.Series(sorted(seen), dtype=object)})
 
     types = dict(edges.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in [*keys, "sha"])

@@ -263,11 +263,11 @@ def merge_root_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE t AS (SELECT DISTINCT k FROM ({_TREE})), up AS (
-  SELECT k FROM t WHERE k % 5000 = 4999 UNION
+  SELECT k FROM t WHERE k % 1000 = 999 UNION
   SELECT p.k FROM up JOIN t p ON (up.k > 1 AND p.k = up.k // 2) OR (up.k > 1 AND up.k % 7 = 0 AND p.k = up.k - 1))
 SELECT concat('c', k) AS sha FROM up""")
 def ancestor_closure(spark: SparkSession, d: str) -> DataFrame:
-    heads = table(spark, d, "orders").where("o_orderkey % 5000 = 4999").selectExpr("concat('c', o_orderkey) AS sha")
+    heads = table(spark, d, "orders").where("o_orderkey % 1000 = 999").selectExpr("concat('c', o_orderkey) AS sha")
     return universe.ancestors(tree(spark, d), heads)
 
 

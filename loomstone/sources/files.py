@@ -23,7 +23,9 @@ def read_records(spark: SparkSession, path: str, schema: str, keep: list[str] |
     if not exists(spark, path):
         empty = spark.createDataFrame([], f"{schema}, _corrupt string" if corrupt else schema)
         return empty.select(*keep, *(["_corrupt"] if corrupt else [])) if keep else empty
-    df = spark.read.schema(f"{schema}, _corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    df = lines.select(parsed.alias("r")).select("r.*")
     df = df if corrupt else df.where("_corrupt IS NULL").drop("_corrupt")
     return df.select(*keep, *(["_corrupt"] if corrupt else [])) if keep else df
 
