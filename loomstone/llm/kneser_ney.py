@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from loomstone.llm.common import BROADCAST_BYTES, BROADCAST_ROWS, checked, chunks, docs_of, staged, texts_of
 
 #: Characters of an n-gram, the quantile of trusted perplexities that is still good, steps of log perplexity per unit.
-ORDER, QUANTILE, GRID = 5, 0.97, 1000
+ORDER, QUANTILE, GRID = 4, 0.97, 1000
 _BITS, _MARK = 12, 1
 _CLASSES = (1 << _BITS) - 128
 _BREAKS, _SPACES = re.compile(r"\s*\n\s*"), re.compile(r"[^\S\n]+")
