@@ -120,7 +120,7 @@ class Windows:
             low = np.maximum(place - SLOP, segment.starts[doc])
             i = np.minimum(np.searchsorted(keyed, terms[w, k] << 32 | low), len(keyed) - 1)
             high = np.minimum(place + SLOP, segment.starts[doc + 1] - 1)
-            keep = (keyed[i] >> 32 == terms[w, k]) & (keyed[i] & 0xFFFFFFFF <= high)
+            keep = (keyed[i] >> 32 == terms[w, k]) & (keyed[i] & 0xFFFFFFFF >= low) & (keyed[i] & 0xFFFFFFFF <= high)
             w, at, doc = w[keep], at[keep], doc[keep]
         near = np.unique(np.stack([near_of[w], doc], axis=1), axis=0)
 
