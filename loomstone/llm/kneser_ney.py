@@ -184,10 +184,13 @@ def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, most_row
 
 
 def _scored_in_place(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
-    held = model.toPandas()  # counted above: within the broadcast bounds
-    langs = sorted(held["lang"].unique())
-    lang = np.searchsorted(np.array(langs, dtype=object), held["lang"].to_numpy(dtype=object)) if langs else np.empty(0, np.int64)
-    table = Scorer(langs, held["size"].to_numpy(), held["gram"].to_numpy(), held["logp"].to_numpy(dtype=float), held["back"].to_numpy(dtype=float), lang, order)
+    langs = sorted(r[0] for r in model.select("lang").distinct().toLocalIterator())
+    codes = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1 if langs else F.lit(0)
+    # counted above, within the broadcast bounds; in narrow columns, as whole arrays
+    held = model.select(codes.cast("int"), "size", "gram", F.col("logp").cast("double"), F.col("back").cast("double")).toArrow()
+    lang, size, gram, logp, back = (held.column(k).to_numpy() for k in range(5))
+    table = Scorer(langs, size, gram, logp, back, lang, order)
+    del held, lang, size, gram, logp, back
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
