@@ -6,9 +6,11 @@ those of Chen and Goodman, from the counts of counts. Probabilities come from jo
 by (language, context) and (language, suffix), so no step needs the whole model in one place. What remains is, for each
 n-gram, its log probability, and for each context its back-off weight.
 
-A document is scored with the longest n-gram that the model has at each character, and backed off where it has none. If
-the counted model is within the broadcast bounds, documents are scored where they are read; beyond them the documents'
-own n-gram counts are joined to the sharded tables and summed per document. Both ways give the same perplexity.
+A document is scored with the longest n-gram that the model has at each character, and backed off where it has none. It
+needs the model of its language only. Languages whose counted models are within the broadcast bounds together share a
+pass that scores their documents where they are read; passes follow one another. Documents of a language beyond the
+bounds on its own are scored by blocks whose distinct n-grams are joined to the sharded tables. Both ways give the same
+perplexity.
 
 Documents fall into two halves by a hash of their ids. Each half is scored by the model of the other half's trusted text,
 so that no document is judged by its own n-grams and trusted perplexities are those of unseen text.
@@ -31,13 +33,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomstone.llm.common import BROADCAST_BYTES, BROADCAST_ROWS, checked, chunks, docs_of, staged, texts_of
 
 #: Characters of an n-gram, the quantile of trusted perplexities that is still good, steps of log perplexity per unit.
-ORDER, QUANTILE, GRID = 4, 0.97, 1000
+ORDER, QUANTILE, GRID = 5, 0.97, 1000
+#: Text bytes of a block that asks for its n-grams at once, and characters of the input to a bucket of n-grams.
+BLOCK, ASKED = 16 << 20, 4 << 20
 _BITS, _MARK = 12, 1
 _CLASSES = (1 << _BITS) - 128
 _BREAKS, _SPACES = re.compile(r"\s*\n\s*"), re.compile(r"[^\S\n]+")
@@ -177,16 +182,43 @@ class Scorer:
 
 def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     """docs (doc_id, lang, text) as (doc_id, lang, ppl): exp of the mean negative log probability of a character."""
-    rows = model.count()
-    if rows <= min(most_rows, BROADCAST_BYTES // 32):
-        return _scored_in_place(docs, model, order)
-    return _scored_by_joins(docs, model, order)
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string"))
+    shares, beyond = passes(dict(model.groupBy("lang").count().toLocalIterator()), min(most_rows, BROADCAST_BYTES // 32))
+    steps = [(_scored_in_place, x) for x in shares] + [(_scored_by_joins, x) for x in [beyond] if x]
+    found = []
+    for k, (score, langs) in enumerate(steps or [(_scored_in_place, [])]):
+        # the first step also takes the documents whose language has no model
+        others = [x for _, share in steps[1:] for x in share]
+        own = F.col("lang").isin(langs) if k else ~F.col("lang").isin(others)
+        found.append(score(docs.where(own), model.where(F.col("lang").isin(langs)), sorted(langs), order))
+    both = found[0]
+    for more in found[1:]:
+        both = both.unionByName(more)
+    return both
+
+
+def passes(rows: dict[str, int], most: int) -> tuple[list[list[str]], list[str]]:
+    """The languages dealt to passes of at most `most` rows of model each, and those that are beyond it on their own."""
+    shares: list[tuple[int, list[str]]] = []
+    for lang in sorted((x for x in rows if rows[x] <= most), key=lambda x: (-rows[x], x)):
+        k = next((k for k, (n, _) in enumerate(shares) if n + rows[lang] <= most), None)
+        if k is None:
+            shares.append((rows[lang], [lang]))
+        else:
+            shares[k] = (shares[k][0] + rows[lang], [*shares[k][1], lang])
+    return [x for _, x in shares], sorted(x for x in rows if rows[x] > most)
+
+
+def _means(codes: list[np.ndarray], logp: np.ndarray) -> list[float]:
+    """The perplexity of each text, from the log probabilities of all their characters in a row."""
+    sizes = np.array([len(x) for x in codes])
+    return np.exp(-np.add.reduceat(logp, np.cumsum(sizes) - sizes) / sizes).tolist()
 
 
-def _scored_in_place(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
-    langs = sorted(r[0] for r in model.select("lang").distinct().toLocalIterator())
+def _scored_in_place(docs: DataFrame, model: DataFrame, langs: list[str], order: int) -> DataFrame:
+    """By a broadcast of these languages' model, which ends with the pass."""
     codes = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1 if langs else F.lit(0)
-    # counted above, within the broadcast bounds; in narrow columns, as whole arrays
+    # counted before, within the broadcast bounds; in narrow columns, as whole arrays
     held = model.select(codes.cast("int"), "size", "gram", F.col("logp").cast("double"), F.col("back").cast("double")).toArrow()
     lang, size, gram, logp, back = (held.column(k).to_numpy() for k in range(5))
     table = Scorer(langs, size, gram, logp, back, lang, order)
@@ -196,7 +228,7 @@ def _scored_in_place(docs: DataFrame, model: DataFrame, order: int) -> DataFrame
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer: Scorer = shared.value
         for chunk in chunks(batches, 2, 1 << 20):
-            langs_ = [x or "" for x in chunk.column(1).to_pylist()]
+            langs_ = chunk.column(1).to_pylist()
             codes = [grams(t.decode(), order) for t in texts_of(chunk.column(2))]
             ppl: list[float | None] = [None] * len(codes)
             for name in sorted(set(langs_) & scorer.langs.keys()):
@@ -204,38 +236,115 @@ def _scored_in_place(docs: DataFrame, model: DataFrame, order: int) -> DataFrame
                 if who:
                     unique, place = np.unique(np.concatenate([codes[k] for k in who]), return_inverse=True)
                     logp = scorer.score(unique, scorer.langs[name])[place]
-                    sizes = np.array([len(codes[k]) for k in who])
-                    sums = np.add.reduceat(logp, np.cumsum(sizes) - sizes)
-                    for k, x in zip(who, np.exp(-sums / sizes).tolist(), strict=True):
+                    for k, x in zip(who, _means([codes[k] for k in who], logp), strict=True):
                         ppl[k] = x
             yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(langs_, pa.string()), pa.array(ppl, pa.float64())], ["doc_id", "lang", "ppl"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")).mapInArrow(score, "doc_id long, lang string, ppl double")
+    found = staged(docs.mapInArrow(score, "doc_id long, lang string, ppl double"), "scored-in-place")
+    shared.destroy()
+    return found
 
 
-def _scored_by_joins(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
-    """The same through the sharded tables: each document's n-grams, counted, meet the entries they back off to."""
+def _buckets_of(gram: np.ndarray, buckets: int) -> np.ndarray:
+    return ((gram.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, 3):
-            for row, lang, text in zip(chunk.column(0).to_pylist(), chunk.column(2).to_pylist(), texts_of(chunk.column(3)), strict=True):
-                gram, n = np.unique(grams(text.decode(), order), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([row] * len(gram), pa.int64()), pa.array([lang or ""] * len(gram), pa.string()), pa.array(gram), pa.array(n.astype(np.int64))], ["row", "lang", "gram", "n"])
-
-    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")), "rows")
-    own = staged(rows.select("row", "doc_id", "lang", "text").mapInArrow(count, "row long, lang string, gram long, n long"), "own")
-    need = own.groupBy("lang", "gram").agg(F.count("*").alias("docs"))
-    logp = F.lit(-_BITS * float(np.log(2)))
+
+def _scored_by_joins(docs: DataFrame, model: DataFrame, langs: list[str], order: int) -> DataFrame:
+    """The same through the sharded tables, by blocks of whole documents.
+
+    A block asks once for each of its distinct n-grams, packed by bucket of n-grams. What all blocks ask for meets the
+    entries it backs off to, a level at a time. The answers go back packed in the order of the asking and meet the texts.
+    """
+    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    buckets = max(64, chars // ASKED)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["block", "doc_id", "lang", "text", "bucket", "grams"]
+        block, size, held = TaskContext.get().partitionId() << 32, 0, {}
+
+        def asked() -> Iterator[pa.RecordBatch]:
+            for lang, gram in sorted(held.items()):
+                bucket = _buckets_of(gram, buckets)
+                by = np.argsort(bucket, kind="stable")
+                some, starts = np.unique(bucket[by], return_index=True)
+                blobs = [x.tobytes() for x in np.split(gram[by], starts[1:])]
+                n = len(some)
+                yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([lang] * n, pa.string()), pa.nulls(n, pa.string()), pa.array(some), pa.array(blobs, pa.binary())], names)
+
+        for chunk in chunks(batches, 2, 1 << 20):
+            for lang, gram in _distinct(chunk.column(1), chunk.column(2), langs, order).items():
+                held[lang] = np.union1d(held[lang], gram) if lang in held else gram
+            n, size = chunk.num_rows, size + chunk.column(2).nbytes
+            yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), *chunk.columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+            if size >= BLOCK:
+                yield from asked()
+                block, size, held = block + 1, 0, {}
+        yield from asked()
+
+    blocks = staged(docs.mapInArrow(ask, "block long, doc_id long, lang string, text string, bucket int, grams binary"), "blocks")
+    asks = blocks.where("bucket IS NOT NULL").select("bucket", "block", "lang", "grams")
+
+    def needed(table: pa.Table) -> pa.Table:
+        named, blobs = table.column("lang").to_pylist(), table.column("grams").to_pylist()
+        own = {x: np.unique(np.frombuffer(b"".join(g for y, g in zip(named, blobs, strict=True) if y == x), dtype=np.int64)) for x in sorted(set(named))}
+        lang = pa.array([x for x, gram in own.items() for _ in range(len(gram))], pa.string())
+        return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(lang), pa.int32()), "lang": lang, "gram": pa.array(np.concatenate(list(own.values())))})
+
+    left = asks.groupBy("bucket").applyInArrow(needed, "bucket int, lang string, gram long").withColumn("over", F.lit(0.0))
+    found = []
     for k in range(order, 0, -1):
-        need = need.withColumn(f"tail{k}", suffix(F.col("gram"), k + 1)).withColumn(f"context{k}", F.shiftright(f"tail{k}", _BITS))
-        need = need.join(model.where(f"size = {k}").select("lang", F.col("gram").alias(f"tail{k}"), F.col("logp").alias(f"logp{k}")), ["lang", f"tail{k}"], "left")
-        need = need.join(model.where(f"size = {k - 1}").select("lang", F.col("gram").alias(f"context{k}"), F.col("back").alias(f"back{k}")), ["lang", f"context{k}"], "left")
-    for k in range(1, order + 1):
-        logp = F.coalesce(F.col(f"logp{k}"), F.coalesce(F.col(f"back{k}"), F.lit(0.0)) + logp)
-    known = model.select("lang").distinct()
-    scored = staged(need.join(known, "lang", "left_semi").select("lang", "gram", logp.alias("logp")), "scored")
-    sums = own.join(scored, ["lang", "gram"]).groupBy("row").agg((F.exp(-F.sum(F.col("n") * F.col("logp")) / F.sum("n"))).alias("ppl"))
-    return rows.select("row", "doc_id", F.coalesce("lang", F.lit("")).alias("lang")).join(sums, "row", "left").select("doc_id", "lang", "ppl")
+        entries = model.where(f"size = {k} AND logp IS NOT NULL").select("lang", F.col("gram").alias("tail"), "logp")
+        tried = staged(left.withColumn("tail", suffix(F.col("gram"), k + 1)).join(entries, ["lang", "tail"], "left"), f"tried-{k}")
+        found.append(tried.where("logp IS NOT NULL").select("bucket", "lang", "gram", (F.col("over") + F.col("logp")).alias("logp")))
+        contexts = model.where(f"size = {k - 1} AND back IS NOT NULL").select("lang", F.col("gram").alias("context"), "back")
+        missed = tried.where("logp IS NULL").withColumn("context", F.shiftright("tail", _BITS)).join(contexts if k > 1 else checked(contexts), ["lang", "context"], "left")
+        left = missed.select("bucket", "lang", "gram", (F.col("over") + F.coalesce("back", F.lit(0.0))).alias("over"))
+    scored = left.select("bucket", "lang", "gram", (F.col("over") - _BITS * float(np.log(2))).alias("logp"))
+    for more in found:
+        scored = scored.unionByName(more)
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        lang, gram, logp = np.array(known.column("lang").to_pylist(), dtype=object), known.column("gram").to_numpy(), known.column("logp").to_numpy()
+        held = {}
+        for x in sorted(set(lang)):
+            by = np.flatnonzero(lang == x)
+            by = by[np.argsort(gram[by])]
+            held[x] = gram[by], logp[by]
+        out = []
+        for x, blob in zip(asked.column("lang").to_pylist(), asked.column("grams").to_pylist(), strict=True):
+            out.append(held[x][1][np.searchsorted(held[x][0], np.frombuffer(blob, dtype=np.int64))].tobytes())
+        return pa.table({"block": asked.column("block"), "lang": asked.column("lang"), "bucket": asked.column("bucket"), "logps": pa.array(out, pa.binary())})
+
+    answers = asks.groupBy("bucket").cogroup(scored.groupBy("bucket")).applyInArrow(answer, "block long, lang string, bucket int, logps binary")
+
+    def meet(rows: pa.Table, known: pa.Table) -> pa.Table:
+        parts = [x for x in chunks(rows.select(["doc_id", "lang", "text"]).to_batches(), 2, 1 << 20)]
+        held: dict[str, np.ndarray] = {}
+        for chunk in parts:
+            for x, gram in _distinct(chunk.column(1), chunk.column(2), langs, order).items():
+                held[x] = np.union1d(held[x], gram) if x in held else gram
+        logps = {}
+        named, bucket, blobs = (known.column(c).to_pylist() for c in ("lang", "bucket", "logps"))
+        for x, gram in held.items():
+            logps[x] = np.empty(len(gram))
+            order_ = np.argsort(_buckets_of(gram, buckets), kind="stable")
+            logps[x][order_] = np.frombuffer(b"".join(blob for _, blob in sorted((b, y) for z, b, y in zip(named, bucket, blobs, strict=True) if z == x)))
+        ppl: list[float | None] = []
+        for chunk in parts:
+            for x, text in zip(chunk.column(1).to_pylist(), texts_of(chunk.column(2)), strict=True):
+                code = grams(text.decode(), order)
+                ppl += _means([code], logps[x][np.searchsorted(held[x], code)]) if x in held and len(code) else [None]
+        return pa.table({"doc_id": rows.column("doc_id"), "lang": rows.column("lang"), "ppl": pa.array(ppl, pa.float64())})
+
+    texts = blocks.where("bucket IS NULL").select("block", "doc_id", "lang", "text")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, "doc_id long, lang string, ppl double")
+
+
+def _distinct(langs: pa.Array, texts: pa.Array, known: list[str], order: int) -> dict[str, np.ndarray]:
+    """The distinct n-grams of the texts of each known language."""
+    named, codes = langs.to_pylist(), [grams(t.decode(), order) for t in texts_of(texts)]
+    own = {x: [c for y, c in zip(named, codes, strict=True) if y == x and len(c)] for x in set(named) & set(known)}
+    return {x: np.unique(np.concatenate(c)) for x, c in own.items() if c}
 
 
 def trusted(labels: DataFrame) -> DataFrame:

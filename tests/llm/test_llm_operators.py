@@ -151,6 +151,20 @@ def test_classifier_on_held_out_labels(spark):
     assert found[found.quality == 0].kept.mean() < 0.2 and found[found.quality == 1].kept.mean() > 0.85
 
 
+def test_classifier_passes_by_language(spark, monkeypatch):
+    assert kneser_ney.ORDER == 5
+    assert kneser_ney.passes({"a": 3, "b": 9, "c": 4, "d": 6}, 8) == ([["d"], ["c", "a"]], ["b"])
+    docs, labels = docs_of(spark, SF), docs_of(spark, SF, "labels")
+    one = kneser_ney.classify(docs, labels).orderBy("doc_id").toPandas()
+    model = kneser_ney.estimate(docs.join(kneser_ney.trusted(labels), "doc_id", "left_semi"))
+    rows = dict(model.groupBy("lang").count().collect())
+    known = [x for x in rows if x]
+    split = kneser_ney.perplexities(docs.where(F.col("lang").isin(known)), model, most_rows=sorted(rows.values())[-2]).orderBy("doc_id").toPandas()
+    monkeypatch.setattr(kneser_ney, "_scored_by_joins", None)  # the largest language alone fills a pass
+    whole = kneser_ney.perplexities(docs.where(F.col("lang").isin(known)), model, most_rows=max(rows.values())).orderBy("doc_id").toPandas()
+    assert len(whole) == len(split) == len(one) and np.allclose(whole.ppl, split.ppl, equal_nan=True)
+
+
 def test_classifier_edges(spark, edges, empty):
     labels = spark.createDataFrame([(6, 1, 0), (4, 1, 0), (4, 0, 0), (None, 1, 0), (5, None, None)], "doc_id long, quality int, toxic int")
     found = kneser_ney.classify(edges, labels).collect()
