@@ -15,8 +15,10 @@ perplexity.
 Documents fall into two halves by a hash of their ids. Each half is scored by the model of the other half's trusted text,
 so that no document is judged by its own n-grams and trusted perplexities are those of unseen text.
 
-A document is rejected if its perplexity is over the QUANTILE of those of the trusted documents of its language. The
-quantile is taken exactly over all of them on a grid of GRID steps per unit of log perplexity.
+A document is rejected if its perplexity is over the QUANTILE of those of the trusted documents of its language, or if
+that of its worst WINDOW characters in a row, anywhere in the text, is over the QUANTILE of theirs: a few strange words
+in ordinary prose vanish in the mean. The quantiles are taken exactly over all of them on a grid of GRID steps per unit
+of log perplexity.
 
 Characters: every run of white space is one space, except that a run with a line break is one break; ASCII counts as it
 is, others fall into 3,968 classes by a hash. Each text begins after ORDER - 1 marks.
@@ -41,6 +43,8 @@ from loomstone.llm.common import BROADCAST_BYTES, BROADCAST_ROWS, checked, chunk
 
 #: Characters of an n-gram, the quantile of trusted perplexities that is still good, steps of log perplexity per unit.
 ORDER, QUANTILE, GRID = 5, 0.97, 1000
+#: Characters of a window; a strange word is about as long.
+WINDOW = 8
 #: Text bytes of a block that asks for its n-grams at once, and characters of the input to a bucket of n-grams.
 BLOCK, ASKED = 16 << 20, 4 << 20
 _BITS, _MARK = 12, 1
@@ -181,7 +185,10 @@ class Scorer:
 
 
 def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """docs (doc_id, lang, text) as (doc_id, lang, ppl): exp of the mean negative log probability of a character."""
+    """docs (doc_id, lang, text) as (doc_id, lang, ppl, worst).
+
+    ppl is exp of the mean negative log probability of a character, worst the greatest of those of WINDOW characters in a row.
+    """
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string"))
     shares, beyond = passes(dict(model.groupBy("lang").count().toLocalIterator()), min(most_rows, BROADCAST_BYTES // 32))
     steps = [(_scored_in_place, x) for x in shares] + [(_scored_by_joins, x) for x in [beyond] if x]
@@ -209,10 +216,16 @@ def passes(rows: dict[str, int], most: int) -> tuple[list[list[str]], list[str]]
     return [x for _, x in shares], sorted(x for x in rows if rows[x] > most)
 
 
-def _means(codes: list[np.ndarray], logp: np.ndarray) -> list[float]:
-    """The perplexity of each text, from the log probabilities of all their characters in a row."""
+def _means(codes: list[np.ndarray], logp: np.ndarray) -> list[tuple[float, float]]:
+    """Perplexity and worst window of each text, from the log probabilities of all their characters in a row."""
     sizes = np.array([len(x) for x in codes])
-    return np.exp(-np.add.reduceat(logp, np.cumsum(sizes) - sizes) / sizes).tolist()
+    starts = np.cumsum(sizes) - sizes
+    means, worst = np.add.reduceat(logp, starts) / sizes, np.empty(len(sizes))
+    for k, (a, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+        wide = min(WINDOW, n)
+        upto = np.concatenate([[0.0], np.cumsum(logp[a : a + n])])
+        worst[k] = (upto[wide:] - upto[:-wide]).min() / wide
+    return list(zip(np.exp(-means).tolist(), np.exp(-worst).tolist(), strict=True))
 
 
 def _scored_in_place(docs: DataFrame, model: DataFrame, langs: list[str], order: int) -> DataFrame:
@@ -230,7 +243,7 @@ def _scored_in_place(docs: DataFrame, model: DataFrame, langs: list[str], order:
         for chunk in chunks(batches, 2, 1 << 20):
             langs_ = chunk.column(1).to_pylist()
             codes = [grams(t.decode(), order) for t in texts_of(chunk.column(2))]
-            ppl: list[float | None] = [None] * len(codes)
+            ppl: list[tuple] = [(None, None)] * len(codes)
             for name in sorted(set(langs_) & scorer.langs.keys()):
                 who = [k for k, x in enumerate(langs_) if x == name and len(codes[k])]
                 if who:
@@ -238,9 +251,9 @@ def _scored_in_place(docs: DataFrame, model: DataFrame, langs: list[str], order:
                     logp = scorer.score(unique, scorer.langs[name])[place]
                     for k, x in zip(who, _means([codes[k] for k in who], logp), strict=True):
                         ppl[k] = x
-            yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(langs_, pa.string()), pa.array(ppl, pa.float64())], ["doc_id", "lang", "ppl"])
+            yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(langs_, pa.string()), *(pa.array(x, pa.float64()) for x in zip(*ppl, strict=True))], ["doc_id", "lang", "ppl", "worst"])
 
-    found = staged(docs.mapInArrow(score, "doc_id long, lang string, ppl double"), "scored-in-place")
+    found = staged(docs.mapInArrow(score, "doc_id long, lang string, ppl double, worst double"), "scored-in-place")
     shared.destroy()
     return found
 
@@ -329,15 +342,15 @@ def _scored_by_joins(docs: DataFrame, model: DataFrame, langs: list[str], order:
             logps[x] = np.empty(len(gram))
             order_ = np.argsort(_buckets_of(gram, buckets), kind="stable")
             logps[x][order_] = np.frombuffer(b"".join(blob for _, blob in sorted((b, y) for z, b, y in zip(named, bucket, blobs, strict=True) if z == x)))
-        ppl: list[float | None] = []
+        ppl: list[tuple] = []
         for chunk in parts:
             for x, text in zip(chunk.column(1).to_pylist(), texts_of(chunk.column(2)), strict=True):
                 code = grams(text.decode(), order)
-                ppl += _means([code], logps[x][np.searchsorted(held[x], code)]) if x in held and len(code) else [None]
-        return pa.table({"doc_id": rows.column("doc_id"), "lang": rows.column("lang"), "ppl": pa.array(ppl, pa.float64())})
+                ppl += _means([code], logps[x][np.searchsorted(held[x], code)]) if x in held and len(code) else [(None, None)]
+        return pa.table({"doc_id": rows.column("doc_id"), "lang": rows.column("lang"), "ppl": pa.array([x for x, _ in ppl], pa.float64()), "worst": pa.array([x for _, x in ppl], pa.float64())})
 
     texts = blocks.where("bucket IS NULL").select("block", "doc_id", "lang", "text")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, "doc_id long, lang string, ppl double")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, "doc_id long, lang string, ppl double, worst double")
 
 
 def _distinct(langs: pa.Array, texts: pa.Array, known: list[str], order: int) -> dict[str, np.ndarray]:
@@ -354,19 +367,22 @@ def trusted(labels: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, perplexity, threshold, kept) of each row of docs (doc_id, text, lang)."""
+    """(doc_id, perplexity, threshold, worst_window, worst_threshold, kept) of each row of docs (doc_id, text, lang)."""
     good = checked(staged(trusted(labels), "trusted"))
     fold = F.abs(F.xxhash64("doc_id") % 2)
     key = lambda half: F.concat(half.cast("string"), F.lit(":"), F.coalesce(F.col("lang").cast("string"), F.lit("")))
     model = estimate(docs.join(good, "doc_id", "left_semi").withColumn("lang", key(1 - fold)), order)
     scores = perplexities(docs.withColumn("lang", key(fold)), model, order, most_rows)
     scores = staged(scores.withColumn("lang", F.substring("lang", 3, 1 << 30)), "perplexities")
-    bins = scores.join(good, "doc_id", "left_semi").where("ppl IS NOT NULL").groupBy("lang", F.ceil(F.log("ppl") * GRID).alias("bin")).agg(F.count("*").alias("n"))
-    by_lang = Window.partitionBy("lang")
+    both = "stack(2, 'ppl', ppl, 'worst', worst) AS (of, value)"
+    bins = scores.join(good, "doc_id", "left_semi").where("ppl IS NOT NULL").selectExpr("lang", both).groupBy("lang", "of", F.ceil(F.log("value") * GRID).alias("bin")).agg(F.count("*").alias("n"))
+    by_lang = Window.partitionBy("lang", "of")
     upto = bins.withColumn("upto", F.sum("n").over(by_lang.orderBy("bin"))).withColumn("all", F.sum("n").over(by_lang))
-    limits = upto.where(F.col("upto") >= quantile * F.col("all")).groupBy("lang").agg(F.exp(F.min("bin") / GRID).alias("threshold"))
+    limit = lambda of: F.exp(F.min(F.when(F.col("of") == of, F.col("bin"))) / GRID)
+    limits = upto.where(F.col("upto") >= quantile * F.col("all")).groupBy("lang").agg(limit("ppl").alias("threshold"), limit("worst").alias("worst_threshold"))
     found = scores.join(checked(staged(limits, "limits")), "lang", "left")
-    return found.select("doc_id", F.col("ppl").alias("perplexity"), "threshold", F.coalesce(F.col("ppl") <= F.col("threshold"), F.lit(True)).alias("kept"))
+    kept = (F.col("ppl") <= F.col("threshold")) & (F.col("worst") <= F.col("worst_threshold"))
+    return found.select("doc_id", F.col("ppl").alias("perplexity"), "threshold", F.col("worst").alias("worst_window"), "worst_threshold", F.coalesce(kept, F.lit(True)).alias("kept"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:

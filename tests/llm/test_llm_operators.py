@@ -165,6 +165,19 @@ def test_classifier_passes_by_language(spark, monkeypatch):
     assert len(whole) == len(split) == len(one) and np.allclose(whole.ppl, split.ppl, equal_nan=True)
 
 
+def test_classifier_on_held_out_toxic_documents(spark):
+    docs, labels = docs_of(spark, "/root/testdata/sf0.1"), docs_of(spark, "/root/testdata/sf0.1", "labels")
+    found = kneser_ney.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1 AND quality = 1"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    english = found[found.lang == "en"]
+    assert english[english.toxic == 1].kept.mean() < 0.3 and found[found.toxic == 0].kept.mean() > 0.88
+
+
+def test_worst_window():
+    codes, logp = [np.zeros(3), np.zeros(20)], -np.concatenate([[1.0, 2, 3], np.ones(10), np.full(2, 9.0), np.ones(8)])
+    (one, worst_one), (two, worst_two) = kneser_ney._means(codes, logp)
+    assert np.allclose(np.log([one, worst_one, two, worst_two]), [2, 2, 36 / 20, 24 / 8])
+
+
 def test_classifier_edges(spark, edges, empty):
     labels = spark.createDataFrame([(6, 1, 0), (4, 1, 0), (4, 0, 0), (None, 1, 0), (5, None, None)], "doc_id long, quality int, toxic int")
     found = kneser_ney.classify(edges, labels).collect()
