@@ -1,7 +1,9 @@
 """Substring deduplication by sliding sentence spans.
 
 At every sentence a run starts: the shortest of at least RUN consecutive sentences with at least MIN_WORDS words (a text
-of a single sentence with that many words is one run). Each run's hash (64 bits, and 32 more against collisions) is
+of a single sentence with that many words is one run). With every=True, as op6 has it, the shortest such run that ends at
+each sentence is one too, so that a repeated passage goes up to its last sentence whatever follows it, and so is every
+sentence of more than ALONE words by itself. Each run's hash (64 bits, and 32 more against collisions) is
 counted over the whole corpus with its first place, in a sum that is pre-aggregated before its shuffle. Every sentence
 that a repeated run covers anywhere but in its first place is removed, with the white space after it. First is the
 smallest (doc_id, sentence).
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from loomstone.llm.common import chunks, docs_of, staged, texts_of
 
 RUN, MIN_WORDS = 2, 20
+#: A sentence of more words than this is a run of its own in any text.
+ALONE = 50
 
 _BREAK = re.compile(rb"(?<=[.!?])\s+|\n\s*")
 _RUNS = "doc_id long, h long, c int, at int, n int"
@@ -41,7 +45,7 @@ def sentences_of(text: bytes) -> list[bytes]:
     return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def runs_of(text: bytes, run: int = RUN, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int]]:
+def runs_of(text: bytes, run: int = RUN, min_words: int = MIN_WORDS, every: bool = False) -> list[tuple[int, int, int, int]]:
     """(64-bit hash, 32-bit hash, first sentence, sentences) of each run."""
     parts = [s.strip() for s in sentences_of(text)]
     n = len(parts)
@@ -49,20 +53,24 @@ def runs_of(text: bytes, run: int = RUN, min_words: int = MIN_WORDS) -> list[tup
     if words[-1] < min_words:
         return []
     ends = np.maximum(np.searchsorted(words, words[:-1] + min_words), np.arange(n) + min(run, n))
+    spans = {(i, e): None for i, e in enumerate(ends.tolist()) if e <= n and parts[i]}
+    if every:
+        starts = np.minimum(np.searchsorted(words, words[1:] - min_words, "right") - 1, np.arange(1, n + 1) - min(run, n))
+        spans |= {(i, k + 1): None for k, i in enumerate(starts.tolist()) if i >= 0 and parts[k]}
+        spans |= {(k, k + 1): None for k in np.flatnonzero(np.diff(words) > ALONE).tolist()}
     return [
         (xxhash.xxh3_64_intdigest(joined) - (1 << 63), xxhash.xxh32_intdigest(joined) - (1 << 31), i, e - i)
-        for i, e in enumerate(ends.tolist())
-        if e <= n and parts[i]
+        for i, e in spans
         for joined in (b"\n".join(parts[i:e]),)
     ]
 
 
-def removals(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def removals(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, every: bool = False) -> DataFrame:
     """(doc_id, places): of each document with repeated sentences, the (first sentence, sentences) of what goes."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
-            found = [runs_of(t, run, min_words) for t in texts_of(chunk.column(1))]
+            found = [runs_of(t, run, min_words, every) for t in texts_of(chunk.column(1))]
             flat = np.array([x for f in found for x in f], dtype=np.int64).reshape(-1, 4)
             ids = chunk.column(0).take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
             yield pa.RecordBatch.from_arrays([ids, pa.array(flat[:, 0]), *(pa.array(flat[:, k].astype(np.int32)) for k in (1, 2, 3))], ["doc_id", "h", "c", "at", "n"])
@@ -74,9 +82,9 @@ def removals(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> Dat
     return later.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("places"))
 
 
-def deduplicated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, every: bool = False) -> DataFrame:
     """docs with what is repeated cut out of `text`, and the columns __sentences and __removed counting sentences."""
-    gone = removals(docs, run, min_words).select(F.col("doc_id").alias("__id"), F.col("places").alias("__places"))
+    gone = removals(docs, run, min_words, every).select(F.col("doc_id").alias("__id"), F.col("places").alias("__places"))
     joined = docs.join(staged(gone, "removals"), F.expr("doc_id <=> __id"), "left").drop("__id")
     kept = [c for c in docs.columns]
     at = kept.index("text")
@@ -100,5 +108,5 @@ def deduplicated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) ->
 
 def op6(spark, sf_dir: str) -> DataFrame:
     """Every document with its remaining text, its sentences and how many of them went."""
-    found = deduplicated(docs_of(spark, sf_dir).select("doc_id", "text"))
+    found = deduplicated(docs_of(spark, sf_dir).select("doc_id", "text"), every=True)
     return found.select("doc_id", "text", F.col("__sentences").alias("n_sentences"), F.col("__removed").alias("n_removed"))

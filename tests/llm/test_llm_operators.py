@@ -303,6 +303,32 @@ def test_sentence_spans(spark, edges, empty):
     assert again.count() == len(EDGES) and again.where("h = 'own'").count() == len(EDGES) and sentence_spans.deduplicated(empty).count() == 0
 
 
+def test_sentence_spans_up_to_their_ends(spark, tmp_path):
+    rng = random.Random(11)
+    stock = [" ".join(rng.choices("abcdefgh", k=rng.choice([1, 2, 5, 9, 14, 60]))) + "." for _ in range(60)]
+    docs = {k: " ".join(rng.choices(stock, k=rng.randrange(1, 12))) for k in range(120)}
+    long = " ".join(f"w{k}" for k in range(51)) + "."
+    docs |= {200: docs[3] + " Then foreign words follow here.", 201: "Other words. " + docs[3], 202: f"One. {long} Two.", 203: f"Three. {long} Four."}
+    first, runs = {}, {}
+    for d, text in sorted(docs.items()):
+        parts = [x.strip().decode() for x in sentence_spans.sentences_of(text.encode())]
+        n = len(parts)
+        enough = lambda i, e, p=parts, n=n: e - i >= min(2, n) and sum(len(x.split()) for x in p[i:e]) >= 20
+        spans = {(i, e) for i in range(n) for e in range(i + 1, n + 1) if enough(i, e) and not (enough(i, e - 1) and enough(i + 1, e))}
+        for i, e in spans | {(i, i + 1) for i in range(n) if len(parts[i].split()) > 50}:
+            key = tuple(parts[i:e])
+            first[key] = min(first.get(key, (d, i)), (d, i))
+            runs.setdefault(d, []).append((key, i, e))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["doc_id"]: r["text"] for r in sentence_spans.op6(spark, str(tmp_path)).collect()}
+    for d, text in docs.items():
+        go = {k for key, i, e in runs.get(d, ()) if first[key] != (d, i) for k in range(i, e)}
+        parts = sentence_spans.sentences_of(text.encode())
+        assert found[d] == (b"".join(x for k, x in enumerate(parts) if k not in go).rstrip().decode() if go else text), d
+    assert found[203] == "Three. Four."
+
+
 # ---------------------------------------------------------------- 7
 
 
