@@ -386,9 +386,15 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: f
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rejected ones; rows with the same doc_id go together if one of them is rejected."""
-    gone = staged(classify(docs.select("doc_id", "text", "lang"), labels).where("NOT kept").select(F.col("doc_id").alias("__id")).distinct(), "rejected")
-    return docs.join(checked(gone), F.expr("doc_id <=> __id"), "left_anti")
+    """docs without the rejected ones; rows with the same doc_id go together if one of them is rejected.
+
+    Rows with a null id are no document together: each goes by its own text and language, through a 64-bit hash of both.
+    """
+    content = [x for c in ("text", "lang") for x in (F.col(c).isNull(), F.col(c).cast("string"))]
+    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), *content))
+    judged = classify(docs.select(own.alias("doc_id"), "text", "lang"), labels.where("doc_id IS NOT NULL"))
+    gone = staged(judged.where("NOT kept").select(F.col("doc_id").alias("__id")).distinct(), "rejected")
+    return docs.withColumn("__own", own).join(checked(gone), F.expr("__own = __id"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

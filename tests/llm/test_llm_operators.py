@@ -178,6 +178,15 @@ def test_worst_window():
     assert np.allclose(np.log([one, worst_one, two, worst_two]), [2, 2, 36 / 20, 24 / 8])
 
 
+def test_rows_without_an_id_go_by_their_own_text(spark):
+    docs, labels = docs_of(spark, SF), docs_of(spark, SF, "labels")
+    left = {r["doc_id"] for r in kneser_ney.accepted(docs, labels).collect()}
+    good = docs.where(F.col("doc_id").isin(*left) & (F.col("lang") == "en")).join(kneser_ney.trusted(labels), "doc_id", "left_anti").orderBy("doc_id").first()
+    rows = [(None, good["text"], "en", "a", 0), (None, "Zqxj#7 %%% kvwq|" * 40, "en", "a", 0), (None, None, None, None, None)]
+    kept = kneser_ney.accepted(docs.unionByName(spark.createDataFrame(rows, docs.schema)), labels).where("doc_id IS NULL").collect()
+    assert sorted(str(r["text"]) for r in kept) == sorted([good["text"], "None"])
+
+
 def test_classifier_edges(spark, edges, empty):
     labels = spark.createDataFrame([(6, 1, 0), (4, 1, 0), (4, 0, 0), (None, 1, 0), (5, None, None)], "doc_id long, quality int, toxic int")
     found = kneser_ney.classify(edges, labels).collect()
