@@ -22,6 +22,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from loomstone.llm.common import chunks, docs_of, shipped, texts_of
 
 #: Words compiled into the automaton, and chunks of text that a worker remembers at once.
-LEXICON, REMEMBERED = 1 << 16, 1 << 18
+LEXICON, REMEMBERED = 1 << 16, 1 << 19
 #: Bytes up to which words are merged side by side; longer ones are merged alone.
 SIDE_BY_SIDE = 32
 
@@ -74,7 +75,13 @@ class Vocabulary:
         """The words of a text without special tokens."""
         if not chunk.isascii():
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")  # a final sigma has no rule of its own here
-        return self.pattern.findall(chunk.lower())
+        chunk = chunk.lower()
+        # letters alone are one word, and letters before one mark are two; the old letters are those of any table
+        if chunk.isalpha() and max(chunk) < "\u0250":
+            return [chunk]
+        if chunk[-1:] in (".", ",", "!", "?", ";", ":") and chunk[:-1].isalpha() and max(chunk) < "\u0250":
+            return [chunk[:-1], chunk[-1]]
+        return self.pattern.findall(chunk)
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and how many each has. Pairs merge by rank, from the left."""
@@ -185,10 +192,12 @@ class Transducer:
 
         self.arcs, self.targets, self.adds = column("<i8", n_arcs), column("<i4", n_arcs), column("<i4", n_arcs)
         self.final, self.ends, self.ids = column("<i4", n_states), column("<i4", n_words + 1), column("<i4", n_ids)
+        # plain views: indexing a memmap makes another one each time
+        self.arcs, self.targets, self.adds, self.final, self.ends, self.ids = map(np.asarray, (self.arcs, self.targets, self.adds, self.final, self.ends, self.ids))
 
     @staticmethod
-    def write(words: list[bytes], ids: np.ndarray, counts: np.ndarray, path: str) -> None:
-        """Words are distinct and in byte order. States are registered from the back, as sorted input allows."""
+    def packed(words: list[bytes], ids: np.ndarray, counts: np.ndarray) -> bytes:
+        """The content of the file. Words are distinct and in byte order. States are registered from the back, as sorted input allows."""
         register: dict[tuple, int] = {}
         below: list[int] = []  # words from a state on
         states: list[tuple[bool, tuple[tuple[int, int], ...]]] = []
@@ -224,11 +233,9 @@ class Transducer:
                 adds.append(passed)
                 passed += below[t]
         order = np.argsort(np.array(arcs, dtype=np.int64))
-        with open(path, "wb") as f:
-            f.write(np.array([len(arcs), len(final), len(words), len(ids)], "<i8").tobytes())
-            f.write(np.array(arcs, "<i8")[order].tobytes())
-            for values, by in ((targets, order), (adds, order), (final, slice(None)), (np.concatenate([[0], np.cumsum(counts)]), slice(None)), (ids, slice(None))):
-                f.write(np.asarray(values, dtype="<i4")[by].tobytes())
+        columns = ((targets, order), (adds, order), (final, slice(None)), (np.concatenate([[0], np.cumsum(counts)]), slice(None)), (ids, slice(None)))
+        head = np.array([len(arcs), len(final), len(words), len(ids)], "<i8").tobytes() + np.array(arcs, "<i8")[order].tobytes()
+        return head + b"".join(np.asarray(values, dtype="<i4")[by].tobytes() for values, by in columns)
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """The place of each word in the table of ids, or -1; all words take a step together."""
@@ -264,9 +271,11 @@ class Encoder:
         """Little-endian ids of each word."""
         places = self.transducer.places(words) if self.transducer else np.full(len(words), -1)
         found: list[bytes] = [b""] * len(words)
-        for k in np.flatnonzero(places >= 0).tolist():
-            a, b = self.transducer.ends[places[k]], self.transducer.ends[places[k] + 1]
-            found[k] = self.transducer.ids[a:b].tobytes()
+        seen = np.flatnonzero(places >= 0)
+        if len(seen):
+            held, at = memoryview(self.transducer.ids).cast("B"), places[seen]
+            for k, a, b in zip(seen.tolist(), (4 * self.transducer.ends[at]).tolist(), (4 * self.transducer.ends[at + 1]).tolist(), strict=True):
+                found[k] = bytes(held[a:b])
         unseen = np.flatnonzero(places < 0).tolist()
         ids, counts = self.vocabulary.merge([words[k] for k in unseen])
         raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
@@ -274,27 +283,23 @@ class Encoder:
             found[k] = raw[a:b]
         return found
 
-    def learn(self, chunks_: set[str]) -> None:
-        if len(self.known) + len(chunks_) > REMEMBERED:
-            self.known.clear()
-        new = [c for c in chunks_ if c not in self.known]
-        split = [[w.encode() for w in self.vocabulary.words(c)] for c in new]
-        words = list(dict.fromkeys(w for s in split for w in s))
-        ids = dict(zip(words, self.ids_of_words(words), strict=True))
+    def learn(self, new: list[str]) -> None:
+        split = list(map(self.vocabulary.words, new))
+        words = list({w: None for s in split for w in s})
+        ids = dict(zip(words, self.ids_of_words([w.encode() for w in words]), strict=True))
         for chunk, parts in zip(new, split, strict=True):
-            self.known[chunk] = b"".join([ids[w] for w in parts])
+            self.known[chunk] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[w] for w in parts])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self._chunks(t) for t in texts]
-        self.learn({c for s in split for c in s} - self.known.keys())
+        split = list(map(self._chunks, texts))
+        distinct = set().union(*split)
+        if len(self.known) + len(distinct) > REMEMBERED:
+            self.known.clear()
         if self.vocabulary.special:
             self.known |= {s: np.array([i], "<u4").tobytes() for s, i in self.vocabulary.specials.items()}
-        missing = {c for s in split for c in s if c not in self.known}
-        if missing:
-            self.learn(missing)
-        known = self.known
-        return [b"".join([known[c] for c in s]) for s in split]
+        self.learn(list(distinct - self.known.keys()))
+        return [b"".join(map(self.known.__getitem__, s)) for s in split]
 
     def _chunks(self, text: str) -> list[str]:
         """Pieces between white space, special tokens apart; no word crosses them."""
@@ -311,11 +316,11 @@ class Encoder:
         return [text] if _RARE_SPACE.search(text) else text.split()  # these four are white space to str.split() alone
 
 
-def frequent_words(docs: DataFrame, vocabulary_path: str, limit: int = LEXICON) -> list[str]:
+def frequent_words(docs: DataFrame, vocabulary_name: str, limit: int = LEXICON) -> list[str]:
     """The `limit` most frequent words over all texts, ties in word order; counts are summed before they move."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(vocabulary_path)
+        vocabulary = _vocabulary(vocabulary_name)
         totals: Counter[str] = Counter()
         for chunk in chunks(batches, 0):
             for text in texts_of(chunk.column(0)):
@@ -345,16 +350,28 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@lru_cache(maxsize=2)
+def _vocabulary(name: str) -> Vocabulary:
+    """A worker's vocabulary, kept while the worker lives."""
+    return Vocabulary(SparkFiles.get(name))
+
+
+@lru_cache(maxsize=1)
+def _encoder(vocabulary_name: str, name: str) -> Encoder:
+    """A worker's encoder, kept with what it remembers for the tasks that follow."""
+    return Encoder(_vocabulary(vocabulary_name), Transducer(SparkFiles.get(name)))
+
+
 def encode(docs: DataFrame, vocabulary_path: str | None = None, lexicon: int = LEXICON, with_ids: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) of each row; the decoded text is made from the ids."""
     spark, path = docs.sparkSession, vocabulary_path or default_vocabulary()
-    words = sorted(w.encode() for w in frequent_words(docs, path, lexicon))
+    vocabulary_name = shipped(spark, Path(path).name, Path(path).read_bytes())
+    words = sorted(w.encode() for w in frequent_words(docs, vocabulary_name, lexicon))
     ids, counts = Vocabulary(path).merge(words)
-    name = f"lexicon-{hashlib.blake2b(b' '.join(words), digest_size=12).hexdigest()}.transducer"
-    shipped(spark, name, lambda to: Transducer.write(words, ids, counts, to))
+    name = shipped(spark, "lexicon.transducer", Transducer.packed(words, ids, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(path), Transducer(SparkFiles.get(name)))
+        encoder = _encoder(vocabulary_name, name)
         for chunk in chunks(batches):
             coded = encoder.encode([t.decode() for t in texts_of(chunk.column(1))])
             values = [np.frombuffer(c, dtype="<u4") for c in coded]

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import os
+import hashlib
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
-from pathlib import Path
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one step of an Arrow operator works on at a time; whole texts, never parts of them.
@@ -23,12 +23,14 @@ BROADCAST_BYTES = 48 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where that is unset, as in tests."""
+    """The folder that the cluster names in spark.checkpoint.dir; a local one only where driver and executors are one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="loomstone-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -54,20 +56,42 @@ def checked(side: DataFrame, *lists: str) -> DataFrame:
     return F.broadcast(side) if rows <= BROADCAST_ROWS and rows * 16 * len(side.columns) + inside * 8 <= BROADCAST_BYTES else side
 
 
-def shipped(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:
-    """A small file of the driver's, sent to each executor, where SparkFiles.get(name) is its own copy.
+def shipped(spark: SparkSession, name: str, content: bytes) -> str:
+    """A small file, written to the shared folder and fetched by each executor, where SparkFiles.get() of the result is its own copy.
 
-    The name must tell the content: Spark keeps the first file of a name, and so does this.
+    The result tells the content too, as Spark keeps the first file of a name.
     """
-    folder = Path(tempfile.gettempdir()) / f"loomstone-{os.getpid()}"
-    folder.mkdir(exist_ok=True)
-    if not (folder / name).exists():
-        write(str(folder / f"{name}.new"))
-        (folder / f"{name}.new").rename(folder / name)
-    spark.sparkContext.addFile(str(folder / name))
+    name = f"{hashlib.blake2b(content, digest_size=12).hexdigest()}-{name}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/shipped/{name}")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        out = store.create(path, True)
+        for a in range(0, max(1, len(content)), 1 << 20):
+            out.write(bytearray(content[a : a + (1 << 20)]))
+        out.close()
+    spark.sparkContext.addFile(store.makeQualified(path).toString())
     return name
 
 
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each followed by as many underscores as it takes to differ from all the columns, whatever their case."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def row_key(text: str = "text") -> list[Column]:
+    """What tells a row of documents: its id and a hash of its text. Rows that are equal in both are one document.
+
+    In the order of documents null ids come first, and rows of one id go by the hash.
+    """
+    return [F.col("doc_id").cast("long"), F.xxhash64(F.col(text).cast("string"))]
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of the batches whose texts hold about `limit` bytes; a longer text is a slice of its own."""
     for batch in batches:

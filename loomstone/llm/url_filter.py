@@ -44,13 +44,12 @@ class DigestArray:
         self.bytes = np.memmap(path, dtype="u1", mode="r", offset=24 + 16 * n) if os.path.getsize(path) > 24 + 16 * n else np.empty(0, "u1")
 
     @staticmethod
-    def write(strings: Iterable[str], path: str, digest=lambda b: xxhash.xxh64_intdigest(b)) -> None:
+    def packed(strings: Iterable[str], digest=lambda b: xxhash.xxh64_intdigest(b)) -> bytes:
+        """The content of the file."""
         encoded = sorted({s.encode() for s in strings}, key=lambda b: (digest(b), b))
-        with open(path, "wb") as f:
-            f.write(np.array([len(encoded), max(map(len, encoded), default=0)], "<u8").tobytes())
-            f.write(np.array([digest(b) for b in encoded], "<u8").tobytes())
-            f.write(np.cumsum([0, *map(len, encoded)]).astype("<u8").tobytes())
-            f.write(b"".join(encoded))
+        head = np.array([len(encoded), max(map(len, encoded), default=0)], "<u8")
+        keys, ends = np.array([digest(b) for b in encoded], "<u8"), np.cumsum([0, *map(len, encoded)]).astype("<u8")
+        return b"".join([head.tobytes(), keys.tobytes(), ends.tobytes(), *encoded])
 
     def find(self, probes: list[bytes], digest=lambda b: xxhash.xxh64_intdigest(b)) -> np.ndarray:
         """For each probe the index of its string, or -1. Equal keys lie side by side; each of them is compared."""
@@ -78,8 +77,10 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return host.translate(_LOWER), re.match(r"[^?#]*", rest[len(host) :]).group()
 
 
-def _domains(host: str) -> Iterator[str]:
-    """The host and its parent domains, longest first."""
+def _domains(host: str, most: int) -> Iterator[str]:
+    """The host and its parent domains, longest first; those of more than `most` characters are left out."""
+    if len(host) > most:
+        _, _, host = host[len(host) - most - 1 :].partition(".")
     while host:
         yield host
         _, _, host = host.partition(".")
@@ -89,7 +90,7 @@ def url_verdicts(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, def
     """One row per page: host, path, the longest rule that fits or null, and the verdict."""
     spark = pages.sparkSession
     verdicts = dict(rules)
-    name = shipped(spark, f"rules-{xxhash.xxh64_hexdigest(repr(sorted(verdicts)))}.digests", lambda path: DigestArray.write(verdicts, path))
+    name = shipped(spark, "rules.digests", DigestArray.packed(verdicts))
     lengths = sorted({len(r) - r.index("/") for r in verdicts}, reverse=True)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +100,7 @@ def url_verdicts(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, def
             parts = [host_and_path(u) for u in urls]
             probes, owner = [], []
             for row, (host, path) in enumerate(parts):
-                for domain in _domains(host):
+                for domain in _domains(host, digests.longest):
                     for n in lengths:
                         if len(path) >= n:
                             probes.append((domain + path[:n]).encode())

@@ -117,12 +117,12 @@ def test_transducer(tmp_path):
     rng = random.Random(5)
     words = sorted({bytes(rng.choices(b"abc", k=rng.randrange(1, 9))) for _ in range(500)})
     counts = np.array([rng.randrange(1, 4) for _ in words])
-    bpe_lexicon.Transducer.write(words, np.arange(counts.sum()), counts, str(tmp_path / "t"))
+    (tmp_path / "t").write_bytes(bpe_lexicon.Transducer.packed(words, np.arange(counts.sum()), counts))
     t = bpe_lexicon.Transducer(str(tmp_path / "t"))
     assert t.places(words).tolist() == list(range(len(words)))
     others = [w + b"z" for w in words] + [b"", b"abcabcabcabc"]
     assert (t.places(others) == -1).all() and len(t.final) < sum(map(len, words)) / 2
-    bpe_lexicon.Transducer.write([], np.empty(0, int), np.empty(0, int), str(tmp_path / "e"))
+    (tmp_path / "e").write_bytes(bpe_lexicon.Transducer.packed([], np.empty(0, int), np.empty(0, int)))
     assert bpe_lexicon.Transducer(str(tmp_path / "e")).places([b"a"]).tolist() == [-1]
 
 
@@ -397,7 +397,7 @@ def test_url_filter(spark, tmp_path):
     assert url_filter.url_verdicts(df.limit(0)).count() == 0
     same = lambda b: len(b) % 2  # noqa: E731  a digest that collides
     strings = [f"s{k}" for k in range(40)]
-    url_filter.DigestArray.write(strings, str(tmp_path / "d"), same)
+    (tmp_path / "d").write_bytes(url_filter.DigestArray.packed(strings, same))
     held = url_filter.DigestArray(str(tmp_path / "d"))
     assert len(set(held.find([s.encode() for s in strings], same).tolist())) == 40 and held.find([b"t1", b"none", b""], same).tolist() == [-1, -1, -1]
 
