@@ -7,13 +7,21 @@ of the whole corpus, whether or not they go themselves, so the result depends on
 Equal lines are counted by hash with a pre-aggregated sum. For near lines every distinct line is cut into THRESHOLD + 1
 even segments: lines within THRESHOLD edits share one of them, moved by a bounded shift. The inverted index of segments
 is keyed by (line length, segment number, segment); each line probes the indexes of its own and of the THRESHOLD lengths
-below with only the substrings that the multi-match-aware windows leave. Index and probe entries meet in buckets of keys
-as packed arrays, where a 32-bit parity signature of the characters (an edit changes at most two bits) drops chance
-partners before a pair is emitted. Pairs that are left are verified on the texts by banded bit-parallel edit distance,
-vectorised over pairs.
+below with only the substrings that the multi-match-aware windows leave. Index and probe entries meet by key as packed
+arrays, of which only filled buckets move. There a 32-bit parity signature of the characters (an edit changes at most two
+bits) tells which lines have any partner under a key at all. These lines get their texts and first places, and meet again
+by key. There a line is compared with those before it until one is found within THRESHOLD edits, by banded bit-parallel
+edit distance over blocks of pairs: a line needs a single witness, and what is emitted is at most one row per line and key.
+
+Hot keys (a template with very many variants): entries of a key that are many in one batch do not go to the key's bucket
+but on to the second meeting, all of them and untested, and a marker lets the key's other entries follow. In the second
+meeting a key with more than BLOCK lines is dealt by blocks of lines to pairs of blocks, so no task holds more than two
+blocks of a key. What stays quadratic is the comparison of signatures within one key, about a nanosecond a pair, and only
+as long as a line has no witness.
 
 Edge cases: null texts stay null; lines without a word are never touched and never count; empty tables give empty
-results; rows with the same doc_id are one document; null ids come first; other columns are kept by deduplicated().
+results; rows with the same doc_id and text are one document, and rows of one doc_id with other texts are others, in the
+order of the text's hash; null ids come first; other columns are kept by deduplicated(), whatever their names.
 """
 
 from __future__ import annotations
@@ -26,12 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstone.llm.common import CHUNK_BYTES, checked, chunks, docs_of, staged, texts_of
+from loomstone.llm.common import CHUNK_BYTES, checked, chunks, docs_of, fresh, row_key, staged, texts_of
 
 #: Edits that near lines may be apart, and code points from which lines are compared for nearness.
 THRESHOLD, MIN_CHARS = 2, 24
-#: Index and probe entries aimed at in a bucket.
-BUCKET = 400_000
+#: Index and probe entries aimed at in a bucket, entries of one key in a batch from which the key is hot, lines of a block of a hot key.
+BUCKET, HOT, BLOCK = 400_000, 64, 4096
+#: Roles of entries: probing only, indexed, passed on untested, telling that the key is hot.
+_PROBE, _INDEX, _PASS, _MARKER = range(4)
 
 _ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("sign", "<u4"), ("role", "u1")])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -99,22 +109,83 @@ def entries_of(lines: list[bytes], threshold: int = THRESHOLD, min_chars: int =
     return np.concatenate(found)
 
 
-def partners(entries: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    """Pairs of line ids (smaller first) that share a key, one of them by its index entry, with near signatures."""
-    entries = entries[np.lexsort((entries["role"], entries["key"]))]
-    entries = entries[np.concatenate([[True], (entries[1:] != entries[:-1])])] if len(entries) else entries
+def packed(entries: np.ndarray, buckets: int, salt: int, hot: int = HOT) -> tuple[np.ndarray, list[bytes]]:
+    """The filled buckets of a batch's entries; those of a key with more than `hot` entries go elsewhere, by the salt."""
+    entries = entries[np.argsort(entries["key"], kind="stable")]
+    _, first, size = np.unique(entries["key"], return_index=True, return_counts=True)
+    many = np.repeat(size > hot, size)
+    markers = entries[first[size > hot]]
+    markers["role"] = _MARKER
+    entries["role"][many] = _PASS
+    bucket = np.where(many, salt, entries["key"] % np.uint64(buckets)).astype(np.int64)
+    entries, bucket = np.concatenate([entries, markers]), np.concatenate([bucket, (markers["key"] % np.uint64(buckets)).astype(np.int64)])
+    order = np.argsort(bucket, kind="stable")
+    filled, starts = np.unique(bucket[order], return_index=True)
+    return filled, [x.tobytes() for x in np.split(entries[order], starts[1:])] if len(filled) else []
+
+
+def members(entries: np.ndarray, threshold: int = THRESHOLD, most: int = BLOCK) -> np.ndarray:
+    """(key, id) of the entries with a partner: another line with a near signature, one of the two indexed.
+
+    Entries passed on stay untested, and so does all that is under a hot key or one with more than `most` entries.
+    """
+    passed, entries = entries[entries["role"] == _PASS], entries[entries["role"] != _PASS]
+    entries = entries[np.argsort(entries["key"], kind="stable")]
     starts = np.flatnonzero(np.concatenate([[True], entries["key"][1:] != entries["key"][:-1]])) if len(entries) else np.empty(0, np.int64)
     sizes = np.diff(np.append(starts, len(entries)))
-    found = [np.empty((0, 2), dtype=np.int64)]
-    for a, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-        group = entries[a : a + n]
-        indexed = group[group["role"] == 1]
-        for b in range(0, len(indexed), 256):
-            near = np.bitwise_count(indexed["sign"][b : b + 256, None] ^ group["sign"][None, :]) <= 2 * threshold
+    size_of = np.repeat(sizes, sizes)
+    partner = size_of > most
+    partner |= np.repeat(np.maximum.reduceat(entries["role"] == _MARKER, starts), sizes) if len(entries) else partner
+    found = [passed[["key", "id"]], entries[partner & (entries["role"] != _MARKER)][["key", "id"]]]
+    entries = entries[~partner & (size_of > 1)]
+    key, ids, sign, indexed = (np.ascontiguousarray(entries[c]) for c in ("key", "id", "sign", "role"))
+    indexed, partner = indexed == _INDEX, np.zeros(len(entries), dtype=bool)
+    for step in range(1, int(sizes[sizes <= most].max(initial=1))):  # each entry against the one that many places on
+        at = np.flatnonzero(key[step:] == key[:-step])
+        if not len(at):
+            break
+        at = at[(np.bitwise_count(sign[at] ^ sign[at + step]) <= 2 * threshold) & (ids[at] != ids[at + step]) & (indexed[at] | indexed[at + step])]
+        partner[at] = partner[at + step] = True
+    return np.concatenate([*found, entries[partner][["key", "id"]]])
+
+
+def repeated(lines: list[str], groups: np.ndarray, threshold: int = THRESHOLD, most: int = 1 << 20) -> np.ndarray:
+    """Which of the lines are within threshold edits of one before them in their group; groups are runs of equal numbers.
+
+    Candidates are gathered until there are `most` of them, and then tried, the likeliest of each line first.
+    """
+    gone = np.zeros(len(lines), dtype=bool)
+    sign = Lines([x.encode() for x in lines]).sign
+    length = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    held: list[np.ndarray] = []
+    waiting = 0
+
+    def settle() -> None:
+        x, y, apart = np.concatenate(held, axis=1) if held else np.empty((3, 0), np.int64)
+        held.clear()
+        order = np.lexsort((y, apart, x))
+        x, y = x[order], y[order]
+        rank = np.arange(len(x)) - np.searchsorted(x, x)
+        low, high = 0, 1
+        while (now := (rank >= low) & (rank < high) & ~gone[x]).any() or (rank >= high).any() and not gone[x[rank >= high]].all():
+            good = within([lines[i] for i in x[now].tolist()], [lines[j] for j in y[now].tolist()], threshold)
+            gone[x[now][good]] = True
+            low, high = high, high * 4
+
+    starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]])) if len(groups) else np.empty(0, np.int64)
+    for start, end in zip(starts.tolist(), np.append(starts[1:], len(lines)).tolist(), strict=True):
+        for a in range(start, end, 256):
+            b = min(a + 256, end)
+            apart = np.bitwise_count(sign[a:b, None] ^ sign[None, start:b])
+            near = (apart <= 2 * threshold) & (np.abs(length[a:b, None] - length[None, start:b]) <= threshold) & (np.arange(start, b) < np.arange(a, b)[:, None])
             i, j = np.nonzero(near)
-            pair = np.stack([indexed["id"][b + i], group["id"][j]], axis=1)
-            found.append(np.sort(pair[pair[:, 0] != pair[:, 1]], axis=1))
-    return np.unique(np.concatenate(found), axis=0)
+            held.append(np.stack([a + i, start + j, apart[i, j]]).astype(np.int64))
+            waiting += len(i)
+            if waiting >= most:
+                settle()
+                waiting = 0
+    settle()
+    return gone
 
 
 def within(left: list[str], right: list[str], threshold: int = THRESHOLD) -> np.ndarray:
@@ -165,13 +236,17 @@ def within(left: list[str], right: list[str], threshold: int = THRESHOLD) -> np.
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, id, id2) of each line that has a word; id is the 64-bit hash that Lines computes too."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("at", "line"))
-    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "at", F.xxhash64("line").alias("id"), F.hash("line").alias("id2"))
+    """(doc_id, h, at, id, id2) of each line that has a word; id is the 64-bit hash that Lines computes too."""
+    doc, h = row_key()
+    lines = docs.select(doc.alias("doc_id"), h.alias("h"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("at", "line"))
+    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "h", "at", F.xxhash64("line").alias("id"), F.hash("line").alias("id2"))
+
 
+def near_lines(docs: DataFrame, first: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, lines: int | None = None, hot: int = HOT, block: int = BLOCK) -> DataFrame:
+    """Ids of the distinct lines that have a line within threshold edits before them.
 
-def near_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, lines: int | None = None) -> DataFrame:
-    """(a, b): ids of distinct lines within threshold edits; lines tells how many there are about, for the buckets."""
+    first: (id, first) with the first place of each line; lines tells how many there are about, for the buckets.
+    """
     texts = docs.select(F.lit(0).alias("k"), F.col("text").cast("string").alias("text"))
     buckets = max(16, (lines or 0) * (threshold + 1) * 4 // BUCKET)
 
@@ -179,51 +254,62 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
         for chunk in chunks(batches, limit=CHUNK_BYTES // 2):
             distinct = {x for t in texts_of(chunk.column(1)) for x in t.split(b"\n") if len(x) >= min_chars}
             entries = entries_of(sorted(distinct), threshold, min_chars)
-            bucket = entries["key"] % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-            blobs = [entries[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(buckets), pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+            filled, blobs = packed(entries, buckets, buckets + int(entries["id"][0]) % buckets if len(entries) else 0, hot)
+            yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "entries"])
 
     def meet(table: pa.Table) -> pa.Table:
-        pairs = partners(np.frombuffer(b"".join(table.column("entries").to_pylist()), dtype=_ENTRY), threshold)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        found = members(np.frombuffer(b"".join(table.column("entries").to_pylist()), dtype=_ENTRY), threshold, block)
+        return pa.table({"key": pa.array(found["key"].view(np.int64)), "id": pa.array(found["id"])})
 
-    pairs = staged(texts.mapInArrow(emit, "bucket int, entries binary").groupBy("bucket").applyInArrow(meet, "a long, b long").distinct(), "pairs")
-    wanted = staged(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
+    shared = staged(texts.mapInArrow(emit, "bucket long, entries binary").groupBy("bucket").applyInArrow(meet, "key long, id long").distinct(), "members")
+    wanted = staged(shared.select("id").distinct(), "wanted")
     line = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line")).select(F.xxhash64("line").alias("id"), "line")
-    found = staged(line.join(checked(wanted), "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "lines")
-    both = pairs.join(found.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(found.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, 2):
-            good = pa.array(within(chunk.column(2).to_pylist(), chunk.column(3).to_pylist(), threshold))
-            yield pa.RecordBatch.from_arrays([chunk.column(0).filter(good), chunk.column(1).filter(good)], ["a", "b"])
-
-    return both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    known = line.join(checked(wanted), "id", "left_semi").groupBy("id").agg(F.min("line").alias("line"))
+    known = staged(known.join(first.join(checked(wanted), "id", "left_semi"), "id"), "lines")
+    parts = staged(shared.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "hot-keys")
+    own = F.coalesce("parts", F.lit(1))
+    dealt = shared.join(checked(parts), "key", "left").select("key", "id", F.pmod(F.xxhash64("id"), own).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), own - 1)).alias("other"))
+    dealt = dealt.select("key", "id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(known, "id")
+    held = staged(dealt.select(F.xxhash64("key", "i", "j").alias("meeting"), "id", "line", "first.*"), "meetings")
+    rows, size = held.agg(F.count("*"), F.coalesce(F.sum(F.length("line")), F.lit(0))).first()
+    meetings = max(16, rows // 50_000, size // (16 << 20))
+
+    def verify(table: pa.Table) -> pa.Table:
+        key, ids, doc, h, at = (np.asarray(table.column(c).combine_chunks().fill_null(0)) for c in ("meeting", "id", "doc_id", "h", "at"))
+        order = np.lexsort((at, h, doc, ~np.asarray(table.column("doc_id").is_null()), key))
+        gone = repeated(table.column("line").take(pa.array(order)).to_pylist(), key[order], threshold)
+        return pa.table({"id": pa.array(np.unique(ids[order][gone]))})
+
+    by = F.pmod(F.col("meeting"), F.lit(meetings)).alias("bucket")
+    return held.select(by, "*").groupBy("bucket").applyInArrow(verify, "id long").distinct()
 
 
 def removals(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, lines): of each document that loses lines, their numbers from 0."""
+    """(doc_id, h, lines): of each document that loses lines, by its row_key(), their numbers from 0."""
     places = staged(_occurrences(docs), "places")
-    first = staged(places.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("copies")), "first")
-    near = staged(near_lines(docs, threshold, min_chars, places.count()), "near")
-    one, two = (first.groupBy(F.col("id").alias(k)).agg(F.min("first").alias(f"first_{k}")) for k in "ab")
-    later = near.join(one, "a").join(two, "b").select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
-    again = first.join(later.withColumn("near", F.lit(True)), "id", "left").where("copies > 1 OR near")
-    again = staged(again.select("id", "id2", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at"), "near"), "again")
-    gone = places.join(again, ["id", "id2"]).where("near OR NOT (doc_id <=> first_id AND at = first_at)")
-    return gone.groupBy("doc_id").agg(F.collect_set("at").alias("lines"))
+    first = staged(places.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "h", "at")).alias("first"), F.count("*").alias("copies")), "first")
+    near = staged(near_lines(docs, first.groupBy("id").agg(F.min("first").alias("first")), threshold, min_chars, places.count()), "near")
+    again = first.join(checked(near).withColumn("near", F.lit(True)), "id", "left").where("copies > 1 OR near")
+    again = staged(again.select("id", "id2", F.col("first.doc_id").alias("first_id"), F.col("first.h").alias("first_h"), F.col("first.at").alias("first_at"), "near"), "again")
+    gone = places.join(again, ["id", "id2"]).where("near OR NOT (doc_id <=> first_id AND h = first_h AND at = first_at)")
+    return gone.groupBy("doc_id", "h").agg(F.collect_set("at").alias("lines"))
 
 
 def deduplicated(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with its repeated and near-repeated lines cut out of `text`, and __lines and __removed, both counts."""
-    gone = staged(removals(docs, threshold, min_chars).select(F.col("doc_id").alias("__id"), F.col("lines").alias("__gone")), "gone")
-    joined = docs.join(checked(gone, "__gone"), F.expr("doc_id <=> __id"), "left")
-    rest = r"transform(array(split(text, '\n', -1)), ls -> array_join(transform(array_except(sequence(0, size(ls) - 1), __gone), i -> ls[i]), '\n'))[0]"
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.expr(rest))
-    count = F.expr(r"cast(coalesce(size(filter(split(text, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')), 0) AS long)")
-    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], count.alias("__lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("__removed"))
+    """docs with its repeated and near-repeated lines cut out of `text`, and counts of lines with a word and of lines cut.
+
+    The counts are the last columns, fresh(docs.columns, "__lines", "__removed").
+    """
+    n_lines, n_removed, doc, h, cut = fresh(docs.columns, "__lines", "__removed", "__doc", "__hash", "__cut")
+    gone = staged(removals(docs, threshold, min_chars).toDF(doc, h, cut), "gone")
+    own = row_key()
+    joined = docs.join(checked(gone, cut), own[0].eqNullSafe(F.col(doc)) & (own[1] == F.col(h)), "left")
+    split = r"split(cast(text AS string), '\n', -1)"
+    # an array of one list, so that the text is split once and not for each line that stays
+    rest = F.expr(rf"transform(array({split}), ls -> array_join(transform(array_except(sequence(0, size(ls) - 1), `{cut}`), i -> ls[i]), '\n'))[0]")
+    text = F.when(F.col(cut).isNull(), F.col("text").cast("string")).otherwise(rest)
+    count = F.expr(rf"cast(coalesce(size(filter({split}, l -> l rlike '[^\\x20\\x09-\\x0D]')), 0) AS long)")
+    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], count.alias(n_lines), F.coalesce(F.size(cut), F.lit(0)).cast("long").alias(n_removed))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
