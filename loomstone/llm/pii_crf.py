@@ -4,20 +4,24 @@ Four kinds have exact patterns: email, ip, card and phone. The CRF, trained in t
 table below, adds spans that patterns miss: secrets such as access keys, telephone numbers without a plus, spelt-out
 addresses. A pattern's span is never changed, and a CRF span that touches one is dropped.
 
-Texts become arrays of code points; tokens, their shapes and their scores are computed for a chunk of texts at once. A
-token that no path through other labels around it can pay for is decided already (undecided() tells why that is exact);
-between such tokens stay short segments, padded into batches for Viterbi. The result is the best path of the whole text.
-
-Edge cases: null counts as empty, without spans; texts of any length are whole; rows repeat freely; an empty table gives
-an empty result; other columns are not read.
+A sequence of the CRF is a line. No pattern matches across a line break, and every span holds a digit, an at sign or one
+spelt out in brackets, so lines without any of these hold no span and are not looked at further. Lines become arrays of
+code points; tokens, their shapes and their scores are computed for those of a chunk of texts at once. A token that no
+path through other labels around it can pay for is decided already (undecided() tells why that is exact); between such
+tokens stay short segments, padded into batches for Viterbi. The result is the best path of each whole line.
+
+Edge cases: null counts as empty, without spans; texts and lines of any length are whole, in time linear in their length;
+rows repeat freely; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,8 @@ from loomstone.llm.crf import Crf
 KINDS = ("email", "ip", "card", "phone", "secret")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+_TRIGGER = re.compile(r"[0-9@]|\(at\)|\[at\]")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -46,6 +51,7 @@ LABELLED = (
     ("~ {+# (###) ###-####} ~", "phone"), ("~ {+# (###) ###-####}%%% ~", "phone"), ("~ {(###) ###-####} ~ ~", "phone"), ("tel: {###-###-####} ~", "phone"), ("phone {### ### ####}, ~", "phone"), ("~ {+## ## ########} ~", "phone"), ("call {###.###.####} ~", "phone"), ("Tel. {0### #######} ~", "phone"),
     ('~ token = "{%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%}" ~', "secret"), ('api_key = "{%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%}" ~', "secret"), ("~ {AKIA^^^^^^^^^^^^^^^^} ~", "secret"), ("~ {AKIA^^^^^^^^^^^^^^^^}$$$ ~", "secret"),
     ("secret: {%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%} ~", "secret"), ("~ password={%%%%%%%%%%%%}; ~", "secret"), ("~ token={%%%%%%%%%%%%%%%%%%%%%%%%} ~", "secret"), ("~ a={%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%%} ~", "secret"),
+    ('~!! TOKEN = "{^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^}"!! ~!!', "secret"), ('~ KEY="{^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^^}" ~', "secret"),
 )
 #: Sentences made from each row of the table, and words that are features of their own.
 COPIES, CUES = 12, ("token", "key", "secret", "password", "email", "mail", "tel", "phone", "call", "card", "at", "dot")
@@ -72,7 +78,7 @@ def patterns(text: str) -> list[tuple[int, int, int]]:
             found.append((0, start, m.end()))
             end = m.end()
         at = text.find("@", max(at + 1, end))
-    found += [(1, *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    found += addresses(text)
     for m in _CARD.finditer(text):
         if 13 <= m.end() - m.start() and 13 <= len(digits := re.sub("[^0-9]", "", m.group())) <= 19 and luhn(digits):
             found.append((2, *m.span()))
@@ -81,6 +87,22 @@ def patterns(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def addresses(text: str) -> list[tuple[int, int, int]]:
+    """Matches of [0-9]+(\\.[0-9]+){3}: the parts of each whole dotted run in fours, so that no run is read twice."""
+    found = []
+    for m in _DOTTED.finditer(text):
+        if m.end() - m.start() < 7:
+            continue
+        parts, at = m.group().split("."), m.start()
+        for k in range(0, len(parts) - 3, 4):
+            four = parts[k : k + 4]
+            end = at + sum(map(len, four)) + 3
+            if all(len(x := p.lstrip("0")) <= 3 and int(x or "0") <= 255 for p in four):
+                found.append((1, at, end))
+            at = end + 1
+    return found
+
+
 def luhn(digits: str) -> bool:
     doubled = (sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])
     return (sum(map(int, digits[-1::-2])) + sum(doubled)) % 10 == 0
@@ -288,17 +310,38 @@ def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[int, int, int]]]:
         a, b = int(start[run[0]] - begins[k]), int(end[run[-1]] - begins[k])
         piece = texts[k][a:b]
         if labels[run[0]] == 3 and not (13 <= len(digits := re.sub("[^0-9]", "", piece)) <= 19 and luhn(digits)):
-            continue  # a card number that fails its checksum is none
+            # a card number that fails its checksum is none, but may be several side by side
+            found[k] += [(2, a + m.start(), a + m.end()) for m in re.finditer("[0-9]+", piece) if 13 <= len(m.group()) <= 19 and luhn(m.group())]
+            continue
         if any(c.isdigit() for c in piece) or "@" in piece or "(at)" in piece or "[at]" in piece:
             found[k].append((int(labels[run[0]]) - 1, a, b))
     return found
 
 
-def spans_of(texts: list[str], crf: Crf) -> Iterator[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
+def lines_of(text: str) -> Iterator[tuple[int, str]]:
+    """(start, line) of each line that may hold a span."""
+    m = _TRIGGER.search(text)
+    while m:
+        start, end = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
+        end = len(text) if end < 0 else end
+        yield start, text[start:end]
+        m = _TRIGGER.search(text, end)
+
+
+def spans_of(texts: list[str], crf: Crf) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
     """Base spans and added spans of each text."""
-    for text, extra in zip(texts, crf_spans(texts, crf), strict=True):
-        base = patterns(text)
-        yield base, [x for x in extra if all(x[2] <= a or b <= x[1] for _, a, b in base)]
+    found: list[tuple[list, list]] = [([], []) for _ in texts]
+    lines = [(k, start, line) for k, text in enumerate(texts) for start, line in lines_of(text)]
+    for (k, start, line), extra in zip(lines, crf_spans([x for _, _, x in lines], crf), strict=True):
+        base = patterns(line)
+        taken = sorted((a, b) for _, a, b in base)
+        ends = list(accumulate((b for _, b in taken), max))
+        for kind, a, b in extra:
+            i = bisect_left(taken, (b,))  # spans that begin before b; one of them touches if it ends after a
+            if not i or ends[i - 1] <= a:
+                found[k][1].append((kind, start + a, start + b))
+        found[k][0].extend((kind, start + a, start + b) for kind, a, b in base)
+    return found
 
 
 def _written(spans: list[tuple[int, int, int]]) -> str:
@@ -306,22 +349,26 @@ def _written(spans: list[tuple[int, int, int]]) -> str:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone of the base, base_sha256, spans, n_added) of each row."""
+    """(doc_id, n_email, n_ip, n_card, n_phone of the base, base_sha256, spans, n_added, n_spans) of each row.
+
+    n_added counts the spans of the CRF, n_spans those of all kinds and both ways.
+    """
     crf = model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
-            rows = list(spans_of([t.decode() for t in texts_of(chunk.column(1))], crf))
-            counts = [pa.array([sum(k == kind for k, _, _ in base) for base, _ in rows], pa.int64()) for kind in range(4)]
+            rows = spans_of([t.decode() for t in texts_of(chunk.column(1))], crf)
+            counts = [[sum(k == kind for k, _, _ in base) for base, _ in rows] for kind in range(4)]
             digests = pa.array([hashlib.sha256(_written(base).encode()).hexdigest() for base, _ in rows], pa.string())
             written = pa.array([_written(base + extra) for base, extra in rows], pa.string())
-            yield pa.RecordBatch.from_arrays([chunk.column(0), *counts, digests, written, pa.array([len(extra) for _, extra in rows], pa.int64())], _NAMES)
+            more = [[len(extra) for _, extra in rows], [len(base) + len(extra) for base, extra in rows]]
+            yield pa.RecordBatch.from_arrays([chunk.column(0), *(pa.array(c, pa.int64()) for c in counts), digests, written, *(pa.array(c, pa.int64()) for c in more)], _NAMES)
 
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-_NAMES = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"]
+_NAMES = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "n_spans"]
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
