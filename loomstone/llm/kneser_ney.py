@@ -7,10 +7,10 @@ by (language, context) and (language, suffix), so no step needs the whole model
 n-gram, its log probability, and for each context its back-off weight.
 
 A document is scored with the longest n-gram that the model has at each character, and backed off where it has none. It
-needs the model of its language only. Languages whose counted models are within the broadcast bounds together share a
-pass that scores their documents where they are read; passes follow one another. Documents of a language beyond the
-bounds on its own are scored by blocks whose distinct n-grams are joined to the sharded tables. Both ways give the same
-perplexity.
+needs the model of its language only. Documents are read in blocks; a block asks once for each of its distinct n-grams,
+packed by bucket of n-grams. What all blocks ask for is made distinct and meets the sharded tables, a level of orders at
+a time. The answers go back packed, in the order of the asking, and meet the block's texts, which travel compressed. No
+step holds the model, and none depends on its size.
 
 Documents fall into two halves by a hash of their ids. Each half is scored by the model of the other half's trusted text,
 so that no document is judged by its own n-grams and trusted perplexities are those of unseen text.
@@ -23,51 +23,59 @@ of log perplexity.
 Characters: every run of white space is one space, except that a run with a line break is one break; ASCII counts as it
 is, others fall into 3,968 classes by a hash. Each text begins after ORDER - 1 marks.
 
-Edge cases: null counts as empty; empty texts, and languages without trusted text, have a null perplexity and are kept;
-null languages are a language; labels that disagree do not make a document trusted; null ids are never trusted; empty
-tables give empty results; other columns are kept by accepted() and not read by classify().
+Edge cases: null and empty texts have no perplexity and are kept, as are documents of a language without trusted text;
+null languages are one language; rows of one doc_id are judged each by its own text, and trusted together; rows without
+an id are in a half by their text and never trusted; null labels count as not good; empty tables give empty results;
+other columns are kept by accepted(), whatever their names, and not read by classify().
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomstone.llm.common import BROADCAST_BYTES, BROADCAST_ROWS, checked, chunks, docs_of, staged, texts_of
+from loomstone.llm.common import checked, chunks, docs_of, fresh, row_key, staged, texts_of
 
 #: Characters of an n-gram, the quantile of trusted perplexities that is still good, steps of log perplexity per unit.
 ORDER, QUANTILE, GRID = 5, 0.97, 1000
 #: Characters of a window; a strange word is about as long.
 WINDOW = 8
 #: Text bytes of a block that asks for its n-grams at once, and characters of the input to a bucket of n-grams.
-BLOCK, ASKED = 16 << 20, 4 << 20
+BLOCK, ASKED = 32 << 20, 4 << 20
 _BITS, _MARK = 12, 1
 _CLASSES = (1 << _BITS) - 128
 _BREAKS, _SPACES = re.compile(r"\s*\n\s*"), re.compile(r"[^\S\n]+")
 
 
-def symbols(text: str, order: int = ORDER) -> np.ndarray:
-    """The text's characters as numbers under 4096, after order - 1 marks."""
-    plain = _SPACES.sub(" ", _BREAKS.sub("\n", text))
-    points = np.frombuffer(plain.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-    points = np.where(points < 128, points, 128 + (points * 2654435761 >> 7) % _CLASSES)
-    return np.concatenate([np.full(order - 1, _MARK, dtype=np.int64), points])
-
+def grams(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends at each character, text after text, and how many each text has.
 
-def grams(text: str, order: int = ORDER) -> np.ndarray:
-    """The n-gram that ends at each character; the last character is in the lowest bits."""
-    s = symbols(text, order)
-    n = len(s) - order + 1
-    code = np.zeros(max(n, 0), dtype=np.int64)
-    for i in range(order):
-        code = code << _BITS | s[i : i + n]
-    return code
+    Characters are numbers under 4096; the last one of an n-gram is in the lowest bits.
+    """
+    # no text holds a surrogate, so one before each tells where it begins, and white space runs do not cross it
+    plain = _SPACES.sub(" ", _BREAKS.sub("\n", "\ud800".join(["", *texts])))
+    points = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    begins = np.flatnonzero(points == 0xD800)
+    sizes = np.diff(np.append(begins, len(points))) - 1
+    points = np.where(points < 128, points, 128 + (points * 2654435761 >> 7) % _CLASSES)
+    points[begins] = _MARK
+    text = np.repeat(np.arange(len(texts)), sizes + 1)
+    padded = np.full(len(points) + len(texts) * (order - 2) + order, _MARK, dtype=np.int64)
+    place = np.arange(len(points)) + (text + 1) * (order - 2) if order > 1 else np.arange(len(points))
+    padded[place] = points
+    at = np.delete(place, begins)
+    code = np.zeros(len(at), dtype=np.int64)
+    for i in range(order - 1, -1, -1):
+        code = code << _BITS | padded[at - i]
+    return code, sizes
 
 
 def suffix(column, order: int):
@@ -80,11 +88,8 @@ def counted(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, 0):
-            langs = np.array([x or "" for x in chunk.column(1).to_pylist()], dtype=object)
-            texts = texts_of(chunk.column(0))
-            for lang in sorted(set(langs)):
-                codes = [grams(texts[k].decode(), order) for k in np.flatnonzero(langs == lang).tolist()]
-                gram, n = np.unique(np.concatenate(codes), return_counts=True)
+            for lang, texts in _by_language(chunk.column(1), chunk.column(0)).items():
+                gram, n = np.unique(grams(texts, order)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
     plain = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
@@ -129,177 +134,94 @@ def estimate(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return staged(both.groupBy("lang", "size", "gram").agg(F.max("logp").alias("logp"), F.max("back").alias("back")), "model")
 
 
-class Scorer:
-    """The model as an open-addressed table of flat arrays; a language's entries differ by a salt."""
-
-    def __init__(self, langs: list[str], size: np.ndarray, gram: np.ndarray, logp: np.ndarray, back: np.ndarray, lang: np.ndarray, order: int = ORDER):
-        self.order, self.langs = order, {x: k for k, x in enumerate(langs)}
-        self.bits = max(4, int(len(gram) * 2).bit_length())
-        self.key = np.full(1 << self.bits, -1, dtype=np.int64)
-        self.logp, self.back = np.full(1 << self.bits, np.nan, dtype=np.float64), np.zeros(1 << self.bits, dtype=np.float64)
-        left, step = np.arange(len(gram)), 0
-        key = self._keys(gram, size, lang)
-        while len(left):
-            slot = self._slot(key[left], step)
-            free = np.flatnonzero(self.key[slot] == -1)
-            _, one = np.unique(slot[free], return_index=True)
-            put = free[one]
-            self.key[slot[put]], self.logp[slot[put]], self.back[slot[put]] = key[left[put]], logp[left[put]], np.nan_to_num(back[left[put]])
-            left, step = np.delete(left, put), step + 1
-
-    @staticmethod
-    def _keys(gram: np.ndarray, size: np.ndarray | int, lang: np.ndarray | int) -> np.ndarray:
-        salt = np.atleast_1d(np.asarray(lang)).astype(np.uint64) * np.uint64(8) + np.atleast_1d(np.asarray(size)).astype(np.uint64)
-        mixed = (gram.astype(np.uint64) ^ (salt * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
-        return ((mixed ^ (mixed >> np.uint64(29))) >> np.uint64(1)).astype(np.int64)
-
-    def _slot(self, key: np.ndarray, step: int) -> np.ndarray:
-        return (((key.astype(np.uint64) * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - self.bits)).astype(np.int64) + step) & ((1 << self.bits) - 1)
-
-    def find(self, gram: np.ndarray, size: int, lang: int) -> np.ndarray:
-        """The slot of each entry, or -1."""
-        key = self._keys(gram, size, lang)
-        out = np.full(len(gram), -1, dtype=np.int64)
-        left, step = np.arange(len(gram)), 0
-        while len(left):
-            slot = self._slot(key[left], step)
-            held = self.key[slot]
-            out[left[held == key[left]]] = slot[held == key[left]]
-            left, step = left[(held != key[left]) & (held != -1)], step + 1
-        return out
-
-    def score(self, gram: np.ndarray, lang: int) -> np.ndarray:
-        """Log probability of each n-gram's last character."""
-        total, left = np.zeros(len(gram)), np.arange(len(gram))
-        for k in range(self.order, 0, -1):
-            tail = gram[left] & ((1 << _BITS * k) - 1)
-            slot = self.find(tail, k, lang)
-            hit = slot >= 0
-            hit[hit] = ~np.isnan(self.logp[slot[hit]])
-            total[left[hit]] += self.logp[slot[hit]]
-            left, tail = left[~hit], tail[~hit]
-            context = self.find(tail >> _BITS, k - 1, lang)
-            total[left] += np.where(context >= 0, self.back[context], 0.0)
-        total[left] -= _BITS * np.log(2)
-        return total
-
-
-def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """docs (doc_id, lang, text) as (doc_id, lang, ppl, worst).
-
-    ppl is exp of the mean negative log probability of a character, worst the greatest of those of WINDOW characters in a row.
-    """
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string"))
-    shares, beyond = passes(dict(model.groupBy("lang").count().toLocalIterator()), min(most_rows, BROADCAST_BYTES // 32))
-    steps = [(_scored_in_place, x) for x in shares] + [(_scored_by_joins, x) for x in [beyond] if x]
-    found = []
-    for k, (score, langs) in enumerate(steps or [(_scored_in_place, [])]):
-        # the first step also takes the documents whose language has no model
-        others = [x for _, share in steps[1:] for x in share]
-        own = F.col("lang").isin(langs) if k else ~F.col("lang").isin(others)
-        found.append(score(docs.where(own), model.where(F.col("lang").isin(langs)), sorted(langs), order))
-    both = found[0]
-    for more in found[1:]:
-        both = both.unionByName(more)
-    return both
-
-
-def passes(rows: dict[str, int], most: int) -> tuple[list[list[str]], list[str]]:
-    """The languages dealt to passes of at most `most` rows of model each, and those that are beyond it on their own."""
-    shares: list[tuple[int, list[str]]] = []
-    for lang in sorted((x for x in rows if rows[x] <= most), key=lambda x: (-rows[x], x)):
-        k = next((k for k, (n, _) in enumerate(shares) if n + rows[lang] <= most), None)
-        if k is None:
-            shares.append((rows[lang], [lang]))
-        else:
-            shares[k] = (shares[k][0] + rows[lang], [*shares[k][1], lang])
-    return [x for _, x in shares], sorted(x for x in rows if rows[x] > most)
-
-
-def _means(codes: list[np.ndarray], logp: np.ndarray) -> list[tuple[float, float]]:
-    """Perplexity and worst window of each text, from the log probabilities of all their characters in a row."""
-    sizes = np.array([len(x) for x in codes])
-    starts = np.cumsum(sizes) - sizes
-    means, worst = np.add.reduceat(logp, starts) / sizes, np.empty(len(sizes))
-    for k, (a, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
-        wide = min(WINDOW, n)
-        upto = np.concatenate([[0.0], np.cumsum(logp[a : a + n])])
-        worst[k] = (upto[wide:] - upto[:-wide]).min() / wide
-    return list(zip(np.exp(-means).tolist(), np.exp(-worst).tolist(), strict=True))
-
-
-def _scored_in_place(docs: DataFrame, model: DataFrame, langs: list[str], order: int) -> DataFrame:
-    """By a broadcast of these languages' model, which ends with the pass."""
-    codes = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1 if langs else F.lit(0)
-    # counted before, within the broadcast bounds; in narrow columns, as whole arrays
-    held = model.select(codes.cast("int"), "size", "gram", F.col("logp").cast("double"), F.col("back").cast("double")).toArrow()
-    lang, size, gram, logp, back = (held.column(k).to_numpy() for k in range(5))
-    table = Scorer(langs, size, gram, logp, back, lang, order)
-    del held, lang, size, gram, logp, back
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer: Scorer = shared.value
-        for chunk in chunks(batches, 2, 1 << 20):
-            langs_ = chunk.column(1).to_pylist()
-            codes = [grams(t.decode(), order) for t in texts_of(chunk.column(2))]
-            ppl: list[tuple] = [(None, None)] * len(codes)
-            for name in sorted(set(langs_) & scorer.langs.keys()):
-                who = [k for k, x in enumerate(langs_) if x == name and len(codes[k])]
-                if who:
-                    unique, place = np.unique(np.concatenate([codes[k] for k in who]), return_inverse=True)
-                    logp = scorer.score(unique, scorer.langs[name])[place]
-                    for k, x in zip(who, _means([codes[k] for k in who], logp), strict=True):
-                        ppl[k] = x
-            yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(langs_, pa.string()), *(pa.array(x, pa.float64()) for x in zip(*ppl, strict=True))], ["doc_id", "lang", "ppl", "worst"])
-
-    found = staged(docs.mapInArrow(score, "doc_id long, lang string, ppl double, worst double"), "scored-in-place")
-    shared.destroy()
-    return found
+def _by_language(langs: pa.Array, texts: pa.Array) -> dict[str, list[str]]:
+    """The texts of each language, in order."""
+    held: dict[str, list[str]] = {}
+    for lang, text in zip(langs.to_pylist(), texts_of(texts), strict=True):
+        held.setdefault(lang or "", []).append(text.decode())
+    return held
+
+
+def worst_and_mean(logp: np.ndarray, sizes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Perplexity and worst window of each text, from the log probabilities of all their characters in a row; NaN if empty."""
+    upto = np.concatenate([[0.0], np.cumsum(logp)])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    with np.errstate(invalid="ignore"):
+        mean = np.exp(-(upto[ends] - upto[starts]) / sizes)
+    wide = np.full(len(logp) + 1, np.inf)  # by the first character of a window; the last place is nobody's
+    n = max(0, len(logp) - window + 1)
+    wide[:n] = (upto[window:] - upto[:-window])[:n] / window
+    left = np.repeat(ends, sizes) - np.arange(len(logp))
+    wide[:-1][left < window] = np.inf
+    worst = mean.copy()
+    long = np.flatnonzero(sizes >= window)
+    if len(long):
+        cuts = np.stack([starts[long], ends[long]], axis=1).ravel()
+        worst[long] = np.exp(-np.minimum.reduceat(wide, cuts)[::2])
+    return mean, worst
 
 
 def _buckets_of(gram: np.ndarray, buckets: int) -> np.ndarray:
-    return ((gram.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+    """By all but the last two characters, so that sorted n-grams of a bucket are close to each other."""
+    return (((gram >> 2 * _BITS).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _packed(gram: np.ndarray) -> bytes:
+    """Sorted n-grams as compressed planes of the bytes of their differences."""
+    return zlib.compress(np.diff(gram, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 6)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob), dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+
 
+def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, pa.RecordBatch | None]]:
+    """(block, rows) of a task's input, and (block, None) where a block ends. The same rows make the same blocks."""
+    block, size = TaskContext.get().partitionId() << 32, 0
+    for chunk in chunks(batches, 2, 2 << 20):
+        yield block, chunk
+        size += chunk.column(2).nbytes
+        if size >= limit:
+            yield block, None
+            block, size = block + 1, 0
+    yield block, None
 
-def _scored_by_joins(docs: DataFrame, model: DataFrame, langs: list[str], order: int) -> DataFrame:
-    """The same through the sharded tables, by blocks of whole documents.
 
-    A block asks once for each of its distinct n-grams, packed by bucket of n-grams. What all blocks ask for meets the
-    entries it backs off to, a level at a time. The answers go back packed in the order of the asking and meet the texts.
+def perplexities(docs: DataFrame, model: DataFrame, order: int = ORDER, block: int = BLOCK) -> DataFrame:
+    """docs (doc_id, h, lang, text) as (doc_id, h, lang, ppl, worst); docs must give the same rows when read again, as files do.
+
+    ppl is exp of the mean negative log probability of a character, worst the greatest of those of WINDOW characters in a row.
     """
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.col("text").cast("string"), F.col("h"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     buckets = max(64, chars // ASKED)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["block", "doc_id", "lang", "text", "bucket", "grams"]
-        block, size, held = TaskContext.get().partitionId() << 32, 0, {}
-
-        def asked() -> Iterator[pa.RecordBatch]:
-            for lang, gram in sorted(held.items()):
+        held: dict[str, list[np.ndarray]] = {}
+        for number, chunk in _blocks(batches, block):
+            if chunk is not None:
+                for lang, texts in _by_language(chunk.column(1), chunk.column(2)).items():
+                    known = held.setdefault(lang, [])
+                    known.append(pd.unique(grams(texts, order)[0]))
+                    if len(known) == 8:
+                        held[lang] = [pd.unique(np.concatenate(known))]
+                continue
+            for lang, parts in sorted(held.items()):
+                gram = np.unique(np.concatenate(parts))
                 bucket = _buckets_of(gram, buckets)
                 by = np.argsort(bucket, kind="stable")
                 some, starts = np.unique(bucket[by], return_index=True)
-                blobs = [x.tobytes() for x in np.split(gram[by], starts[1:])]
-                n = len(some)
-                yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([lang] * n, pa.string()), pa.nulls(n, pa.string()), pa.array(some), pa.array(blobs, pa.binary())], names)
-
-        for chunk in chunks(batches, 2, 1 << 20):
-            for lang, gram in _distinct(chunk.column(1), chunk.column(2), langs, order).items():
-                held[lang] = np.union1d(held[lang], gram) if lang in held else gram
-            n, size = chunk.num_rows, size + chunk.column(2).nbytes
-            yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), *chunk.columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
-            if size >= BLOCK:
-                yield from asked()
-                block, size, held = block + 1, 0, {}
-        yield from asked()
-
-    blocks = staged(docs.mapInArrow(ask, "block long, doc_id long, lang string, text string, bucket int, grams binary"), "blocks")
-    asks = blocks.where("bucket IS NOT NULL").select("bucket", "block", "lang", "grams")
+                blobs = [_packed(x) for x in np.split(gram[by], starts[1:])] if len(some) else []
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(some), pa.int64()), pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(blobs, pa.binary())], ["block", "lang", "bucket", "grams"])
+            held.clear()
+
+    asks = staged(docs.mapInArrow(ask, "block long, lang string, bucket int, grams binary").join(checked(staged(model.select("lang").distinct(), "languages")), "lang", "left_semi"), "asks")
 
     def needed(table: pa.Table) -> pa.Table:
         named, blobs = table.column("lang").to_pylist(), table.column("grams").to_pylist()
-        own = {x: np.unique(np.frombuffer(b"".join(g for y, g in zip(named, blobs, strict=True) if y == x), dtype=np.int64)) for x in sorted(set(named))}
+        own = {x: np.unique(np.concatenate([_unpacked(g) for y, g in zip(named, blobs, strict=True) if y == x])) for x in sorted(set(named))}
         lang = pa.array([x for x, gram in own.items() for _ in range(len(gram))], pa.string())
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(lang), pa.int32()), "lang": lang, "gram": pa.array(np.concatenate(list(own.values())))})
 
@@ -317,7 +239,7 @@ def _scored_by_joins(docs: DataFrame, model: DataFrame, langs: list[str], order:
         scored = scored.unionByName(more)
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        lang, gram, logp = np.array(known.column("lang").to_pylist(), dtype=object), known.column("gram").to_numpy(), known.column("logp").to_numpy()
+        lang, gram, logp = np.array(known.column("lang").to_pylist(), dtype=object), known.column("gram").to_numpy(), known.column("logp").to_numpy().astype("<f4")
         held = {}
         for x in sorted(set(lang)):
             by = np.flatnonzero(lang == x)
@@ -325,39 +247,50 @@ def _scored_by_joins(docs: DataFrame, model: DataFrame, langs: list[str], order:
             held[x] = gram[by], logp[by]
         out = []
         for x, blob in zip(asked.column("lang").to_pylist(), asked.column("grams").to_pylist(), strict=True):
-            out.append(held[x][1][np.searchsorted(held[x][0], np.frombuffer(blob, dtype=np.int64))].tobytes())
-        return pa.table({"block": asked.column("block"), "lang": asked.column("lang"), "bucket": asked.column("bucket"), "logps": pa.array(out, pa.binary())})
+            out.append(held[x][1][np.searchsorted(held[x][0], _unpacked(blob))].tobytes())
+        return pa.table({"block": asked.column("block"), "lang": asked.column("lang"), "grams": asked.column("grams"), "logps": pa.array(out, pa.binary())})
 
-    answers = asks.groupBy("bucket").cogroup(scored.groupBy("bucket")).applyInArrow(answer, "block long, lang string, bucket int, logps binary")
+    answers = asks.groupBy("bucket").cogroup(scored.groupBy("bucket")).applyInArrow(answer, "block long, lang string, grams binary, logps binary")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+        for number, chunk in _blocks(batches, block):
+            if chunk is not None:
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, chunk.schema, options=options) as writer:
+                    writer.write_batch(chunk)
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
 
     def meet(rows: pa.Table, known: pa.Table) -> pa.Table:
-        parts = [x for x in chunks(rows.select(["doc_id", "lang", "text"]).to_batches(), 2, 1 << 20)]
-        held: dict[str, np.ndarray] = {}
-        for chunk in parts:
-            for x, gram in _distinct(chunk.column(1), chunk.column(2), langs, order).items():
-                held[x] = np.union1d(held[x], gram) if x in held else gram
+        told: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for lang, blob, logp in zip(*(known.column(c).to_pylist() for c in ("lang", "grams", "logps")), strict=True):
+            told.setdefault(lang, []).append((_unpacked(blob), np.frombuffer(logp, dtype="<f4")))
         logps = {}
-        named, bucket, blobs = (known.column(c).to_pylist() for c in ("lang", "bucket", "logps"))
-        for x, gram in held.items():
-            logps[x] = np.empty(len(gram))
-            order_ = np.argsort(_buckets_of(gram, buckets), kind="stable")
-            logps[x][order_] = np.frombuffer(b"".join(blob for _, blob in sorted((b, y) for z, b, y in zip(named, bucket, blobs, strict=True) if z == x)))
-        ppl: list[tuple] = []
-        for chunk in parts:
-            for x, text in zip(chunk.column(1).to_pylist(), texts_of(chunk.column(2)), strict=True):
-                code = grams(text.decode(), order)
-                ppl += _means([code], logps[x][np.searchsorted(held[x], code)]) if x in held and len(code) else [(None, None)]
-        return pa.table({"doc_id": rows.column("doc_id"), "lang": rows.column("lang"), "ppl": pa.array([x for x, _ in ppl], pa.float64()), "worst": pa.array([x for _, x in ppl], pa.float64())})
-
-    texts = blocks.where("bucket IS NULL").select("block", "doc_id", "lang", "text")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, "doc_id long, lang string, ppl double, worst double")
-
-
-def _distinct(langs: pa.Array, texts: pa.Array, known: list[str], order: int) -> dict[str, np.ndarray]:
-    """The distinct n-grams of the texts of each known language."""
-    named, codes = langs.to_pylist(), [grams(t.decode(), order) for t in texts_of(texts)]
-    own = {x: [c for y, c in zip(named, codes, strict=True) if y == x and len(c)] for x in set(named) & set(known)}
-    return {x: np.unique(np.concatenate(c)) for x, c in own.items() if c}
+        for lang, parts in told.items():
+            gram, logp = (np.concatenate(x) for x in zip(*parts, strict=True))
+            by = np.argsort(gram)
+            logps[lang] = gram[by], logp[by].astype(float)
+        del told
+        found = []
+        for blob in rows.column("rows").to_pylist():
+            for part in pa.ipc.open_stream(blob):
+                values, langs = np.full((2, part.num_rows), np.nan), np.array([x or "" for x in part.column(1).to_pylist()], dtype=object)
+                for lang, texts in _by_language(part.column(1), part.column(2)).items():
+                    code, sizes = grams(texts, order)
+                    if lang not in logps or not len(code):
+                        continue
+                    place, own = pd.factorize(code)
+                    gram, logp = logps[lang]
+                    at = np.minimum(np.searchsorted(gram, own), len(gram) - 1)
+                    if (gram[at] != own).any():
+                        raise RuntimeError("the documents of a block are not those that it asked for")
+                    values[:, langs == lang] = worst_and_mean(logp[at][place], sizes)
+                scores = [pa.array(x, from_pandas=True) for x in values]
+                found.append(pa.RecordBatch.from_arrays([part.column(0), part.column(3), part.column(1), *scores], ["doc_id", "h", "lang", "ppl", "worst"]))
+        return pa.Table.from_batches(found, pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("lang", pa.string()), ("ppl", pa.float64()), ("worst", pa.float64())]))
+
+    packed = docs.mapInArrow(pack, "block long, rows binary")
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, "doc_id long, h long, lang string, ppl double, worst double")
 
 
 def trusted(labels: DataFrame) -> DataFrame:
@@ -366,14 +299,16 @@ def trusted(labels: DataFrame) -> DataFrame:
     return said.where("q = 1 AND t = 0").select("doc_id")
 
 
-def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, perplexity, threshold, worst_window, worst_threshold, kept) of each row of docs (doc_id, text, lang)."""
+def _judged(docs: DataFrame, labels: DataFrame, order: int, quantile: float) -> DataFrame:
+    """classify() with h, the hash of each row's text."""
+    doc, h = row_key()
+    docs = docs.select(doc.alias("doc_id"), h.alias("h"), F.col("text").cast("string"), F.col("lang").cast("string"))
     good = checked(staged(trusted(labels), "trusted"))
-    fold = F.abs(F.xxhash64("doc_id") % 2)
-    key = lambda half: F.concat(half.cast("string"), F.lit(":"), F.coalesce(F.col("lang").cast("string"), F.lit("")))
+    fold = F.abs(F.xxhash64(F.coalesce("doc_id", "h")) % 2)
+    key = lambda half: F.concat(half.cast("string"), F.lit(":"), F.coalesce("lang", F.lit("")))
     model = estimate(docs.join(good, "doc_id", "left_semi").withColumn("lang", key(1 - fold)), order)
-    scores = perplexities(docs.withColumn("lang", key(fold)), model, order, most_rows)
-    scores = staged(scores.withColumn("lang", F.substring("lang", 3, 1 << 30)), "perplexities")
+    scores = staged(perplexities(docs.withColumn("lang", key(fold)), model, order), "perplexities")
+    scores = scores.withColumn("lang", F.substring("lang", 3, 1 << 30))
     both = "stack(2, 'ppl', ppl, 'worst', worst) AS (of, value)"
     bins = scores.join(good, "doc_id", "left_semi").where("ppl IS NOT NULL").selectExpr("lang", both).groupBy("lang", "of", F.ceil(F.log("value") * GRID).alias("bin")).agg(F.count("*").alias("n"))
     by_lang = Window.partitionBy("lang", "of")
@@ -382,19 +317,20 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: f
     limits = upto.where(F.col("upto") >= quantile * F.col("all")).groupBy("lang").agg(limit("ppl").alias("threshold"), limit("worst").alias("worst_threshold"))
     found = scores.join(checked(staged(limits, "limits")), "lang", "left")
     kept = (F.col("ppl") <= F.col("threshold")) & (F.col("worst") <= F.col("worst_threshold"))
-    return found.select("doc_id", F.col("ppl").alias("perplexity"), "threshold", F.col("worst").alias("worst_window"), "worst_threshold", F.coalesce(kept, F.lit(True)).alias("kept"))
+    return found.select("doc_id", "h", F.col("ppl").alias("perplexity"), "threshold", F.col("worst").alias("worst_window"), "worst_threshold", F.coalesce(kept, F.lit(True)).alias("kept"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rejected ones; rows with the same doc_id go together if one of them is rejected.
+def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE) -> DataFrame:
+    """(doc_id, perplexity, threshold, worst_window, worst_threshold, kept) of each row of docs (doc_id, text, lang)."""
+    return _judged(docs, labels, order, quantile).drop("h")
 
-    Rows with a null id are no document together: each goes by its own text and language, through a 64-bit hash of both.
-    """
-    content = [x for c in ("text", "lang") for x in (F.col(c).isNull(), F.col(c).cast("string"))]
-    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), *content))
-    judged = classify(docs.select(own.alias("doc_id"), "text", "lang"), labels.where("doc_id IS NOT NULL"))
-    gone = staged(judged.where("NOT kept").select(F.col("doc_id").alias("__id")).distinct(), "rejected")
-    return docs.withColumn("__own", own).join(checked(gone), F.expr("__own = __id"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs without the rejected rows; rows that are equal in id and text go together if one of them is rejected."""
+    doc, h = fresh(docs.columns, "__doc", "__hash")
+    gone = staged(_judged(docs, labels, ORDER, QUANTILE).where("NOT kept").select(F.col("doc_id").alias(doc), F.col("h").alias(h)).distinct(), "rejected")
+    own = row_key()
+    return docs.join(checked(gone), own[0].eqNullSafe(F.col(doc)) & (own[1] == F.col(h)), "left_anti")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -133,15 +133,74 @@ def test_bpe_empty(empty):
 # ---------------------------------------------------------------- 3
 
 
-def test_classifier_both_ways_and_sums_to_one(spark):
-    docs, labels = docs_of(spark, SF), docs_of(spark, SF, "labels")
-    one = kneser_ney.classify(docs, labels).orderBy("doc_id").toPandas()
-    two = kneser_ney.classify(docs, labels, most_rows=0).orderBy("doc_id").toPandas()
-    assert np.allclose(one.perplexity, two.perplexity) and (one.kept == two.kept).all() and len(one) == docs.count()
-    model = kneser_ney.estimate(docs.join(kneser_ney.trusted(labels), "doc_id", "left_semi").where("lang = 'en'")).toPandas()
-    table = kneser_ney.Scorer(["en"], model["size"].to_numpy(), model.gram.to_numpy(), model.logp.to_numpy(dtype=float), model.back.to_numpy(dtype=float), np.zeros(len(model), int))
-    for context in (model[model["size"] == kneser_ney.ORDER].gram.to_numpy() >> 12)[:3]:
-        assert abs(np.exp(table.score((context << 12) | np.arange(4096), 0)).sum() - 1) < 1e-6
+def kneser_ney_by_hand(trusted_texts, order):
+    """log P(character | the order - 1 before it) of an interpolated modified Kneser-Ney model, from its formulas."""
+    codes = lambda text: [1] * (order - 1) + [c if c < 128 else 128 + (c * 2654435761 >> 7) % 3968 for c in map(ord, re.sub(r"[^\S\n]+", " ", re.sub(r"\s*\n\s*", "\n", text)))]
+    counts = {order: Counter(tuple(s[i - order + 1 : i + 1]) for s in map(codes, trusted_texts) for i in range(order - 1, len(s)))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    d = {}
+    for k, c in counts.items():
+        n = [0, *(sum(v == i for v in c.values()) for i in (1, 2, 3, 4))]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else None
+        d[k] = [0] + [min(float(i), max(0.0, i - (i + 1) * y * n[i + 1] / n[i] if y is not None and n[i] else 0.5)) for i in (1, 2, 3)]
+    below = {k: Counter() for k in counts}
+    free = {k: Counter() for k in counts}
+    for k, c in counts.items():
+        for g, v in c.items():
+            below[k][g[:-1]] += v
+            free[k][g[:-1]] += d[k][min(v, 3)]
+
+    def p(context, c):
+        k = len(context) + 1
+        rest = p(context[1:], c) if k > 1 else 1 / 4096
+        if not below[k][context]:
+            return rest
+        v = counts[k][(*context, c)]
+        return (v - d[k][min(v, 3)] + max(free[k][context], 1e-9 if v == 0 else 0) * rest) / below[k][context]
+
+    def score(text):
+        s = codes(text)
+        logp = [np.log(p(tuple(s[i - order + 1 : i]), s[i])) for i in range(order - 1, len(s))]
+        w = kneser_ney.WINDOW
+        worst = min(np.mean(logp[i : i + w]) for i in range(max(1, len(logp) - w + 1)))
+        return np.exp(-np.mean(logp)), np.exp(-worst)
+
+    return p, score
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_classifier_is_that_of_the_formulas(spark, order):
+    rng = random.Random(order)
+    word = lambda: "".join(rng.choices(["ab", "c", "dé", "e", "f"], k=rng.randrange(1, 4)))
+    texts = [rng.choice([" ", "\n", "  \n "]).join(word() for _ in range(rng.randrange(1, 40))) for _ in range(60)] + ["zz top", "a", None, "", "ab " * 9]
+    rows = [(k, t, rng.choice(["x", "y"]) if k < 60 else "x", "s", 0) for k, t in enumerate(texts)] + [(None, texts[0], "y", "s", 0), (3, "c c", "x", "s", 0)]
+    df = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(40)] + [(40, 1, 1), (41, 0, 0)], "doc_id long, quality int, toxic int")
+    half = {r["doc_id"]: r["half"] for r in df.select("doc_id", F.abs(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))) % 2).alias("half")).collect()}
+    by_hand = {}
+    for lang in "xy":
+        for h in (0, 1):
+            by_hand[lang, 1 - h] = kneser_ney_by_hand([t for d, t, g, *_ in rows if g == lang and d is not None and d < 40 and half[d] == h], order)[1]
+    want = {}
+    for d, t, g, *_ in rows:
+        want.setdefault(d, []).append(by_hand[g, half[d]](t) if t else (None, None))
+    found = kneser_ney.classify(df, labels, order).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        near = [w for w in want[r["doc_id"]] if (w[0] is None) == (r["perplexity"] is None) and (w[0] is None or np.allclose(w, (r["perplexity"], r["worst_window"]), rtol=1e-4))]
+        assert near, (r, want[r["doc_id"]])
+    for lang in "xy":
+        ppl = sorted(w[0] for d, t, g, *_ in rows if g == lang and t and d is not None and d < 40 for w in [by_hand[g, half[d]](t)])
+        limit = ppl[int(np.ceil(kneser_ney.QUANTILE * len(ppl))) - 1]
+        got = {r["threshold"] for r in found if r["doc_id"] in {d for d, _, g, *_ in rows if g == lang} - {3}}
+        assert all(limit * 0.998 <= x <= limit * 1.002 for x in got if x) and got
+
+
+def test_model_sums_to_one():
+    rng = random.Random(2)
+    p, _ = kneser_ney_by_hand(["".join(rng.choices("abcd ", k=200)) for _ in range(3)], 3)
+    assert abs(sum(p((97, 98), c) for c in range(4096)) - 1) < 1e-9
 
 
 def test_classifier_on_held_out_labels(spark):
@@ -151,18 +210,14 @@ def test_classifier_on_held_out_labels(spark):
     assert found[found.quality == 0].kept.mean() < 0.2 and found[found.quality == 1].kept.mean() > 0.85
 
 
-def test_classifier_passes_by_language(spark, monkeypatch):
-    assert kneser_ney.ORDER == 5
-    assert kneser_ney.passes({"a": 3, "b": 9, "c": 4, "d": 6}, 8) == ([["d"], ["c", "a"]], ["b"])
+def test_classifier_by_small_blocks(spark):
     docs, labels = docs_of(spark, SF), docs_of(spark, SF, "labels")
-    one = kneser_ney.classify(docs, labels).orderBy("doc_id").toPandas()
+    assert kneser_ney.ORDER == 5
     model = kneser_ney.estimate(docs.join(kneser_ney.trusted(labels), "doc_id", "left_semi"))
-    rows = dict(model.groupBy("lang").count().collect())
-    known = [x for x in rows if x]
-    split = kneser_ney.perplexities(docs.where(F.col("lang").isin(known)), model, most_rows=sorted(rows.values())[-2]).orderBy("doc_id").toPandas()
-    monkeypatch.setattr(kneser_ney, "_scored_by_joins", None)  # the largest language alone fills a pass
-    whole = kneser_ney.perplexities(docs.where(F.col("lang").isin(known)), model, most_rows=max(rows.values())).orderBy("doc_id").toPandas()
-    assert len(whole) == len(split) == len(one) and np.allclose(whole.ppl, split.ppl, equal_nan=True)
+    docs = docs.withColumn("h", F.lit(0).cast("long"))
+    one = kneser_ney.perplexities(docs, model).orderBy("doc_id").toPandas()
+    two = kneser_ney.perplexities(docs, model, block=1 << 17).orderBy("doc_id").toPandas()
+    assert len(one) == docs.count() and np.allclose(one.ppl, two.ppl, equal_nan=True) and np.allclose(one.worst, two.worst, equal_nan=True)
 
 
 def test_classifier_on_held_out_toxic_documents(spark):
@@ -173,9 +228,9 @@ def test_classifier_on_held_out_toxic_documents(spark):
 
 
 def test_worst_window():
-    codes, logp = [np.zeros(3), np.zeros(20)], -np.concatenate([[1.0, 2, 3], np.ones(10), np.full(2, 9.0), np.ones(8)])
-    (one, worst_one), (two, worst_two) = kneser_ney._means(codes, logp)
-    assert np.allclose(np.log([one, worst_one, two, worst_two]), [2, 2, 36 / 20, 24 / 8])
+    logp = -np.concatenate([[1.0, 2, 3], np.ones(10), np.full(2, 9.0), np.ones(8)])
+    mean, worst = kneser_ney.worst_and_mean(logp, np.array([3, 0, 20]))
+    assert np.allclose(np.log([mean[0], worst[0], mean[2], worst[2]]), [2, 2, 36 / 20, 24 / 8]) and np.isnan(mean[1]) and np.isnan(worst[1])
 
 
 def test_rows_without_an_id_go_by_their_own_text(spark):
