@@ -414,9 +414,9 @@ def test_simhash(spark, edges, empty):
     assert e[1] == e[2] == e[3] == 1 and simhash_vptree.deduplicated(edges.withColumn("fp", F.lit(1))).where("doc_id = 4").count() == 1
 
 
-def least_linked(ids, fps):
+def least_linked(ids, fps, near=None):
     least = list(ids)
-    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= simhash_vptree.THRESHOLD
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= simhash_vptree.THRESHOLD if near is None else near
     while True:
         new = [min(least[j] for j in np.flatnonzero(row)) for row in near]
         if new == least:
@@ -429,11 +429,47 @@ def test_links_over_many_shards_and_dense_groups(spark):
     centres = rng.integers(0, 1 << 63, 30).astype(np.uint64)
     flips = np.array([np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, rng.integers(0, 4), replace=False).astype(np.uint64), initial=np.uint64(0)) for _ in range(900)], dtype=np.uint64)
     fps = np.unique(np.concatenate([rng.choice(centres, 900) ^ flips, rng.integers(0, 1 << 63, 600).astype(np.uint64)]))
-    nodes = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
-    edges = simhash_vptree.links(nodes, sample=256, shard=100)
-    found = {r["node"]: r["root"] for r in simhash_vptree.components(edges).collect()}
-    want = least_linked(fps.view(np.int64).tolist(), fps)
-    assert [found.get(x, x) for x in fps.view(np.int64).tolist()] == want
+    ids = fps.view(np.int64).tolist()
+    nodes = spark.createDataFrame([(x, 0, x) for x in ids], "node long, size long, f0 long")
+    want = least_linked(ids, fps)
+    for sample, shard in ((256, 100), (16, 40), (4, 20)):  # a small sample leaves shards that must split, and queries to deal
+        edges = simhash_vptree.links(nodes, sample=sample, shard=shard)
+        found = {r["node"]: r["root"] for r in simhash_vptree.components(edges).collect()}
+        assert [found.get(x, x) for x in ids] == want
+
+
+def test_similar_documents(spark):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(3000)]
+    texts, sets, pairs = [], [], []
+    for _ in range(150):
+        own = rng.choices(words, k=rng.choice([12, 40, 150, 400]))
+        texts.append(own)
+        for _ in range(2):
+            copy = [rng.choice(words) if rng.random() < 0.03 else x for x in own]
+            texts.append(copy[: max(8, len(copy) - rng.randrange(len(copy) // 9 + 1))])
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    prints = simhash_vptree.fingerprints(df, 5, 4, True).orderBy("doc_id").toPandas()
+    points = prints[["f0", "f1", "f2", "f3"]].to_numpy().view(np.uint64)
+    assert prints["size"].tolist() == [len(x) for x in sets]
+    size = prints["size"].to_numpy()
+    near = (simhash_vptree.apart(points[:, None], points[None]) <= 48) & (np.minimum(size[:, None], size) >= 0.8 * np.maximum(size[:, None], size))
+    found = simhash_vptree.near_duplicates(df, **simhash_vptree.SIMILAR).orderBy("doc_id").toPandas()
+    assert found.component_id.tolist() == least_linked(list(range(len(texts))), None, near)
+    similar = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert len(similar) > 50 and np.mean([near[i, j] for i, j in similar]) > 0.9
+    assert not any(near[i, j] for i in range(len(sets)) for j in range(i) if 2 * len(sets[i] & sets[j]) < len(sets[i] | sets[j]))
+
+
+def test_one_row_of_each_component_stays(spark):
+    t = [" ".join(f"{a}{k}" for k in range(30)) for a in "abc"]
+    rows = [(None, t[0], "x"), (None, t[1], "x"), (1, t[2], "x"), (1, t[2], "x"), (1, t[1], "y"), (2, t[2], "z"), (None, t[2], "x"), (3, None, "x"), (4, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __doc string")
+    for more in ({}, simhash_vptree.SIMILAR):
+        kept = simhash_vptree.deduplicated(df, **more)
+        assert kept.columns == df.columns
+        assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, [(None, t[0], "x"), (1, t[2], "x"), (1, t[1], "y"), (3, None, "x")]))
 
 
 # ---------------------------------------------------------------- 8
