@@ -79,6 +79,16 @@ class Lines:
         bits = np.uint32(1) << (value & np.uint64(31)).astype(np.uint32)
         bits[cuts] = 0
         self.sign = np.bitwise_xor.reduceat(bits, self.begin) if len(points) else np.empty(0, np.uint32)
+        self.points, self.cuts = points, cuts
+
+    def pairs(self) -> np.ndarray:
+        """64-bit parity signatures of neighbouring characters; an edit changes at most four bits."""
+        if not len(self.points):
+            return np.empty(0, np.uint64)
+        pair = mixed(self.points.astype(np.uint64) << np.uint64(32) | np.append(self.points[1:], 10).astype(np.uint64))
+        bits = np.uint64(1) << (pair & np.uint64(63))
+        bits[self.cuts] = 0  # a line's last character has a pair with the line's end
+        return np.bitwise_xor.reduceat(bits, self.begin)
 
     def key(self, at: np.ndarray, start: np.ndarray, size: np.ndarray, length: np.ndarray, i: int) -> np.ndarray:
         a = self.begin[at] + start
@@ -155,7 +165,8 @@ def repeated(lines: list[str], groups: np.ndarray, threshold: int = THRESHOLD, m
     Candidates are gathered until there are `most` of them, and then tried, the likeliest of each line first.
     """
     gone = np.zeros(len(lines), dtype=bool)
-    sign = Lines([x.encode() for x in lines]).sign
+    held_lines = Lines([x.encode() for x in lines])
+    sign, pairs = held_lines.sign, held_lines.pairs()
     length = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     held: list[np.ndarray] = []
     waiting = 0
@@ -179,6 +190,8 @@ def repeated(lines: list[str], groups: np.ndarray, threshold: int = THRESHOLD, m
             apart = np.bitwise_count(sign[a:b, None] ^ sign[None, start:b])
             near = (apart <= 2 * threshold) & (np.abs(length[a:b, None] - length[None, start:b]) <= threshold) & (np.arange(start, b) < np.arange(a, b)[:, None])
             i, j = np.nonzero(near)
+            both = np.bitwise_count(pairs[a + i] ^ pairs[start + j]) <= 4 * threshold
+            i, j = i[both], j[both]
             held.append(np.stack([a + i, start + j, apart[i, j]]).astype(np.int64))
             waiting += len(i)
             if waiting >= most:
@@ -208,9 +221,9 @@ def within(left: list[str], right: list[str], threshold: int = THRESHOLD) -> np.
         tall, wide = int(rows.max()), int(cols.max())
         p = np.zeros((len(who), tall + 2 * width + 2), dtype=np.uint32)
         t = np.full((len(who), wide), 0xFFFFFFFF, dtype=np.uint32)
-        for k, w in enumerate(who.tolist()):
-            p[k, threshold : threshold + m[w]] = np.frombuffer(left[w].encode("utf-32-le"), dtype="<u4") + 1
-            t[k, : n[w]] = np.frombuffer(right[w].encode("utf-32-le"), dtype="<u4") + 1
+        for table, lines, sizes, begin in ((p, left, rows, threshold), (t, right, cols, 0)):
+            points = np.frombuffer("".join([lines[w] for w in who.tolist()]).encode("utf-32-le"), dtype="<u4") + 1
+            table[np.repeat(np.arange(len(who)), sizes), begin + np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = points
         vp = np.full(len(who), full & ~np.uint64((1 << threshold) - 1) if threshold else full, dtype=np.uint64)
         vp &= full
         vn = np.zeros(len(who), dtype=np.uint64)

@@ -14,7 +14,7 @@ benchmark never has to fit at once.
 
 Edge cases: null or wordless texts give n_words 0 and no hits; an item shorter than a window is one window, a wordless or
 null item none; items with a null id are ignored; rows with the same item_id are one item; repeated documents are judged
-row by row; empty tables give empty or hitless results; other columns are never read.
+row by row; empty tables give empty or hitless results; other columns are never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstone.llm.common import CHUNK_BYTES, chunks, docs_of, staged, texts_of
+from loomstone.llm.common import CHUNK_BYTES, checked, chunks, docs_of, fresh, row_key, staged, texts_of
 
 #: Words of a window, words that a proximity match may be off, and windows sent to the executors at once.
 WINDOW, SLOP, BLOCK_WINDOWS, ANCHORS = 10, 4, 200_000, 3
@@ -38,8 +38,11 @@ WINDOW, SLOP, BLOCK_WINDOWS, ANCHORS = 10, 4, 200_000, 3
 _GAP = WINDOW + 2 * SLOP + 2
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 58 <= c < 97 or 123 <= c < 128 else c for c in range(256))
-SEGMENT = "segment string, doc_ids binary, null_ids binary, n_words binary, terms binary, ends binary, postings binary"
-HITS = "doc_id long, n_words long, n_hit long, item_ids array<string>, near_ids array<string>, spans array<struct<item_id:string,start:int,end:int>>"
+#: Postings that the windows of a step may start from together; one window's are bounded by the segment.
+STARTS = 1 << 20
+
+SEGMENT = "segment string, doc_ids binary, null_ids binary, hashes binary, n_words binary, terms binary, ends binary, postings binary"
+HITS = "doc_id long, h long, n_words long, n_hit long, item_ids array<string>, near_ids array<string>, spans array<struct<item_id:string,start:int,end:int>>"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -113,32 +116,46 @@ class Windows:
 
         near_of = np.flatnonzero((np.take_along_axis(rows, self.anchors, axis=1) >= 0).all(axis=1))
         anchors, terms = self.anchors[near_of], np.take_along_axis(rows, self.anchors, axis=1)[near_of]
-        w, at = occurrences(terms[:, 0])
-        doc = np.searchsorted(segment.starts, at, side="right") - 1
-        for k in range(1, ANCHORS):
-            place = at + anchors[w, k] - anchors[w, 0]
-            low = np.maximum(place - SLOP, segment.starts[doc])
-            i = np.minimum(np.searchsorted(keyed, terms[w, k] << 32 | low), len(keyed) - 1)
-            high = np.minimum(place + SLOP, segment.starts[doc + 1] - 1)
-            keep = (keyed[i] >> 32 == terms[w, k]) & (keyed[i] & 0xFFFFFFFF >= low) & (keyed[i] & 0xFFFFFFFF <= high)
-            w, at, doc = w[keep], at[keep], doc[keep]
-        near = np.unique(np.stack([near_of[w], doc], axis=1), axis=0)
+        near_found = [np.empty((0, 2), dtype=np.int64)]
+        for part in _parts(df[terms[:, 0]]):
+            w, at = occurrences(terms[part, 0])
+            w = part[w]
+            doc = np.searchsorted(segment.starts, at, side="right") - 1
+            for k in range(1, ANCHORS):
+                place = at + anchors[w, k] - anchors[w, 0]
+                low = np.maximum(place - SLOP, segment.starts[doc])
+                i = np.minimum(np.searchsorted(keyed, terms[w, k] << 32 | low), len(keyed) - 1)
+                high = np.minimum(place + SLOP, segment.starts[doc + 1] - 1)
+                keep = (keyed[i] >> 32 == terms[w, k]) & (keyed[i] & 0xFFFFFFFF >= low) & (keyed[i] & 0xFFFFFFFF <= high)
+                w, at, doc = w[keep], at[keep], doc[keep]
+            near_found.append(np.unique(np.stack([near_of[w], doc], axis=1), axis=0))
+        near = np.concatenate(near_found)
 
         alive = np.flatnonzero((rows != -1).all(axis=1))
         rows, lengths = rows[alive], self.lengths[alive]
-        if not len(rows):
-            return none, none, near
         order = np.argsort(np.where(rows >= 0, df[rows], np.iinfo(np.int64).max), axis=1, kind="stable")
-        w, at = occurrences(rows[np.arange(len(rows)), order[:, 0]])
-        start = at - order[w, 0]
-        w, start = w[start >= 0], start[start >= 0]
-        for k in range(1, rows.shape[1]):
-            place, absent = order[w, k], k >= lengths[w]
-            wanted = rows[w, place] << 32 | (start + place)
-            i = np.minimum(np.searchsorted(keyed, wanted), len(keyed) - 1)
-            keep = absent | (keyed[i] == wanted)
-            w, start = w[keep], start[keep]
-        return alive[w], start, near
+        found = [(none, none)]
+        for part in _parts(df[rows[np.arange(len(rows)), order[:, 0]]]):
+            w, at = occurrences(rows[part, order[part, 0]])
+            w = part[w]
+            start = at - order[w, 0]
+            w, start = w[start >= 0], start[start >= 0]
+            for k in range(1, rows.shape[1]):
+                place, absent = order[w, k], k >= lengths[w]
+                wanted = rows[w, place] << 32 | (start + place)
+                i = np.minimum(np.searchsorted(keyed, wanted), len(keyed) - 1)
+                keep = absent | (keyed[i] == wanted)
+                w, start = w[keep], start[keep]
+            found.append((alive[w], start))
+        return *(np.concatenate(x) for x in zip(*found, strict=True)), near
+
+
+def _parts(sizes: np.ndarray, most: int | None = None) -> list[np.ndarray]:
+    """Numbers of rows in runs whose sizes add up to about `most`."""
+    if not len(sizes):
+        return []
+    upto = np.cumsum(sizes) // (most or STARTS)
+    return np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(upto)) + 1)
 
 
 def _hits(windows: Windows, segment: Segment) -> list[tuple[int, list[str], list[str], list[dict]]]:
@@ -177,17 +194,18 @@ def build_index(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The stored index of documents (doc_id, text): one row per segment."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, limit=chunk_bytes):
-            segment = Segment.build(texts_of(chunk.column(1)))
-            ids = chunk.column(0)
-            packed = [uuid.uuid4().hex.encode(), np.asarray(ids.fill_null(0)).astype("<i8").tobytes(), np.asarray(ids.is_null()).astype("u1").tobytes(), *segment.pack()]
-            yield pa.RecordBatch.from_arrays([pa.array([x.decode()]) if k == 0 else pa.array([x], pa.binary()) for k, x in enumerate(packed)], ["segment", "doc_ids", "null_ids", "n_words", "terms", "ends", "postings"])
+        for chunk in chunks(batches, 2, limit=chunk_bytes):
+            segment = Segment.build(texts_of(chunk.column(2)))
+            ids, hashes = chunk.column(0), np.asarray(chunk.column(1)).astype("<i8").tobytes()
+            packed = [uuid.uuid4().hex.encode(), np.asarray(ids.fill_null(0)).astype("<i8").tobytes(), np.asarray(ids.is_null()).astype("u1").tobytes(), hashes, *segment.pack()]
+            yield pa.RecordBatch.from_arrays([pa.array([x.decode()]) if k == 0 else pa.array([x], pa.binary()) for k, x in enumerate(packed)], ["segment", "doc_ids", "null_ids", "hashes", "n_words", "terms", "ends", "postings"])
 
-    return staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(index, SEGMENT), "postings")
+    doc, h = row_key()
+    return staged(docs.select(doc.alias("doc_id"), h.alias("h"), F.col("text").cast("string")).mapInArrow(index, SEGMENT), "postings")
 
 
 def search(index: DataFrame, benchmark: DataFrame, limit: int = BLOCK_WINDOWS) -> DataFrame:
-    """One row per indexed document: its words, words hit, items with exact and with proximity matches, spans in words.
+    """One row per indexed document, by its row_key(): its words, words hit, items with exact and with proximity matches, spans in words.
 
     n_hit counts a word once, however many windows cover it. With several blocks of windows, each is a pass whose rows
     are merged by the document's place in the index; spans decide the union there.
@@ -200,9 +218,9 @@ def search(index: DataFrame, benchmark: DataFrame, limit: int = BLOCK_WINDOWS) -
         merged = merged.unionByName(more)
     covered = "size(array_distinct(flatten(transform(spans, s -> sequence(s.start, s.end - 1)))))"
     return (
-        merged.groupBy("place", "doc_id", "n_words")
+        merged.groupBy("place", "doc_id", "h", "n_words")
         .agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("item_ids", "near_ids", "spans")])
-        .select("doc_id", "n_words", F.expr(f"cast({covered} AS long)").alias("n_hit"), "item_ids", "near_ids", "spans")
+        .select("doc_id", "h", "n_words", F.expr(f"cast({covered} AS long)").alias("n_hit"), "item_ids", "near_ids", "spans")
     )
 
 
@@ -213,35 +231,25 @@ def _search_block(index: DataFrame, windows: Windows) -> DataFrame:
                 segment = Segment.unpack(row["n_words"], row["terms"], row["ends"], row["postings"])
                 ids = np.ma.masked_array(np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["null_ids"], "u1").astype(bool)).tolist()
                 found = _hits(windows, segment)
-                columns = [ids, segment.n_words.tolist(), *map(list, zip(*found, strict=True)), [f"{row['segment']}:{k}" for k in range(len(ids))]]
+                columns = [ids, np.frombuffer(row["hashes"], "<i8").tolist(), segment.n_words.tolist(), *map(list, zip(*found, strict=True)), [f"{row['segment']}:{k}" for k in range(len(ids))]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _HIT_TYPES, strict=True)], _HIT_NAMES)
 
     return index.mapInArrow(look, f"{HITS}, place string")
 
 
-_HIT_NAMES = ["doc_id", "n_words", "n_hit", "item_ids", "near_ids", "spans", "place"]
-_HIT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int32()), ("end", pa.int32())])), pa.string()]
+_HIT_NAMES = ["doc_id", "h", "n_words", "n_hit", "item_ids", "near_ids", "spans", "place"]
+_HIT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int32()), ("end", pa.int32())])), pa.string()]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_WINDOWS) -> DataFrame:
     """docs without the rows that hold a window of the benchmark; all columns are kept as they are.
 
-    The same segments and the same intersections as in search(), built for each batch as it passes, so that no text is
-    shuffled to drop a row; several blocks of windows are as many passes.
+    The stored index is searched, and rows with exact phrases go by their row_key(); no text is shuffled to drop a row.
     """
-    at, names = docs.columns.index("text"), docs.columns
-    for windows in blocks_of(benchmark, limit=limit):
-
-        def keep(batches: Iterator[pa.RecordBatch], windows: Windows = windows) -> Iterator[pa.RecordBatch]:
-            for chunk in chunks(batches, at):
-                segment = Segment.build(texts_of(chunk.column(at)))
-                _, start, _ = windows.search(segment)
-                clean = np.ones(chunk.num_rows, dtype=bool)
-                clean[np.searchsorted(segment.starts, start, side="right") - 1] = False
-                yield chunk.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(keep, docs.schema).select(*names)
-    return docs
+    doc, h = fresh(docs.columns, "__doc", "__hash")
+    hit = search(build_index(docs), benchmark, limit).where("n_hit > 0").select(F.col("doc_id").alias(doc), F.col("h").alias(h))
+    own = row_key()
+    return docs.join(checked(staged(hit.distinct(), "contaminated")), own[0].eqNullSafe(F.col(doc)) & (own[1] == F.col(h)), "left_anti")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

@@ -6,14 +6,15 @@ each sentence is one too, so that a repeated passage goes up to its last sentenc
 sentence of more than ALONE words by itself. Each run's hash (64 bits, and 32 more against collisions) is
 counted over the whole corpus with its first place, in a sum that is pre-aggregated before its shuffle. Every sentence
 that a repeated run covers anywhere but in its first place is removed, with the white space after it. First is the
-smallest (doc_id, sentence).
+smallest (doc_id, hash of the text, sentence).
 
 A run that a third of all documents share is one row of the table of repeated runs, and a join whose hot side the
 planner can split; nothing gathers the places of a run.
 
 Edge cases: null texts stay null and empty ones empty; texts without a run are kept as they are; rows with the same
-doc_id are one document, so their equal runs in equal places are no repetition; null ids come first; an empty table
-gives an empty result; other columns are kept by deduplicated() and not read by removals().
+doc_id and text are one document, so their runs are no repetition of each other, and rows of one doc_id with other texts
+are others, in the order of the text's hash; null ids come first; an empty table gives an empty result; other columns are
+kept by deduplicated(), whatever their names, and not read by removals().
 """
 
 from __future__ import annotations
@@ -27,14 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstone.llm.common import chunks, docs_of, staged, texts_of
+from loomstone.llm.common import chunks, docs_of, fresh, row_key, staged, texts_of
 
 RUN, MIN_WORDS = 2, 20
 #: A sentence of more words than this is a run of its own in any text.
 ALONE = 50
 
 _BREAK = re.compile(rb"(?<=[.!?])\s+|\n\s*")
-_RUNS = "doc_id long, h long, c int, at int, n int"
+_RUNS = "doc_id long, t long, h long, c int, at int, n int"
 
 
 def sentences_of(text: bytes) -> list[bytes]:
@@ -66,29 +67,35 @@ def runs_of(text: bytes, run: int = RUN, min_words: int = MIN_WORDS, every: bool
 
 
 def removals(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, every: bool = False) -> DataFrame:
-    """(doc_id, places): of each document with repeated sentences, the (first sentence, sentences) of what goes."""
+    """(doc_id, t, places): of each document with repeated sentences, by its row_key(), the (first sentence, sentences) of what goes."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
-            found = [runs_of(t, run, min_words, every) for t in texts_of(chunk.column(1))]
+        for chunk in chunks(batches, 2):
+            found = [runs_of(t, run, min_words, every) for t in texts_of(chunk.column(2))]
             flat = np.array([x for f in found for x in f], dtype=np.int64).reshape(-1, 4)
-            ids = chunk.column(0).take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(flat[:, 0]), *(pa.array(flat[:, k].astype(np.int32)) for k in (1, 2, 3))], ["doc_id", "h", "c", "at", "n"])
+            of = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            yield pa.RecordBatch.from_arrays([chunk.column(0).take(of), chunk.column(1).take(of), pa.array(flat[:, 0]), *(pa.array(flat[:, k].astype(np.int32)) for k in (1, 2, 3))], ["doc_id", "t", "h", "c", "at", "n"])
 
-    places = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(emit, _RUNS), "runs")
-    repeated = places.groupBy("h", "c").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    repeated = staged(repeated.select("h", "c", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at")), "repeated")
-    later = places.join(repeated, ["h", "c"]).where("NOT (doc_id <=> first_id AND at = first_at)").select("doc_id", "at", "n").distinct()
-    return later.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("places"))
+    doc, t = row_key()
+    places = staged(docs.select(doc.alias("doc_id"), t.alias("t"), F.col("text").cast("string")).mapInArrow(emit, _RUNS), "runs")
+    repeated = places.groupBy("h", "c").agg(F.min(F.struct("doc_id", "t", "at")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    repeated = staged(repeated.select("h", "c", F.col("first.doc_id").alias("first_id"), F.col("first.t").alias("first_t"), F.col("first.at").alias("first_at")), "repeated")
+    later = places.join(repeated, ["h", "c"]).where("NOT (doc_id <=> first_id AND t = first_t AND at = first_at)").select("doc_id", "t", "at", "n").distinct()
+    return later.groupBy("doc_id", "t").agg(F.collect_list(F.struct("at", "n")).alias("places"))
 
 
 def deduplicated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, every: bool = False) -> DataFrame:
-    """docs with what is repeated cut out of `text`, and the columns __sentences and __removed counting sentences."""
-    gone = removals(docs, run, min_words, every).select(F.col("doc_id").alias("__id"), F.col("places").alias("__places"))
-    joined = docs.join(staged(gone, "removals"), F.expr("doc_id <=> __id"), "left").drop("__id")
+    """docs with what is repeated cut out of `text`, and counts of sentences and of sentences cut.
+
+    The counts are the last columns, fresh(docs.columns, "__sentences", "__removed").
+    """
+    n_sentences, n_removed, doc, t, cuts = fresh(docs.columns, "__sentences", "__removed", "__doc", "__hash", "__places")
+    gone = staged(removals(docs, run, min_words, every).toDF(doc, t, cuts), "removals")
+    own = row_key()
+    joined = docs.join(gone, own[0].eqNullSafe(F.col(doc)) & (own[1] == F.col(t)), "left")
     kept = [c for c in docs.columns]
     at = kept.index("text")
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, __sentences long, __removed long"
+    schema = f"{', '.join(f'`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}' for f in docs.schema)}, {n_sentences} long, {n_removed} long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, at):
@@ -101,9 +108,9 @@ def deduplicated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, ev
                 removed.append(sum(1 for i in go if parts[i].strip()))
             columns = [chunk.column(k) for k in range(len(kept))]
             columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*kept, "__sentences", "__removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*kept, n_sentences, n_removed])
 
-    return joined.select(*[F.col(f"`{c}`") for c in kept], "__places").mapInArrow(cut, schema)
+    return joined.select(*[F.col(f"`{c}`") for c in kept], cuts).mapInArrow(cut, schema)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

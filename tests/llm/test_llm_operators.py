@@ -311,6 +311,30 @@ def test_patterns():
     assert pii_crf.patterns("4111 1111 1111 1111")
 
 
+def test_pii_of_pathological_texts(spark):
+    texts = ["1" * 1_000_000, "0" * 5000 + ".1.1.1", "1." * 200_000, "1.2.3.4.5.6.7.8 " * 3, "@a" * 20_000, "+1 " + "(" * 500_000, "x\n" * 100_000 + "a@b.c", "", None, "no trigger"]
+    df = spark.createDataFrame([(k, t, "mine") for k, t in enumerate(texts)], "doc_id long, text string, spans string")
+    found = {r["doc_id"]: r for r in pii_crf.personal_data(df).collect()}
+    assert [found[k]["n_ip"] for k in range(len(texts))] == [0, 1, 50_000, 6, 0, 0, 0, 0, 0, 0] and found[6]["n_email"] == 1
+    for k in (1, 3, 4, 6):
+        assert [found[k][c] for c in ("n_email", "n_ip", "n_card", "n_phone")] == [sum(x == kind for x, _, _ in base_by_hand(texts[k].replace("0" * 5000, "0" * 9))) for kind in range(4)]
+    assert all(r["n_spans"] == r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"] + r["n_added"] for r in found.values())
+
+
+def test_pii_recall(spark):
+    """Spans against what a rule per kind finds in the whole texts; numbers that fail their checksum are no cards."""
+    rules = (r"[\w.]+@[\w.]+\.\w+", r"\+1 \(\d{3}\) \d{3}-\d{4}", r'(?i)token = "([0-9a-f]{40})"', r"(?<![\d.])\d+\.\d+\.\d+\.\d+(?![\d.])", r"(?<!\d)\d{16}(?!\d)")
+    rows = docs_of(spark, "/root/testdata/sf0.01").select("text").collect()
+    texts = [r["text"] or "" for r in rows]
+    hit = n = clean = 0
+    for text, (base, extra) in zip(texts, pii_crf.spans_of(texts, pii_crf.model()), strict=True):
+        planted = [m for r in rules for m in re.finditer(r, text) if r != rules[4] or pii_crf.luhn(m.group())]
+        n += len(planted)
+        hit += sum(any(a < m.end() and m.start() < b for _, a, b in base + extra) for m in planted)
+        clean += not planted and bool(base or extra)
+    assert n > 30 and hit / n >= 0.95 and clean == 0
+
+
 def test_pii_held_out_and_decoding_is_exact(monkeypatch):
     crf = pii_crf.model()
     rows = pii_crf.labelled_texts(1234, 4)
@@ -544,6 +568,36 @@ def test_line_dedup(spark, edges, empty):
     assert again.count() == len(EDGES) and again.where("doc_id = 1 AND text IS NULL").count() == 1 and edit_join.deduplicated(empty).count() == 0
 
 
+def test_many_variants_of_one_template(spark):
+    rng = random.Random(13)
+    numbers = list(dict.fromkeys("".join(rng.choices("0123456789", k=6)) for _ in range(10_000)))
+    lines = [f"Item number {n} of the catalogue is no longer available." for n in numbers]
+    df = spark.createDataFrame([(k, "\n".join(lines[k : k + 100])) for k in range(0, len(lines), 100)], "doc_id long, text string")
+    first = {n: k for k, n in enumerate(numbers)}
+
+    def near(n):
+        ones = {n[:i] + c + n[i + 1 :] for i in range(6) for c in "0123456789"}
+        yield from (m[:j] + c + m[j + 1 :] for m in ones for j in range(6) for c in "0123456789")
+        cut = {n[:i] + n[i + 1 :] for i in range(6)}  # one out, one in
+        yield from (m[:j] + c + m[j:] for m in cut for j in range(6) for c in "0123456789")
+
+    want = {x for n, x in zip(numbers, lines, strict=True) if any(first.get(m, 1 << 30) < first[n] for m in near(n))}
+    assert 1000 < len(want) < len(lines)
+    kept = {x for r in edit_join.deduplicated(df).collect() for x in r["text"].split("\n") if x}
+    assert kept == set(lines) - want
+
+
+def test_hot_keys_by_blocks(spark):
+    rng = random.Random(14)
+    lines = list(dict.fromkeys("Item number " + "".join(rng.choices("01234", k=5)) + " of the catalogue." for _ in range(400)))
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id long, text string")
+    first = df.select(F.xxhash64("text").alias("id"), F.struct("doc_id", F.lit(0).cast("long").alias("h"), F.lit(0).alias("at")).alias("first"))
+    want = {k for k, x in enumerate(lines) if any(edit(x[12:17], y[12:17]) <= 2 for y in lines[:k])}
+    ids = {r[0]: r[1] for r in df.select(F.xxhash64("text"), "doc_id").collect()}
+    for hot, block in ((64, 4096), (2, 4096), (2, 30)):
+        assert {ids[r[0]] for r in edit_join.near_lines(df, first, hot=hot, block=block).collect()} == want
+
+
 # ---------------------------------------------------------------- 10
 
 
@@ -587,3 +641,37 @@ def test_positional_index(spark, edges, empty):
     assert clean == {k for k, t in [*docs, (60, None)] if not hits_by_hand(t, items)[1]}
     assert positional_index.search(positional_index.build_index(edges), bench.limit(0)).count() == len(EDGES)
     assert positional_index.search(positional_index.build_index(empty), bench).count() == 0
+
+
+def test_windows_in_parts_find_the_same(monkeypatch):
+    segment = positional_index.Segment.build([b"the the of the the of " * 40, b"of the the " * 9])
+    windows = positional_index.Windows([("a", b"the the of " * 8), ("b", b"of the"), ("c", b"the " * 12)])
+    whole = windows.search(segment)
+    monkeypatch.setattr(positional_index, "STARTS", 50)
+    for a, b in zip(whole, windows.search(segment), strict=True):
+        assert sorted(a.tolist()) == sorted(b.tolist())
+
+
+# ---------------------------------------------------------------- rows of one id, rows without an id, clashing names
+
+
+def test_rows_go_by_their_own_text(spark):
+    """Each operator judges rows of one id and rows without an id by their own texts, and keeps columns named like its own."""
+    line = [f"this is line number {a} of a text with more than twenty words in it, so that it is a run of its own kind, {a} {a}." for a in "abcdef"]
+    names = ["__id", "__gone", "__places", "__removed", "__lines", "__doc", "__hash", "__cut", "__copies", "h", "t", "key", "line", "fp"]
+    rows = [(1, f"x y\n{line[0]}\n{line[1]}"), (1, "keep a\nkeep b"), (2, f"{line[0]}\n{line[1]}\nnew"), (None, f"{line[2]}\n{line[3]}"), (None, f"{line[4]}\n{line[5]}"), (None, f"{line[0]}\n{line[1]}")]
+    df = spark.createDataFrame([(d, t, "en", *range(len(names))) for d, t in rows], "doc_id long, text string, lang string, " + ", ".join(f"{n} int" for n in names))
+    found = edit_join.deduplicated(df)
+    assert len(set(found.columns)) == len(found.columns) == len(df.columns) + 2 and found.columns[: len(df.columns)] == df.columns
+    # the row without an id comes first, and so keeps the lines that rows 1 and 2 have too
+    want = sorted([("1", "x y"), ("1", "keep a\nkeep b"), ("2", "new"), *(("None", t) for _, t in rows[3:])])
+    assert sorted((str(r["doc_id"]), r["text"]) for r in found.collect()) == want
+    found = sentence_spans.deduplicated(df)
+    assert found.columns[: len(df.columns)] == df.columns and len(set(found.columns)) == len(df.columns) + 2
+    assert sorted((str(r["doc_id"]), r["text"]) for r in found.collect()) == want
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([("b", "keep a keep b")], "item_id string, text string")
+    assert kneser_ney.accepted(df, labels).columns == df.columns
+    clean = positional_index.decontaminate(df, bench)
+    assert clean.columns == df.columns and sorted(str(r["text"]) for r in clean.collect()) == sorted(t for _, t in rows if t != "keep a\nkeep b")
+    assert simhash_vptree.deduplicated(df).columns == df.columns
