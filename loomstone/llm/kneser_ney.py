@@ -50,6 +50,8 @@ ORDER, QUANTILE, GRID = 5, 0.97, 1000
 WINDOW = 8
 #: Text bytes of a block that asks for its n-grams at once, and characters of the input to a bucket of n-grams.
 BLOCK, ASKED = 32 << 20, 4 << 20
+#: Characters turned into n-grams together; a longer text is a step of its own.
+STEP = 1 << 18
 _BITS, _MARK = 12, 1
 _CLASSES = (1 << _BITS) - 128
 _BREAKS, _SPACES = re.compile(r"\s*\n\s*"), re.compile(r"[^\S\n]+")
@@ -60,6 +62,12 @@ def grams(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]
 
     Characters are numbers under 4096; the last one of an n-gram is in the lowest bits.
     """
+    if len(texts) > 1 and sum(map(len, texts)) > STEP:  # in steps, as the arrays between are several times the result
+        ends = np.cumsum([len(t) for t in texts]) // STEP
+        cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+        if len(cuts) > 2:
+            codes, sizes = zip(*(grams(texts[a:b], order) for a, b in zip(cuts, cuts[1:], strict=False)), strict=True)
+            return np.concatenate(codes), np.concatenate(sizes)
     # no text holds a surrogate, so one before each tells where it begins, and white space runs do not cross it
     plain = _SPACES.sub(" ", _BREAKS.sub("\n", "\ud800".join(["", *texts])))
     points = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
