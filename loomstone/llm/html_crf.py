@@ -7,16 +7,17 @@ trained in this process on labelled pages that the generator below writes from m
 in padded numpy batches.
 
 Broken markup is normal: a paragraph ends where a block begins, unknown ends are ignored, a tag cut off by the end of the
-page is dropped, script and style end at their own end tag only.
+page is dropped, a quote that never closes is a character, script and style end at their own end tag only.
 
-Edge cases: null or empty html gives empty text; rows repeat freely; pages of any length are whole, with no block dropped
-for its size; an empty table gives an empty result; other columns are not read.
+Edge cases: null or empty html gives empty text; rows repeat freely; pages of any length and depth are whole, read in time
+linear in their length, with no block or feature dropped; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -33,7 +34,7 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SKIPPED = frozenset("head title script style noscript template svg iframe textarea select button option video".split())
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_NAME, _STOP = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)"), re.compile(r"[>\"']")
 _NAMED = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _ENDS = {k: re.compile(rf"</{k}[^>]*(?:>|\Z)", re.I) for k in ("script", "style")}
 
@@ -50,11 +51,10 @@ TOPICS = {
     "form": "form search login signup register contact input".split(),
     "meta": "meta byline author date time caption credit".split(),
 }
+_HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
 _TOPIC_OF = {word: t for t, words in TOPICS.items() for word in words}
 _TAGS = ("article", "main", "section", "aside", "nav", "header", "footer", "form", "ul", "ol", "table", "figure", "blockquote", "div", "dialog", "details", "menu", "fieldset")
 _OWN = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "div", "blockquote", "pre", "figcaption", "dd", "dt", "section", "article", "footer", "header", "nav", "label", "body", "summary", "legend", "main", "aside", "form")
-SLOTS = 26
-
 #: Feature numbers, dealt out in the order of this list; 0 is padding.
 FEATURES = {
     name: k
@@ -70,11 +70,25 @@ FEATURES = {
 class Block:
     __slots__ = ("linked", "own", "tags", "text", "topics", "own_topics")
 
-    def __init__(self, text: str, linked: int, stack: list[tuple[str, frozenset[str]]]):
+    def __init__(self, text: str, linked: int, inner: Open):
         self.text, self.linked = text, linked
-        self.own, self.own_topics = (stack[-1][0], stack[-1][1]) if stack else ("?", frozenset())
-        self.tags = {t for t, _ in stack}
-        self.topics = {x for _, topics in stack for x in topics}
+        self.own, self.own_topics, self.tags, self.topics = inner.tag, inner.own_topics, inner.tags, inner.topics
+
+
+class Open:
+    """An open tag, with the tags and topics of all that is open there; sets are shared with the tag around it."""
+
+    __slots__ = ("own_topics", "skipped", "tag", "tags", "topics")
+
+    def __init__(self, tag: str, own_topics: frozenset[str], around: Open | None):
+        self.tag, self.own_topics = tag, own_topics
+        self.tags = around.tags if around and tag in around.tags else (around.tags | {tag} if around else frozenset({tag}))
+        self.topics = around.topics if around and own_topics <= around.topics else (around.topics | own_topics if around else own_topics)
+        self.skipped = tag in SKIPPED or bool(around and around.skipped)
+
+
+_NOWHERE = Open("?", frozenset(), None)
+_NOWHERE.tags = frozenset()
 
 
 def topics_of(attributes: str) -> frozenset[str]:
@@ -91,35 +105,51 @@ def topics_of(attributes: str) -> frozenset[str]:
 def blocks_of(page: str) -> list[Block]:
     """The leaf blocks in page order."""
     blocks: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack = [_NOWHERE]
+    opened: Counter[str] = Counter()
     parts: list[str] = []
-    linked, in_link, skipping, at = 0, 0, 0, 0
+    linked, in_link, at = 0, 0, 0
+    last = {q: page.rfind(q) for q in "\"'"}
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html_lib.unescape("".join(parts)).split())
-            if text and not skipping:
-                blocks.append(Block(text, linked, stack))
+            if text and not stack[-1].skipped:
+                blocks.append(Block(text, linked, stack[-1]))
             parts.clear()
         linked = 0
 
-    while at < len(page):
-        m = _TAG.search(page, at)
-        text = page[at : m.start()] if m else page[at:]
-        if text:
-            if not skipping:
-                parts.append(text)
-                linked += len(text) if in_link else 0
-        if not m:
+    def pop() -> None:
+        opened[stack.pop().tag] -= 1
+
+    begin = 0  # of text that no tag has ended yet
+    while True:
+        at = page.find("<", at)
+        at = len(page) if at < 0 else at
+        m = _NAME.match(page, at)
+        if at < len(page) and not m and page[at + 1 : at + 2] not in ("!", "?"):
+            at += 1  # a plain less-than sign
+            continue
+        if begin < at and not stack[-1].skipped:
+            parts.append(page[begin:at])
+            linked += at - begin if in_link else 0
+        if at == len(page):
             break
-        at = m.end()
-        if m[2] is None:
+        if not m:
+            comment = page.startswith("<!--", at)
+            end = page.find("-->", at + 4) if comment else page.find(">", at + 2)
+            at = begin = len(page) if end < 0 else end + (3 if comment else 1)
             continue
+        stop = m.end()
+        while (n := _STOP.search(page, stop)) and n.group() != ">":
+            stop = page.find(n.group(), n.end()) + 1 if last[n.group()] >= n.end() else n.end()
+        attributes, at = page[m.end() : n.start() if n else len(page)], n.end() if n else len(page)
+        begin = at
         tag, closing = m[2].lower(), bool(m[1])
         if tag in _ENDS and not closing:
             end = _ENDS[tag].search(page, at)
-            at = end.end() if end else len(page)
+            at = begin = end.end() if end else len(page)
             continue
         if tag not in BLOCK and tag not in SKIPPED:
             if tag == "br":
@@ -130,22 +160,23 @@ def blocks_of(page: str) -> list[Block]:
         flush()
         in_link = 0
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if depth >= 0:
-                del stack[depth:]
-        elif tag not in VOID and not m[3].endswith("/"):
+            if opened[tag]:
+                while stack[-1].tag != tag:
+                    pop()
+                pop()
+        elif tag not in VOID and not attributes.endswith("/"):
             closes = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "body": ("head",)}.get(tag, ())
-            while stack and (stack[-1][0] in ("p", *closes) or re.fullmatch("h[1-6]", stack[-1][0]) and re.fullmatch("h[1-6]", tag)):
-                stack.pop()
-            stack.append((tag, topics_of(m[3])))
-        skipping = sum(t in SKIPPED for t, _ in stack)
+            while stack[-1].tag in ("p", *closes) or tag in _HEADINGS and stack[-1].tag in _HEADINGS:
+                pop()
+            stack.append(Open(tag, topics_of(attributes), stack[-1]))
+            opened[tag] += 1
     flush()
     return blocks
 
 
-def features_of(blocks: list[Block]) -> np.ndarray:
-    """Feature numbers (blocks, SLOTS), padded by 0."""
-    out = np.zeros((len(blocks), SLOTS), dtype=np.int64)
+def features_of(blocks: list[Block]) -> list[list[int]]:
+    """Feature numbers of each block."""
+    out = []
     has_article = any("article" in b.tags for b in blocks)
     has_main = any("main" in b.tags for b in blocks)
     no_part = not (has_article or has_main)
@@ -179,8 +210,15 @@ def features_of(blocks: list[Block]) -> np.ndarray:
             if inside:
                 rest = [o for o in ("aside", "nav", "header", "footer", "form", "ul") if o in b.tags] + [o for o in ("ad", "comment", "side", "notice", "meta") if o in b.topics]
                 names += [f"inside:{t}:{o}" for o in rest or ("plain",)]
-        numbers = sorted({FEATURES[n] for n in names})[:SLOTS]
-        out[k, : len(numbers)] = numbers
+        out.append(sorted({FEATURES[n] for n in names}))
+    return out
+
+
+def padded(features: list[list[int]]) -> np.ndarray:
+    """(blocks, slots) as wide as the longest, padded by 0."""
+    sizes = np.fromiter(map(len, features), dtype=np.int64, count=len(features))
+    out = np.zeros((len(features), int(sizes.max(initial=1))), dtype=np.int64)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = [x for f in features for x in f]
     return out
 
 
@@ -283,11 +321,11 @@ def model(seed: int = 3) -> Crf:
     rows = []
     for page, kept, before in labelled_pages(seed):
         blocks = blocks_of(page)
-        rows.append((features_of(blocks), labels_of(blocks, kept, before)))
-    time = max(len(label) for _, label in rows)
-    features, labels = np.zeros((len(rows), time, SLOTS), dtype=np.int64), np.zeros((len(rows), time), dtype=np.int64)
+        rows.append((padded(features_of(blocks)), labels_of(blocks, kept, before)))
+    time, slots = max(len(label) for _, label in rows), max(f.shape[1] for f, _ in rows)
+    features, labels = np.zeros((len(rows), time, slots), dtype=np.int64), np.zeros((len(rows), time), dtype=np.int64)
     for k, (f, label) in enumerate(rows):
-        features[k, : len(f)], labels[k, : len(f)] = f, label
+        features[k, : len(f), : f.shape[1]], labels[k, : len(f)] = f, label
     return Crf(len(FEATURES) + 1, 2).train(features, labels, np.array([len(label) for _, label in rows]), rounds=140, penalty=2e-5)
 
 
@@ -303,10 +341,12 @@ def main_texts(pages: list[str], crf: Crf) -> list[str]:
         step = max(1, (1 << 16) // time)
         for b in range(0, len(who), step):
             some = who[b : b + step]
-            features = np.zeros((len(some), time, SLOTS), dtype=np.int64)
+            scores = np.zeros((len(some), time, crf.emit.shape[1]))
             for i, k in enumerate(some):
-                features[i, : sizes[k]] = features_of(parsed[k])
-            labels = crf.viterbi(crf.scores(features), sizes[some])
+                features = features_of(parsed[k])
+                for c in range(0, len(features), 1 << 14):
+                    scores[i, c : c + (1 << 14)][: len(features) - c] = crf.scores(padded(features[c : c + (1 << 14)]))
+            labels = crf.viterbi(scores, sizes[some])
             for i, k in enumerate(some):
                 out[k] = "\n".join(x.text for x, keep in zip(parsed[k], labels[i].tolist(), strict=False) if keep)
     return out

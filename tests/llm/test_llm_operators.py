@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -271,6 +272,21 @@ def test_pages(spark):
     assert html_crf.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, n", [("<div>x" * 100_000, 100_000), ("<a " * 200_000 + "'", 0), ("<div>" * 50_000 + "</x>" * 50_000 + "y", 1), ("<" * 300_000 + "z", 1), ("<p title='" * 100_000 + "x", 0), ("<!--" * 100_000, 0), ("<div class='ad nav'>" * 50_000 + "x", 1)])
+def test_pages_in_linear_time(page, n):
+    began = time.process_time()
+    blocks = html_crf.blocks_of(page)
+    assert len(blocks) == n and len(html_crf.features_of(blocks)) == n and time.process_time() - began < 20
+
+
+def test_pages_keep_all_features():
+    names = " ".join(words[0] for words in html_crf.TOPICS.values())
+    page = "".join(f"<{t} class='{names}'>" for t in ("main", "article", "aside", "nav", "header", "footer", "form", "ul", "section", "blockquote")) + "Some text."
+    (features,) = html_crf.features_of(html_crf.blocks_of(page))
+    assert html_crf.FEATURES["inside:content:meta"] in features and html_crf.FEATURES["inside:article:comment"] in features and len(features) > 50
+    assert html_crf.padded([features, [1]]).shape == (2, len(features))
+
+
 def test_crf_is_exact():
     rng = np.random.default_rng(0)
     crf = Crf(5, 3)
