@@ -4,8 +4,10 @@ Every text gives counts (words, characters in words, symbols, repeated lines, wo
 limits fail some texts outright. The others become vectors of transformed statistics. For each language and source the
 location and scatter of the h = COVERAGE share of vectors with the smallest determinant are approached from the
 coordinatewise medians and deviations by concentration steps: distances under the present estimate, the h share with the
-smallest, its mean and covariance. A vector is rejected if its squared Mahalanobis distance under the final, consistently
-scaled estimate is over CUTOFF.
+smallest, its mean and covariance. Steps go on until no group's log determinant moves by more than TOLERANCE; they never
+raise it, and the start is robust, so one start is enough for what is far from the bulk. A vector is rejected if its
+squared Mahalanobis distance under the final estimate, scaled to be consistent for normal vectors, is over the chi-squared
+quantile of 1 - TAIL.
 
 Each step is two sums per group that are pre-aggregated before their shuffle: a histogram of the distances, from which
 the h-th smallest follows on a grid of GRID steps per doubling, and the moments. A source that holds a third of all rows
@@ -13,7 +15,7 @@ is a few thousand partial sums. Texts are read once; the steps run over the stor
 are judged by the estimate of their language over all sources, made in the same steps.
 
 Edge cases: null counts as empty and fails the base; null languages and sources are groups; equal vectors, whose scatter
-is singular, are held apart from zero by FLOORS; rows repeat freely; an empty table gives an empty result; other columns
+is singular, are held apart from zero by least standard deviations; rows repeat freely; an empty table gives an empty result; other columns
 are not read.
 """
 
@@ -26,10 +28,12 @@ from pyspark.sql import functions as F
 
 from loomstone.llm.common import checked, docs_of, staged
 
-#: Share of vectors that an estimate rests on, concentration steps, steps per doubling of the histograms, least group.
-COVERAGE, STEPS, GRID, LEAST = 0.75, 4, 32, 60
-#: Squared distance from which a vector is an outlier.
-CUTOFF = 60.0
+#: Share of vectors that an estimate rests on, steps per doubling of the histograms, least group.
+COVERAGE, GRID, LEAST = 0.75, 32, 60
+#: Change of a log determinant under which a group stands, and steps after which it must.
+TOLERANCE, STEPS = 1e-3, 30
+#: Share of normal vectors that are taken for outliers.
+TAIL = 1e-6
 
 _SPACE = r"[\\x20\\x09-\\x0D]"
 #: The coordinates: name, SQL over the counts, and the least standard deviation that an estimate may have in it.
@@ -68,6 +72,11 @@ def consistency(k: int = len(COORDINATES), share: float = COVERAGE) -> float:
     return share / chi2_cdf(chi2_quantile(share, k), k + 2)
 
 
+def cutoff(tail: float = TAIL) -> float:
+    """Squared distance from which a vector is an outlier."""
+    return chi2_quantile(1 - tail, len(COORDINATES))
+
+
 def counts(docs: DataFrame) -> DataFrame:
     """The base counts of each whole text, and its language and source."""
     plain = docs.selectExpr("cast(doc_id AS long) AS doc_id", "coalesce(cast(lang AS string), '') AS lang", "coalesce(cast(source AS string), '') AS source", "coalesce(cast(text AS string), '') AS text")
@@ -118,7 +127,7 @@ def _with_distance(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
     return joined.withColumn("d2", d2)
 
 
-def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
+def estimates(vectors: DataFrame) -> DataFrame:
     """(lang, grp, size, m_i, l_i_j): location and Cholesky factor of the scatter of each group of the vectors."""
     p = len(DIMS)
     long = vectors.select("lang", "grp", F.posexplode(F.array(*DIMS)).alias("dim", "x"))
@@ -131,7 +140,8 @@ def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
     diagonal = {i: (F.greatest(1.4826 * F.col(f"{i}_mad") / 1000, F.lit(floors[i])) ** 2) for i in range(p)}
     start = start.join(sizes, ["lang", "grp"]).select("lang", "grp", "size", *[(F.col(f"{i}_median") / 1000).alias(f"m_{i}") for i in range(p)], *[(diagonal[i] if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i in range(p) for j in range(i + 1)])
     estimate = staged(_factor(start), "estimate")
-    for step in range(steps):
+    log_det = sum((F.log(f"l_{i}_{i}") for i in range(p)), F.lit(0.0)) * 2
+    for _ in range(STEPS):
         away = _with_distance(vectors, estimate).withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-9) * GRID))
         limits = staged(_share_point(away, F.col("bin"), COVERAGE, "limit", "lang", "grp"), "limits")
         inner = away.join(checked(limits), ["lang", "grp"]).where("bin <= limit")
@@ -141,29 +151,32 @@ def estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
             F.count("*").alias("h"), F.first("size").alias("size"), *[F.first(f"m_{i}").alias(f"old_{i}") for i in range(p)],
             *[F.sum(offset[i]).alias(f"s_{i}") for i in range(p)], *[F.sum(offset[i] * offset[j]).alias(f"s_{i}_{j}") for i in range(p) for j in range(i + 1)],
         )
-        scale = consistency() if step == steps - 1 else 1.0
 
-        def covariance(i: int, j: int, scale: float = scale) -> Column:
-            plain = scale * (F.col(f"s_{i}_{j}") / F.col("h") - F.col(f"s_{i}") * F.col(f"s_{j}") / F.col("h") ** 2)
-            return F.round(plain + (floors[i] ** 2 if i == j else 0.0), 9).alias(f"c_{i}_{j}")
+        def covariance(i: int, j: int) -> Column:
+            plain = F.col(f"s_{i}_{j}") / F.col("h") - F.col(f"s_{i}") * F.col(f"s_{j}") / F.col("h") ** 2
+            return F.round(F.greatest(plain, F.lit(floors[i] ** 2)) if i == j else plain, 9).alias(f"c_{i}_{j}")
 
         moved = sums.select("lang", "grp", "size", *[F.round(F.col(f"old_{i}") + F.col(f"s_{i}") / F.col("h"), 9).alias(f"m_{i}") for i in range(p)], *[covariance(i, j) for i in range(p) for j in range(i + 1)])
-        estimate = staged(_factor(moved), "estimate")
-    return estimate
+        before, estimate = estimate, staged(_factor(moved), "estimate")
+        both = before.select("lang", "grp", log_det.alias("before")).join(estimate.select("lang", "grp", log_det.alias("after")), ["lang", "grp"])
+        if (both.agg(F.max(F.abs(F.col("after") - F.col("before")))).first()[0] or 0.0) <= TOLERANCE:
+            break
+    scale = math.sqrt(consistency())
+    return estimate.select("lang", "grp", "size", *[f"m_{i}" for i in range(p)], *[(F.col(f"l_{i}_{j}") * scale).alias(f"l_{i}_{j}") for i in range(p) for j in range(i + 1)])
 
 
-def judged(docs: DataFrame, cutoff: float = CUTOFF, steps: int = STEPS, least: int = LEAST) -> DataFrame:
+def judged(docs: DataFrame, tail: float = TAIL, least: int = LEAST) -> DataFrame:
     """(doc_id, counts, base_failed, kept, distance) of each row; distance is null where the base failed."""
     held = staged(counts(docs), "counts").withColumns({c: F.expr(sql) for c, sql, _ in COORDINATES})
     passed = held.where("NOT base_failed").select("lang", F.explode(F.array(F.concat(F.lit("="), "source"), F.lit("*"))).alias("grp"), *DIMS)
     # both levels at once: a row counts for its source and for its language
-    estimate = estimates(passed, steps)
+    estimate = estimates(passed)
     known = checked(staged(estimate.where((F.col("size") >= least) & (F.col("grp") != "*")).select("lang", "grp", F.lit(True).alias("own")), "own"))
     named = held.withColumn("grp", F.concat(F.lit("="), "source")).join(known, ["lang", "grp"], "left")
     named = named.withColumn("grp", F.when(F.col("own"), F.col("grp")).otherwise(F.lit("*")))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     # a language whose every text fails the base has no estimate, and needs none
-    far = _with_distance(named.where("NOT base_failed"), estimate).select(*base, (F.col("d2") <= cutoff).alias("kept"), F.round("d2", 6).alias("distance"))
+    far = _with_distance(named.where("NOT base_failed"), estimate).select(*base, (F.col("d2") <= cutoff(tail)).alias("kept"), F.round("d2", 6).alias("distance"))
     return far.unionByName(held.where("base_failed").select(*base, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")))
 
 
