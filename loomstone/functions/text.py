@@ -15,7 +15,8 @@ BARE = r"(?U)(?<![\w/])#(\d+)\b"
 CLOSING = r"(?iU)\b(?:close[sd]?|fix(?:e[sd])?|resolve[sd]?)\b[\s:]*#(\d+)"
 CLOSES, MENTIONS, API = "closes", "mentions", "api"
 
-# Timestamps, URL forms.
+# Timestamps, URL forms, the mark of a shortened output.
+TRUNCATED = "... [truncated] "
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 SLUG = r"github\.com[:/]+([^/\s]+)/([^/\s]+?)(?:\.git)?/?$"
 REMOTE = r"^(?:(?:https?|ssh)://[^/\s]+(?:/[^ \t\r\n]*)?|git@[^:\s]+:[^ \t\r\n]+)$"
@@ -85,8 +86,9 @@ def is_remote(url: Column) -> Column:
 
 
 def tail(text: Column, n: int = 500) -> Column:
-    """The last n characters, with three dots before them if more went."""
-    return F.when(F.length(text) > n, F.concat(F.lit("..."), F.right(text, F.lit(n)))).otherwise(text)
+    """The text without white space at its ends, empty for null; of a longer one the last n characters, told by TRUNCATED."""
+    bare = strip(F.coalesce(text, F.lit("")))
+    return F.when(F.length(bare) > n, F.concat(F.lit(TRUNCATED), F.right(bare, F.lit(n)))).otherwise(bare)
 
 
 def normal_path(new: Column, old: Column) -> Column:

@@ -22,28 +22,29 @@ def split_files(diffs: DataFrame, unit: str = "sha1", raw: str = "raw", keep_mar
     A line that starts with "--- " or "+++ " is a header line wherever it stands, so a removed line of "-- x" is lost;
     keep_marked keeps such lines inside a hunk. Text before the first header is no file.
 
-    One pass inside each row: a fold over its lines carries the files so far, so no diff leaves its task.
+    The text is cut at its headers inside the row, by higher-order functions, so no diff leaves its task and two rows of
+    one unit stay apart. A row without any file is left out.
     """
-    lines = diffs.select(unit, F.posexplode(F.split(F.col(raw), "\n", -1)).alias("pos", "line"))
-    by_unit = "PARTITION BY `{0}` ORDER BY pos".format(unit)
-    numbered = lines.withColumn("fileno", F.expr(f"sum(CASE WHEN startswith(line, '{HEADER}') THEN 1 ELSE 0 END) OVER ({by_unit})"))
-    if keep_marked:
-        numbered = numbered.withColumn("hunk", F.expr(f"max(CASE WHEN line rlike '^@@ .*? @@' THEN fileno ELSE 0 END) OVER ({by_unit})"))
-        marked = (F.col("line").startswith("--- ") | F.col("line").startswith("+++ ")) & (F.col("hunk") != F.col("fileno"))
-    else:
-        marked = F.col("line").startswith("--- ") | F.col("line").startswith("+++ ")
-    own = numbered.where("fileno > 0")
-    body = ~(F.col("line").startswith(HEADER) | F.col("line").rlike("^@@ .*? @@") | marked)
-    sign = F.substring("line", 1, 1)
-    entry = F.struct("pos", F.substring("line", 2, 1 << 30).alias("text"))
-    grouped = own.groupBy(unit, "fileno").agg(
-        F.max(F.when(F.col("line").startswith(HEADER), diff_path(F.col("line")))).alias("file"),
-        F.array_sort(F.collect_list(F.when(body & (sign == "+"), entry))).alias("added"),
-        F.array_sort(F.collect_list(F.when(body & (sign == "-"), entry))).alias("removed"),
-    )
-    files = grouped.select(unit, "fileno", "file", F.col("added.text").alias("added"), F.col("removed.text").alias("removed"), F.size("added").alias("n_added"), F.size("removed").alias("n_removed"))
-    ranked = F.struct((-(F.col("n_added") + F.col("n_removed"))).alias("churn"), "fileno", F.struct("file", "added", "removed", "n_added", "n_removed").alias("f"))
-    return files.groupBy(unit).agg(F.transform(F.array_sort(F.collect_list(ranked)), lambda x: x["f"]).alias("files"))
+    unmarked = lambda x: ~(x.startswith("--- ") | x.startswith("+++ "))
+
+    def of_sign(lines: Column, sign: str) -> Column:
+        """The file's lines of a sign, without it; lines[0] is the rest of the header."""
+        hunk = F.array_position(F.transform(lines, lambda x: x.rlike("^@@ .*? @@")), True)  # from 1, 0 if there is none
+        inside = lambda i: (hunk > 0) & (i >= hunk) if keep_marked else F.lit(False)
+        own = F.filter(lines, lambda x, i: (i > 0) & x.startswith(sign) & (unmarked(x) | inside(i)))
+        return F.transform(own, lambda x: F.substring(x, 2, 1 << 30))
+
+    def entry(lines: Column, place: Column) -> Column:
+        return F.struct(place.alias("place"), diff_path(F.concat(F.lit(HEADER), lines[0])).alias("file"), of_sign(lines, "+").alias("added"), of_sign(lines, "-").alias("removed"))
+
+    def sized(f: Column) -> Column:
+        n_added, n_removed = F.size(f["added"]), F.size(f["removed"])
+        return F.struct((-(n_added + n_removed)).alias("churn"), f["place"].alias("place"), F.struct(f["file"].alias("file"), f["added"].alias("added"), f["removed"].alias("removed"), n_added.alias("n_added"), n_removed.alias("n_removed")).alias("f"))
+
+    bodies = F.slice(F.split(F.col(raw), f"(?dm)^{HEADER}", -1), 2, 1 << 30)
+    listed = F.transform(F.transform(bodies, lambda x: F.split(x, "\n", -1)), entry)
+    ranked = F.array_sort(F.transform(listed, sized))
+    return diffs.select(unit, F.transform(ranked, lambda x: x["f"]).alias("files")).where(F.size("files") > 0)
 
 
 def capped(files: DataFrame, most: int | None) -> DataFrame:

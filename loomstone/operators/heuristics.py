@@ -7,6 +7,8 @@ per operation; density is a ratio; the category of an unknown type is "Unclassif
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,13 +94,15 @@ def causality() -> Column:
 
 
 def coverage_gap(refactorings: DataFrame, violations: DataFrame, threshold: float = 0.5) -> float:
-    """The share of refactored commits without violations rows; over the threshold it is an error."""
+    """The share of refactored commits without violations rows; over the threshold it is an error, from there down a warning."""
     if not 0 <= threshold <= 1:
         raise ValueError("the threshold is a share between 0 and 1")
     total, missing = gap_counts(refactorings, violations).first()
     gap = missing / total if total else 0.0
     if gap > threshold:
         raise CoverageError(f"CRITICAL: {gap:.1%} of refactored commits have no findings")
+    if gap:
+        warnings.warn(f"Data Mismatch Detected: {gap:.1%} of refactored commits have no findings", stacklevel=2)
     return gap
 
 

@@ -53,10 +53,10 @@ class EdgeRoute:
 
 
 def check_inputs(tables: Tables) -> None:
-    if tables.lineage.isEmpty():
-        raise LinkInputError("the commit universe is empty; run the lineage stage first")
     if "sha" not in tables.lineage.columns:
         raise LinkInputError("the lineage is of an old format; run its stage again")
+    if tables.lineage.isEmpty():
+        raise LinkInputError("the commit universe is empty; run the lineage stage first")
     if tables.prs.isEmpty() and tables.issues.isEmpty() and tables.commits.isEmpty():
         raise LinkInputError("no channel records to link; mine a channel first")
 
@@ -169,7 +169,8 @@ def with_membership(edges: DataFrame, **tables: DataFrame | None) -> DataFrame:
 
 
 def link(t: Tables) -> DataFrame:
-    """The whole edge table in its fixed order."""
+    """The whole edge table in its fixed order, or an error that tells which input is missing."""
+    check_inputs(t)
     edges = with_membership(with_exact(deduped(collect(t))), ledger=t.ledger, refm=t.refm, ck=t.structure)
     return edges.select(*EDGE, "exact", "in_ledger", "in_refm", "in_ck").orderBy("source_channel", "source_id", "target_sha", "route")
 

@@ -9,7 +9,7 @@ from pathlib import Path
 # Flags, stages and channels.
 VERSION, UNIVERSE, FULL, SAMPLE, BATCH, PLATFORM, CHANNEL = "version", "universe", "full", "sample", "batch", "platform", "channel"
 CHANNELS = {"git": ("commits",), "github": ("issues", "prs", "pr_reviews", "comments")}
-EXCLUSIVE = ((UNIVERSE, FULL), (UNIVERSE, VERSION), (FULL, VERSION))
+EXCLUSIVE = ((VERSION, UNIVERSE), (VERSION, SAMPLE), (UNIVERSE, FULL))
 DEFAULT_BATCH = 50
 
 

@@ -431,7 +431,7 @@ def repo_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "supplier").select("s_suppkey", T.slug(url).alias("slug"), T.safe_folder(url).alias("folder"), T.is_remote(url).alias("remote"))
 
 
-@query("SELECT doc_id, CASE WHEN length(text) > 500 THEN '...' || right(text, 500) ELSE text END AS tail FROM documents")
+@query(r"SELECT doc_id, CASE WHEN length(t) > 500 THEN '... [truncated] ' || right(t, 500) ELSE t END AS tail FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '^[\s\x0B\x1C-\x1F\x{85}\x{A0}]+|[\s\x0B\x1C-\x1F\x{85}\x{A0}]+$', '', 'g') AS t FROM documents)")
 def output_tail(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.tail(F.col("text")).alias("tail"))
 

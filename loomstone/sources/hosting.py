@@ -106,8 +106,8 @@ Fetch = Callable[[str | None, dict[str, str]], tuple[list[dict], str | None]]
 def walk(fetch: Fetch, params: dict[str, str], offset: dict, since: bool, pages: int = 0) -> Iterator[tuple[list[dict], dict]]:
     """(items, offset after them) of each page from an offset on.
 
-    At the end of a walk that may be windowed, a new window starts at the newest creation time seen; it ends when a
-    window brings nothing newer. Overlaps repeat items and lose none.
+    At the end of a walk that may be windowed, a new window starts at the newest creation time seen, however short its last
+    page was; it ends when a window brings nothing newer. Overlaps repeat items and lose none.
     """
     now, done = dict({"page": 0, "next": None, "since": None, "newest": None, "complete": False} | offset), 0
     while not now["complete"] and (pages <= 0 or done < pages):
@@ -115,7 +115,7 @@ def walk(fetch: Fetch, params: dict[str, str], offset: dict, since: bool, pages:
         newest = max([x.get("created_at") or "" for x in items] + [now["newest"] or ""]) or None
         now = now | {"page": now["page"] + 1, "next": cursor, "newest": newest}
         if not cursor:
-            newer = since and newest and (now["since"] or "") < newest and len(items) >= PAGE_SIZE
+            newer = since and newest and (now["since"] or "") < newest
             now |= {"since": newest if newer else now["since"], "complete": not newer}
         done += 1
         yield items, now

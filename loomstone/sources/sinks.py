@@ -14,13 +14,19 @@ from pyspark.sql import functions as F
 from loomstone.sources.files import exists
 
 
-def append_new(records: DataFrame, path: str, unit: str) -> None:
-    """Appends records whose id the table does not hold; the first of equal ids in a batch counts."""
-    fresh = records.where(F.col(unit).isNotNull()).dropDuplicates([unit])
+def append_new(records: DataFrame, path: str, unit: str, *order: str) -> None:
+    """Appends records whose id the table does not hold; the first delivered of equal ids in a batch counts.
+
+    First is told by the columns of `order` (a page and place, say), else by the rows' place in their partitions.
+    """
+    place, held_unit = "__place", "__unit"
+    first = records.where(F.col(unit).isNotNull()).withColumn(place, F.struct(*(order or (F.monotonically_increasing_id(),))))
+    names = [F.col(f"`{c}`") for c in records.columns]
+    fresh = first.groupBy(F.col(unit).alias(held_unit)).agg(F.min_by(F.struct(*names), place).alias("first")).select(*[F.col("first")[c].alias(c) for c in records.columns])
     spark = records.sparkSession
     if exists(spark, path):
-        held = spark.read.parquet(path).select(F.col(unit).cast("string").alias("__unit"))
-        fresh = fresh.join(held, fresh[unit].cast("string") == F.col("__unit"), "left_anti")
+        held = spark.read.parquet(path).select(F.col(unit).cast("string").alias(held_unit))
+        fresh = fresh.join(held, fresh[unit].cast("string") == F.col(held_unit), "left_anti")
     fresh.write.mode("append").parquet(path)
 
 

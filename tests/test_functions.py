@@ -66,7 +66,8 @@ def test_names(spark):
     assert one(spark, T.version(F.lit("rel_10_2_1"))) == "10.2.1"
     assert one(spark, T.source_path(F.lit("C:\\x\\src\\a\\lib\\B.java"))) == "src/a/lib/B.java"
     assert one(spark, T.repo_relative(F.lit("/w/r/a.java"), "/w/r")) == "a.java"
-    assert one(spark, T.tail(F.lit("abcdef"), 3)) == "...def"
+    assert one(spark, T.tail(F.lit(" abcdef\n"), 3)) == "... [truncated] def"
+    assert one(spark, T.tail(F.lit(" abc \n"), 3)) == "abc" and one(spark, T.tail(F.lit(None).cast("string"))) == ""
     assert one(spark, T.is_remote(F.lit("https://h/x"))) and not one(spark, T.is_remote(F.lit("x y")))
     with pytest.raises(Exception, match="dash"):
         one(spark, T.is_remote(F.lit("--upload-pack=x")))
