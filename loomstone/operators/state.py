@@ -40,3 +40,10 @@ def next_batch(units: DataFrame, order: str, limit: int) -> DataFrame:
     """The first units in order; a limit of zero or less takes all."""
     ordered = units.orderBy(order)
     return ordered.limit(limit) if limit > 0 else ordered
+
+
+def records_without_state(records: DataFrame, processed: DataFrame) -> DataFrame:
+    """One row, disagree: whether there are records though no progress is recorded, as after a lost state file."""
+    some = lambda df, held: df.limit(1).select(F.lit(held).alias("held"))
+    seen = some(records, True).unionByName(some(processed, False))
+    return seen.agg((F.coalesce(F.bool_or("held"), F.lit(False)) & F.coalesce(F.bool_and("held"), F.lit(False))).alias("disagree"))

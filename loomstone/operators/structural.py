@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstone.schemas import LEDGER
+
 # Paths that are not production code.
 NON_PRODUCTION = (
     r"(?:^|/)src/(?:test|tests|testinputs|it)/",
@@ -43,3 +45,15 @@ def status(exit_ok: Column, timed_out: Column, class_file: Column, n_classes: Co
 def csv_source(path: Column) -> Column:
     """Where a metrics file was found: the run's own folder, the repository's root, or nowhere."""
     return F.when(path.isNull(), "absent").when(path.contains("/tmp"), "temp").otherwise("repo_root")
+
+
+def java_only(modifications: Column) -> Column:
+    """The changes of files whose name ends with .java, by case; those without any path go."""
+    path = lambda m: F.coalesce(F.nullif(m["file"], F.lit("")), F.nullif(m["old_file"], F.lit("")))
+    return F.filter(modifications, lambda m: F.coalesce(path(m).endswith(".java"), F.lit(False)))
+
+
+def ledger(landed: DataFrame, value: str = "value") -> DataFrame:
+    """Commits with their changed Java files, from landed JSON lines; a line that is no JSON goes."""
+    parsed = landed.select(F.from_json(value, LEDGER).alias("j")).where("j.sha IS NOT NULL").select("j.*")
+    return parsed.withColumn("modifications", F.coalesce(java_only(F.col("modifications")), F.array().cast(parsed.schema["modifications"].dataType)))

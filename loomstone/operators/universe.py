@@ -110,3 +110,10 @@ def match_versions(versions: DataFrame, tags: DataFrame) -> DataFrame:
     tried = versions.select(F.col("version").alias("wanted"), F.posexplode(candidates(F.col("version"))).alias("k", "version"))
     hit = tried.join(tag_map(tags), "version")
     return hit.groupBy("wanted").agg(F.min_by(F.struct("tag", "sha"), "k").alias("t")).select(F.col("wanted").alias("version"), "t.tag", "t.sha")
+
+
+def reachable_against_manifest(reached: DataFrame, manifests: DataFrame) -> DataFrame:
+    """(repo, reachable, head_commits, agrees): commits reached from each head, and how many the manifest tells; null agrees with all."""
+    counted = reached.groupBy("repo").agg(F.count_distinct("sha").alias("reachable"))
+    both = manifests.select("repo", "head_commits").join(counted, "repo", "left").withColumn("reachable", F.coalesce("reachable", F.lit(0).cast("bigint")))
+    return both.select("repo", "reachable", "head_commits", F.coalesce(F.nullif("head_commits", F.lit(0)) == F.col("reachable"), F.lit(True)).alias("agrees"))

@@ -543,3 +543,35 @@ def avg_complexity(spark: SparkSession, d: str) -> DataFrame:
 def purity_score(spark: SparkSession, d: str) -> DataFrame:
     per = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("operations"), F.sum(F.col("l_quantity").cast("bigint")).alias("churn"))
     return heuristics.purity_score(per)
+
+
+# ---------------------------------------------------------------- ledger, consistency
+
+
+_LEDGER_JSON = """concat('{"sha":"c', l_orderkey, '","timestamp":1,"author_name":"n","author_email":"e","modifications":[{"file":"a/F', l_partkey, CASE l_linenumber % 3 WHEN 0 THEN '.java' WHEN 1 THEN '.JAVA' ELSE '.py' END, '","lines_added":', l_linenumber, ',"change_type":"MODIFY","changed_methods":[]},{"file":"","old_file":"b/G', l_suppkey, '.java","lines_added":2,"change_type":"DELETE"}]}')"""
+
+
+@query("SELECT 'c' || l_orderkey AS sha, l_linenumber % 3 = 0 AS own, count(*) AS n, sum(CASE WHEN l_linenumber % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS files, sum(2 + CASE WHEN l_linenumber % 3 = 0 THEN l_linenumber ELSE 0 END)::BIGINT AS added FROM lineitem GROUP BY ALL")
+def ledger_java_changes(spark: SparkSession, d: str) -> DataFrame:
+    landed = table(spark, d, "lineitem").select(F.expr(_LEDGER_JSON).alias("value"))
+    m = F.col("modifications")
+    each = structural.ledger(landed).select("sha", F.exists(m, lambda x: x["file"] != "").alias("own"), F.size(m).alias("files"), F.aggregate(m, F.lit(0), lambda s, x: s + x["lines_added"]).alias("added"))
+    return each.groupBy("sha", "own").agg(F.count("*").alias("n"), F.sum("files").alias("files"), F.sum("added").alias("added"))
+
+
+@query("SELECT CAST(o_custkey AS VARCHAR) AS repo, count(*) AS reachable, CASE WHEN o_custkey % 3 = 0 THEN 10 WHEN o_custkey % 3 = 1 THEN 0 ELSE count(*) END AS head_commits, o_custkey % 3 <> 0 OR count(*) = 10 AS agrees FROM orders GROUP BY o_custkey")
+def reachable_counts(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").selectExpr("cast(o_custkey AS string) AS repo", "o_custkey", "o_orderkey AS sha")
+    manifests = orders.groupBy("repo", "o_custkey").agg(F.count("*").alias("n")).selectExpr("repo", "CASE WHEN o_custkey % 3 = 0 THEN 10 WHEN o_custkey % 3 = 1 THEN 0 ELSE n END AS head_commits")
+    return universe.reachable_against_manifest(orders, manifests)
+
+
+@query("SELECT o_orderstatus AS status, CASE WHEN o_orderstatus = 'F' THEN true ELSE false END AS disagree FROM orders GROUP BY 1")
+def state_against_records(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders")
+    found = None
+    for status in ("F", "O", "P"):
+        own = orders.where(F.col("o_orderstatus") == status)
+        one = state.records_without_state(own, own.where(F.lit(status != "F"))).select(F.lit(status).alias("status"), "disagree")
+        found = one if found is None else found.unionByName(one)
+    return found

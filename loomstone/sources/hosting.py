@@ -7,9 +7,14 @@ tests run on recorded pages and nothing here opens a connection by itself.
 
 from __future__ import annotations
 
+import http.client
 import importlib
 import json
 import re
+import time
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -18,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 from loomstone.functions.text import epoch, label_names, title_and_body, url_number
+from loomstone.sources.sinks import ChannelState
 
 # Fields of a raw item that records use, and limits of the service.
 RAW = (
@@ -100,6 +106,72 @@ class QuotaReached(RuntimeError):
         self.reset = reset
 
 
+class AccessError(RuntimeError):
+    """The service does not give what was asked for, and asking again would not help."""
+
+
+class HttpFetch:
+    """Pages over HTTP: (cursor, params) to (items, next cursor).
+
+    A page is handed over before its quota headers count: the call after one that left QUOTA_FLOOR or fewer requests
+    raises QuotaReached. Throttling, server and transport errors are tried RETRIES times, with doubled pauses.
+    """
+
+    def __init__(self, address: str, headers: dict[str, str] | None = None, open_: Callable = urllib.request.urlopen, sleep: Callable[[float], None] = time.sleep, timeout: float = 60):
+        self.address, self.headers, self.open, self.sleep, self.timeout = address, headers or {}, open_, sleep, timeout
+        self.reset: int | None = None
+
+    def __call__(self, cursor: str | None, params: dict[str, str]) -> tuple[list[dict], str | None]:
+        if self.reset:
+            raise QuotaReached(self.reset)
+        items, headers = self._get(cursor or f"{self.address}?{urllib.parse.urlencode({'per_page': PAGE_SIZE} | params)}")
+        left, reset = headers.get("x-ratelimit-remaining", ""), headers.get("x-ratelimit-reset")
+        if left.isdigit() and int(left) <= QUOTA_FLOOR and reset:
+            self.reset = int(reset)
+        return items, next_link(headers.get("link"))
+
+    def _get(self, url: str) -> tuple[list[dict], dict[str, str]]:
+        last: Exception | None = None
+        for attempt in range(RETRIES):
+            pause = 2.0 * 2**attempt
+            try:
+                with self.open(urllib.request.Request(url, headers=self.headers), timeout=self.timeout) as answer:
+                    body = json.loads(answer.read().decode("utf-8"))
+                    return (body if isinstance(body, list) else [body]), {k.lower(): v for k, v in answer.headers.items()}
+            except urllib.error.HTTPError as e:
+                headers = {k.lower(): v for k, v in (e.headers or {}).items()}
+                throttled = e.code in (403, 429)
+                if throttled and headers.get("x-ratelimit-remaining", "").strip("0") == "" and headers.get("x-ratelimit-remaining") and headers.get("x-ratelimit-reset"):
+                    raise QuotaReached(int(headers["x-ratelimit-reset"])) from e
+                if not throttled and e.code < 500:
+                    raise AccessError(f"{e.code} for {url}") from e
+                pause = float(headers.get("retry-after") or 5 * 2**attempt) if throttled else pause
+                last = e
+            except (OSError, http.client.HTTPException, json.JSONDecodeError) as e:
+                last = e
+            self.sleep(pause)
+        raise AccessError(f"gave up on {url} after {RETRIES} attempts: {last}")
+
+
+def run_channel(fetch: Fetch, endpoint: Endpoint, state: ChannelState, write: Callable[[list[dict], int], int], pages: int = 0, now: float | None = None) -> bool:
+    """Takes pages from where the state stands, writes each and then records it; whether the channel is complete.
+
+    A used-up quota ends the run and is recorded with its reset time, before which the next run takes nothing.
+    """
+    if state.must_wait(now):
+        return False
+    held = state.values
+    offset = {"page": held["last_page_done"], "next": held["next_url"], "since": held["window_since"], "newest": held.get("newest"), "complete": bool(held["is_complete"])}
+    try:
+        for items, at in walk(fetch, endpoint.params, offset, endpoint.since, pages):
+            written = write(items, at["page"])
+            state.save(last_page_done=at["page"], next_url=at["next"], window_since=at["since"], newest=at["newest"], is_complete=at["complete"], rate_limit_reset=None, records_written=state.values["records_written"] + written)
+    except QuotaReached as e:
+        state.save(rate_limit_reset=e.reset)
+        return False
+    return bool(state.values["is_complete"])
+
+
 Fetch = Callable[[str | None, dict[str, str]], tuple[list[dict], str | None]]
 
 

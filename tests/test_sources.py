@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import json
+import urllib.error
 
 import pytest
 
@@ -97,6 +98,66 @@ def test_walk_restarts_in_a_window():
     assert last["complete"] and asked == [None, page[-1]["created_at"]]
 
 
+class Answer:
+    def __init__(self, items, **headers):
+        self.items, self.headers = items, {k.replace("_", "-"): v for k, v in headers.items()}
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        return None
+
+    def read(self):
+        return json.dumps(self.items).encode()
+
+
+def recorded(*answers):
+    """An opener that gives or raises the answers in order, and the fetch over it with its pauses."""
+    left, pauses = list(answers), []
+
+    def open_(request, timeout):
+        answer = left.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+
+    return hosting.HttpFetch("https://h/x", open_=open_, sleep=pauses.append), pauses
+
+
+def failed(code, **headers):
+    return urllib.error.HTTPError("https://h/x", code, "", {k.replace("_", "-"): v for k, v in headers.items()}, None)
+
+
+def test_retries_and_quota():
+    fetch, pauses = recorded(failed(502), ConnectionResetError(), failed(429, retry_after="7"), Answer([{"id": 1}], link='<https://h/x?page=2>; rel="next"', x_ratelimit_remaining="2", x_ratelimit_reset="99"))
+    assert fetch(None, {}) == ([{"id": 1}], "https://h/x?page=2") and pauses == [2, 4, 7]
+    with pytest.raises(hosting.QuotaReached) as e:
+        fetch("https://h/x?page=2", {})
+    assert e.value.reset == 99
+    fetch, _ = recorded(failed(403, x_ratelimit_remaining="0", x_ratelimit_reset="5"))
+    with pytest.raises(hosting.QuotaReached):
+        fetch(None, {})
+    for answers in ([failed(404)], [failed(401)], [failed(500)] * 4):
+        fetch, pauses = recorded(*answers)
+        with pytest.raises(hosting.AccessError):
+            fetch(None, {})
+
+
+def test_channel_runs_go_on_where_they_stopped(tmp_path):
+    next_ = '<https://h/x?page=2>; rel="next"'
+    state, seen = sinks.ChannelState(str(tmp_path / "s.json")), []
+    write = lambda items, page: seen.extend((page, x["id"]) for x in items) or len(items)
+    fetch, _ = recorded(Answer([{"id": 1}], link=next_, x_ratelimit_remaining="1", x_ratelimit_reset="1000"))
+    assert not hosting.run_channel(fetch, hosting.ENDPOINTS["prs"], state, write, now=10)
+    state = sinks.ChannelState(str(tmp_path / "s.json"))
+    assert state.values["rate_limit_reset"] == 1000 and state.values["next_url"] == "https://h/x?page=2"
+    assert not hosting.run_channel(recorded()[0], hosting.ENDPOINTS["prs"], state, write, now=10)  # too early: nothing is asked
+    fetch, _ = recorded(Answer([{"id": 2}]))
+    assert hosting.run_channel(fetch, hosting.ENDPOINTS["prs"], state, write, now=2000) and seen == [(1, 1), (2, 2)]
+    assert sinks.ChannelState(str(tmp_path / "s.json")).values["records_written"] == 2 and state.values["is_complete"]
+
+
 def test_windows_go_on_after_a_short_page():
     pages = {None: [{"id": 1, "created_at": "2020-01-01T00:00:00Z"}], "2020-01-01T00:00:00Z": [{"id": 1, "created_at": "2020-01-01T00:00:00Z"}, {"id": 2, "created_at": "2020-02-01T00:00:00Z"}], "2020-02-01T00:00:00Z": [{"id": 2, "created_at": "2020-02-01T00:00:00Z"}]}
     seen = [now for _, now in hosting.walk(lambda cursor, params: (pages[params.get("since")], None), {}, {}, True)]
