@@ -5,7 +5,7 @@ limits fail some texts outright. The others become vectors of transformed statis
 location and scatter of the h = COVERAGE share of vectors with the smallest determinant are approached from the
 coordinatewise medians and deviations by concentration steps: distances under the present estimate, the h share with the
 smallest, its mean and covariance. Steps go on until no group's log determinant moves by more than TOLERANCE; they never
-raise it, and the start is robust, so one start is enough for what is far from the bulk. A vector is rejected if its
+raise it by more than the histograms' grid makes of it, and the start is robust, so one start is enough for what is far from the bulk. A vector is rejected if its
 squared Mahalanobis distance under the final estimate, scaled to be consistent for normal vectors, is over the chi-squared
 quantile of 1 - TAIL.
 
@@ -31,7 +31,7 @@ from loomstone.llm.common import checked, docs_of, staged
 #: Share of vectors that an estimate rests on, steps per doubling of the histograms, least group.
 COVERAGE, GRID, LEAST = 0.75, 32, 60
 #: Change of a log determinant under which a group stands, and steps after which it must.
-TOLERANCE, STEPS = 1e-3, 30
+TOLERANCE, STEPS = 0.02, 12
 #: Share of normal vectors that are taken for outliers.
 TAIL = 1e-6
 

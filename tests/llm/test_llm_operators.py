@@ -83,7 +83,7 @@ def test_mcd_is_that_of_numpy(spark):
     rows = [(k, "en", "=s", *map(float, r)) for k, r in enumerate(x)]
     df = spark.createDataFrame(rows, "k int, lang string, grp string, " + ", ".join(f"{c} double" for c in robust_outliers.DIMS))
     got = robust_outliers._with_distance(df, robust_outliers.estimates(df)).select("k", "d2").orderBy("k").toPandas()["d2"].to_numpy()
-    assert np.allclose(got, mcd_by_hand(x), rtol=2e-2)
+    assert np.allclose(got, mcd_by_hand(x), rtol=5e-2)
     assert (got[:60] > robust_outliers.cutoff()).all() and (got[60:] < robust_outliers.cutoff()).mean() > 0.99
 
 
