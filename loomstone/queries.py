@@ -1,7 +1,10 @@
 """Registered queries of the library's operators over the driver's tables, each beside its DuckDB form.
 
 The tables play roles: orders are pull requests and commits, customers issues, lineitem rows review comments, commit
-messages, changed files and retried attempts, events issue comments. Every query runs over its whole tables.
+messages, changed files and retried attempts, events issue comments. Every query reads its whole tables; a role may be
+played by some of a table's rows: in the link queries commit messages are the line items of number 1, and a tenth of the
+orders is outside the lineage, so that edges to absent commits occur; the ancestor closure starts from a thousandth of
+the orders as heads.
 """
 
 from __future__ import annotations
