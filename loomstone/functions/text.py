@@ -64,6 +64,13 @@ def label_names(labels: Column) -> Column:
     return F.filter(F.transform(labels, lambda x: x["name"]), lambda x: x.isNotNull() & (x != ""))
 
 
+def label_names_of(raw: Column, field: str = "$.labels") -> Column:
+    """Names of a raw item's labels, objects or plain values; false ones (null, empty, 0, false) go."""
+    labels = F.from_json(F.get_json_object(raw, field), "array<string>")
+    name = lambda x: F.when(x.startswith("{"), F.get_json_object(x, "$.name")).otherwise(x)
+    return F.coalesce(F.filter(F.transform(labels, name), lambda x: x.isNotNull() & ~x.isin("", "0", "false")), F.array().cast("array<string>"))
+
+
 def version(tag: Column) -> Column:
     """The first a.b or a.b.c of a tag whose underscores count as dots; empty if none."""
     return F.regexp_extract(F.replace(tag, F.lit("_"), F.lit(".")), r"(\d+\.\d+(?:\.\d+)?)", 1)

@@ -67,3 +67,17 @@ def totals(rows: DataFrame) -> DataFrame:
 def exported(rows: DataFrame) -> DataFrame:
     """The report's columns as text, null as blank."""
     return rows.select(*[F.coalesce(F.col(c).cast("int").cast("string") if c == "present" else F.col(c).cast("string"), F.lit("")).alias(c) for c in COLUMNS])
+
+
+def rendered(rows: DataFrame) -> list[str]:
+    """The report, one row per artifact, as lines for a console."""
+    shown = lambda x: "-" if x is None else f"{x:,}"
+    lines, held = [f"{'STAGE':<28}{'RECORDS':<9}{'UNITS':<8}{'OK':<8}{'EMPTY':<7}{'FAILED':<8}"], rows.collect()
+    for r in held:
+        lines.append(f"{r['stage'][:27]:<28}{shown(r['records']):<9}{shown(r['units']):<8}{shown(r['ok']):<8}{shown(r['empty']):<7}{shown(r['failed']):<8}".rstrip())
+        lines += [f"    {r['note']}"] if r["note"] else []
+    failed, units = sum(r["failed"] or 0 for r in held), sum(r["units"] or 0 for r in held if r["present"])
+    missing = [r["stage"] for r in held if not r["present"]]
+    lines.append(f"{units:,} units of {len(held) - len(missing)} artifacts")
+    lines += [f"{failed:,} units failed; run their stage again"] if failed else []
+    return lines + ([f"not mined yet: {', '.join(missing)}"] if missing else [])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstone.functions.text import strip
+from loomstone.schemas import FILE_DIFF
 
 HEADER = "diff --git "
 
@@ -16,14 +17,13 @@ def diff_path(line: Column) -> Column:
     return strip(F.coalesce(after, F.substring(line, len(HEADER) + 1, 1 << 30)))
 
 
-def split_files(diffs: DataFrame, unit: str = "sha1", raw: str = "raw", keep_marked: bool = False) -> DataFrame:
-    """(unit, files): files by churn, largest first, equal ones in order of appearance.
+def files_of(raw: Column, keep_marked: bool = False) -> Column:
+    """The files of a raw diff by churn, largest first, equal ones in order of appearance.
 
     A line that starts with "--- " or "+++ " is a header line wherever it stands, so a removed line of "-- x" is lost;
     keep_marked keeps such lines inside a hunk. Text before the first header is no file.
 
-    The text is cut at its headers inside the row, by higher-order functions, so no diff leaves its task and two rows of
-    one unit stay apart. A row without any file is left out.
+    The text is cut at its headers inside the row, by higher-order functions, so no diff leaves its task.
     """
     unmarked = lambda x: ~(x.startswith("--- ") | x.startswith("+++ "))
 
@@ -41,10 +41,15 @@ def split_files(diffs: DataFrame, unit: str = "sha1", raw: str = "raw", keep_mar
         n_added, n_removed = F.size(f["added"]), F.size(f["removed"])
         return F.struct((-(n_added + n_removed)).alias("churn"), f["place"].alias("place"), F.struct(f["file"].alias("file"), f["added"].alias("added"), f["removed"].alias("removed"), n_added.alias("n_added"), n_removed.alias("n_removed")).alias("f"))
 
-    bodies = F.slice(F.split(F.col(raw), f"(?dm)^{HEADER}", -1), 2, 1 << 30)
+    bodies = F.slice(F.split(raw, f"(?dm)^{HEADER}", -1), 2, 1 << 30)
     listed = F.transform(F.transform(bodies, lambda x: F.split(x, "\n", -1)), entry)
     ranked = F.array_sort(F.transform(listed, sized))
-    return diffs.select(unit, F.transform(ranked, lambda x: x["f"]).alias("files")).where(F.size("files") > 0)
+    return F.transform(ranked, lambda x: x["f"])
+
+
+def split_files(diffs: DataFrame, unit: str = "sha1", raw: str = "raw", keep_marked: bool = False) -> DataFrame:
+    """(unit, files) of every row with a file, as files_of(); two rows of one unit stay apart."""
+    return diffs.select(unit, files_of(F.col(raw), keep_marked).alias("files")).where(F.size("files") > 0)
 
 
 def capped(files: DataFrame, most: int | None) -> DataFrame:
@@ -58,6 +63,17 @@ def diff_status(crashed: Column, n_files: Column) -> Column:
     return F.when(crashed, "crash").when(n_files > 0, "success").otherwise("empty_diff")
 
 
+def commit_diffs(landed: DataFrame, most: int | None = None) -> DataFrame:
+    """Records of commits with their files, of landed (repository, sha1, timestamp, message, parent_shas, raw, crashed)."""
+    none = F.array().cast(f"array<{FILE_DIFF}>")
+    split = capped(landed.withColumn("files", F.coalesce(files_of(F.col("raw")), none)), most)
+    failed = F.coalesce(F.col("crashed"), F.lit(False))
+    told = {c: x for c, x in parents(F.coalesce("parent_shas", F.array().cast("array<string>"))).items()}
+    return split.withColumns({**told, "status": diff_status(failed, F.col("n_files_total"))}).select(
+        "repository", "sha1", "timestamp", "message", "files", "n_files", "n_files_total", "truncated", "is_merge", "n_parents", "status"
+    )
+
+
 def parents(shas: Column) -> dict[str, Column]:
     return {"n_parents": F.size(shas), "is_merge": F.size(shas) > 1}
 

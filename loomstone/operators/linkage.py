@@ -1,19 +1,20 @@
 """Discourse to commits: five routes of evidence, one edge table.
 
-Candidates of all routes are one plan; the second pass joins comments to the kept edges of the first, which share their
-scan and exchanges. An edge's target must be in the universe; candidates that name a commit absent from it are counted
-before anything is made distinct.
+The second pass joins comments to the kept edges of the first. What several branches read, the commits of pull requests
+and the edges of the first pass, is written once to the shared folder, so no branch computes it again. An edge's target must
+be in the universe; candidates that name a commit absent from it are counted before anything is made distinct.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstone.functions.text import API, CLOSES, MENTIONS, percent, references, truthy
+from loomstone.sources.sinks import held
 
 # Channel and route names.
 CH_PR, CH_ISSUE, CH_REVIEW, CH_COMMENT = "github.pr", "github.issue", "github.pr_review", "github.comment"
@@ -41,6 +42,14 @@ class Tables:
     ledger: DataFrame | None = None
     refm: DataFrame | None = None
     structure: DataFrame | None = None
+    merged: DataFrame | None = None  # pr_commits(prs), if it is already at hand
+
+    @property
+    def pr_shas(self) -> DataFrame:
+        return pr_commits(self.prs) if self.merged is None else self.merged
+
+    def prepared(self) -> Tables:
+        return replace(self, merged=held(self.pr_shas, "merged"))
 
 
 @dataclass(frozen=True)
@@ -87,11 +96,11 @@ def _edges(df: DataFrame, channel: str | Column, source: str, via: str, route: s
 
 
 def by_merge_commit(t: Tables) -> DataFrame:
-    return _edges(pr_commits(t.prs), CH_PR, "pr", "pr", MERGE_COMMIT, API)
+    return _edges(t.pr_shas, CH_PR, "pr", "pr", MERGE_COMMIT, API)
 
 
 def by_issue_in_pr(t: Tables) -> DataFrame:
-    named = channel_of(named_numbers(t.prs, "pr"), t.issues, t.prs).join(pr_commits(t.prs), "pr")
+    named = channel_of(named_numbers(t.prs, "pr"), t.issues, t.prs).join(t.pr_shas, "pr")
     return _edges(named, F.col("source_channel"), "number", "number", ISSUE_PR, F.col("ref_kind"))
 
 
@@ -102,7 +111,7 @@ def by_commit_message(t: Tables) -> DataFrame:
 
 def by_review_parent(t: Tables) -> DataFrame:
     own = t.reviews.where(truthy(F.col("parent_id")) & truthy(F.col("record_id"))).select("record_id", F.col("parent_id").alias("pr"))
-    return _edges(own.join(pr_commits(t.prs), "pr"), CH_REVIEW, "record_id", "pr", PARENT_PR, API)
+    return _edges(own.join(t.pr_shas, "pr"), CH_REVIEW, "record_id", "pr", PARENT_PR, API)
 
 
 def by_comment_parent(t: Tables, first: DataFrame) -> DataFrame:
@@ -135,7 +144,8 @@ def first_pass_candidates(t: Tables, routes: tuple[EdgeRoute, ...] = ROUTES) ->
 
 def collect(t: Tables, routes: tuple[EdgeRoute, ...] = ROUTES) -> DataFrame:
     """All found edges, the second pass's after those of the first, not yet distinct."""
-    first = in_universe(first_pass_candidates(t, routes), t.lineage)
+    t = t.prepared()
+    first = held(in_universe(first_pass_candidates(t, routes), t.lineage), "first-pass")
     union = first
     for r in (r for r in routes if r.pass_number == 2):
         union = union.unionByName(in_universe(r.find(t, first), t.lineage))
@@ -177,7 +187,8 @@ def link(t: Tables) -> DataFrame:
 
 def dropped_absent(t: Tables) -> DataFrame:
     """One row: candidates that name a commit absent from the universe, each attempt counted."""
-    first = first_pass_candidates(t)
+    t = t.prepared()
+    first = held(first_pass_candidates(t), "candidates")
     tried = first.unionByName(by_comment_parent(t, in_universe(first, t.lineage)))
     known = t.lineage.select(F.col("sha").alias("target_sha")).distinct().withColumn("known", F.lit(True))
     return tried.where(truthy(F.col("target_sha"))).join(known, "target_sha", "left").agg(F.count_if(F.col("known").isNull()).alias("dropped_absent"))

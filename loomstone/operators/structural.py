@@ -47,6 +47,19 @@ def csv_source(path: Column) -> Column:
     return F.when(path.isNull(), "absent").when(path.contains("/tmp"), "temp").otherwise("repo_root")
 
 
+def located(found: DataFrame, *by: str, names: tuple[str, ...] = ("class", "method")) -> DataFrame:
+    """Per snapshot, where each metrics file is: <name>_path and <name>_source, of rows (by, name, path, length, in_temp).
+
+    Each file is looked for by itself: the tool's own folder first, then the repository's root. An empty file counts as
+    absent; one with a header only does not.
+    """
+    there = F.col("length") > 0
+    best = {n: F.min(F.when(there & (F.col("name") == n), F.struct((~F.col("in_temp")).alias("fallback"), "path"))) for n in names}
+    per = found.groupBy(*by).agg(*[c.alias(n) for n, c in best.items()])
+    source = lambda n: F.when(F.col(n).isNull(), "absent").when(F.col(f"{n}.fallback"), "repo_root").otherwise("temp")
+    return per.select(*by, *[c for n in names for c in (F.col(f"{n}.path").alias(f"{n}_path"), source(n).alias(f"{n}_source"))])
+
+
 def java_only(modifications: Column) -> Column:
     """The changes of files whose name ends with .java, by case; those without any path go."""
     path = lambda m: F.coalesce(F.nullif(m["file"], F.lit("")), F.nullif(m["old_file"], F.lit("")))

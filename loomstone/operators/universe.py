@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,11 +11,31 @@ from pyspark.sql import functions as F
 from loomstone.functions.text import version
 
 
-def lineage(lines: DataFrame, value: str = "value") -> DataFrame:
-    """(sha, parent_shas, timestamp) of lines sha|parents|seconds; lines of any other number of fields go."""
+def lineage(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(sha, parent_shas, timestamp, *keep) of lines sha|parents|seconds; lines of any other number of fields go."""
     parts = F.split(F.col(value), r"\|", -1)
     shas = F.filter(F.split(F.trim(F.get(parts, F.lit(1))), " +"), lambda x: x != "")
-    return lines.where(F.size(parts) == 3).select(F.trim(F.get(parts, F.lit(0))).alias("sha"), shas.alias("parent_shas"), F.trim(F.get(parts, F.lit(2))).alias("timestamp"))
+    return lines.where(F.size(parts) == 3).select(F.trim(F.get(parts, F.lit(0))).alias("sha"), shas.alias("parent_shas"), F.trim(F.get(parts, F.lit(2))).alias("timestamp"), *keep)
+
+
+def java_commits(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(sha, timestamp) of lines sha|seconds, the landed listing of commits that touch Java files; lines of other forms go."""
+    parts = F.split(F.trim(F.col(value)), r"\|", -1)
+    return lines.where(F.size(parts) == 2).select(F.trim(parts[0]).alias("sha"), F.trim(parts[1]).try_cast("bigint").alias("timestamp"))
+
+
+def listing(commits: DataFrame, members: DataFrame | None = None, newest_first: bool = True) -> DataFrame:
+    """commits with pos, oldest first, of the members alone if given; the landed ordinal `seq` tells the order, not the dates.
+
+    newest_first: how the lineage was landed. pos tells places only; it has gaps where commits are left out.
+    """
+    kept = commits if members is None else commits.join(members.select("sha").distinct(), "sha", "left_semi")
+    return kept.withColumn("pos", -F.col("seq") if newest_first else F.col("seq")).orderBy("pos")
+
+
+def absent_commits(shas: DataFrame, lineage_: DataFrame) -> DataFrame:
+    """Those of the shas that are no commit of the lineage."""
+    return shas.select("sha").where(F.coalesce(F.col("sha"), F.lit("")) != "").distinct().join(lineage_, "sha", "left_anti")
 
 
 def commit_kinds(commits: DataFrame) -> DataFrame:
@@ -67,10 +88,32 @@ def check_manifest(manifest: dict, repo: str) -> dict:
     return {"head_sha": manifest["head_sha"], "near_mainline_shas": near, "head_commits": manifest.get("head_commits")}
 
 
-def grid_entries(manifest: DataFrame) -> DataFrame:
-    """(pos, tag, snapshot_sha) of a release manifest; `sha` is an older name of snapshot_sha."""
-    e = manifest.select(F.posexplode("entries").alias("pos", "e"))
-    return e.select("pos", F.col("e.tag").alias("tag"), F.coalesce(F.nullif("e.snapshot_sha", F.lit("")), F.nullif("e.sha", F.lit(""))).alias("snapshot_sha")).where("snapshot_sha IS NOT NULL")
+def grid_entries(manifest: DataFrame, *by: str) -> DataFrame:
+    """(*by, pos, tag, snapshot_sha) of release manifests; `sha` is an older name of snapshot_sha."""
+    e = manifest.select(*by, F.posexplode("entries").alias("pos", "e"))
+    return e.select(*by, "pos", F.col("e.tag").alias("tag"), F.coalesce(F.nullif("e.snapshot_sha", F.lit("")), F.nullif("e.sha", F.lit(""))).alias("snapshot_sha")).where("snapshot_sha IS NOT NULL")
+
+
+def release_grid(text: str, name: str = "the manifest") -> list[tuple[int, str | None, str | None, str | None]]:
+    """(pos, tag, snapshot_sha, version) rows of one manifest, all its faults told as ValueError.
+
+    Entries hold tags and commits; the older forms, a list or {"versions": [...]}, hold version numbers only, to be found
+    among the tags by match_versions().
+    """
+    try:
+        found = json.loads(text)
+    except ValueError as e:
+        raise ValueError(f"{name} is not valid JSON: {e}") from e
+    if isinstance(found, dict) and "entries" in found:
+        rows = [(k, e.get("tag"), e.get("snapshot_sha") or e.get("sha"), e.get("version")) for k, e in enumerate(found["entries"] or [])]
+        faults = [f"entry {k} lacks a tag or a commit" for k, tag, sha, _ in rows if not tag or not sha]
+        if faults or not rows:
+            raise ValueError(f"{name}: {'; '.join(faults) or 'no entries'}")
+        return rows
+    versions = found if isinstance(found, list) else found.get("versions") if isinstance(found, dict) else None
+    if not isinstance(versions, list):
+        raise ValueError(f"{name} has an unknown form")
+    return [(k, None, None, str(v)) for k, v in enumerate(versions)]
 
 
 def first_tags(entries: DataFrame, sha: str = "snapshot_sha") -> DataFrame:

@@ -91,6 +91,18 @@ class RunPlan:
         return "explicit" if self.universe else "full"
 
 
+def described(plan: RunPlan) -> list[str]:
+    """What a run is about to do, as lines for a console."""
+    spec = STAGES[plan.stage]
+    return [
+        f"repository: {plan.repo}", f"stage: {plan.stage}",
+        *([f"scope: {plan.scope}{f' ({plan.universe})' if plan.universe else ''}"] if plan.walks or plan.version else []),
+        *([f"sample: {plan.sample}"] if plan.sample else []),
+        *([f"channels: {plan.platform} -> {', '.join(plan.wanted_channels)}"] if CHANNEL in spec.allows else []),
+        *([f"batch: {plan.limit if plan.limit > 0 else 'unlimited'}"] if BATCH in spec.allows else []),
+    ]
+
+
 def stages_allowing(flag: str) -> list[str]:
     return [s.name for s in STAGES.values() if flag in s.allows]
 

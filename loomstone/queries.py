@@ -321,9 +321,66 @@ def file_cochange(spark: SparkSession, d: str) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
+@query("SELECT concat('c', o_orderkey) AS sha, -o_orderkey AS pos FROM orders WHERE o_custkey % 3 = 0")
+def universe_listing(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").selectExpr("concat('c', o_orderkey) AS sha", "o_custkey", "o_orderkey AS seq")
+    return universe.listing(orders.select("sha", "seq"), orders.where("o_custkey % 3 = 0")).select("sha", "pos")
+
+
+@query("SELECT concat('c', o_orderkey) AS sha, CAST(epoch(o_orderdate) AS BIGINT) AS timestamp FROM orders WHERE o_orderkey % 4 <> 0")
+def java_commit_listing(spark: SparkSession, d: str) -> DataFrame:
+    line = "concat('c', o_orderkey, '|', unix_timestamp(cast(o_orderdate AS timestamp)), CASE WHEN o_orderkey % 4 = 0 THEN '|x' ELSE '' END) AS value"
+    return universe.java_commits(table(spark, d, "orders").selectExpr(line))
+
+
+@query("SELECT DISTINCT concat('c', l_orderkey) AS sha FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderkey % 10 <> 0)")
+def absent_commits(spark: SparkSession, d: str) -> DataFrame:
+    return universe.absent_commits(table(spark, d, "lineitem").selectExpr("concat('c', l_orderkey) AS sha"), roles(spark, d).lineage)
+
+
+@query("SELECT CAST(o_orderkey AS INT) AS pos, 'v' || o_orderkey AS tag, CASE WHEN o_orderkey % 2 = 0 THEN 's' || o_custkey ELSE 'o' || o_orderkey END AS snapshot_sha FROM orders WHERE o_orderkey % 5 <> 1")
+def grid_entries(spark: SparkSession, d: str) -> DataFrame:
+    """A manifest of one entry per order, under the new field, the older one, or none."""
+    one = "struct(concat('v', o_orderkey) AS tag, CASE WHEN o_orderkey % 5 = 1 THEN '' WHEN o_orderkey % 2 = 0 THEN concat('s', o_custkey) END AS snapshot_sha, CASE WHEN o_orderkey % 5 <> 1 THEN concat('o', o_orderkey) END AS sha)"
+    each = table(spark, d, "orders").select("o_orderkey", F.array(F.expr(one)).alias("entries"))
+    return universe.grid_entries(each, "o_orderkey").select(F.col("o_orderkey").cast("int").alias("pos"), "tag", "snapshot_sha")
+
+
+@query("SELECT concat('c', o_orderkey) AS sha, o_orderkey AS pos FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'A')")
+def grid_in_order(spark: SparkSession, d: str) -> DataFrame:
+    grid = table(spark, d, "lineitem").where("l_returnflag = 'A'").selectExpr("concat('c', l_orderkey) AS snapshot_sha")
+    return universe.in_order(grid, table(spark, d, "orders").selectExpr("concat('c', o_orderkey) AS sha", "o_orderkey AS pos"))
+
+
+@query("SELECT p_partkey AS pos, 'v' || p_partkey AS tag, CASE WHEN p_partkey % 2 = 0 THEN 'c' || p_size ELSE 'o' || p_partkey END AS sha FROM part")
+def peeled_tags(spark: SparkSession, d: str) -> DataFrame:
+    line = "concat('v', p_partkey, ' o', p_partkey, ' ', CASE WHEN p_partkey % 2 = 0 THEN concat('c', p_size) ELSE '' END) AS value"
+    return universe.peeled_tags(table(spark, d, "part").selectExpr("p_partkey AS pos", line))
+
+
 # ---------------------------------------------------------------- structure and diffs
 
 
+@query("""SELECT l_orderkey, coalesce(min(l_partkey) FILTER (l_linenumber % 2 = 0 AND l_quantity > 10 AND l_suppkey % 2 = 0), min(l_partkey) FILTER (l_linenumber % 2 = 0 AND l_quantity > 10)) AS class_path,
+  CASE WHEN bool_or(l_linenumber % 2 = 0 AND l_quantity > 10 AND l_suppkey % 2 = 0) THEN 'temp' WHEN bool_or(l_linenumber % 2 = 0 AND l_quantity > 10) THEN 'repo_root' ELSE 'absent' END AS class_source,
+  CASE WHEN bool_or(l_linenumber % 2 = 1 AND l_quantity > 10 AND l_suppkey % 2 = 0) THEN 'temp' WHEN bool_or(l_linenumber % 2 = 1 AND l_quantity > 10) THEN 'repo_root' ELSE 'absent' END AS method_source FROM lineitem GROUP BY 1""")
+def located_metrics(spark: SparkSession, d: str) -> DataFrame:
+    found = table(spark, d, "lineitem").selectExpr("l_orderkey", "CASE WHEN l_linenumber % 2 = 0 THEN 'class' ELSE 'method' END AS name", "l_partkey AS path", "CASE WHEN l_quantity > 10 THEN 1 ELSE 0 END AS length", "l_suppkey % 2 = 0 AS in_temp")
+    return structural.located(found, "l_orderkey").select("l_orderkey", "class_path", "class_source", "method_source")
+
+
+@query("""SELECT l_orderkey AS sha1, count(*) AS n_files_total, least(count(*), 3) AS n_files, count(*) > 3 AS truncated, CASE WHEN l_orderkey % 9 = 0 THEN 'crash' ELSE 'success' END AS status, l_orderkey % 3 AS n_parents FROM lineitem GROUP BY 1""")
+def commit_diffs(spark: SparkSession, d: str) -> DataFrame:
+    landed = raw_diffs(spark, d).selectExpr("'r' AS repository", "sha1", "1L AS timestamp", "'m' AS message", "array_repeat('p', cast(sha1 % 3 AS int)) AS parent_shas", "raw", "sha1 % 9 = 0 AS crashed")
+    return diffs.commit_diffs(landed, 3).select("sha1", *[F.col(c).cast("bigint").alias(c) for c in ("n_files_total", "n_files")], "truncated", "status", F.col("n_parents").cast("bigint").alias("n_parents"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 0 THEN 'src/P' || l_partkey ELSE '/other/P' || l_partkey END AS path FROM lineitem")
+def repo_relative_path(spark: SparkSession, d: str) -> DataFrame:
+    path = F.expr(r"concat(CASE WHEN l_linenumber % 2 = 0 THEN '/work/r\\src/' ELSE '/other/' END, 'P', l_partkey)")
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", T.repo_relative(path, "/work/r").alias("path"))
+
+
 @query("""SELECT c.l_orderkey, c.class, c.n_methods FROM (SELECT DISTINCT o_orderkey AS l_orderkey, 'K' || o_custkey % 4 AS class, 0 AS x FROM orders) k
 JOIN (SELECT o_orderkey AS l_orderkey, 'K' || o_custkey % 4 AS class, (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linenumber % 4 = o_custkey % 4) AS n_methods FROM orders) c USING (l_orderkey, class)""")
 def nest_methods(spark: SparkSession, d: str) -> DataFrame:
@@ -464,6 +521,30 @@ def issue_channel(spark: SparkSession, d: str) -> DataFrame:
     return hosting.issues(raw_items(spark, d)).select("record_id", "text", "timestamp", F.array_join("labels", ",").alias("labels"), "author")
 
 
+@query("SELECT o_orderkey AS record_id, 't' || chr(10) || chr(10) || 'b' || o_custkey AS text, 1704067200 AS timestamp FROM orders")
+def pull_channel(spark: SparkSession, d: str) -> DataFrame:
+    return hosting.pulls(raw_items(spark, d)).select("record_id", "text", "timestamp")
+
+
+@query("SELECT o_custkey AS record_id, 7 AS diff_line, 'github.pr' AS parent_channel, 'u' AS author FROM orders")
+def review_channel(spark: SparkSession, d: str) -> DataFrame:
+    return hosting.reviews(raw_items(spark, d)).select("record_id", "diff_line", "parent_channel", "author")
+
+
+@query("SELECT o_orderkey AS sha, o_custkey::BIGINT AS timestamp, o_orderkey % 7 = 0 AS bad FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 UNION ALL SELECT NULL, NULL, true FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey % 5 <> 0")
+def jsonl_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Landed lines, some blank and some broken."""
+    line = "CASE WHEN o_orderkey % 5 = 0 THEN '  ' WHEN o_orderkey % 7 = 0 THEN concat('{broken', o_orderkey) ELSE concat('{\"sha\":', o_orderkey, ',\"timestamp\":', o_custkey, '}') END AS value"
+    found = files.parsed(table(spark, d, "orders").selectExpr(line), "sha bigint, timestamp bigint", corrupt=True)
+    return found.select("sha", "timestamp", F.col("_corrupt").isNotNull().alias("bad"))
+
+
+@query("SELECT l_orderkey AS sha, 'P' || l_partkey AS file_path, 'R' || l_linenumber % 3 AS rule_name, l_linenumber AS begin_line, l_linenumber + 2 AS end_line, CAST(l_quantity AS DOUBLE) AS pmd_complexity_score FROM lineitem")
+def violations_flatten(spark: SparkSession, d: str) -> DataFrame:
+    one = "array(struct(concat('P', l_partkey) AS filename, array(struct(concat('R', l_linenumber % 3) AS rule, l_linenumber AS beginline, l_linenumber + 2 AS endline, 'd' AS description, cast(l_quantity AS double) AS metric_value)) AS violations)) AS violations"
+    return heuristics.flatten_violations(table(spark, d, "lineitem").selectExpr("l_orderkey AS sha", one)).drop("description")
+
+
 @query("SELECT o_custkey AS record_id, o_custkey AS parent_id, 'b' || o_custkey AS text FROM orders")
 def comment_channel(spark: SparkSession, d: str) -> DataFrame:
     return hosting.comments(raw_items(spark, d)).select("record_id", "parent_id", "text")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstone import schemas
+from loomstone.operators import structural, universe
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -15,19 +16,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def read_records(spark: SparkSession, path: str, schema: str, keep: list[str] | None = None, corrupt: bool = False) -> DataFrame:
-    """JSON lines; blank lines are skipped, unparseable ones dropped, or kept with their text in _corrupt.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir, else the warehouse, which is shared too."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def parsed(lines: DataFrame, schema: str, keep: list[str] | None = None, corrupt: bool = False, value: str = "value") -> DataFrame:
+    """Records of JSON lines; blank lines are skipped, unparseable ones dropped, or kept with their text in _corrupt."""
+    whole = F.from_json(value, f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    df = lines.where(F.trim(value) != "").select(whole.alias("r")).select("r.*")
+    df = df if corrupt else df.where("_corrupt IS NULL").drop("_corrupt")
+    return df.select(*keep, *(["_corrupt"] if corrupt else [])) if keep else df
 
-    A missing path gives an empty table. keep prunes columns before parsing.
-    """
+
+def read_records(spark: SparkSession, path: str, schema: str, keep: list[str] | None = None, corrupt: bool = False) -> DataFrame:
+    """The records of a landed file, as parsed(); a missing path gives an empty table."""
     if not exists(spark, path):
         empty = spark.createDataFrame([], f"{schema}, _corrupt string" if corrupt else schema)
         return empty.select(*keep, *(["_corrupt"] if corrupt else [])) if keep else empty
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    parsed = F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    df = lines.select(parsed.alias("r")).select("r.*")
-    df = df if corrupt else df.where("_corrupt IS NULL").drop("_corrupt")
-    return df.select(*keep, *(["_corrupt"] if corrupt else [])) if keep else df
+    return parsed(spark.read.text(path), schema, keep, corrupt)
 
 
 def with_sequence(df: DataFrame) -> DataFrame:
@@ -48,6 +55,34 @@ def read_grid(spark: SparkSession, path: str) -> DataFrame:
     return read_json_document(spark, path, schemas.GRID)
 
 
+def read_release_grid(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, tag, snapshot_sha, version) of a release manifest in any of its forms; see universe.release_grid()."""
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no release manifest at {path}")
+    rows = universe.release_grid(spark.read.text(path, wholetext=True).first()[0], path)
+    return spark.createDataFrame(rows, "pos int, tag string, snapshot_sha string, version string")
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Commits with their changed Java files; see structural.ledger()."""
+    return structural.ledger(spark.read.text(path))
+
+
+def read_java_commits(spark: SparkSession, path: str) -> DataFrame:
+    """The landed listing of Java-touching commits; see universe.java_commits()."""
+    return universe.java_commits(spark.read.text(path))
+
+
+def read_refactorings(spark: SparkSession, base: str) -> DataFrame | None:
+    """Refactorings of base.jsonl, else of the one document base.json with its list of commits, else None."""
+    if exists(spark, f"{base}.jsonl"):
+        return read_records(spark, f"{base}.jsonl", schemas.REFACTORINGS)
+    if not exists(spark, f"{base}.json"):
+        return None
+    whole = read_json_document(spark, f"{base}.json", f"commits array<struct<repository:string,sha1:string,timestamp:bigint,refactorings:array<{schemas.REFACTORING}>>>")
+    return whole.select(F.inline("commits"))
+
+
 def read_channel_state(spark: SparkSession, path: str) -> DataFrame:
     """The sidecar's one row, or none if it is missing or unreadable."""
     if not exists(spark, path):

@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
-from loomstone.functions.text import epoch, label_names, title_and_body, url_number
+from loomstone.functions.text import epoch, label_names_of, title_and_body, url_number
 from loomstone.sources.sinks import ChannelState
 
 # Fields of a raw item that records use, and limits of the service.
 RAW = (
     "id bigint, number bigint, state string, title string, body string, created_at string, closed_at string, merged_at string, merge_commit_sha string, path string, line int, original_line int, "
-    "commit_id string, original_commit_id string, pull_request_url string, issue_url string, user struct<login:string>, labels array<struct<name:string>>"
+    "commit_id string, original_commit_id string, pull_request_url string, issue_url string, user struct<login:string>"
 )
 PAGE_SIZE, RETRIES, QUOTA_FLOOR = 100, 4, 2
 
@@ -37,7 +37,7 @@ def _record(raw: DataFrame, number: bool, channel: str) -> DataFrame:
     """Parsed items with the fields that all channels share."""
     j = raw.select("raw", F.from_json("raw", RAW).alias("j"))
     text = title_and_body(F.col("j.title"), F.col("j.body")) if number else F.regexp_replace(F.coalesce("j.body", F.lit("")), r"(?U)^\s+|\s+$", "")
-    labels = F.coalesce(label_names(F.col("j.labels")), F.array().cast("array<string>")) if number else F.array().cast("array<string>")
+    labels = label_names_of(F.col("raw")) if number else F.array().cast("array<string>")
     return j.select("*", F.col("j.number" if number else "j.id").alias("record_id"), F.lit(channel).alias("channel"), epoch(F.col("j.created_at")).alias("timestamp"), F.col("j.user.login").alias("author"), text.alias("text"), labels.alias("labels"))
 
 

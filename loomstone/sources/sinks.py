@@ -6,12 +6,21 @@ import csv
 import json
 import os
 import time
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstone.sources.files import exists
+from loomstone.sources.files import exists, shared_root
+
+
+def held(df: DataFrame, label: str) -> DataFrame:
+    """df written once to the folder that driver and executors share, and read from there by all that follows."""
+    spark = df.sparkSession
+    path = f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def append_new(records: DataFrame, path: str, unit: str, *order: str) -> None:
