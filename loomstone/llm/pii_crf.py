@@ -4,14 +4,18 @@ Four kinds have exact patterns: email, ip, card and phone. The CRF, trained in t
 table below, adds spans that patterns miss: secrets such as access keys, telephone numbers without a plus, spelt-out
 addresses. A pattern's span is never changed, and a CRF span that touches one is dropped.
 
-A sequence of the CRF is a line. No pattern matches across a line break, and every span holds a digit, an at sign or one
-spelt out in brackets, so lines without any of these hold no span and are not looked at further. Lines become arrays of
-code points; tokens, their shapes and their scores are computed for those of a chunk of texts at once. A token that no
-path through other labels around it can pay for is decided already (undecided() tells why that is exact); between such
-tokens stay short segments, padded into batches for Viterbi. The result is the best path of each whole line.
-
-Edge cases: null counts as empty, without spans; texts and lines of any length are whole, in time linear in their length;
-rows repeat freely; an empty table gives an empty result; other columns are not read.
+A sequence of the CRF is a whole text, so what announces a secret may stand on the line before it. Texts become arrays of
+code points; tokens, their shapes and their scores are computed for those of a chunk of texts at once. A score is the sum
+of a few table entries: weights of neighbouring shapes are added up for each pair of shapes beforehand, and cues, which are
+rare, only where they are. A token that no path through other labels around it can pay for is decided already (undecided()
+tells why that is exact); between such tokens stay short segments, padded into batches for Viterbi. The result is the best
+path of each whole text. Patterns are searched in the lines that hold a digit or an at sign: each of them needs one, and none
+matches across a line break.
+
+A span of the CRF counts only if it holds a digit or an at sign, spelt out or not: a secret of letters alone is not found.
+
+Edge cases: null counts as empty, without spans; texts of any length are whole, in time linear in their length; rows repeat
+freely; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
-_TRIGGER = re.compile(r"[0-9@]|\(at\)|\[at\]")
+_TRIGGER = re.compile("[0-9@]")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -278,7 +282,43 @@ def decode(crf: Crf, score: np.ndarray, first: np.ndarray) -> np.ndarray:
     return labels
 
 
-def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[int, int, int]]]:
+class Scorer:
+    """Label scores of tokens from sums of weights that are added up beforehand."""
+
+    def __init__(self, crf: Crf):
+        weights, n = crf.emit.astype(np.float32), _SHAPES
+        at = [weights[1 + k * n : 1 + (k + 1) * n] for k in range(2 * _WIDE + 1)]
+        base = 1 + (2 * _WIDE + 1) * n
+        cues = weights[base + 4 * n :].reshape(5, len(CUES) + 1, -1)
+        self.pairs = [(2 * k - _WIDE, (at[2 * k][:, None] + at[2 * k + 1][None, :]).reshape(n * n, -1)) for k in range(_WIDE)]
+        self.last = at[-1]
+        self.own = weights[base : base + 4 * n] + cues[:, 0].sum(axis=0)
+        self.cues = cues - cues[:, :1]
+
+    def scores(self, shape: np.ndarray, glued: np.ndarray, cue: np.ndarray) -> np.ndarray:
+        """Of tokens with _PAD empty places before and after each sequence."""
+        n = len(shape)
+        wide = np.zeros(n + 2 * _PAD, dtype=np.int64)
+        wide[_PAD : _PAD + n] = shape
+        both = wide[:-1] * _SHAPES + wide[1:]
+        after = np.concatenate([glued[1:], [0]])
+        found = np.take(self.own, shape * 4 + glued * 2 + after, axis=0)
+        for by, table in self.pairs:
+            found += np.take(table, both[_PAD + by : _PAD + by + n], axis=0)
+        found += np.take(self.last, wide[_PAD + _WIDE : _PAD + _WIDE + n], axis=0)
+        there = np.flatnonzero(cue)
+        for k, table in enumerate(self.cues):  # a cue so many tokens before
+            to = there + len(self.cues) - 1 - k
+            found[to[to < n]] += table[cue[there[to < n]]]
+        return found
+
+
+@cache
+def _scorer(seed: int = 5) -> Scorer:
+    return Scorer(model(seed))
+
+
+def crf_spans(texts: list[str], crf: Crf, scorer: Scorer | None = None) -> list[list[tuple[int, int, int]]]:
     """(kind, start, end) that the CRF finds in each text; a span holds a digit or an at sign, a card's digits their checksum."""
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     lengths = np.array([len(t) + 1 for t in texts])
@@ -292,15 +332,8 @@ def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[int, int, int]]]:
     place = np.arange(len(start)) + _PAD * np.cumsum(first)  # empty places between texts, so that none sees another's tokens
     spread = np.zeros((3, int(place[-1]) + 1 + _PAD), dtype=np.int64)
     spread[:, place] = shape, glued, cue
-    padded = np.empty((spread.shape[1], crf.emit.shape[1]), dtype=np.float32)
-    weights = crf.emit.astype(np.float32)
-    for a in range(0, len(padded), 1 << 17):
-        b, low = min(a + (1 << 17), len(padded)), max(0, a - _PAD)
-        slots = slots_of(*spread[:, low : b + _PAD])[a - low : b - low]
-        padded[a:b] = 0
-        for k in range(slots.shape[1]):
-            padded[a:b] += weights[slots[:, k]]
-    labels = decode(crf, padded[place], first)
+    scores = (scorer or Scorer(crf)).scores(*spread)
+    labels = decode(crf, scores[place], first)
     hit = np.flatnonzero(labels)
     if not len(hit):
         return found
@@ -319,7 +352,7 @@ def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[int, int, int]]]:
 
 
 def lines_of(text: str) -> Iterator[tuple[int, str]]:
-    """(start, line) of each line that may hold a span."""
+    """(start, line) of each line that a pattern may match in."""
     m = _TRIGGER.search(text)
     while m:
         start, end = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
@@ -328,19 +361,19 @@ def lines_of(text: str) -> Iterator[tuple[int, str]]:
         m = _TRIGGER.search(text, end)
 
 
-def spans_of(texts: list[str], crf: Crf) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
+def spans_of(texts: list[str], crf: Crf, scorer: Scorer | None = None) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
     """Base spans and added spans of each text."""
-    found: list[tuple[list, list]] = [([], []) for _ in texts]
-    lines = [(k, start, line) for k, text in enumerate(texts) for start, line in lines_of(text)]
-    for (k, start, line), extra in zip(lines, crf_spans([x for _, _, x in lines], crf), strict=True):
-        base = patterns(line)
+    found = []
+    for text, extra in zip(texts, crf_spans(texts, crf, scorer), strict=True):
+        base = [(kind, start + a, start + b) for start, line in lines_of(text) for kind, a, b in patterns(line)]
         taken = sorted((a, b) for _, a, b in base)
         ends = list(accumulate((b for _, b in taken), max))
+        added = []
         for kind, a, b in extra:
             i = bisect_left(taken, (b,))  # spans that begin before b; one of them touches if it ends after a
             if not i or ends[i - 1] <= a:
-                found[k][1].append((kind, start + a, start + b))
-        found[k][0].extend((kind, start + a, start + b) for kind, a, b in base)
+                added.append((kind, a, b))
+        found.append((base, added))
     return found
 
 
@@ -353,11 +386,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     n_added counts the spans of the CRF, n_spans those of all kinds and both ways.
     """
-    crf = model()
+    crf, scorer = model(), _scorer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
-            rows = spans_of([t.decode() for t in texts_of(chunk.column(1))], crf)
+            rows = spans_of([t.decode() for t in texts_of(chunk.column(1))], crf, scorer)
             counts = [[sum(k == kind for k, _, _ in base) for base, _ in rows] for kind in range(4)]
             digests = pa.array([hashlib.sha256(_written(base).encode()).hexdigest() for base, _ in rows], pa.string())
             written = pa.array([_written(base + extra) for base, extra in rows], pa.string())
