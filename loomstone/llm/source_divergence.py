@@ -5,10 +5,11 @@ vectors are one vector with a multiplicity, so rare terms, which are most of a v
 turn counts into smoothed shares and each place of a vector into its contributions to all others; these are summed on the map
 side, so a shuffle carries at most one row per pair of sources from each task.
 
-Texts are read once. A text sends each of its terms, and each distinct term once more with a mark, into one counting whose
-partial sums precede the shuffle: a source that holds a third of all rows is as many partial rows as it has distinct terms. The
-report of single terms takes ranks up to `top`, a limit that Spark applies within tasks before rows of a group meet. All
-arithmetic is in whole numbers: shares through decimals, contributions in longs (ANSI mode raises where a long would not do).
+Texts are read once. Tasks count occurrences and documents of each term, language and source over bounded stretches of their
+input and send one row for each; these rows are dealt by language and term, which serves both groupings that follow. A source
+that holds a third of all rows is as many rows as a stretch has distinct terms. The report of single terms takes ranks up to
+`top`, a limit that Spark applies within tasks before rows of a group meet. All arithmetic is in whole numbers: shares through
+decimals, contributions in longs (ANSI mode raises where a long would not do).
 
 One row of arrays per language (sources, their totals) is sent to all tasks if its counted elements are under the bounds of
 `checked`, and joined by a shuffle otherwise. Pairs of sources are the result itself, so the work on a vector is the square of
@@ -21,18 +22,25 @@ rows are as many documents; ties rank by item; an empty table gives an empty res
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomstone.llm.common import checked, docs_of, staged
+from loomstone.llm.common import checked, chunks, docs_of, staged, texts_of
 
 #: Documents of a language that a kept term is in, at least, and ranks of the report of terms.
 DOCUMENTS, TOP = 3, 200
 #: What shares are multiplied by.
 SCALE = 1_000_000_000
 
-_BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What a task counts before it sends: bytes of texts, and distinct terms.
+STRETCH, ENTRIES = 64 << 20, 1 << 19
+
+#: Bytes to themselves, but A-Z to lower case and what parts terms to a space; letters beyond ASCII are bytes from 128 on.
+_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 def _share(count: str, total: str) -> str:
@@ -40,19 +48,39 @@ def _share(count: str, total: str) -> str:
     return f"1 + (cast({SCALE} AS decimal(10, 0)) * cast({count} + 1 AS decimal(19, 0))) div cast({total} AS decimal(19, 0))"
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of lang, source, text to rows of lang, source, term, n (occurrences) and d (documents)."""
+    times: dict[tuple, Counter] = defaultdict(Counter)
+    within: dict[tuple, Counter] = defaultdict(Counter)
+    taken = 0
+
+    def sent() -> Iterator[pa.RecordBatch]:
+        for (lang, source), counter in times.items():
+            terms, own = list(counter), within[lang, source]
+            columns = [pa.array([lang] * len(terms)), pa.array([source] * len(terms)), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counter.values(), pa.int64()), pa.array([own[t] for t in terms], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "d"])
+        times.clear()
+        within.clear()
+
+    for chunk in chunks(batches, 2):
+        for lang, source, text in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist(), texts_of(chunk.column(2)), strict=True):
+            terms = text.translate(_LETTERS).split(b" ")
+            times[lang, source].update(terms)
+            within[lang, source].update(set(terms))
+            taken += len(text)
+        if taken > STRETCH or sum(map(len, times.values())) > ENTRIES:
+            yield from sent()
+            taken = 0
+    yield from sent()
+
+
 def term_counts(docs: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
     """(lang, term, total, at): the kept terms of each language and their counts in each source that has them."""
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER)
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
-    words = docs.select(*named, F.split(text, _BETWEEN).alias("words"))
-    # '=' is in no term: it marks a document's first meeting with one
-    marked = words.select("lang", "source", F.explode(F.expr("concat(words, transform(array_distinct(words), w -> concat('=', w)))")).alias("word")).where("word NOT IN ('', '=')")
-    counted = marked.groupBy("lang", "source", "word").agg(F.count("*").alias("n"))
-    first = F.col("word").startswith("=")
-    terms = counted.groupBy("lang", F.ltrim("word", F.lit("=")).alias("term")).agg(
-        F.sum(F.when(first, F.col("n"))).alias("documents"), F.sum(F.when(~first, F.col("n"))).alias("total"),
-        F.collect_list(F.when(~first, F.struct("source", "n"))).alias("at"),
-    )
+    plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    counted = plain.mapInArrow(_counted, "lang string, source string, term string, n long, d long").where("term <> ''")
+    # one exchange: what lies by language and term lies by language, term and source too
+    sums = counted.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    terms = sums.groupBy("lang", "term").agg(F.sum("d").alias("documents"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("at"))
     return terms.where(F.col("documents") >= documents).select("lang", "term", "total", "at")
 
 
