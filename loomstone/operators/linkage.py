@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstone.functions.text import API, CLOSES, MENTIONS, percent, references, truthy
-from loomstone.sources.sinks import held
+from loomstone.sources.store import held
 
 # Channel and route names.
 CH_PR, CH_ISSUE, CH_REVIEW, CH_COMMENT = "github.pr", "github.issue", "github.pr_review", "github.comment"

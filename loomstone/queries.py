@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from loomstone.functions import text as T
 from loomstone.operators import coverage, diffs, heuristics, linkage, state, structural, universe
 from loomstone.sources import files, hosting
+from loomstone.sources.keyed import KeyedTable
 from loomstone.streaming import channels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -560,7 +561,7 @@ def stream_dedupe(spark: SparkSession, d: str) -> DataFrame:
         stream = spark.readStream.schema(source.schema).parquet(f"{d}/event[s].parquet")  # a pattern, as streams take no single file
         run = channels.insert_only(stream.selectExpr("event_id AS record_id", "user_id AS parent_id"), f"{base}/table", f"{base}/checkpoint-{uuid.uuid4().hex}")
         run.awaitTermination()
-    return spark.read.parquet(f"{base}/table")
+    return KeyedTable.at(spark, f"{base}/table", "record_id").read()
 
 
 # ---------------------------------------------------------------- heuristics (semantics known from tests of behaviour only)

@@ -7,18 +7,7 @@ from pyspark.sql import functions as F
 
 from loomstone import schemas
 from loomstone.operators import structural, universe
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, in any store that Spark reads."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir, else the warehouse, which is shared too."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+from loomstone.sources.store import exists
 
 
 def parsed(lines: DataFrame, schema: str, keep: list[str] | None = None, corrupt: bool = False, value: str = "value") -> DataFrame:

@@ -33,14 +33,22 @@ RAW = (
 PAGE_SIZE, RETRIES, QUOTA_FLOOR = 100, 4, 2
 
 
+#: Where an item was delivered; records keep both if the raw items have them.
+DELIVERED = ("page", "place")
+
+
 def _record(raw: DataFrame, number: bool, channel: str) -> DataFrame:
     """Parsed items with the fields that all channels share."""
-    j = raw.select("raw", F.from_json("raw", RAW).alias("j"))
+    j = raw.select("raw", F.from_json("raw", RAW).alias("j"), *_delivered(raw))
     text = title_and_body(F.col("j.title"), F.col("j.body")) if number else F.regexp_replace(F.coalesce("j.body", F.lit("")), r"(?U)^\s+|\s+$", "")
     labels = label_names_of(F.col("raw")) if number else F.array().cast("array<string>")
     return j.select("*", F.col("j.number" if number else "j.id").alias("record_id"), F.lit(channel).alias("channel"), epoch(F.col("j.created_at")).alias("timestamp"), F.col("j.user.login").alias("author"), text.alias("text"), labels.alias("labels"))
 
 
+def _delivered(raw: DataFrame) -> list[str]:
+    return [c for c in DELIVERED if c in raw.columns]
+
+
 _SHARED = ["record_id", "channel", "timestamp", "author", "text", "labels"]
 _NO_FILE = "cast(NULL AS string) AS file_path"
 _NO_PARENT = ["cast(NULL AS bigint) AS parent_id", "cast(NULL AS string) AS parent_channel"]
@@ -50,24 +58,24 @@ def issues(raw: DataFrame) -> DataFrame:
     """Closed items that are no pull requests: the key decides, even with a null value."""
     own = ~F.coalesce(F.array_contains(F.json_object_keys("raw"), "pull_request"), F.lit(False))
     r = _record(raw.where(own), True, "github.issue").where("record_id IS NOT NULL")
-    return r.select(*_SHARED, *map(F.expr, [_NO_FILE, *_NO_PARENT]), epoch(F.col("j.closed_at")).alias("closed_at"))
+    return r.select(*_SHARED, *map(F.expr, [_NO_FILE, *_NO_PARENT]), epoch(F.col("j.closed_at")).alias("closed_at"), *_delivered(raw))
 
 
 def pulls(raw: DataFrame) -> DataFrame:
     r = _record(raw, True, "github.pr").where("record_id IS NOT NULL")
-    return r.select(*_SHARED, *map(F.expr, [_NO_FILE, *_NO_PARENT]), epoch(F.col("j.closed_at")).alias("closed_at"), epoch(F.col("j.merged_at")).alias("merged_at"), F.col("j.merge_commit_sha").alias("merge_commit_sha"))
+    return r.select(*_SHARED, *map(F.expr, [_NO_FILE, *_NO_PARENT]), epoch(F.col("j.closed_at")).alias("closed_at"), epoch(F.col("j.merged_at")).alias("merged_at"), F.col("j.merge_commit_sha").alias("merge_commit_sha"), *_delivered(raw))
 
 
 def reviews(raw: DataFrame) -> DataFrame:
     r = _record(raw, False, "github.pr_review").where("record_id IS NOT NULL")
     line = F.coalesce(F.nullif("j.line", F.lit(0)), F.col("j.original_line"))
     sha = F.coalesce(F.nullif("j.commit_id", F.lit("")), F.col("j.original_commit_id"))
-    return r.select(*_SHARED, F.col("j.path").alias("file_path"), url_number(F.col("j.pull_request_url")).alias("parent_id"), F.lit("github.pr").alias("parent_channel"), line.alias("diff_line"), sha.alias("commit_sha"))
+    return r.select(*_SHARED, F.col("j.path").alias("file_path"), url_number(F.col("j.pull_request_url")).alias("parent_id"), F.lit("github.pr").alias("parent_channel"), line.alias("diff_line"), sha.alias("commit_sha"), *_delivered(raw))
 
 
 def comments(raw: DataFrame) -> DataFrame:
     r = _record(raw, False, "github.comment").where("record_id IS NOT NULL")
-    return r.select(*_SHARED, F.expr(_NO_FILE), url_number(F.col("j.issue_url")).alias("parent_id"), F.lit("github.issue_or_pr").alias("parent_channel"))
+    return r.select(*_SHARED, F.expr(_NO_FILE), url_number(F.col("j.issue_url")).alias("parent_id"), F.lit("github.issue_or_pr").alias("parent_channel"), *_delivered(raw))
 
 
 @dataclass(frozen=True)
@@ -198,15 +206,19 @@ def _fetcher(options: dict) -> Fetch:
     return getattr(importlib.import_module(module), name)
 
 
+def _rows(items: list[dict], page: int) -> list[tuple[str, int, int]]:
+    return [(json.dumps(x), page, k) for k, x in enumerate(items)]
+
+
 class PagedSource(DataSource):
-    """format("paged"): raw items as JSON text. Options: fetch (module:function), channel, pages per batch."""
+    """format("paged"): raw items as JSON text, with the page and the place in it. Options: fetch (module:function), channel, pages per batch."""
 
     @classmethod
     def name(cls) -> str:
         return "paged"
 
     def schema(self) -> str:
-        return "raw string, page int"
+        return "raw string, page int, place int"
 
     def reader(self, schema) -> DataSourceReader:
         return _BatchReader(dict(self.options))
@@ -225,8 +237,7 @@ class _BatchReader(DataSourceReader):
     def read(self, partition: InputPartition):
         endpoint = ENDPOINTS[partition.value]
         for items, now in walk(_fetcher(self.options), endpoint.params, {}, endpoint.since, int(self.options.get("pages", 0))):
-            for item in items:
-                yield json.dumps(item), now["page"]
+            yield from _rows(items, now["page"])
 
 
 class _StreamReader(SimpleDataSourceStreamReader):
@@ -239,13 +250,13 @@ class _StreamReader(SimpleDataSourceStreamReader):
     def read(self, start: dict):
         endpoint, rows, end = ENDPOINTS[self.options["channel"]], [], start
         for items, end in walk(_fetcher(self.options), endpoint.params, start, endpoint.since, int(self.options.get("pages", 1))):  # noqa: B007
-            rows += [(json.dumps(x), end["page"]) for x in items]
+            rows += _rows(items, end["page"])
         return iter(rows), end
 
     def readBetweenOffsets(self, start: dict, end: dict):  # noqa: N802
         endpoint, rows = ENDPOINTS[self.options["channel"]], []
         for items, now in walk(_fetcher(self.options), endpoint.params, start, endpoint.since, end["page"] - start["page"]):
-            rows += [(json.dumps(x), now["page"]) for x in items]
+            rows += _rows(items, now["page"])
         return iter(rows)
 
     def commit(self, end: dict) -> None:

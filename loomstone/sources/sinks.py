@@ -6,37 +6,20 @@ import csv
 import json
 import os
 import time
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from loomstone.sources.files import exists, shared_root
+from loomstone.sources.keyed import KeyedTable
 
 
-def held(df: DataFrame, label: str) -> DataFrame:
-    """df written once to the folder that driver and executors share, and read from there by all that follows."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def append_new(records: DataFrame, path: str, unit: str, *order: str) -> None:
-    """Appends records whose id the table does not hold; the first delivered of equal ids in a batch counts.
+def append_new(records: DataFrame, path: str, unit: str, *order: str, forget: bool = False) -> None:
+    """Appends records whose id the keyed table at the path does not hold; the first delivered of equal ids in a batch counts.
 
-    First is told by the columns of `order` (a page and place, say), else by the rows' place in their partitions.
+    First is told by the columns of `order` (a page and place, say), else by the rows' place in their partitions; with
+    `forget` those columns are not stored.
     """
-    place, held_unit = "__place", "__unit"
-    first = records.where(F.col(unit).isNotNull()).withColumn(place, F.struct(*(order or (F.monotonically_increasing_id(),))))
-    names = [F.col(f"`{c}`") for c in records.columns]
-    fresh = first.groupBy(F.col(unit).alias(held_unit)).agg(F.min_by(F.struct(*names), place).alias("first")).select(*[F.col("first")[c].alias(c) for c in records.columns])
-    spark = records.sparkSession
-    if exists(spark, path):
-        held = spark.read.parquet(path).select(F.col(unit).cast("string").alias(held_unit))
-        fresh = fresh.join(held, fresh[unit].cast("string") == F.col(held_unit), "left_anti")
-    fresh.write.mode("append").parquet(path)
+    KeyedTable.at(records.sparkSession, path, unit).append_new(records, *order, forget=forget)
 
 
 def append_attempts(records: DataFrame, path: str) -> None:

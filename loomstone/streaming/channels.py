@@ -11,15 +11,16 @@ from pyspark.sql.streaming import StreamingQuery
 from loomstone.sources.sinks import append_new
 
 
-def insert_only(stream: DataFrame, table: str, checkpoint: str, unit: str = "record_id", normalise: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+def insert_only(stream: DataFrame, table: str, checkpoint: str, unit: str = "record_id", normalise: Callable[[DataFrame], DataFrame] | None = None, order: tuple[str, ...] = ()) -> StreamingQuery:
     """Starts a run over what is available: records with new ids are appended, known ones discarded and never updated.
 
-    The test is against the table and not against bounded state, so no id is ever forgotten. Null ids are skipped.
-    A batch that is run again after a failure finds its own rows and adds none twice.
+    The test is against the keyed table and not against bounded state, so no id is ever forgotten; a batch opens only what
+    it may touch of the table. Null ids are skipped. A batch that is run again after a failure finds its own rows and adds
+    none twice. `order` names the columns that tell which of equal ids was delivered first; they are not stored.
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        append_new(normalise(batch) if normalise else batch, table, unit)
+        append_new(normalise(batch) if normalise else batch, table, unit, *order, forget=True)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
