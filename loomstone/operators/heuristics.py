@@ -12,6 +12,9 @@ import warnings
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstone.operators.intervals import overlap_join
+from loomstone.sources.store import held
+
 UNKNOWN_SCORE, UNKNOWN_CATEGORY, CHURN_PER_OPERATION = 0.1, "Unclassified", 20
 
 
@@ -55,31 +58,20 @@ def escalated(refactorings: DataFrame) -> DataFrame:
     )
 
 
-def overlaps(a: Column, b: Column, c: Column, d: Column) -> Column:
-    return (a <= d) & (c <= b)
-
-
-def range_overlap(left: DataFrame, right: DataFrame, keys: list[str], left_range: tuple[str, str], right_range: tuple[str, str], how: str = "inner") -> DataFrame:
-    """Rows of equal keys whose ranges overlap; the keys keep it an equi-join with a residual test."""
-    condition = overlaps(F.col(left_range[0]), F.col(left_range[1]), F.col(right_range[0]), F.col(right_range[1]))
-    for k in keys:
-        condition = condition & (left[k] == right[k])
-    return left.join(right, condition, how)
-
-
 def proximity(refactorings: DataFrame, violations: DataFrame, lineage: DataFrame) -> DataFrame:
     """Each refactoring with smells in its lines before and after, and what became of them.
 
-    Before is the first parent with the left path, after the commit with the right path, so renames are followed.
+    Before is the first parent with the left path, after the commit with the right path, so renames are followed. Ranges
+    meet by bins of lines, see intervals. The numbered rows are written once, so that all who join them see one numbering.
     """
-    rows = refactorings.withColumn("__row", F.monotonically_increasing_id())
+    rows = held(refactorings.withColumn("__row", F.monotonically_increasing_id()), "refactorings")
     parents = lineage.select(F.col("sha").alias("commit_sha"), F.get("parent_shas", F.lit(0)).alias("__parent"))
     rows = rows.join(parents, "commit_sha", "left")
 
     def side(sha: str, path: str, begin: str, end: str, name: str) -> DataFrame:
         own = rows.select("__row", F.col(sha).alias("__sha"), F.col(path).alias("__path"), F.col(begin).alias("__a"), F.col(end).alias("__b"))
         v = violations.select(F.col("sha").alias("__vsha"), F.col("file_path").alias("__vpath"), F.col("begin_line").alias("__c"), F.col("end_line").alias("__d"), F.col("pmd_complexity_score").alias("__s"))
-        hit = own.join(v, (F.col("__sha") == F.col("__vsha")) & (F.col("__path") == F.col("__vpath")) & overlaps(F.col("__a"), F.col("__b"), F.col("__c"), F.col("__d")))
+        hit = overlap_join(own, v, [("__sha", "__vsha"), ("__path", "__vpath")], ("__a", "__b"), ("__c", "__d"))
         return hit.groupBy("__row").agg(F.lit(True).alias(f"{name}_smell"), F.coalesce(F.sum("__s"), F.lit(0.0)).alias(f"{name}_score"))
 
     both = rows.join(side("__parent", "left_side_path", "start_line_ref_left", "end_line_ref_left", "left"), "__row", "left").join(side("commit_sha", "right_side_path", "start_line_ref_right", "end_line_ref_right", "right"), "__row", "left")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstone.functions import text as T
-from loomstone.operators import coverage, diffs, heuristics, linkage, state, structural, universe
+from loomstone.operators import coverage, diffs, heuristics, intervals, linkage, state, structural, universe
 from loomstone.sources import files, hosting
 from loomstone.sources.keyed import KeyedTable
 from loomstone.streaming import channels
@@ -597,7 +597,38 @@ _RANGES = "SELECT l_orderkey AS k, l_partkey AS p, day(l_shipdate) AS a, day(l_s
 def range_overlap(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "lineitem").selectExpr("l_orderkey AS k", "l_partkey AS p", "day(l_shipdate) AS a", "day(l_shipdate) + cast(l_quantity AS int) % 5 AS b")
     left, right = r.toDF("k", "p", "a", "b"), r.toDF("k", "q", "c", "e")
-    return heuristics.range_overlap(left, right, ["k"], ("a", "b"), ("c", "e")).where("p < q").groupBy(left["k"].alias("order_key")).agg(F.count("*").alias("n"))
+    return intervals.overlap_join(left, right, ["k"], ("a", "b"), ("c", "e")).where("p < q").groupBy(left["k"].alias("order_key")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH r AS (SELECT l_suppkey % 4 AS file, l_partkey AS a, l_partkey + CAST(l_quantity AS INT) * (1 + l_linenumber * l_linenumber) AS b, l_orderkey AS o FROM lineitem WHERE l_returnflag = 'R'),
+f AS (SELECT l_suppkey % 4 AS file, l_partkey AS c, l_partkey + CAST(l_quantity AS INT) % 3 AS d, CAST(l_quantity AS BIGINT) AS s FROM lineitem WHERE l_linenumber = 2)
+SELECT r.o AS order_key, count(*) AS n, sum(f.s)::BIGINT AS score FROM r JOIN f ON r.file = f.file AND r.a <= f.d AND f.c <= r.b GROUP BY 1""")
+def overlap_of_hot_files(spark: SparkSession, d: str) -> DataFrame:
+    """Four files hold all ranges, of a few lines up to thousands."""
+    lines = table(spark, d, "lineitem")
+    r = lines.where("l_returnflag = 'R'").selectExpr("l_suppkey % 4 AS file", "l_partkey AS a", "l_partkey + cast(l_quantity AS int) * (1 + l_linenumber * l_linenumber) AS b", "l_orderkey AS o")
+    f = lines.where("l_linenumber = 2").selectExpr("l_suppkey % 4 AS of", "l_partkey AS c", "l_partkey + cast(l_quantity AS int) % 3 AS d", "cast(l_quantity AS bigint) AS s")
+    return intervals.overlap_join(r, f, [("file", "of")], ("a", "b"), ("c", "d")).groupBy(F.col("o").alias("order_key")).agg(F.count("*").alias("n"), F.sum("s").alias("score"))
+
+
+@query("""WITH line AS (SELECT l_orderkey AS o, l_suppkey % 3 AS p, l_partkey % 300 AS a, l_partkey % 300 + 4 * l_linenumber AS b, CAST(l_quantity AS BIGINT) AS s FROM lineitem),
+r AS (SELECT row_number() OVER () AS k, * FROM line),
+before AS (SELECT k, sum(v.s) AS s FROM r JOIN orders ON o = o_orderkey JOIN line v ON v.o = o_orderkey // 2 AND o_orderkey > 1 AND v.p = r.p AND r.a <= v.b AND v.a <= r.b GROUP BY k),
+after AS (SELECT k, sum(v.s) AS s FROM r JOIN line v ON v.o = r.o AND v.p = (r.p + 1) % 3 AND r.a + 5 <= v.b AND v.a <= r.b + 5 GROUP BY k)
+SELECT o AS order_key, causality_type, count(*) AS n, sum(b)::BIGINT AS score_before, sum(c)::BIGINT AS score_after FROM (
+  SELECT r.o, coalesce(x.s, 0) AS b, coalesce(y.s, 0) AS c, CASE WHEN x.k IS NOT NULL AND y.k IS NULL THEN 'Fixed' WHEN x.k IS NULL AND y.k IS NOT NULL THEN 'Introduction' WHEN y.s < x.s THEN 'Ameliorated' WHEN x.k IS NOT NULL THEN 'Persistent' ELSE 'None' END AS causality_type
+  FROM r LEFT JOIN before x ON x.k = r.k LEFT JOIN after y ON y.k = r.k) GROUP BY ALL""")
+def smells_near_refactorings(spark: SparkSession, d: str) -> DataFrame:
+    """Line items are refactorings that move lines of one file to another, and findings in the same files."""
+    lines, sha = table(spark, d, "lineitem"), "concat('c', l_orderkey)"
+    refactored = lines.selectExpr(
+        f"{sha} AS commit_sha", "concat('P', l_suppkey % 3) AS left_side_path", "concat('P', (l_suppkey + 1) % 3) AS right_side_path", "l_partkey % 300 AS start_line_ref_left", "l_partkey % 300 + 4 * l_linenumber AS end_line_ref_left",
+        "l_partkey % 300 + 5 AS start_line_ref_right", "l_partkey % 300 + 4 * l_linenumber + 5 AS end_line_ref_right",
+    )
+    findings = lines.selectExpr(f"{sha} AS sha", "concat('P', l_suppkey % 3) AS file_path", "l_partkey % 300 AS begin_line", "l_partkey % 300 + 4 * l_linenumber AS end_line", "cast(l_quantity AS bigint) AS pmd_complexity_score")
+    history = table(spark, d, "orders").selectExpr("concat('c', o_orderkey) AS sha", "CASE WHEN o_orderkey > 1 THEN array(concat('c', o_orderkey div 2)) ELSE array() END AS parent_shas")
+    found = heuristics.proximity(refactored, findings, history).groupBy(F.expr("cast(substr(commit_sha, 2) AS bigint)").alias("order_key"), "causality_type")
+    return found.agg(F.count("*").alias("n"), F.sum("previous_pmd_score").cast("bigint").alias("score_before"), F.sum("current_pmd_score").cast("bigint").alias("score_after"))
 
 
 @query("""SELECT CASE WHEN l AND NOT r THEN 'Fixed' WHEN r AND NOT l THEN 'Introduction' WHEN l AND r AND now < before THEN 'Ameliorated' WHEN l AND r THEN 'Persistent' ELSE 'None' END AS causality_type, count(*) AS n FROM (
