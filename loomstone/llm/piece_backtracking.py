@@ -9,8 +9,9 @@ then shorter ones; where none goes, the place is marked in a bitfield as failed
 prefix has one encoding, so a failed place is failed for good and the work is linear in the text. Whether two pieces go
 together is found by merging their texts, once per worker.
 
-Texts are cut first where no piece can lie across: at white space, if no piece has any inside, and at characters that are in
-no piece, which become bytes. A worker remembers the ids of short parts up to a bound of bytes. The vocabulary is read in the
+Texts are cut first where no piece can lie across: between two characters that stand side by side in no piece, as at white
+space or in scripts whose pieces are single letters; characters that are in no piece become bytes. A worker remembers the ids
+of short parts up to a bound of bytes. The vocabulary is read in the
 driver, checked for what is built here (merging, fallback to bytes, no rewriting of the text, a leading space), reduced to the
 pieces that merging can give at all, and shipped as one file.
 
@@ -24,7 +25,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,8 +41,8 @@ from loomstone.llm.common import chunks, docs_of, lists, shipped, texts_of
 
 #: Bytes that a worker's remembered parts take, as counted by `Encoder.cost`, and characters of the longest one.
 REMEMBERED, LONGEST = 64 << 20, 64
-#: Pairs of pieces that a worker remembers.
-PAIRS = 1 << 20
+#: Pairs of pieces that a worker remembers, and characters that are looked at together for places to cut.
+PAIRS, BLOCK = 1 << 20, 1 << 20
 
 #: What a space is written as in pieces.
 MARK = "▁"
@@ -141,12 +141,14 @@ class Pieces:
             self.matcher.add_word(t[::-1], k)
         if self.texts:
             self.matcher.make_automaton()
-        self.strange = re.compile(f"([^{re.escape(''.join(sorted(letters)))}])", re.DOTALL) if letters else re.compile("(.)", re.DOTALL)
-        self.goes: dict[tuple[int, int], bool] = {}
-        # where no piece lies across: before a mark if none has one inside, and around line ends if none has any
-        inside = any(MARK in p.lstrip(MARK) for p in self.ranks)
-        line = "" if "\n" in letters else "\n"
-        self.parts = re.compile(("[^\n]+|\n" if line else "(?s:.+)") if inside else f"{MARK}*[^{MARK}{line}]+|{MARK}+" + "|\n" * bool(line))
+        # numbers of the letters of pieces, 0 for all others, and which two stand side by side in a piece
+        self.letter = np.zeros(0x110000, dtype=np.int32)
+        self.letter[[ord(c) for c in sorted(letters)]] = np.arange(1, len(letters) + 1)
+        self.side_by_side = np.zeros((len(letters) + 1, len(letters) + 1), dtype=bool)
+        for p in self.ranks:
+            row = self.letter[[ord(c) for c in p]]
+            self.side_by_side[row[:-1], row[1:]] = True
+        self.goes: dict[int, bool] = {}  # by both numbers in one
         surface = {BYTE: lambda p: bytes([int(p[1:-1], 16)]), NORMAL: lambda p: p.replace(MARK, " ").encode(), CONTROL: lambda p: b"", UNKNOWN: lambda p: model["surface"].encode()}
         self.surfaces = [surface[k](p) for p, k in zip(pieces, kinds, strict=True)]
         self.kinds, self.controls = kinds, {i for i, k in enumerate(kinds) if k == CONTROL}
@@ -157,48 +159,53 @@ class Pieces:
 
     def go_together(self, a: int, b: int) -> bool:
         """Whether merging leaves the two tokens' common text as just these two."""
-        known = self.goes.get((a, b))
-        if known is None:
-            if len(self.goes) >= PAIRS:
-                self.goes.clear()
-            known = self.goes[a, b] = merged(self.texts[a] + self.texts[b], self.ranks) == [self.texts[a], self.texts[b]]
+        if len(self.goes) >= PAIRS:
+            self.goes.clear()
+        known = self.goes[a << 32 | b] = merged(self.texts[a] + self.texts[b], self.ranks) == [self.texts[a], self.texts[b]]
         return known
 
     def backtracked(self, text: str) -> list[int]:
         """The tokens of a text of known letters."""
-        n = len(text)
-        longest = [-1] * n
+        n, lengths, goes = len(text), self.lengths, self.goes
+        longest = [-1] * (n + 1)
         for last, token in self.matcher.iter(text[::-1]):
-            place = n - 1 - last
-            if longest[place] < 0 or self.lengths[token] > self.lengths[longest[place]]:
-                longest[place] = token
+            before = longest[n - 1 - last]
+            if before < 0 or lengths[token] > lengths[before]:
+                longest[n - 1 - last] = token
         failed = bytearray((n >> 3) + 1)
         path: list[int] = []
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < n:
-            end = at + self.lengths[token]
-            if not failed[end >> 3] >> (end & 7) & 1 and (not path or self.go_together(path[-1], token)):
+            end = at + lengths[token]
+            if not failed[end >> 3] >> (end & 7) & 1 and (last < 0 or (known if (known := goes.get(last << 32 | token)) is not None else self.go_together(last, token))):
                 path.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                at, last, token = end, token, longest[end]
             elif self.shorter[token] >= 0:
                 token = self.shorter[token]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 token = path.pop()
-                at -= self.lengths[token]
+                last = path[-1] if path else -1
+                at -= lengths[token]
         return path
 
+    def parts(self, text: str) -> list[str]:
+        """The text cut where no piece lies across."""
+        if not text:
+            return []
+        cuts = [0]
+        for a in range(0, len(text), BLOCK):
+            rows = self.letter[np.frombuffer(text[a : a + BLOCK + 1].encode("utf-32-le"), dtype="<u4")]
+            cuts += (np.flatnonzero(~self.side_by_side[rows[:-1], rows[1:]]) + (a + 1)).tolist()
+        return list(map(text.__getitem__, map(slice, cuts, [*cuts[1:], len(text)])))
+
     def ids_of(self, part: str) -> list[int]:
-        """Ids of a part between two places that no piece lies across."""
-        found: list[int] = []
-        for k, run in enumerate(self.strange.split(part)):
-            if k % 2:
-                found += self.of_bytes(run)
-            elif run:
-                for token in self.backtracked(run):
-                    found += self.ids[self.texts[token]]
-        return found
+        """Ids of a part; one that holds a letter of no piece is that letter."""
+        if part in self.ids:
+            return self.ids[part]
+        if not self.letter[ord(part[0])]:
+            return self.of_bytes(part)
+        return [i for token in self.backtracked(part) for i in self.ids[self.texts[token]]]
 
     def decode(self, ids: list[int]) -> bytes:
         """The text of the ids: a leading space goes, and bytes that are no text become replacement characters one by one."""
@@ -252,24 +259,31 @@ class Encoder:
         """Bytes that a remembered part takes: both objects and its place in the table."""
         return 4 * len(part) + len(ids) + 200
 
-    def of_part(self, part: str) -> bytes:
-        found = self.known.get(part)
-        if found is None:
-            found = np.array(self.pieces.ids_of(part), "<u4").tobytes()
-            if len(part) <= LONGEST:
-                self.held += self.cost(part, found)
-                if self.held > self.limit:
-                    self.known.clear()
-                    self.held = self.cost(part, found)
-                self.known[part] = found
+    def _learnt(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of all the parts; those of short ones are remembered."""
+        if self.held > self.limit:
+            self.known.clear()
+            self.held = 0
+        found = {}
+        for part in set(parts):
+            ids = self.known.get(part)
+            if ids is None:
+                ids = np.array(self.pieces.ids_of(part), "<u4").tobytes()
+                if len(part) <= LONGEST and self.held <= self.limit:
+                    self.held += self.cost(part, ids)
+                    self.known[part] = ids
+            found[part] = ids
         return found
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids of a text, the end id last."""
         if not text:
             return self.end
-        parts = self.pieces.parts.findall(MARK + text.replace(" ", MARK))
-        return b"".join([*map(self.of_part, parts), self.end])
+        parts = self.pieces.parts(MARK + text.replace(" ", MARK))
+        try:
+            return b"".join(map(self.known.__getitem__, parts)) + self.end
+        except KeyError:
+            return b"".join(map(self._learnt(parts).__getitem__, parts)) + self.end
 
 
 def default_model() -> str:
