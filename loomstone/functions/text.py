@@ -19,7 +19,7 @@ CLOSES, MENTIONS, API = "closes", "mentions", "api"
 TRUNCATED = "... [truncated] "
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 SLUG = r"github\.com[:/]+([^/\s]+)/([^/\s]+?)(?:\.git)?/?$"
-REMOTE = r"^(?:(?:https?|ssh)://[^/\s]+(?:/[^ \t\r\n]*)?|git@[^:\s]+:[^ \t\r\n]+)$"
+SCHEMES, GIT_USER = ("http", "https", "ssh"), "git@"
 
 
 def strip(text: Column) -> Column:
@@ -88,8 +88,17 @@ def safe_folder(url: Column) -> Column:
 
 
 def is_remote(url: Column) -> Column:
-    """Whether this is a remote's address; one that starts with a dash raises."""
-    return F.when(url.startswith("-"), F.raise_error(F.lit("an address may not start with a dash"))).otherwise(url.rlike(REMOTE))
+    """Whether this is a remote's address: a known scheme and a host, or the git user's host and a path, without blanks.
+
+    One that starts with a dash raises.
+    """
+    scheme, git = F.substring_index(url, "://", 1), url.startswith(GIT_USER)
+    rest = F.when(git, F.substring(url, len(GIT_USER) + 1, 1 << 30)).otherwise(F.substring(url, F.length(scheme) + 4, F.lit(1 << 30)))
+    host = F.when(git, F.substring_index(rest, ":", 1)).otherwise(F.substring_index(rest, "/", 1))
+    path = F.substring(rest, F.length(host) + 2, F.lit(1 << 30))
+    whole = (host != "") & ~host.rlike(r"(?U)\s") & (F.translate(path, " \t\r\n", "") == path)
+    told = F.when(git, whole & (path != "")).otherwise(url.contains("://") & scheme.isin(*SCHEMES) & whole)
+    return F.when(url.startswith("-"), F.raise_error(F.lit("an address may not start with a dash"))).otherwise(told)
 
 
 def tail(text: Column, n: int = 500) -> Column:

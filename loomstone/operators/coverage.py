@@ -48,13 +48,17 @@ def absent(spark, stage: str, artifact: str) -> DataFrame:
     return spark.range(1).select(F.lit(stage).alias("stage"), F.lit(artifact).alias("artifact"), F.lit(False).alias("present"), *[F.lit(None).cast("bigint").alias(c) for c in ("records", "units", "ok", "empty", "failed", "duplicates")], F.lit(None).cast("string").alias("statuses"), F.lit("not mined yet").alias("note"))
 
 
+# What a channel's note says of its state.
+NO_STATE, COMPLETE, INCOMPLETE, THROUGH_PAGE, WINDOW_FROM, PAUSED = "no state file", "complete", "INCOMPLETE — re-run to continue", "through page ", "window from ", "paused on API quota"
+
+
 def channel_note(inner: Column, has_state: Column, complete: Column, page: Column, window: Column, quota: Column) -> Column:
     """Whether a channel's collection was finished, and if not, how far it came."""
     going = F.concat_ws(
-        "; ", F.lit("INCOMPLETE — re-run to continue"), F.when(page > 0, F.concat(F.lit("through page "), page.cast("string"))),
-        F.when(window != "", F.concat(F.lit("window from "), F.substring(window, 1, 10))), F.when(quota.isNotNull() & (quota != 0), "paused on API quota"),
+        "; ", F.lit(INCOMPLETE), F.when(page > 0, F.concat(F.lit(THROUGH_PAGE), page.cast("string"))),
+        F.when(window != "", F.concat(F.lit(WINDOW_FROM), F.substring(window, 1, 10))), F.when(quota.isNotNull() & (quota != 0), PAUSED),
     )
-    state = F.when(~has_state, "no state file").when(complete, "complete").otherwise(going)
+    state = F.when(~has_state, NO_STATE).when(complete, COMPLETE).otherwise(going)
     return F.concat_ws("; ", F.nullif(inner, F.lit("")), state)
 
 
@@ -69,15 +73,17 @@ def exported(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.coalesce(F.col(c).cast("int").cast("string") if c == "present" else F.col(c).cast("string"), F.lit("")).alias(c) for c in COLUMNS])
 
 
+#: What a console shows of a report.
+SHOWN = ("artifact", "records", "units", "ok", "empty", "failed", "note")
+
+
 def rendered(rows: DataFrame) -> list[str]:
-    """The report, one row per artifact, as lines for a console."""
-    shown = lambda x: "-" if x is None else f"{x:,}"
-    lines, held = [f"{'STAGE':<28}{'RECORDS':<9}{'UNITS':<8}{'OK':<8}{'EMPTY':<7}{'FAILED':<8}"], rows.collect()
-    for r in held:
-        lines.append(f"{r['stage'][:27]:<28}{shown(r['records']):<9}{shown(r['units']):<8}{shown(r['ok']):<8}{shown(r['empty']):<7}{shown(r['failed']):<8}".rstrip())
-        lines += [f"    {r['note']}"] if r["note"] else []
-    failed, units = sum(r["failed"] or 0 for r in held), sum(r["units"] or 0 for r in held if r["present"])
-    missing = [r["stage"] for r in held if not r["present"]]
-    lines.append(f"{units:,} units of {len(held) - len(missing)} artifacts")
-    lines += [f"{failed:,} units failed; run their stage again"] if failed else []
-    return lines + ([f"not mined yet: {', '.join(missing)}"] if missing else [])
+    """The report as lines for a console: columns as wide as what they hold, then the totals."""
+    told = exported(rows).select("present", *SHOWN).collect()
+    cells = [list(SHOWN)] + [list(r[1:]) for r in told]
+    wide = [max(map(len, column)) for column in zip(*cells, strict=True)]
+    lines = ["  ".join(x.ljust(w) for x, w in zip(row, wide, strict=True)).rstrip() for row in cells]
+    sums = totals(rows).first()
+    lines.append(f"in all: {sums['units']} units, {sums['failed']} of them to be tried again")
+    missing = [r["artifact"] for r in told if r["present"] != "1"]
+    return lines + ([f"still to mine: {', '.join(missing)}"] if missing else [])

@@ -69,6 +69,10 @@ def test_names(spark):
     assert one(spark, T.tail(F.lit(" abcdef\n"), 3)) == "... [truncated] def"
     assert one(spark, T.tail(F.lit(" abc \n"), 3)) == "abc" and one(spark, T.tail(F.lit(None).cast("string"))) == ""
     assert one(spark, T.is_remote(F.lit("https://h/x"))) and not one(spark, T.is_remote(F.lit("x y")))
+    known = ["https://h", "http://h/x y", "https://h/a b", "http://h/", "ssh://git@h:2/x", "ftp://h/x", "https:///x", "https://h h/x", "git@h:o/r", "git@h:", "git@:x", "git@h/x", "git@a b:x", "h/x", "", "https://h/x\n", "git@h:a\tb"]
+    for url in known:
+        assert one(spark, T.is_remote(F.lit(url))) == (url in ("https://h", "http://h/", "ssh://git@h:2/x", "git@h:o/r")), url
+    assert one(spark, T.is_remote(F.lit(None).cast("string"))) is None
     with pytest.raises(Exception, match="dash"):
         one(spark, T.is_remote(F.lit("--upload-pack=x")))
 

@@ -108,7 +108,7 @@ class Answer:
     def __exit__(self, *_):
         return None
 
-    def read(self):
+    def read(self, *_):
         return json.dumps(self.items).encode()
 
 
@@ -144,6 +144,27 @@ def test_retries_and_quota():
             fetch(None, {})
 
 
+@pytest.mark.parametrize(
+    ("reply", "cause", "wait"),
+    [
+        (hosting.Reply(200, items=[]), "answer", None), (hosting.Reply(403, {"x-ratelimit-remaining": "0", "x-ratelimit-reset": "9"}), "quota", None), (hosting.Reply(429, {"x-ratelimit-remaining": "0"}), "throttled", 20),
+        (hosting.Reply(403, {"x-ratelimit-remaining": "7", "x-ratelimit-reset": "9"}), "throttled", 20), (hosting.Reply(429, {"retry-after": "1.5"}), "throttled", 1.5), (hosting.Reply(404), "refused", None),
+        (hosting.Reply(503, {"retry-after": "60"}), "broken", 8), (hosting.Reply(None, fault="reset"), "broken", 8), (hosting.Reply(301), "refused", None),
+    ],
+)
+def test_causes(reply, cause, wait):
+    assert reply.cause == cause and (wait is None or reply.wait(2) == wait)
+
+
+def test_unreadable_answers_are_tried_again():
+    class Cut(Answer):
+        def read(self, *_):
+            return b"[{"
+
+    fetch, pauses = recorded(Cut(None), Answer({"id": 1}))
+    assert fetch(None, {}) == ([{"id": 1}], None) and pauses == [2]
+
+
 def test_channel_runs_go_on_where_they_stopped(tmp_path):
     next_ = '<https://h/x?page=2>; rel="next"'
     state, seen = sinks.ChannelState(str(tmp_path / "s.json")), []
