@@ -20,7 +20,6 @@ from loomstone.operators import coverage, diffs, linkage, state, structural, uni
 from loomstone.plans.stages import SAMPLE, UNIVERSE, Command, RunPlan
 from loomstone.sources import files, sinks
 from loomstone.sources.hosting import ENDPOINTS
-from loomstone.sources.keyed import BUCKET
 
 #: Per walking stage: the column that names its commit, and its landed records.
 UNITS = {"ledger": "sha", "refm": "sha1", "diff": "sha1", "ck": "sha"}
@@ -39,10 +38,8 @@ class Workspace:
 
     def table(self, name: str, schema: str | None = None) -> DataFrame | None:
         """A stage's table; where it has not run, an empty one of the schema, or None, which is not the same."""
-        path = f"{self.output}/{name}"
-        if files.exists(self.spark, path):
-            return self.spark.read.parquet(path).drop(BUCKET)
-        return self.spark.createDataFrame([], schema) if schema else None
+        found = sinks.read_table(self.spark, f"{self.output}/{name}")
+        return self.spark.createDataFrame([], schema) if found is None and schema else found
 
     def landed(self, stage: str) -> DataFrame:
         path = f"{self.landing}/{stage}.jsonl"

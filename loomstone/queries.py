@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from loomstone.functions import text as T
 from loomstone.operators import coverage, diffs, heuristics, intervals, linkage, state, structural, universe
-from loomstone.sources import files, hosting
+from loomstone.sources import files, hosting, store
 from loomstone.sources.keyed import KeyedTable
+from loomstone.sources.versions import VersionedTable
+from loomstone.streaming import attempts as follow
 from loomstone.streaming import channels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +206,18 @@ def latest_attempt(spark: SparkSession, d: str) -> DataFrame:
     return state.latest_attempts(attempts(spark, d), "l_orderkey", "o", "status")
 
 
+@query(f"{_LATEST_SQL} SELECT l_orderkey, attempts, status FROM latest WHERE rn = 1")
+def latest_attempt_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same attempts, landed in three parts in no order, each a micro-batch of a run that goes on from its checkpoint."""
+    base = f"{store.shared_root(spark)}/attempts-{uuid.uuid4().hex}"
+    landed = attempts(spark, d).select("l_orderkey", "status", "o.*")
+    for k in range(3):
+        landed.where(F.pmod(F.xxhash64("l_partkey", "l_suppkey"), F.lit(3)) == k).write.parquet(f"{base}/landed/{k}")
+        stream = spark.readStream.schema(landed.schema).parquet(f"{base}/landed/*")
+        follow.keep_latest(stream, f"{base}/table", f"{base}/checkpoint", "l_orderkey", list(ATTEMPT_ORDER), "status").awaitTermination()
+    return VersionedTable(spark, f"{base}/table").read()
+
+
 @query(f"SELECT coalesce(status, 'unlabelled') AS status, count(*) AS n FROM (SELECT {STATUSES} AS status FROM lineitem) GROUP BY 1")
 def status_tally(spark: SparkSession, d: str) -> DataFrame:
     return state.status_tally(attempts(spark, d))

@@ -8,9 +8,11 @@ import os
 import time
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from loomstone.sources.keyed import KeyedTable
+from loomstone.sources.keyed import BUCKET, KeyedTable
+from loomstone.sources.store import children
+from loomstone.sources.versions import VersionedTable, is_versioned
 
 
 def append_new(records: DataFrame, path: str, unit: str, *order: str, forget: bool = False) -> None:
@@ -28,18 +30,15 @@ def append_attempts(records: DataFrame, path: str) -> None:
 
 
 def refresh(df: DataFrame, path: str) -> None:
-    """A derived table, replaced: written beside, then swapped in, so a failed write leaves the old one."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    store = at(path).getFileSystem(conf)
-    new, old = f"{path}.__new", f"{path}.__old"
-    df.write.mode("overwrite").parquet(new)
-    store.delete(at(old), True)
-    if store.exists(at(path)):
-        store.rename(at(path), at(old))
-    store.rename(at(new), at(path))
-    store.delete(at(old), True)
+    """A derived table, replaced as one step: readers see the old one or the new one, also after a failed write."""
+    VersionedTable(df.sparkSession, path).replace(df)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table of this engine, however it is kept: versioned, keyed, or plain files; None if there is none."""
+    if is_versioned(spark, path):
+        return VersionedTable(spark, path).read()
+    return spark.read.parquet(path).drop(BUCKET) if any(not x.startswith(("_", ".")) for x in children(spark, path)) else None
 
 
 def replace_csv(df: DataFrame, path: str) -> int:

@@ -42,17 +42,43 @@ def read_document(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
+def create_document(spark: SparkSession, path: str, document: dict) -> bool:
+    """Writes a document that must not be there yet; whether it was this call that made it."""
+    where, store = _at(spark, path)
+    if store.exists(where):
+        return False
+    beside, _ = _at(spark, f"{where.getParent()}/.{where.getName()}-{uuid.uuid4().hex}")
+    _put(store, beside, document)
+    try:
+        _context(spark, where, store).rename(store.makeQualified(beside), store.makeQualified(where), spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Exception:
+        store.delete(beside, False)
+        if store.exists(where):
+            return False
+        raise
+    return True
+
+
+def _put(store, where, document: dict) -> None:
+    out = store.create(where, True)
+    out.write(bytearray(json.dumps(document, sort_keys=True).encode("utf-8")))
+    out.close()
+
+
+def _context(spark: SparkSession, where, store):
+    uri = where.toUri() if where.toUri().getScheme() else store.getUri()
+    return spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(uri, spark._jsc.hadoopConfiguration())
+
+
 def write_document(spark: SparkSession, path: str, document: dict) -> None:
     """Replaces the document: written beside under a name of its own and renamed over the old one, which is one step of the store."""
     jvm = spark._jvm
     where, store = _at(spark, path)
     beside, _ = _at(spark, f"{where.getParent()}/.{where.getName()}-{uuid.uuid4().hex}")
-    out = store.create(beside, True)
-    out.write(bytearray(json.dumps(document, sort_keys=True).encode("utf-8")))
-    out.close()
+    _put(store, beside, document)
     over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri() if where.toUri().getScheme() else store.getUri(), spark._jsc.hadoopConfiguration()).rename(store.makeQualified(beside), store.makeQualified(where), over)
+    _context(spark, where, store).rename(store.makeQualified(beside), store.makeQualified(where), over)
 
 
 def shared_root(spark: SparkSession) -> str:
