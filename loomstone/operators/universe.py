@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstone.functions.text import version
+from loomstone.operators.history import ancestors
+
+__all__ = ["ancestors"]  # of history; the other names are this module's own
 
 
 def lineage(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -44,37 +46,6 @@ def commit_kinds(commits: DataFrame) -> DataFrame:
     return commits.agg(F.count("*").alias("commits"), F.count_if(n == 0).alias("roots"), F.count_if(n >= 2).alias("merges"))
 
 
-def ancestors(commits: DataFrame, heads: DataFrame, *by: str) -> DataFrame:
-    """(*by, sha): what each group's heads reach, themselves included; heads that are no commits are left out.
-
-    A history is walked in one task per group, in time and memory linear in its two narrow columns; groups run in
-    parallel. A loop of joins would need a job for each generation, and a recursive query revisits shared ancestors.
-    """
-    keys = list(by) or ["__all"]
-    edges = commits.select(*(by or [F.lit(1).alias("__all")]), "sha", "parent_shas")
-    starts = heads.select(*(by or [F.lit(1).alias("__all")]), "sha").distinct()
-    width = len(keys)
-
-    def walk(key: tuple, history: pd.DataFrame, heads_: pd.DataFrame) -> pd.DataFrame:
-        parents = dict(zip(history["sha"], history["parent_shas"], strict=True))
-        todo = [s for s in heads_["sha"] if s in parents]
-        seen = set(todo)
-        while todo:
-            up = parents[todo.pop()]
-            for p in () if up is None else up:
-                if p in parents and p not in seen:
-                    seen.add(p)
-                    todo.append(p)
-        held = history if len(history) else heads_
-        same = {k: pd.Series([v] * len(seen), dtype=held[k].dtype) for k, v in zip(keys, key[:width], strict=True)}
-        return pd.DataFrame({**same, "sha": pd.Series(sorted(seen), dtype=object)})
-
-    types = dict(edges.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in [*keys, "sha"])
-    found = edges.groupBy(*keys).cogroup(starts.groupBy(*keys)).applyInPandas(walk, schema)
-    return found if by else found.select("sha")
-
-
 def check_manifest(manifest: dict, repo: str) -> dict:
     """A universe manifest that names this repository, a head, and further heads as text; else ValueError with all faults."""
     near = manifest.get("near_mainline_shas", [])

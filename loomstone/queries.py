@@ -3,8 +3,7 @@
 The tables play roles: orders are pull requests and commits, customers issues, lineitem rows review comments, commit
 messages, changed files and retried attempts, events issue comments. Every query reads its whole tables; a role may be
 played by some of a table's rows: in the link queries commit messages are the line items of number 1, and a tenth of the
-orders is outside the lineage, so that edges to absent commits occur; the ancestor closure starts from a thousandth of
-the orders as heads.
+orders is outside the lineage, so that edges to absent commits occur.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstone.functions import text as T
-from loomstone.operators import coverage, diffs, heuristics, intervals, linkage, state, structural, universe
+from loomstone.operators import coverage, diffs, heuristics, history, intervals, linkage, state, structural, universe
 from loomstone.sources import files, hosting, store
 from loomstone.sources.keyed import KeyedTable
 from loomstone.sources.versions import VersionedTable
@@ -280,13 +279,32 @@ def merge_root_counts(spark: SparkSession, d: str) -> DataFrame:
     return universe.commit_kinds(tree(spark, d))
 
 
-@query(f"""WITH RECURSIVE t AS (SELECT DISTINCT k FROM ({_TREE})), up AS (
-  SELECT k FROM t WHERE k % 1000 = 999 UNION
-  SELECT p.k FROM up JOIN t p ON (up.k > 1 AND p.k = up.k // 2) OR (up.k > 1 AND up.k % 7 = 0 AND p.k = up.k - 1))
+_EDGES = f"""t AS (SELECT DISTINCT k FROM ({_TREE})), e AS (SELECT t.k, p.k AS parent FROM t JOIN t p ON p.k = t.k // 2 WHERE t.k > 1 UNION SELECT t.k, p.k FROM t JOIN t p ON p.k = t.k - 1 WHERE t.k > 1 AND t.k % 7 = 0)"""
+
+
+@query(f"""WITH RECURSIVE {_EDGES}, up AS (
+  SELECT k FROM t WHERE k NOT IN (SELECT parent FROM e) AND k % 3 <> 0 UNION SELECT e.parent FROM up JOIN e ON e.k = up.k)
 SELECT concat('c', k) AS sha FROM up""")
 def ancestor_closure(spark: SparkSession, d: str) -> DataFrame:
-    heads = table(spark, d, "orders").where("o_orderkey % 1000 = 999").selectExpr("concat('c', o_orderkey) AS sha")
-    return universe.ancestors(tree(spark, d), heads)
+    """From the commits that are no one's parent, but for those of every third key, which are branches that nobody kept."""
+    commits = tree(spark, d)
+    parents = commits.select(F.explode("parent_shas").alias("sha"))
+    return universe.ancestors(commits, commits.where("cast(substr(sha, 2) AS bigint) % 3 <> 0").select("sha").join(parents, "sha", "left_anti"))
+
+
+@query(f"""WITH RECURSIVE {_EDGES}, down AS (
+  SELECT k, 0 AS g FROM t WHERE k NOT IN (SELECT k FROM e) UNION SELECT e.k, down.g + 1 FROM down JOIN e ON e.parent = down.k)
+SELECT concat('c', k) AS sha, max(g)::BIGINT AS generation FROM down GROUP BY k""")
+def generation_numbers(spark: SparkSession, d: str) -> DataFrame:
+    return history.generations(tree(spark, d))
+
+
+@query(f"""WITH {_EDGES}, o AS (SELECT o_orderkey AS k, o_custkey AS pos FROM orders)
+SELECT DISTINCT 'c' || e.k AS sha, 'c' || e.parent AS parent FROM e JOIN o ON o.k = e.k JOIN o p ON p.k = e.parent WHERE o.pos <= p.pos""")
+def order_against_parents(spark: SparkSession, d: str) -> DataFrame:
+    """The customers' numbers as an order of the commits, which many parents do not keep to."""
+    places = table(spark, d, "orders").selectExpr("concat('c', o_orderkey) AS sha", "o_custkey AS pos")
+    return history.out_of_order(tree(spark, d).join(places, "sha"))
 
 
 @query("SELECT s_suppkey, substr(sha256(concat('h', s_suppkey, '|a', s_nationkey, '|b', s_suppkey % 3)), 1, 16) AS fingerprint FROM supplier")
