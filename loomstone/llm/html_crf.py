@@ -53,6 +53,8 @@ TOPICS = {
 }
 _HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
 _TOPIC_OF = {word: t for t, words in TOPICS.items() for word in words}
+#: Block tags and skipped ones that a head may hold; any other ends it, as its own end tag and a body's start are optional.
+_IN_HEAD = frozenset("title script style noscript template".split())
 _TAGS = ("article", "main", "section", "aside", "nav", "header", "footer", "form", "ul", "ol", "table", "figure", "blockquote", "div", "dialog", "details", "menu", "fieldset")
 _OWN = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "div", "blockquote", "pre", "figcaption", "dd", "dt", "section", "article", "footer", "header", "nav", "label", "body", "summary", "legend", "main", "aside", "form")
 #: Feature numbers, dealt out in the order of this list; 0 is padding.
@@ -131,6 +133,8 @@ def blocks_of(page: str) -> list[Block]:
         if at < len(page) and not m and page[at + 1 : at + 2] not in ("!", "?"):
             at += 1  # a plain less-than sign
             continue
+        if stack[-1].tag == "head" and begin < at and not page[begin:at].isspace():
+            pop()  # a head holds no text: it has ended before
         if begin < at and not stack[-1].skipped:
             parts.append(page[begin:at])
             linked += at - begin if in_link else 0
@@ -166,6 +170,8 @@ def blocks_of(page: str) -> list[Block]:
                 pop()
         elif tag not in VOID and not attributes.endswith("/"):
             closes = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "body": ("head",)}.get(tag, ())
+            if stack[-1].tag == "head" and tag not in _IN_HEAD:
+                pop()  # nor does it hold this tag
             while stack[-1].tag in ("p", *closes) or tag in _HEADINGS and stack[-1].tag in _HEADINGS:
                 pop()
             stack.append(Open(tag, topics_of(attributes), stack[-1]))

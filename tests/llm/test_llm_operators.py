@@ -281,6 +281,37 @@ def test_classifier_edges(spark, edges, empty):
 # ---------------------------------------------------------------- 4
 
 
+@pytest.mark.parametrize("head", ["", "<html>", "<html><head><title>T</title>", "<head><meta charset=utf-8><link rel=x>", "<html><head><title>T</title><style>p{}</style><script>var x='<p>';</script></head>", "<!DOCTYPE html><head><noscript><link></noscript><base href='/'>"])
+@pytest.mark.parametrize("body", ["", "<body>", "<body class='x'>"])
+def test_pages_without_head_or_body_tags(head, body):
+    words = "the words of a sentence that goes on for a while and ends here."
+    page = f"{head}{body}<article><h1>A title of some words</h1><p>{words}</p><p>{words}</p></article>"
+    assert [b.text for b in html_crf.blocks_of(page)] == ["A title of some words", words, words]
+    assert html_crf.main_texts([page], html_crf.model()) == [f"A title of some words\n{words}\n{words}"]
+
+
+def test_text_ends_a_head():
+    assert [b.text for b in html_crf.blocks_of("<head><title>T</title> \n <meta x>first<p>second</p>")] == ["first", "second"]
+    assert [b.text for b in html_crf.blocks_of("<head><title>T</title></head><span>first</span>")] == ["first"]
+    assert [b.text for b in html_crf.blocks_of("<head><title>T</title><span>first</span><div>second</div></head>")] == ["first", "second"]
+
+
+def test_articles_of_all_pages():
+    """Every given page against its article element, cut out by plain patterns."""
+    import html as html_lib
+
+    import duckdb
+
+    pages = [r[0] for r in duckdb.sql("SELECT html FROM '/root/testdata/sf0.1/pages.parquet' ORDER BY page_id").fetchall()]
+    want = []
+    for page in pages:
+        inner = re.search("<article>(.*?)</article>", page, re.DOTALL)[1]
+        plain = (re.sub("<[^>]*>", "", b.replace("<br>", " ")) for b in re.split("</?(?:p|h1)>", inner))
+        want.append("\n".join(x for b in plain if (x := " ".join(html_lib.unescape(b).split()))))
+    got = html_crf.main_texts(pages, html_crf.model())
+    assert sum(a != b for a, b in zip(got, want, strict=True)) == 0 and len(want) == 2500
+
+
 def test_pages_held_out():
     crf, good, n = html_crf.model(), 0, 0
     pages = list(html_crf.labelled_pages(991, 120))
