@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Statuses that count as measured, and as measured but empty.
@@ -62,6 +62,26 @@ def channel_note(inner: Column, has_state: Column, complete: Column, page: Colum
     return F.concat_ws("; ", F.nullif(inner, F.lit("")), state)
 
 
+def with_channel_notes(rows: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """A report's channel rows with what their sidecars tell, see files.sidecars(); a channel that is not there has nothing to tell."""
+    known = sidecars.select(F.col("name").alias("artifact"), "state", F.lit(True).alias("__told"))
+    told = rows.join(known, "artifact", "left")
+    s = F.col("state")
+    page, window = F.coalesce(s["last_page_done"], F.lit(0)), F.coalesce(s["window_since"], F.lit(""))
+    note = channel_note(F.col("note"), s.isNotNull(), F.coalesce(s["is_complete"], F.lit(False)), page, window, s["rate_limit_reset"])
+    return told.withColumn("note", F.when(F.col("present") | s.isNotNull(), note).otherwise(F.col("note"))).select(*rows.columns)
+
+
+def csv_coverage(spark: SparkSession, stage: str, names: list[str], counted: DataFrame) -> DataFrame:
+    """One row for each exported CSV of the names, of counted (name, rows); one that is not there is absent."""
+    wanted = spark.createDataFrame([(n,) for n in names], "artifact string").join(counted.select(F.col("name").alias("artifact"), "rows"), "artifact", "left")
+    there, none = F.col("rows").isNotNull(), F.lit(None).cast("bigint")
+    return wanted.select(
+        F.lit(stage).alias("stage"), "artifact", there.alias("present"), F.col("rows").alias("records"), F.col("rows").alias("units"), *[none.alias(c) for c in ("ok", "empty", "failed")],
+        F.when(there, F.lit(0).cast("bigint")).alias("duplicates"), F.lit(None).cast("string").alias("statuses"), F.when(there, "").otherwise("not mined yet").alias("note"),
+    )
+
+
 def totals(rows: DataFrame) -> DataFrame:
     """One row over a report: failed units, units of what is present, and what is missing."""
     missing = F.array_sort(F.collect_list(F.when(~F.col("present"), F.col("artifact"))))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstone.functions.text import API, CLOSES, MENTIONS, percent, references, truthy
+from loomstone.operators.events import Observed
 from loomstone.sources.store import held
 
 # Channel and route names.
@@ -48,8 +49,12 @@ class Tables:
     def pr_shas(self) -> DataFrame:
         return pr_commits(self.prs) if self.merged is None else self.merged
 
-    def prepared(self) -> Tables:
-        return replace(self, merged=held(self.pr_shas, "merged"))
+    def prepared(self, seen: Observed | None = None) -> Tables:
+        """With the commits of pull requests at hand; lines read and numbers merged are counted on the way."""
+        if seen is None:
+            return replace(self, merged=held(self.pr_shas, "merged"))
+        lines = replace(self, prs=seen.watch(self.prs, pull_lines=F.count("*")))
+        return replace(self, merged=held(seen.watch(lines.pr_shas, merged_pulls=F.count("*")), "merged"))
 
 
 @dataclass(frozen=True)
@@ -129,9 +134,14 @@ ROUTES = (
 )
 
 
-def in_universe(candidates: DataFrame, lineage: DataFrame) -> DataFrame:
-    """Candidates whose target is a known commit."""
-    return candidates.join(lineage.select(F.col("sha").alias("target_sha")).distinct(), "target_sha", "left_semi").select(*EDGE)
+def in_universe(candidates: DataFrame, lineage: DataFrame, seen: Observed | None = None) -> DataFrame:
+    """Candidates whose target is a known commit; the others are counted on the way, as dropped_absent."""
+    known = lineage.select(F.col("sha").alias("target_sha")).distinct()
+    if seen is None:
+        return candidates.join(known, "target_sha", "left_semi").select(*EDGE)
+    told = candidates.join(known.withColumn("known", F.lit(True)), "target_sha", "left")
+    told = seen.watch(told, candidates=F.count("*"), dropped_absent=F.count_if(F.col("known").isNull() & truthy(F.col("target_sha"))))
+    return told.where("known").select(*EDGE)
 
 
 def first_pass_candidates(t: Tables, routes: tuple[EdgeRoute, ...] = ROUTES) -> DataFrame:
@@ -142,13 +152,13 @@ def first_pass_candidates(t: Tables, routes: tuple[EdgeRoute, ...] = ROUTES) ->
     return union
 
 
-def collect(t: Tables, routes: tuple[EdgeRoute, ...] = ROUTES) -> DataFrame:
+def collect(t: Tables, routes: tuple[EdgeRoute, ...] = ROUTES, seen: Observed | None = None) -> DataFrame:
     """All found edges, the second pass's after those of the first, not yet distinct."""
-    t = t.prepared()
-    first = held(in_universe(first_pass_candidates(t, routes), t.lineage), "first-pass")
+    t = t.prepared(seen)
+    first = held(in_universe(first_pass_candidates(t, routes), t.lineage, seen), "first-pass")
     union = first
     for r in (r for r in routes if r.pass_number == 2):
-        union = union.unionByName(in_universe(r.find(t, first), t.lineage))
+        union = union.unionByName(in_universe(r.find(t, first), t.lineage, seen))
     return union
 
 
@@ -178,10 +188,13 @@ def with_membership(edges: DataFrame, **tables: DataFrame | None) -> DataFrame:
     return edges
 
 
-def link(t: Tables) -> DataFrame:
-    """The whole edge table in its fixed order, or an error that tells which input is missing."""
+def link(t: Tables, seen: Observed | None = None) -> DataFrame:
+    """The whole edge table in its fixed order, or an error that tells which input is missing.
+
+    With `seen`, candidates, those dropped as absent, and pull requests read and merged are counted as the table is written.
+    """
     check_inputs(t)
-    edges = with_membership(with_exact(deduped(collect(t))), ledger=t.ledger, refm=t.refm, ck=t.structure)
+    edges = with_membership(with_exact(deduped(collect(t, seen=seen))), ledger=t.ledger, refm=t.refm, ck=t.structure)
     return edges.select(*EDGE, "exact", "in_ledger", "in_refm", "in_ck").orderBy("source_channel", "source_id", "target_sha", "route")
 
 
@@ -195,7 +208,7 @@ def dropped_absent(t: Tables) -> DataFrame:
 
 
 def channel_summary(edges: DataFrame, t: Tables) -> DataFrame:
-    """Per channel: mined lines, records that reach a commit, edges by kind. Percentages: see with_percent()."""
+    """Per channel: mined lines, records that reach a commit, edges by kind. For percentages and the note see summary_rows()."""
     mined = None
     for channel, table in ((CH_PR, t.prs), (CH_ISSUE, t.issues), (CH_REVIEW, t.reviews), (CH_COMMENT, t.comments)):
         one = table.agg(F.count("*").alias("mined")).select(F.lit(channel).alias("channel"), "mined")
@@ -219,16 +232,28 @@ def never_merged(prs: DataFrame) -> DataFrame:
     return both.agg(F.sum("n").alias("never_merged"))
 
 
-def summary_rows(edges: DataFrame, t: Tables) -> list[dict]:
-    """The summary's four rows with percentages and the note, as exported."""
+SUMMARY = (
+    "channel string, mined bigint, reached bigint, unreached bigint, pct_reached double, edges bigint, edges_exact bigint, edges_closes bigint, edges_mentions bigint, "
+    "edges_in_ledger bigint, edges_in_refm bigint, edges_in_ck bigint, note string"
+)
+
+
+def summary_rows(edges: DataFrame, t: Tables, lost: int | None = None) -> list[dict]:
+    """The summary's four rows with percentages and the note, as exported; `lost` are pull requests never merged, if counted."""
     rows = [r.asDict() for r in channel_summary(edges, t).collect()]
-    lost = never_merged(t.prs).first()[0]
+    lost = never_merged(t.prs).first()[0] if lost is None else lost
     for r in rows:
         r["pct_reached"] = percent(r["reached"], r["mined"])
         r["note"] = f"{lost:,} never merged" if r["channel"] == CH_PR and r["mined"] else ""
     return sorted(rows, key=lambda r: CHANNELS.index(r["channel"]))
 
 
+def summary(edges: DataFrame, t: Tables, lost: int | None = None) -> DataFrame:
+    """summary_rows() as a table."""
+    names = [c.split()[0] for c in SUMMARY.split(", ")]
+    return edges.sparkSession.createDataFrame([tuple(r.get(c) for c in names) for r in summary_rows(edges, t, lost)], SUMMARY)
+
+
 def evidence_files(edges: DataFrame, ledger: DataFrame) -> DataFrame:
     """Each edge with the files that its commit changed."""
     changed = ledger.select(F.col("sha").alias("target_sha"), F.explode("modifications").alias("m"))

@@ -42,11 +42,6 @@ def status(exit_ok: Column, timed_out: Column, class_file: Column, n_classes: Co
     return said if checked_out is None else F.when(~checked_out, "checkout_failed").otherwise(said)
 
 
-def csv_source(path: Column) -> Column:
-    """Where a metrics file was found: the run's own folder, the repository's root, or nowhere."""
-    return F.when(path.isNull(), "absent").when(path.contains("/tmp"), "temp").otherwise("repo_root")
-
-
 def located(found: DataFrame, *by: str, names: tuple[str, ...] = ("class", "method")) -> DataFrame:
     """Per snapshot, where each metrics file is: <name>_path and <name>_source, of rows (by, name, path, length, in_temp).
 
@@ -60,6 +55,50 @@ def located(found: DataFrame, *by: str, names: tuple[str, ...] = ("class", "meth
     return per.select(*by, *[c for n in names for c in (F.col(f"{n}.path").alias(f"{n}_path"), source(n).alias(f"{n}_source"))])
 
 
+#: Columns of a metrics file, at most.
+WIDEST = 96
+
+
+def metric_rows(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(file, metrics) of the rows of CSV files given as lines, each as a map by its own file's header.
+
+    Files of tools of several versions may differ in their columns. A byte order mark is no part of the first name; fields
+    that a row lacks are null; blank lines are no rows.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    fields = F.from_csv(value, ", ".join(f"c{k} string" for k in range(WIDEST)))
+    each = lines.where(F.trim(value) != "").select(F.col("_metadata.file_path").alias("file"), place.alias("place"), F.array(*[fields[f"c{k}"] for k in range(WIDEST)]).alias("fields"))
+    # the header comes along with a file's rows: one pass, and lines are numbered once
+    names = F.filter(F.transform("header", lambda x: F.ltrim(x, F.lit("\ufeff"))), lambda x: x.isNotNull())
+    header = each.groupBy("file").agg(F.min_by("fields", "place").alias("header"), F.min("place").alias("first"))
+    rows = each.join(header, "file").where("place > first").withColumn("header", names)
+    return rows.select("file", F.map_from_arrays("header", F.slice("fields", F.lit(1), F.size("header"))).alias("metrics"))
+
+
+def ingested(files: DataFrame, classes: DataFrame, methods: DataFrame, runs: DataFrame) -> DataFrame:
+    """One record per snapshot of a tool's runs: status, counts, where its files were found, and its classes with their methods.
+
+    files: (sha, name, path, length, in_temp) of a listing. classes, methods: metric_rows() of all files of either name; those
+    of the located file count. runs: (sha, timestamp, exit_ok, timed_out, checked_out, n_removed). A run that failed has no
+    report, whatever files it left; without a class file methods are not read.
+    """
+    where = located(files, "sha")
+    ended = F.coalesce("exit_ok", F.lit(False)) & ~F.coalesce("timed_out", F.lit(False)) & F.coalesce("checked_out", F.lit(True))
+    known = runs.join(where, "sha", "left").withColumns({"ended": ended, "class_source": F.coalesce("class_source", F.lit("absent")), "method_source": F.coalesce("method_source", F.lit("absent"))})
+
+    def of(rows: DataFrame, name: str) -> DataFrame:
+        paths = known.where("ended AND class_path IS NOT NULL").select("sha", F.col(f"{name}_path").alias("file"))
+        return rows.join(paths, "file").select("sha", F.col("metrics")["class"].alias("class"), "metrics")
+
+    own = of(methods, "method")
+    nested = nest_methods(of(classes, "class"), own.select("sha", "class", F.col("metrics").alias("method")).withColumn("method", F.to_json("method")), "sha")
+    report = nested.groupBy("sha").agg(F.count("*").alias("n_classes"), F.array_sort(F.collect_list(F.struct("class", F.to_json("metrics").alias("metrics"), F.transform("methods", lambda m: m["method"]).alias("methods")))).alias("report"))
+    counted = known.join(report, "sha", "left").join(own.groupBy("sha").agg(F.count("*").alias("n_methods")), "sha", "left")
+    n_classes, n_methods = (F.coalesce(c, F.lit(0)) for c in ("n_classes", "n_methods"))
+    said = status(F.coalesce("exit_ok", F.lit(False)), F.coalesce("timed_out", F.lit(False)), F.col("class_path").isNotNull(), n_classes, n_methods, F.coalesce("checked_out", F.lit(True)))
+    return counted.select("sha", "timestamp", said.alias("status"), n_classes.alias("n_classes"), n_methods.alias("n_methods"), F.col("class_source").alias("csv_source"), "method_source", "n_removed", F.coalesce("report", F.array().cast(report.schema["report"].dataType)).alias("report"))
+
+
 def java_only(modifications: Column) -> Column:
     """The changes of files whose name ends with .java, by case; those without any path go."""
     path = lambda m: F.coalesce(F.nullif(m["file"], F.lit("")), F.nullif(m["old_file"], F.lit("")))

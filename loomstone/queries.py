@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstone.functions import text as T
-from loomstone.operators import coverage, diffs, heuristics, history, intervals, linkage, state, structural, universe
+from loomstone import schemas
+from loomstone.operators import coverage, diffs, events, heuristics, history, intervals, linkage, state, structural, universe
 from loomstone.sources import files, hosting, store
 from loomstone.sources.keyed import KeyedTable
 from loomstone.sources.versions import VersionedTable
@@ -723,3 +724,80 @@ def state_against_records(spark: SparkSession, d: str) -> DataFrame:
         one = state.records_without_state(own, own.where(F.lit(status != "F"))).select(F.lit(status).alias("status"), "disagree")
         found = one if found is None else found.unionByName(one)
     return found
+
+
+# ---------------------------------------------------------------- runs and what they land
+
+
+def landing(spark: SparkSession) -> str:
+    """A new folder in the place that all executors share."""
+    return f"{store.shared_root(spark)}/landed-{uuid.uuid4().hex}"
+
+
+@query(f"""{_ROLES_SQL} SELECT 'dropped_absent' AS event, count(*) AS value FROM (SELECT target_sha FROM first UNION ALL SELECT target_sha FROM c5) e WHERE NOT EXISTS (SELECT 1 FROM lineage l WHERE l.sha = e.target_sha)
+UNION ALL SELECT 'pull_lines', count(*) FROM orders UNION ALL SELECT 'merged_pulls', count(DISTINCT o_orderkey) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey <> 0""")
+def link_run_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What linking counts while its edges are written, as events of the run."""
+    seen, base = events.Observed(), landing(spark)
+    VersionedTable(spark, f"{base}/edges").replace(linkage.link(roles(spark, d), seen))
+    events.event_rows(spark, "1", "r", "link", seen.values()).write.parquet(f"{base}/events")
+    return events.last_counts(spark.read.parquet(f"{base}/events")).where("event IN ('dropped_absent', 'pull_lines', 'merged_pulls')").select("event", "value")
+
+
+@query("""WITH s AS (SELECT s_suppkey AS k FROM supplier),
+c AS (SELECT l_suppkey AS k, count(*) AS n FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_suppkey % 7 <> 3) GROUP BY 1),
+m AS (SELECT l_suppkey AS k, count(*) AS n FROM lineitem WHERE l_suppkey % 7 NOT IN (3, 4) GROUP BY 1)
+SELECT 'c' || s.k AS sha, CASE WHEN s.k % 7 = 0 THEN 'timeout' WHEN s.k % 7 = 1 THEN 'crash' WHEN s.k % 7 = 2 OR coalesce(c.n, 0) = 0 THEN CASE WHEN s.k % 7 = 3 THEN 'empty_output' ELSE 'missing_output' END WHEN coalesce(m.n, 0) = 0 THEN 'empty_methods' ELSE 'success' END AS status,
+  CASE WHEN s.k % 7 IN (0, 1, 2) THEN 0 ELSE coalesce(c.n, 0) END AS n_classes, CASE WHEN s.k % 7 IN (0, 1, 2) THEN 0 ELSE coalesce(m.n, 0) END AS n_methods,
+  CASE WHEN s.k % 7 = 2 OR (c.n IS NULL AND s.k % 7 <> 3) THEN 'absent' WHEN s.k % 7 = 5 THEN 'repo_root' ELSE 'temp' END AS csv_source
+FROM s LEFT JOIN c ON c.k = s.k LEFT JOIN m ON m.k = s.k""")
+def structural_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers are snapshots: their parts classes, their line items methods, landed as CSV files, some without rows or in the other place."""
+    base, lines, k = landing(spark), table(spark, d, "lineitem"), F.col("l_suppkey")
+    classes = lines.where("l_suppkey % 7 NOT IN (2, 3)").selectExpr("l_suppkey", "concat('C', l_partkey) AS class").distinct().selectExpr("l_suppkey", "concat('F.java,', class, ',', l_suppkey) AS value", "'file,class,wmc' AS header")
+    header_only = table(spark, d, "supplier").where("s_suppkey % 7 = 3").selectExpr("s_suppkey AS l_suppkey", "cast(NULL AS string) AS value", "'\ufefffile,class,wmc' AS header")
+    methods = lines.where("l_suppkey % 7 NOT IN (3, 4)").selectExpr("l_suppkey", "concat('F.java,C', l_partkey, ',\"m', l_linenumber, '(a,b)\"') AS value", "'file,class,method' AS header")
+    for name, rows in (("class", classes.unionByName(header_only)), ("method", methods)):
+        # one file per snapshot, as a tool writes them
+        whole = rows.groupBy("l_suppkey").agg(F.concat_ws("\n", F.min("header"), F.array_join(F.array_sort(F.collect_list("value")), "\n")).alias("value"))
+        at = F.concat(F.lit("c"), k.cast("string"))
+        for place, wanted in ((f"{base}/{name}-temp", whole.where("l_suppkey % 7 <> 5")), (f"{base}/{name}-root", whole.where("l_suppkey % 7 = 5"))):
+            wanted.select(at.alias("sha"), "value").write.partitionBy("sha").text(place)
+    found = [files_of.selectExpr("sha", f"'{name}' AS name", "path", "length", f"{str(place == 'temp').lower()} AS in_temp") for name in ("class", "method") for place in ("temp", "root") if (files_of := _landed_files(spark, f"{base}/{name}-{place}")) is not None]
+    listing = found[0]
+    for more in found[1:]:
+        listing = listing.unionByName(more)
+    runs = table(spark, d, "supplier").selectExpr("concat('c', s_suppkey) AS sha", "1L AS timestamp", "s_suppkey % 7 <> 1 AS exit_ok", "s_suppkey % 7 = 0 AS timed_out", "true AS checked_out", "0 AS n_removed")
+    rows = {n: structural.metric_rows(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text([f"{base}/{n}-temp", f"{base}/{n}-root"])) for n in ("class", "method")}
+    return structural.ingested(listing, rows["class"], rows["method"], runs).select("sha", "status", "n_classes", "n_methods", "csv_source")
+
+
+def _landed_files(spark: SparkSession, folder: str) -> DataFrame | None:
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(folder).select("path", "length")
+    return found.withColumn("sha", F.regexp_extract("path", "/sha=([^/]+)/", 1))
+
+
+@query("""SELECT 'F' || o_custkey % 8 AS file, count(*)::BIGINT AS lines, (CASE o_custkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 0 END)::BIGINT AS corrupt, o_custkey % 8 = 1 AS cut_off FROM orders GROUP BY o_custkey % 8""")
+def landed_corruption(spark: SparkSession, d: str) -> DataFrame:
+    """Eight landed files of orders: one with its last line cut off, one with a damaged line inside, one with both."""
+    base = landing(spark)
+    rows = table(spark, d, "orders").selectExpr("o_custkey % 8 AS f", "o_orderkey AS k")
+    ends = rows.groupBy("f").agg(F.max("k").alias("last"), F.min("k").alias("first"))
+    bad = ((F.col("k") == F.col("last")) & F.col("f").isin(1, 3)) | ((F.col("k") == F.col("first")) & F.col("f").isin(2, 3))
+    line = F.when(bad, F.concat(F.lit('{"sha":"c'), "k")).otherwise(F.concat(F.lit('{"sha":"c'), "k", F.lit('"}')))
+    rows.join(ends, "f").select("f", "k", line.alias("value")).repartition(8, "f").sortWithinPartitions("f", "k").select("f", "value").write.partitionBy("f").text(base)
+    _, told = files.read_landed(spark, f"{base}/f=*", schemas.LINEAGE)
+    lines = files.corrupt_by_file(spark.read.text(f"{base}/f=*"), schemas.LINEAGE).select("file", "lines")
+    return lines.join(told, "file").select(F.concat(F.lit("F"), F.regexp_extract("file", "/f=([0-9]+)/", 1)).alias("file"), "lines", F.col("corrupt").cast("bigint").alias("corrupt"), "cut_off")
+
+
+@query("""WITH c AS (SELECT event_type, user_id % 4 AS k, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT event_type || k AS artifact, n::BIGINT AS records, CASE k WHEN 0 THEN 'complete' WHEN 1 THEN 'INCOMPLETE — re-run to continue; through page ' || n WHEN 2 THEN 'INCOMPLETE — re-run to continue; window from 2024-01-02; paused on API quota' ELSE 'no state file' END AS note FROM c""")
+def channel_probes(spark: SparkSession, d: str) -> DataFrame:
+    """Kinds of events by user groups are channels, with sidecars that tell how far each came."""
+    per = table(spark, d, "events").groupBy("event_type", F.expr("user_id % 4").alias("k")).agg(F.count("*").alias("n"))
+    named = per.withColumn("artifact", F.concat("event_type", F.col("k").cast("string")))
+    state_of = F.when(F.col("k") == 0, F.lit('{"repo":"r","is_complete":true}')).when(F.col("k") == 1, F.concat(F.lit('{"repo":"r","is_complete":false,"last_page_done":'), "n", F.lit("}"))).otherwise(F.lit('{"repo":"r","window_since":"2024-01-02T00:00:00Z","rate_limit_reset":9}'))
+    documents = named.where("k <> 3").select(F.concat("artifact", F.lit(".json")).alias("file_name"), state_of.alias("value"))
+    rows = named.select("artifact", F.lit(True).alias("present"), F.col("n").alias("records"), F.lit("").alias("note"))
+    return coverage.with_channel_notes(rows, files.sidecars(documents)).select("artifact", "records", "note")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomstone import schemas
 from loomstone.operators import structural, universe
-from loomstone.sources.store import exists
+from loomstone.sources.store import children, exists
 
 
 def parsed(lines: DataFrame, schema: str, keep: list[str] | None = None, corrupt: bool = False, value: str = "value") -> DataFrame:
@@ -26,12 +26,63 @@ def read_records(spark: SparkSession, path: str, schema: str, keep: list[str] |
     return parsed(spark.read.text(path), schema, keep, corrupt)
 
 
+def corrupt_by_file(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """(file, lines, corrupt, cut_off) of landed JSON lines: cut_off if a file's one unparseable line is its last.
+
+    A writer that died can have cut off only the last line of a file; any other is damage. Lines are told apart by file,
+    block and place in it, so that the last is found without any file being read in one piece: one pre-aggregated row per file.
+    """
+    bad = F.from_json(value, f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})["_corrupt"].isNotNull() & (F.trim(value) != "")
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    each = lines.select(F.col("_metadata.file_path").alias("file"), place.alias("place"), F.coalesce(bad, F.lit(False)).alias("bad"))
+    per = each.groupBy("file").agg(F.count("*").alias("lines"), F.count_if("bad").alias("corrupt"), F.max_by("bad", "place").alias("last"))
+    return per.select("file", "lines", "corrupt", (F.col("last") & (F.col("corrupt") == 1)).alias("cut_off"))
+
+
+def read_landed(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """The records with _corrupt, and what corrupt_by_file() tells; a cut-off last line counts as not written and is in neither.
+
+    Its unit is done again; damaged lines stay, to be reported.
+    """
+    lines = spark.read.text(path)
+    told = corrupt_by_file(lines, schema)
+    whole = F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = lines.where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("__file"), whole.alias("r")).select("__file", "r.*")
+    cut = told.where("cut_off").select(F.col("file").alias("__cut"))
+    kept = rows.where("_corrupt IS NULL").drop("__file")
+    damaged = rows.where("_corrupt IS NOT NULL").join(cut, F.col("__file") == F.col("__cut"), "left_anti").drop("__file")
+    return kept.unionByName(damaged), told.select("file", F.when(F.col("cut_off"), 0).otherwise(F.col("corrupt")).alias("corrupt"), "cut_off")
+
+
 def with_sequence(df: DataFrame) -> DataFrame:
     """Adds ingest_seq, which follows file, block and row; records of one file keep their order."""
     place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
     return df.select("*", place.alias("ingest_seq"))
 
 
+RUNS = "sha string, timestamp bigint, exit_ok boolean, timed_out boolean, checked_out boolean, n_removed int"
+
+
+def list_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """(sha, name, path, length, in_temp) of the metrics files of all snapshots: <sha>/<name>.csv, or <sha>/temp/<name>.csv.
+
+    Only the listing is read, not the files.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder).select("path", "length")
+    parts = F.regexp_extract_all("path", F.lit(r"/([^/]+)(/temp)?/([^/]+)\.csv$"), F.lit(0))
+    whole = F.get(parts, F.lit(0))
+    at = lambda k: F.regexp_extract(whole, r"^/([^/]+)(/temp)?/([^/]+)\.csv$", k)
+    return found.select(at(1).alias("sha"), at(3).alias("name"), "path", "length", (at(2) != "").alias("in_temp")).where("sha <> ''")
+
+
+def read_structure(spark: SparkSession, folder: str) -> DataFrame:
+    """A record per snapshot of runs.jsonl in the folder, from the files that its runs left; see structural.ingested()."""
+    def rows(name: str) -> DataFrame:
+        return structural.metric_rows(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{name}.csv").text(folder))
+
+    return structural.ingested(list_metrics(spark, folder), rows("class"), rows("method"), read_records(spark, f"{folder}/runs.jsonl", RUNS))
+
+
 def read_json_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
@@ -79,6 +130,31 @@ def read_channel_state(spark: SparkSession, path: str) -> DataFrame:
     return read_json_document(spark, path, schemas.CHANNEL_STATE).where("repo IS NOT NULL OR channel IS NOT NULL")
 
 
+def sidecars(documents: DataFrame, value: str = "value") -> DataFrame:
+    """(name, state) of whole JSON documents with the file names they were read from; state is null where unreadable."""
+    state = F.from_json(value, schemas.CHANNEL_STATE)
+    named = F.regexp_extract("file_name", r"([^/]*?)(?:\.json)?$", 1)
+    readable = state["repo"].isNotNull() | state["channel"].isNotNull() | state["is_complete"].isNotNull()
+    return documents.select(named.alias("name"), F.when(readable, state).alias("state"))
+
+
+def read_sidecars(spark: SparkSession, folder: str) -> DataFrame:
+    """sidecars() of all *.json files in a folder, read as one table; none if it is not there."""
+    if not any(x.endswith(".json") for x in children(spark, folder)):
+        return spark.createDataFrame([], f"name string, state struct<{schemas.CHANNEL_STATE}>")
+    found = spark.read.text(f"{folder}/*.json", wholetext=True)
+    return sidecars(found.select("value", F.col("_metadata.file_name").alias("file_name")))
+
+
+def csv_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, rows) of all CSV files in a folder without their headers, counted in one pass; quoted line breaks are no rows."""
+    if not any(x.endswith(".csv") for x in children(spark, folder)):
+        return spark.createDataFrame([], "name string, rows bigint")
+    lines = spark.read.schema("first string").option("multiLine", True).csv(f"{folder}/*.csv")
+    per = lines.groupBy(F.regexp_extract("_metadata.file_name", r"([^/]*?)\.csv$", 1).alias("name")).agg(F.count("*").alias("n"))
+    return per.select("name", F.greatest(F.lit(0), F.col("n") - 1).alias("rows"))
+
+
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, all columns as text; a byte order mark is no part of the first name."""
     df = spark.read.option("header", True).csv(path)

@@ -43,7 +43,7 @@ def test_stages_run_their_operators(spark, tmp_path):
     assert run(w, tmp_path, "link")[0] == 0
     assert {(r["source_channel"], r["target_sha"], r["in_ledger"], r["in_refm"]) for r in w.table("link").collect()} == {("github.pr", "b", 1, None), ("github.issue", "b", 1, None)}
     code, _, said = run(w, tmp_path, "report")
-    assert code == 0 and any(x.startswith("ledger") for x in said) and said[-1] == "still to mine: refm, diff, ck, commits, pr_reviews, comments"
+    assert code == 0 and any(x.startswith("ledger") for x in said) and said[-1] == "still to mine: refm, diff, ck, commits, pr_reviews, comments" and any(x.startswith("linkage_summary") for x in said)
     assert (output / "report.csv").read_text().startswith("stage,artifact")
 
 
