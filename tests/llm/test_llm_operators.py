@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -191,7 +192,20 @@ def kneser_ney_by_hand(trusted_texts, order):
         logp = [np.log(p(tuple(s[i - order + 1 : i]), s[i])) for i in range(order - 1, len(s))]
         w = kneser_ney.WINDOW
         worst = min(np.mean(logp[i : i + w]) for i in range(max(1, len(logp) - w + 1)))
-        return np.exp(-np.mean(logp)), np.exp(-worst)
+        plain, begun, words = s[order - 1 :], {}, 0
+        letter = lambda c: c >= 128 or 65 <= c <= 90 or 97 <= c <= 122
+        for i, c in enumerate(plain):
+            if c in (10, 32) or i and plain[i - 1] not in (10, 32):
+                continue
+            words += 1
+            if len(plain) > i + order and all(map(letter, plain[i : i + order + 1])):
+                begun.setdefault(tuple(plain[i : i + order]), []).append(np.exp(sum(logp[i : i + order])))
+        burst = 1.0
+        for chances in begun.values():
+            n, due = len(chances), words * max(np.mean(chances), kneser_ney.LEAST_CHANCE)
+            if n > due:
+                burst = max(burst, 1 + due - n * np.log(due) + math.lgamma(n + 1))
+        return np.exp(-np.mean(logp)), np.exp(-worst), burst
 
     return p, score
 
@@ -211,11 +225,11 @@ def test_classifier_is_that_of_the_formulas(spark, order):
             by_hand[lang, 1 - h] = kneser_ney_by_hand([t for d, t, g, *_ in rows if g == lang and d is not None and d < 40 and half[d] == h], order)[1]
     want = {}
     for d, t, g, *_ in rows:
-        want.setdefault(d, []).append(by_hand[g, half[d]](t) if t else (None, None))
+        want.setdefault(d, []).append(by_hand[g, half[d]](t) if t else (None, None, None))
     found = kneser_ney.classify(df, labels, order).collect()
     assert len(found) == len(rows)
     for r in found:
-        near = [w for w in want[r["doc_id"]] if (w[0] is None) == (r["perplexity"] is None) and (w[0] is None or np.allclose(w, (r["perplexity"], r["worst_window"]), rtol=1e-4))]
+        near = [w for w in want[r["doc_id"]] if (w[0] is None) == (r["perplexity"] is None) and (w[0] is None or np.allclose(w, (r["perplexity"], r["worst_window"], r["burst"]), rtol=1e-3))]
         assert near, (r, want[r["doc_id"]])
     for lang in "xy":
         ppl = sorted(w[0] for d, t, g, *_ in rows if g == lang and t and d is not None and d < 40 for w in [by_hand[g, half[d]](t)])
@@ -249,9 +263,24 @@ def test_classifier_by_small_blocks(spark):
 
 def test_classifier_on_held_out_toxic_documents(spark):
     docs, labels = docs_of(spark, "/root/testdata/sf0.1"), docs_of(spark, "/root/testdata/sf0.1", "labels")
-    found = kneser_ney.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1 AND quality = 1"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
-    english = found[found.lang == "en"]
-    assert english[english.toxic == 1].kept.mean() < 0.3 and found[found.toxic == 0].kept.mean() > 0.88
+    found = kneser_ney.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    good, junk = found[(found.quality == 1) & (found.toxic == 0)], found[found.quality == 0]
+    toxic = found[(found.quality == 1) & (found.toxic == 1)]
+    assert good.kept.mean() >= 0.94 and junk.kept.mean() <= 0.1 and toxic.kept.mean() <= 0.12
+    assert (good.groupby("lang").kept.mean() >= 0.92).all() and (toxic.groupby("lang").kept.mean() <= 0.25).all()
+    assert good.burst_threshold.notna().all()
+
+
+def test_bursts_of_words_that_begin_alike():
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=8)) for _ in range(300)]
+    texts = [" ".join(words), " ".join(words[:150] + ["strange" + w for w in words[:9]] + words[150:]), "", "x", " \n ", "aaaaaa", " ".join(["123456"] * 90)]
+    code, sizes = kneser_ney.grams(texts)
+    logp = np.full(len(code), np.log(1 / 9))
+    found = kneser_ney.bursts(code, logp, sizes)
+    assert found[1] > 3 * found[0] and found[[2, 3, 4, 6]].tolist() == [1, 1, 1, 1] and len(kneser_ney.bursts(code[:0], logp[:0], sizes[:0])) == 0
+    parts = np.concatenate([kneser_ney.bursts(*(x[s] for x in (code, logp)), np.array([n])) for s, n in ((slice(e - n, e), n) for e, n in zip(np.cumsum(sizes), sizes, strict=True))])
+    assert np.allclose(parts, found)
 
 
 def test_worst_window():
