@@ -11,13 +11,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomstone.functions import text as T
 from loomstone import schemas
 from loomstone.operators import coverage, diffs, events, heuristics, history, intervals, linkage, state, structural, universe
-from loomstone.sources import files, hosting, store
+from loomstone.sources import collecting, files, hosting, store
 from loomstone.sources.keyed import KeyedTable
 from loomstone.sources.versions import VersionedTable
 from loomstone.streaming import attempts as follow
@@ -801,3 +801,24 @@ def channel_probes(spark: SparkSession, d: str) -> DataFrame:
     documents = named.where("k <> 3").select(F.concat("artifact", F.lit(".json")).alias("file_name"), state_of.alias("value"))
     rows = named.select("artifact", F.lit(True).alias("present"), F.col("n").alias("records"), F.lit("").alias("note"))
     return coverage.with_channel_notes(rows, files.sidecars(documents)).select("artifact", "records", "note")
+
+
+@query("SELECT 'r' || o_custkey % 7 AS repo, o_orderkey AS record_id, 'o' || o_custkey AS text, o_orderstatus = 'F' AS merged FROM orders")
+def collected_channels(spark: SparkSession, d: str) -> DataFrame:
+    """Orders are pull requests of seven repositories, landed as pages of 200; each repository's pages are walked in three rounds or more."""
+    base = landing(spark)
+    item = F.to_json(F.expr("named_struct('number', o_orderkey, 'title', concat('o', o_custkey), 'created_at', '2024-01-01T00:00:00Z', 'merged_at', CASE WHEN o_orderstatus = 'F' THEN '2024-01-02T00:00:00Z' END)"))
+    orders = table(spark, d, "orders").withColumn("repo", F.expr("concat('r', o_custkey % 7)"))
+    pages = orders.withColumn("page", F.floor((F.row_number().over(Window.partitionBy("repo").orderBy("o_orderkey")) - 1) / 200) + 1)
+    pages.select("repo", F.lit("prs").alias("channel"), "page", item.alias("value")).repartition("repo", "page").write.partitionBy("repo", "channel", "page").text(f"{base}/pages")
+    units = orders.select(F.concat(F.lit(f"{base}/pages/repo="), "repo").alias("repo"), F.lit("prs").alias("channel")).distinct()
+    service = collecting.Collection(spark, f"{base}/collected", "loomstone.queries:_landed_by_spark")
+    service.add(units)
+    service.run(pages=5)
+    found = service.records("prs")
+    return found.select(F.regexp_extract("repo", "repo=(.*)$", 1).alias("repo"), "record_id", "text", F.col("merged_at").isNotNull().alias("merged"))
+
+
+def _landed_by_spark(repo: str, channel: str) -> hosting.Fetch:
+    """Pages in folders that name their columns, as Spark's writer names them."""
+    return collecting.landed_pages(repo, f"channel={channel}")

@@ -33,7 +33,7 @@ RAW = (
 PAGE_SIZE, RETRIES, QUOTA_FLOOR = 100, 4, 2
 
 
-#: Where an item was delivered; records keep both if the raw items have them.
+#: Where an item was delivered; records keep both, and their repository, if the raw items have them.
 DELIVERED = ("page", "place")
 
 
@@ -46,7 +46,7 @@ def _record(raw: DataFrame, number: bool, channel: str) -> DataFrame:
 
 
 def _delivered(raw: DataFrame) -> list[str]:
-    return [c for c in DELIVERED if c in raw.columns]
+    return [c for c in (*DELIVERED, "repo") if c in raw.columns]
 
 
 _SHARED = ["record_id", "channel", "timestamp", "author", "text", "labels"]
