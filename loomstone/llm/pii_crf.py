@@ -266,19 +266,19 @@ def decode(crf: Crf, score: np.ndarray, first: np.ndarray) -> np.ndarray:
     begin = open_[np.concatenate([[0], cuts])]
     size = open_[np.concatenate([cuts - 1, [len(open_) - 1]])] - begin + 1
     order = np.argsort(size, kind="stable")
-    for a in range(0, len(order), 4096):
-        who = order[a : a + 4096]
-        longest = int(size[who].max())
-        block = max(1, (1 << 20) // longest)
-        for b in range(0, len(who), block):
-            w = who[b : b + block]
-            at = np.minimum(begin[w][:, None] + np.arange(longest), len(score) - 1)
-            enter = np.where(first[begin[w]][:, None], crf.first, crf.move[0])
-            past = begin[w] + size[w]
-            closed = (past < len(score)) & ~first[np.minimum(past, len(score) - 1)]
-            best = crf.viterbi(score[at], size[w], enter, closed[:, None] * crf.move[:, 0])
-            inside = np.arange(longest) < size[w][:, None]
-            labels[at[inside]] = best[inside]
+    ranked, a = size[order], 0
+    while a < len(order):  # segments of about one length together, so that little is padding
+        many = max(1, (1 << 20) // int(ranked[a]))
+        b = min(int(np.searchsorted(ranked, ranked[a] * 3 // 2 + 1, side="right")), a + many)
+        w, longest = order[a:b], int(ranked[b - 1])
+        at = np.minimum(begin[w][:, None] + np.arange(longest), len(score) - 1)
+        enter = np.where(first[begin[w]][:, None], crf.first, crf.move[0])
+        past = begin[w] + size[w]
+        closed = (past < len(score)) & ~first[np.minimum(past, len(score) - 1)]
+        best = crf.viterbi(score[at], size[w], enter, closed[:, None] * crf.move[:, 0])
+        inside = np.arange(longest) < size[w][:, None]
+        labels[at[inside]] = best[inside]
+        a = b
     return labels
 
 
