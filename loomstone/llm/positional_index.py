@@ -6,11 +6,11 @@ rows of one table in the shared folder, so the index needs no shuffle, no task s
 a hot term only ever fills a bounded list. Queries are windows of consecutive item words. In each segment a window whose
 terms all occur starts from the postings of its rarest term; the others, in order of rarity, intersect it with their
 offset-adjusted lists (binary search in the sorted postings). What is left is exact phrases. A proximity match is weaker:
-the window's ANCHORS longest terms (earlier first on ties) in one document, the others within SLOP words of their places
-as seen from the longest.
+all words of the window in one document, each within SLOP words of its place as seen from some occurrence of the longest
+(the earliest of equals). The longest is looked for first and the others in order of their length.
 
-Benchmarks are sent to the executors in blocks of BLOCK_WINDOWS windows, each a pass over the stored index, so a large
-benchmark never has to fit at once.
+Benchmarks are sent to the executors in blocks of BLOCK_WINDOWS windows, each a pass over the stored index whose hits are
+stored before the next block is read, so a large benchmark never has to fit at once.
 
 Edge cases: null or wordless texts give n_words 0 and no hits; an item shorter than a window is one window, a wordless or
 null item none; items with a null id are ignored; rows with the same item_id are one item; repeated documents are judged
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from loomstone.llm.common import CHUNK_BYTES, checked, chunks, docs_of, fresh, row_key, staged, texts_of
 
 #: Words of a window, words that a proximity match may be off, and windows sent to the executors at once.
-WINDOW, SLOP, BLOCK_WINDOWS, ANCHORS = 10, 4, 200_000, 3
+WINDOW, SLOP, BLOCK_WINDOWS = 10, 4, 200_000
 
 #: Positions left free between two documents of a segment, so that no phrase or proximity match crosses them.
 _GAP = WINDOW + 2 * SLOP + 2
@@ -93,12 +93,12 @@ class Windows:
             self.rows[k, : len(window)] = [self.terms[t] for t in window]
         self.items = [sorted(x) for x in found.values()]
         self.lengths = (self.rows >= 0).sum(axis=1)
-        #: Places of the longest words, for proximity; of a window of fewer words the last one is repeated.
-        longest = [sorted(range(len(w)), key=lambda i: (-len(w[i]), i))[:ANCHORS] for w in found]
-        self.anchors = np.array([x + x[-1:] * (ANCHORS - len(x)) for x in longest], dtype=np.int64).reshape(-1, ANCHORS)
+        #: Places of the words from the longest on, for proximity; of a window of fewer words the last one is repeated.
+        longest = [sorted(range(len(w)), key=lambda i: (-len(w[i]), i)) for w in found]
+        self.anchors = np.array([x + x[-1:] * (width - len(x)) for x in longest], dtype=np.int64).reshape(-1, width)
 
-    def search(self, segment: Segment) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, start) of each exact phrase as two arrays, and the (window, document) pairs of proximity matches."""
+    def search(self, segment: Segment, proximity: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, start) of each exact phrase as two arrays, and the (window, document) pairs of proximity matches, if wanted."""
         none = np.empty(0, dtype=np.int64)
         if not len(self.rows) or not len(segment.postings):
             return none, none, np.empty((0, 2), dtype=np.int64)
@@ -114,14 +114,14 @@ class Windows:
             first = np.cumsum(df[term]) - df[term]
             return row, segment.postings[begins[term][row] + np.arange(len(row)) - first[row]]
 
-        near_of = np.flatnonzero((np.take_along_axis(rows, self.anchors, axis=1) >= 0).all(axis=1))
+        near_of = np.flatnonzero((rows != -1).all(axis=1)) if proximity else none
         anchors, terms = self.anchors[near_of], np.take_along_axis(rows, self.anchors, axis=1)[near_of]
         near_found = [np.empty((0, 2), dtype=np.int64)]
         for part in _parts(df[terms[:, 0]]):
             w, at = occurrences(terms[part, 0])
             w = part[w]
             doc = np.searchsorted(segment.starts, at, side="right") - 1
-            for k in range(1, ANCHORS):
+            for k in range(1, self.rows.shape[1]):
                 place = at + anchors[w, k] - anchors[w, 0]
                 low = np.maximum(place - SLOP, segment.starts[doc])
                 i = np.minimum(np.searchsorted(keyed, terms[w, k] << 32 | low), len(keyed) - 1)
@@ -158,9 +158,9 @@ def _parts(sizes: np.ndarray, most: int | None = None) -> list[np.ndarray]:
     return np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(upto)) + 1)
 
 
-def _hits(windows: Windows, segment: Segment) -> list[tuple[int, list[str], list[str], list[dict]]]:
+def _hits(windows: Windows, segment: Segment, proximity: bool = True) -> list[tuple[int, list[str], list[str], list[dict]]]:
     """For each document of the segment: words hit, items with exact phrases, items near, spans."""
-    w, start, near = windows.search(segment)
+    w, start, near = windows.search(segment, proximity)
     covered = np.zeros(int(segment.starts[-1]) + WINDOW + 1, dtype=np.int64)
     np.add.at(covered, start, 1)
     np.add.at(covered, start + windows.lengths[w], -1)
@@ -204,18 +204,20 @@ def build_index(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     return staged(docs.select(doc.alias("doc_id"), h.alias("h"), F.col("text").cast("string")).mapInArrow(index, SEGMENT), "postings")
 
 
-def search(index: DataFrame, benchmark: DataFrame, limit: int = BLOCK_WINDOWS) -> DataFrame:
+def search(index: DataFrame, benchmark: DataFrame, limit: int = BLOCK_WINDOWS, proximity: bool = True) -> DataFrame:
     """One row per indexed document, by its row_key(): its words, words hit, items with exact and with proximity matches, spans in words.
 
     n_hit counts a word once, however many windows cover it. With several blocks of windows, each is a pass whose rows
     are merged by the document's place in the index; spans decide the union there.
     """
-    made = [_search_block(index, windows) for windows in blocks_of(benchmark, limit=limit)] or [_search_block(index, Windows([]))]
-    if len(made) == 1:
-        return made[0].drop("place")
-    merged = made[0]
-    for more in made[1:]:
-        merged = merged.unionByName(more)
+    blocks = blocks_of(benchmark, limit=limit)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is None:
+        return _search_block(index, first or Windows([]), proximity).drop("place")
+    merged = staged(_search_block(index, first, proximity), "hits").unionByName(staged(_search_block(index, second, proximity), "hits"))
+    del first, second
+    for windows in blocks:  # one in hand at a time: its hits are stored before the next is read
+        merged = merged.unionByName(staged(_search_block(index, windows, proximity), "hits"))
     covered = "size(array_distinct(flatten(transform(spans, s -> sequence(s.start, s.end - 1)))))"
     return (
         merged.groupBy("place", "doc_id", "h", "n_words")
@@ -224,13 +226,13 @@ def search(index: DataFrame, benchmark: DataFrame, limit: int = BLOCK_WINDOWS) -
     )
 
 
-def _search_block(index: DataFrame, windows: Windows) -> DataFrame:
+def _search_block(index: DataFrame, windows: Windows, proximity: bool) -> DataFrame:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 segment = Segment.unpack(row["n_words"], row["terms"], row["ends"], row["postings"])
                 ids = np.ma.masked_array(np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["null_ids"], "u1").astype(bool)).tolist()
-                found = _hits(windows, segment)
+                found = _hits(windows, segment, proximity)
                 columns = [ids, np.frombuffer(row["hashes"], "<i8").tolist(), segment.n_words.tolist(), *map(list, zip(*found, strict=True)), [f"{row['segment']}:{k}" for k in range(len(ids))]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _HIT_TYPES, strict=True)], _HIT_NAMES)
 
@@ -247,23 +249,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_WIND
     The stored index is searched, and rows with exact phrases go by their row_key(); no text is shuffled to drop a row.
     """
     doc, h = fresh(docs.columns, "__doc", "__hash")
-    hit = search(build_index(docs), benchmark, limit).where("n_hit > 0").select(F.col("doc_id").alias(doc), F.col("h").alias(h))
+    hit = search(build_index(docs), benchmark, limit, proximity=False).where("n_hit > 0").select(F.col("doc_id").alias(doc), F.col("h").alias(h))
     own = row_key()
     return docs.join(checked(staged(hit.distinct(), "contaminated")), own[0].eqNullSafe(F.col(doc)) & (own[1] == F.col(h)), "left_anti")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
-    """Every document against the whole benchmark, by exact phrases."""
+    """Every document against the whole benchmark: exact phrases, and items with proximity matches."""
     found = search(build_index(docs_of(spark, sf_dir)), docs_of(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit",
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("item_ids"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_ids").cast("long").alias("n_near"),
+        F.sha2(F.array_join(F.array_sort("near_ids"), ","), 256).alias("near_sha256"),
     )
 
 
-#: DuckDB: every ten-word window of every text against the windows of the items.
+#: DuckDB: every ten-word window of every text against the windows of the items; for proximity, all words around the longest one's.
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
@@ -278,8 +282,14 @@ hits AS (
   WHERE p.ws[p.i : p.i + len(w.win) - 1] = w.win),
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
 items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id),
+a AS (
+  SELECT item_id, win, list_sort(list_transform(range(1, len(win) + 1), lambda i: {'n': -strlen(win[i]), 'i': i}))[1].i AS o FROM w),
+close AS (
+  SELECT DISTINCT p.doc_id, a.item_id FROM pos p JOIN a ON p.term = a.win[a.o]
+  WHERE len(list_filter(range(1, len(a.win) + 1), lambda k: list_contains(p.ws[greatest(1, p.i - a.o + k - 4) : p.i - a.o + k + 4], a.win[k]))) = len(a.win)),
+near AS (SELECT doc_id, count(*) AS n_near, string_agg(item_id, ',' ORDER BY item_id) AS near_ids FROM close GROUP BY doc_id)
 SELECT d.doc_id, cast(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near, sha256(coalesce(near_ids, '')) AS near_sha256
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """

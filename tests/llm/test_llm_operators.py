@@ -738,7 +738,7 @@ def hits_by_hand(text, items):
             at = [k for k in range(len(words) - len(w) + 1) if words[k : k + len(w)] == w]
             hit |= {k + j for k in at for j in range(len(w))}
             found |= {item} if at else set()
-            anchors = sorted(range(len(w)), key=lambda j: (-len(w[j].encode()), j))[:3]
+            anchors = sorted(range(len(w)), key=lambda j: (-len(w[j].encode()), j))
             for k in (k for k, x in enumerate(words) if x == w[anchors[0]]):
                 if all(any(0 <= p < len(words) and words[p] == w[a] for p in range(k + a - anchors[0] - 4, k + a - anchors[0] + 5)) for a in anchors[1:]):
                     near.add(item)

@@ -54,7 +54,7 @@ COLUMNS = {
     "op7_simhash_vptree": "doc_id bigint, fingerprint string, component_id bigint",
     "op8_url_filter": "page_id bigint, host string, path string, rule string, verdict string",
     "op9_edit_join": "doc_id bigint, text string, n_lines bigint, n_removed bigint",
-    "op10_positional_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+    "op10_positional_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, n_near bigint, near_sha256 string",
 }
 
 
