@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from loomstone.functions import text as T
 from loomstone import schemas
 from loomstone.operators import coverage, diffs, events, heuristics, history, intervals, linkage, state, structural, universe
+from loomstone.plans import analysis
 from loomstone.sources import collecting, files, hosting, store
 from loomstone.sources.keyed import KeyedTable
 from loomstone.sources.versions import VersionedTable
@@ -822,3 +823,42 @@ def collected_channels(spark: SparkSession, d: str) -> DataFrame:
 def _landed_by_spark(repo: str, channel: str) -> hosting.Fetch:
     """Pages in folders that name their columns, as Spark's writer names them."""
     return collecting.landed_pages(repo, f"channel={channel}")
+
+
+@query(ORACLE["weighted_lookup"])
+def analysis_table(spark: SparkSession, d: str) -> DataFrame:
+    """Refactorings of all line items through two strategies, with weights from seeds, into a versioned table."""
+    seeds = {"complexity_rules": {"Extract Method": [0.5, "Medium"], "Move Class": [0.8, "High"], "Rename Method": [0.2, "Low"]}}
+    violations = table(spark, d, "orders").selectExpr("concat('c', o_orderkey) AS sha")
+    path = f"{landing(spark)}/analysis"
+    analysis.analyse(analysis.Evidence(refactorings(spark, d), violations, tree(spark, d), seeds), ["weights", "escalation"], path)
+    return analysis.result(spark, path).groupBy("refactoring_type", "impact_category", "complexity_score", "is_escalated").agg(F.count("*").alias("n"))
+
+
+@query(f"""{_ROLES_SQL}, mined AS (SELECT 'github.pr' AS channel, (SELECT count(*) FROM orders) AS mined UNION ALL SELECT 'github.issue', (SELECT count(*) FROM customer) UNION ALL SELECT 'github.pr_review', (SELECT count(*) FROM lineitem) UNION ALL SELECT 'github.comment', (SELECT count(*) FROM events)),
+per AS (SELECT source_channel AS channel, count(DISTINCT source_id) AS reached, count(*) AS edges FROM best GROUP BY 1)
+SELECT m.channel, m.mined, coalesce(p.reached, 0) AS reached, round_even(coalesce(p.reached, 0) / m.mined * 100, 1) AS pct_reached, coalesce(p.edges, 0) AS edges,
+  CASE WHEN m.channel = 'github.pr' THEN format('{{:,}}', (SELECT count(*) FROM orders) - (SELECT count(*) FROM merged)) || ' never merged' ELSE '' END AS note
+FROM mined m LEFT JOIN per p USING (channel)""")
+def linkage_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary as exported, with shares and the note."""
+    t, seen = roles(spark, d), events.Observed()
+    edges = VersionedTable(spark, f"{landing(spark)}/edges")
+    edges.replace(linkage.link(t, seen))
+    counts = seen.values()
+    found = linkage.summary(edges.read(), t, counts["pull_lines"] - counts["merged_pulls"])
+    return found.select("channel", "mined", "reached", "pct_reached", "edges", "note")
+
+
+@query("SELECT o_orderstatus AS name, count(*)::BIGINT AS rows FROM orders GROUP BY 1")
+def exported_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Orders exported as a CSV file per status, with fields that hold commas, quotes and line breaks, and counted without their headers."""
+    base = landing(spark)
+    rows = table(spark, d, "orders").selectExpr("o_orderstatus", "concat(o_orderpriority, '\n\"', o_orderkey, '\", end') AS text", "o_totalprice")
+    for status in ("F", "O", "P"):
+        rows.where(F.col("o_orderstatus") == status).drop("o_orderstatus").coalesce(1).write.option("header", True).option("escape", '"').csv(f"{base}/{status}")
+    found = None
+    for status in ("F", "O", "P"):
+        one = files.csv_rows(spark, f"{base}/{status}").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).select(F.lit(status).alias("name"), "rows")
+        found = one if found is None else found.unionByName(one)
+    return found

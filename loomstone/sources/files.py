@@ -150,7 +150,7 @@ def csv_rows(spark: SparkSession, folder: str) -> DataFrame:
     """(name, rows) of all CSV files in a folder without their headers, counted in one pass; quoted line breaks are no rows."""
     if not any(x.endswith(".csv") for x in children(spark, folder)):
         return spark.createDataFrame([], "name string, rows bigint")
-    lines = spark.read.schema("first string").option("multiLine", True).csv(f"{folder}/*.csv")
+    lines = spark.read.schema("first string").option("multiLine", True).option("escape", '"').csv(f"{folder}/*.csv")
     per = lines.groupBy(F.regexp_extract("_metadata.file_name", r"([^/]*?)\.csv$", 1).alias("name")).agg(F.count("*").alias("n"))
     return per.select("name", F.greatest(F.lit(0), F.col("n") - 1).alias("rows"))
 
