@@ -32,7 +32,7 @@ SCHEMA = "page_id long, host string, path string, rule string, verdict string"
 
 
 class DigestArray:
-    """Sorted xxhash64 keys with their full strings: a key column, an offset column and the string bytes in one file."""
+    """Sorted xxhash64 keys with their full strings: columns of keys, of offsets, of a verdict byte, and the strings' bytes in one file."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -41,15 +41,17 @@ class DigestArray:
         self.longest = int(longest)
         self.keys = np.memmap(path, dtype="<u8", mode="r", offset=16, shape=(n,)) if n else np.empty(0, "<u8")
         self.ends = np.memmap(path, dtype="<u8", mode="r", offset=16 + 8 * n, shape=(n + 1,))
-        self.bytes = np.memmap(path, dtype="u1", mode="r", offset=24 + 16 * n) if os.path.getsize(path) > 24 + 16 * n else np.empty(0, "u1")
+        self.verdicts = np.memmap(path, dtype="u1", mode="r", offset=24 + 16 * n, shape=(n,)) if n else np.empty(0, "u1")
+        self.bytes = np.memmap(path, dtype="u1", mode="r", offset=24 + 17 * n) if os.path.getsize(path) > 24 + 17 * n else np.empty(0, "u1")
 
     @staticmethod
-    def packed(strings: Iterable[str], digest=lambda b: xxhash.xxh64_intdigest(b)) -> bytes:
-        """The content of the file."""
+    def packed(strings: Iterable[str], digest=lambda b: xxhash.xxh64_intdigest(b), verdicts: dict[str, int] | None = None) -> bytes:
+        """The content of the file; strings without a verdict have 0."""
         encoded = sorted({s.encode() for s in strings}, key=lambda b: (digest(b), b))
         head = np.array([len(encoded), max(map(len, encoded), default=0)], "<u8")
         keys, ends = np.array([digest(b) for b in encoded], "<u8"), np.cumsum([0, *map(len, encoded)]).astype("<u8")
-        return b"".join([head.tobytes(), keys.tobytes(), ends.tobytes(), *encoded])
+        told = bytes((verdicts or {}).get(b.decode(), 0) for b in encoded)
+        return b"".join([head.tobytes(), keys.tobytes(), ends.tobytes(), told, *encoded])
 
     def find(self, probes: list[bytes], digest=lambda b: xxhash.xxh64_intdigest(b)) -> np.ndarray:
         """For each probe the index of its string, or -1. Equal keys lie side by side; each of them is compared."""
@@ -90,8 +92,10 @@ def url_verdicts(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, def
     """One row per page: host, path, the longest rule that fits or null, and the verdict."""
     spark = pages.sparkSession
     verdicts = dict(rules)
-    name = shipped(spark, "rules.digests", DigestArray.packed(verdicts))
+    names = sorted(set(verdicts.values()))  # what tasks carry besides the file: these few, and the lengths of paths
+    name = shipped(spark, "rules.digests", DigestArray.packed(verdicts, verdicts={r: names.index(v) for r, v in verdicts.items()}))
     lengths = sorted({len(r) - r.index("/") for r in verdicts}, reverse=True)
+    del verdicts
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = DigestArray(SparkFiles.get(name))
@@ -106,11 +110,12 @@ def url_verdicts(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, def
                             probes.append((domain + path[:n]).encode())
                             owner.append(row)
             rule: list[str | None] = [None] * len(urls)
-            for k in np.flatnonzero(digests.find(probes) >= 0).tolist():
-                text = probes[k].decode()
-                if rule[owner[k]] is None or len(text) > len(rule[owner[k]]):
-                    rule[owner[k]] = text
-            verdict = [default if r is None else verdicts[r] for r in rule]
+            verdict = [default] * len(urls)
+            found = digests.find(probes)
+            for k in np.flatnonzero(found >= 0).tolist():
+                text, row = probes[k].decode(), owner[k]
+                if rule[row] is None or len(text) > len(rule[row]):
+                    rule[row], verdict[row] = text, names[digests.verdicts[found[k]]]
             columns = [batch.column(0), pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()), pa.array(rule, pa.string()), pa.array(verdict, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "host", "path", "rule", "verdict"])
 

@@ -637,6 +637,8 @@ def test_url_filter(spark, tmp_path):
         rule, verdict = max(fits, key=lambda x: len(x[0]), default=(None, "allow"))
         assert found[k] == (host, path, rule, verdict), url
     assert url_filter.url_verdicts(df.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, "http://x.net/"), (None, "http://x.net/"), (7, "http://" + "a." * 5000 + "net/"), (7, "http://" + "a" * 100_000 + ".org/fr/")], "page_id long, url string")
+    assert [r["verdict"] for r in url_filter.url_verdicts(odd, [("net/", "watch"), ("org/", "block")]).collect()] == ["watch", "watch", "watch", "block"]
     same = lambda b: len(b) % 2  # noqa: E731  a digest that collides
     strings = [f"s{k}" for k in range(40)]
     (tmp_path / "d").write_bytes(url_filter.DigestArray.packed(strings, same))
