@@ -862,3 +862,26 @@ def exported_rows(spark: SparkSession, d: str) -> DataFrame:
         one = files.csv_rows(spark, f"{base}/{status}").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).select(F.lit(status).alias("name"), "rows")
         found = one if found is None else found.unionByName(one)
     return found
+
+
+@query("""SELECT 'r' || s_nationkey AS repo, 'h' || s_nationkey AS head_sha, count(*)::INT AS head_commits, count(*) FILTER (s_suppkey % 2 = 0)::INT AS near,
+  substr(sha256('h' || s_nationkey || coalesce('|' || string_agg('c' || s_suppkey, '|' ORDER BY 'c' || s_suppkey) FILTER (s_suppkey % 2 = 0), '')), 1, 16) AS fingerprint FROM supplier GROUP BY s_nationkey""")
+def universe_manifests(spark: SparkSession, d: str) -> DataFrame:
+    """A manifest per nation, landed as a document of its own over several lines, with every second supplier as a further head."""
+    base, near = landing(spark), F.collect_list(F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("c"), "s_suppkey")))
+    per = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.count("*").cast("int").alias("head_commits"), near.alias("near_mainline_shas"))
+    whole = F.to_json(F.struct(F.concat(F.lit("r"), "s_nationkey").alias("repo"), F.concat(F.lit("h"), "s_nationkey").alias("head_sha"), "head_commits", "near_mainline_shas"), {"pretty": "true"})
+    per.select("s_nationkey", whole.alias("value")).repartition("s_nationkey").write.partitionBy("s_nationkey").text(base)
+    found = files.read_universe(spark, f"{base}/s_nationkey=*")
+    return found.select("repo", "head_sha", "head_commits", F.size("near_mainline_shas").alias("near"), T.fingerprint(F.col("head_sha"), F.col("near_mainline_shas")).alias("fingerprint"))
+
+
+@query(f"""{_LATEST_SQL}, last AS (SELECT * FROM latest WHERE rn = 1), tally AS (SELECT status, count(*) AS n FROM last GROUP BY status)
+SELECT 'attempts' AS stage, 'lineitem' AS artifact, '1' AS present, (SELECT count(*) FROM lineitem)::VARCHAR AS records, count(*)::VARCHAR AS units, (count(*) FILTER (status = 'success'))::VARCHAR AS ok, (count(*) FILTER (status = 'empty_output'))::VARCHAR AS empty,
+  (count(*) FILTER (status = 'crash'))::VARCHAR AS failed, ((SELECT count(*) FROM lineitem) - count(*))::VARCHAR AS duplicates, (SELECT string_agg(status || '=' || n, ';' ORDER BY status) FROM tally) AS statuses,
+  CASE WHEN (SELECT count(*) FROM lineitem) > count(*) THEN ((SELECT count(*) FROM lineitem) - count(*)) || ' retried' ELSE '' END AS note FROM last
+UNION ALL SELECT 'refm', 'refactorings', '0', '', '', '', '', '', '', '', 'not mined yet'""")
+def report_export(spark: SparkSession, d: str) -> DataFrame:
+    """The report as its CSV has it: texts, blank where nothing can be said."""
+    one = coverage.artifact_coverage(attempts(spark, d), "attempts", "lineitem", "l_orderkey", "o")
+    return coverage.exported(one.unionByName(coverage.absent(spark, "refm", "refactorings")))
