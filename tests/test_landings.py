@@ -131,7 +131,11 @@ def test_walks_tell_what_does_not_fit(spark, tmp_path, place):
     code, said = run(w, tmp_path, "meta")
     assert code == 0 and any("1 commits are landed after a parent" in x for x in said)
     assert counts(w, "meta") == {"commits": 3, "roots": 1, "merges": 0, "out_of_order": 1}
-    assert run(w, tmp_path, "ledger", full=True)[1] == []
+    assert run(w, tmp_path, "ledger", full=True)[1] == [] and counts(w, "ledger")["damaged"] == 0
+    with (place / "ledger.jsonl").open("a") as f:
+        f.write('{"sha": "c", "modi\n{"sha": "d"')
+    assert run(w, tmp_path, "ledger", full=True)[1] == ["r: 2 landed lines of ledger cannot be read; their commits are tried again"]
+    assert counts(w, "ledger")["damaged"] == 2 and counts(w, "ledger")["cut_off"] == 0
     (tmp_path / "u.json").write_text(json.dumps({"repo": "r", "head_sha": "b", "head_commits": 5}))
     code, said = run(w, tmp_path, "ledger", universe="u.json")
     assert code == 0 and any("tells 5 commits of its head, the lineage has 2" in x for x in said) and any("1 commits recorded by ledger are no longer" in x for x in said)
