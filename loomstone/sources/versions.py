@@ -2,8 +2,10 @@
 
 A version is a list of files by part of the table. Writing one makes new files under a name of their own, then the version's
 document, then moves the pointer, which the store replaces in one step. A reader follows the pointer once and reads files that
-nothing changes: it sees the table before or after, never between, and a writer that dies leaves files that no version names.
-Two writers of the same version cannot both create its document; the second fails and changes nothing.
+nothing changes: it sees the table before or after, never between. A writer that dies leaves files that no version names, or a
+whole version that the pointer has not reached: whoever comes next moves the pointer there first. Two writers of the same
+version cannot both create its document: the second of two replacements makes the next version, and of two upserts the second
+fails, changes nothing, and has to start from the newest version.
 
 A table may have one part, which replace() writes anew, or a part for each bucket of an id's hash, of which upsert() writes
 only those that hold ids of the new rows. The last KEPT versions stay readable; vacuum(), called after each change, deletes
@@ -93,7 +95,7 @@ class VersionedTable:
         ids = new.select(F.col(unit).alias("__unit"))
         left = old.join(ids, old[unit].eqNullSafe(F.col("__unit")), "left_anti").withColumn(PART, bucket)
         parts = self._written(left.unionByName(new))
-        return self._publish(told | {"parts": told["parts"] | parts})
+        return self._publish(told | {"parts": told["parts"] | parts}, base=n)
 
     def _written(self, df: DataFrame) -> dict[str, list[str]]:
         """New files of the rows by their part."""
@@ -106,10 +108,14 @@ class VersionedTable:
                 found[part] = [f"{folder}/{name}/{f}" for f in store.children(self.spark, self._at(f"{folder}/{name}")) if f.startswith("part-")]
         return found
 
-    def _publish(self, told: dict) -> int:
-        n = self.version() + 1
-        if not store.create_document(self.spark, self._at(f"_versions/{n}.json"), told):
-            raise WriteConflict(f"version {n} of {self.path} is there already")
+    def _publish(self, told: dict, base: int | None = None) -> int:
+        """Makes the version after `base`, which the rows were read from, or after whatever is the newest."""
+        n = (self.version() if base is None else base) + 1
+        while not store.create_document(self.spark, self._at(f"_versions/{n}.json"), told):
+            self.recover()
+            if base is not None:
+                raise WriteConflict(f"version {n} of {self.path} is there already")
+            n += 1
         store.write_document(self.spark, self._at("_current.json"), {"version": n})
         self.vacuum()
         return n
@@ -127,13 +133,12 @@ class VersionedTable:
         return gone
 
     def recover(self) -> bool:
-        """Drops a version that was described but never became the present one, as after a writer's death; whether there was one."""
-        name = f"_versions/{self.version() + 1}.json"
-        left = store.exists(self.spark, self._at(name))
-        if left:
-            store.delete(self.spark, self._at(name))
-        self.vacuum()
-        return left
+        """Moves the pointer to a version that is whole but never became the present one, as after a writer's death; whether it moved."""
+        n = self.version()
+        if not store.exists(self.spark, self._at(f"_versions/{n + 1}.json")):
+            return False
+        store.write_document(self.spark, self._at("_current.json"), {"version": n + 1})
+        return True
 
 
 def _files_of(told: dict | None) -> list[str]:
