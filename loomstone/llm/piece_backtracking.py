@@ -189,15 +189,17 @@ class Pieces:
                 at -= lengths[token]
         return path
 
-    def parts(self, text: str) -> list[str]:
-        """The text cut where no piece lies across."""
-        if not text:
-            return []
-        cuts = [0]
+    def parts(self, text: str) -> Iterator[list[str]]:
+        """The text cut where no piece lies across, the parts that end in a block of BLOCK characters at a time."""
+        begin = 0
         for a in range(0, len(text), BLOCK):
             rows = self.letter[np.frombuffer(text[a : a + BLOCK + 1].encode("utf-32-le"), dtype="<u4")]
-            cuts += (np.flatnonzero(~self.side_by_side[rows[:-1], rows[1:]]) + (a + 1)).tolist()
-        return list(map(text.__getitem__, map(slice, cuts, [*cuts[1:], len(text)])))
+            cuts = (np.flatnonzero(~self.side_by_side[rows[:-1], rows[1:]]) + (a + 1)).tolist()
+            if cuts:
+                yield list(map(text.__getitem__, map(slice, [begin, *cuts], cuts)))
+                begin = cuts[-1]
+        if begin < len(text):
+            yield [text[begin:]]
 
     def ids_of(self, part: str) -> list[int]:
         """Ids of a part; one that holds a letter of no piece is that letter."""
@@ -279,11 +281,13 @@ class Encoder:
         """Little-endian ids of a text, the end id last."""
         if not text:
             return self.end
-        parts = self.pieces.parts(MARK + text.replace(" ", MARK))
+        return b"".join([*map(self._of_parts, self.pieces.parts(MARK + text.replace(" ", MARK))), self.end])
+
+    def _of_parts(self, parts: list[str]) -> bytes:
         try:
-            return b"".join(map(self.known.__getitem__, parts)) + self.end
+            return b"".join(map(self.known.__getitem__, parts))
         except KeyError:
-            return b"".join(map(self._learnt(parts).__getitem__, parts)) + self.end
+            return b"".join(map(self._learnt(parts).__getitem__, parts))
 
 
 def default_model() -> str:
