@@ -7,6 +7,10 @@ with a single dependence hands on that dependence, with weights added. So a run
 the runs branch; two dependences that come to the same commit become one; one that a longer way over another dependence
 outweighs is dropped. A chain or a tree of n commits takes about log n rounds, and so do branches that part and meet again.
 
+Where values have a top, as for what heads reach, one dependence at the top is enough. Each commit therefore also follows one way
+of dependences, whatever others there are, in steps that double with each round, and takes another way if that one ends
+nowhere: a main line of any number of merges is settled in about log n rounds.
+
 What is left are merges that cross in ways no rule undoes. Each round still settles one level of them; after ROUNDS rounds a
 rest that is counted to be at most REST rows is settled in one task, while a larger one goes on by levels.
 
@@ -54,6 +58,21 @@ def _undominated(rows: DataFrame, wide: DataFrame) -> DataFrame:
     return kept.select("id", "source", "w").unionByName(back)
 
 
+def _followed(fast: DataFrame, told: DataFrame, top: int) -> DataFrame:
+    """(id, source, lifted) of the commits that are not settled: how far each has followed one way; lifted where that is at the top.
+
+    A way that ended nowhere is left for another dependence. A step that would land on a commit settled now is not taken.
+    """
+    settled = told.where("done").select(F.col("id").alias("source"), F.lit(True).alias("ended"), "c")
+    here = fast.join(told.where("NOT done").select("id", "s"), "id").join(settled, "source", "left")
+    there = told.where("NOT done").select(F.col("id").alias("source"), F.lit(True).alias("open"))
+    steps = fast.join(there, "source", "left_semi").select(F.col("id").alias("source"), F.col("source").alias("beyond"))
+    moved = here.join(steps, "source", "left").join(there, "source", "left")
+    lifted = F.coalesce(F.col("ended") & (F.col("c") >= top), F.lit(False))
+    source = F.when(F.col("open").isNull(), F.col("s")).otherwise(F.coalesce("beyond", "source"))
+    return moved.select("id", source.alias("source"), lifted.alias("lifted"))
+
+
 def solve(rows: DataFrame, top: int | None = None, rounds: Rounds | None = None, patience: int = ROUNDS, rest: int = REST) -> DataFrame:
     """(id, value): the greatest over each id's rows of w, plus the value of `source` where there is one; null if there is none.
 
@@ -61,7 +80,7 @@ def solve(rows: DataFrame, top: int | None = None, rounds: Rounds | None = None,
     """
     rounds = rounds or Rounds()
     rounds.count = 0
-    rows, found = held(_greatest(rows), "history"), None
+    rows, found, fast = held(_greatest(rows), "history"), None, None
     at_top = F.lit(False) if top is None else F.coalesce(F.col("c") >= top, F.lit(False))
     while True:
         rounds.count += 1
@@ -74,6 +93,11 @@ def solve(rows: DataFrame, top: int | None = None, rounds: Rounds | None = None,
         found = settled if found is None else found.unionByName(settled)
         if done == n:
             return found
+        lifted = None
+        if top is not None and wide:
+            ways_ahead = told.where("NOT done").select("id", F.col("s").alias("source"))
+            fast = held(ways_ahead.withColumn("lifted", F.lit(False)) if fast is None else _followed(fast, told, top), "history-ways")
+            lifted = fast.where("lifted")
         known = told.where("done").select("id")
         left = rows.join(known, "id", "left_anti")
         if wide:
@@ -86,6 +110,8 @@ def solve(rows: DataFrame, top: int | None = None, rounds: Rounds | None = None,
         ways = F.when(F.col("known"), F.array(F.struct(F.col("s").alias("source"), (F.col("w") + F.col("ws")).alias("w")), F.struct(none.alias("source"), (F.col("w") + F.col("c")).alias("w")))).otherwise(F.array(F.struct("source", "w")))
         # a way that leads nowhere has no weight; a row without a source is an id's own, and stays
         following = met.select("id", F.explode(ways).alias("x")).select("id", "x.*").where(F.col("w").isNotNull() | F.col("source").isNull())
+        if lifted is not None:
+            following = following.unionByName(lifted.select("id", none.alias("source"), F.lit(top).cast("bigint").alias("w")))
         rows = held(_greatest(following), "history")
         if rounds.count >= patience and rows.limit(rest + 1).count() <= rest:
             return found.unionByName(_in_one_task(rows))

@@ -78,6 +78,17 @@ def test_branches_that_part_and_meet_take_few_rounds(spark):
     assert history.ancestors(spark.createDataFrame(rows, SCHEMA), heads, rounds=rounds).count() == n and rounds.count <= 25
 
 
+@pytest.mark.parametrize("dead", [0, 40])
+def test_what_a_long_ladder_reaches_takes_few_rounds(spark, dead):
+    """Merges that cross all along the main line, and branches that nobody merged, which a way may end in."""
+    n = 700
+    rows = [(f"c{k:04d}", [f"c{p:04d}" for p in (k - 1, k - 4 * (k % 2 == 0), k - 7 * (k % 3 == 0), k - 11 * (k % 5 == 0)) if 0 <= p < k]) for k in range(n)]
+    rows += [(f"d{k}", [f"c{(k * 17) % n:04d}"]) for k in range(dead)]  # tips that sort after all others
+    rounds = history.Rounds()
+    got = history.ancestors(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(f"c{n - 1:04d}",)], "sha string"), rounds=rounds)
+    assert {r[0] for r in got.collect()} == {f"c{k:04d}" for k in range(n)} and rounds.count <= 20
+
+
 def test_groups_and_odd_rows(spark):
     rows = [("r", "a", []), ("r", "b", ["a", "a", None]), ("r", "b", ["a"]), ("r", None, ["a"]), ("q", "a", ["b"]), ("q", "z", ["a"]), (None, "a", ["a2"])]
     df = spark.createDataFrame(rows, f"repo string, {SCHEMA}")
