@@ -28,7 +28,10 @@ def overlaps(a: Column, b: Column, c: Column, d: Column) -> Column:
 
 
 def _listed(start: Column, end: Column, own: tuple[str, str], above: str) -> Column:
-    """array<struct<level, bin, meets, first>>: where a range is listed, for which meetings, and its first bin there."""
+    """array<struct<level, bin, meets, first>>: where a range is listed, for which meetings, and its first bin there.
+
+    At the lowest level a range meets only those of the same, as none is lower.
+    """
     low, high = F.least(start, end).cast("bigint"), F.greatest(start, end).cast("bigint")
     level = F.lit(_TOP)
     for k in reversed(range(_TOP)):
@@ -39,7 +42,7 @@ def _listed(start: Column, end: Column, own: tuple[str, str], above: str) -> Col
 
     def of_level(m: Column) -> Column:
         first = at(low, m)
-        meets = F.when(m == level, F.array(*map(F.lit, own))).otherwise(F.array(F.lit(above)))
+        meets = F.when(m > level, F.array(F.lit(above))).when(m == 0, F.array(F.lit(own[0]))).otherwise(F.array(*map(F.lit, own)))
         listed = F.transform(F.sequence(first, at(high, m)), lambda b: F.transform(meets, lambda t: F.struct(m.alias("level"), b.alias("bin"), t.alias("meets"), first.alias("first"))))
         return F.flatten(listed)
 
