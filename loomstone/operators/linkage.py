@@ -3,6 +3,9 @@
 The second pass joins comments to the kept edges of the first. What several branches read, the commits of pull requests
 and the edges of the first pass, is written once to the shared folder, so no branch computes it again. An edge's target must
 be in the universe; candidates that name a commit absent from it are counted before anything is made distinct.
+
+Comments have by far the most edges, as each takes all of its parent's. What a parent hands on is therefore filtered, flagged
+and made distinct before comments meet it, and no exchange follows: comments and parents are shuffled, their edges are not.
 """
 
 from __future__ import annotations
@@ -59,11 +62,15 @@ class Tables:
 
 @dataclass(frozen=True)
 class EdgeRoute:
-    """A way to find edges: pass 1 reads tables, pass 2 also reads the edges of pass 1."""
+    """A way to find edges: pass 1 reads tables, pass 2 also reads the edges of pass 1.
+
+    whole, if there is one, gives what deduped() makes of a pass-2 route's kept edges, by a shorter way.
+    """
 
     name: str
     pass_number: int
     find: Callable[..., DataFrame]
+    whole: Callable[..., DataFrame] | None = None
 
 
 def check_inputs(tables: Tables) -> None:
@@ -96,8 +103,12 @@ def channel_of(numbers: DataFrame, issues: DataFrame, prs: DataFrame, column: st
 
 
 def _edges(df: DataFrame, channel: str | Column, source: str, via: str, route: str, kind: str | Column) -> DataFrame:
+    return df.select(*_edge_columns(channel, source, via, route, kind))
+
+
+def _edge_columns(channel: str | Column, source: str, via: str, route: str, kind: str | Column) -> list[Column]:
     as_column = lambda x: F.lit(x) if isinstance(x, str) else x
-    return df.select(as_column(channel).alias("source_channel"), F.col(source).alias("source_id"), F.col(via).alias("resolved_via"), F.col("sha").alias("target_sha"), F.lit(route).alias("route"), as_column(kind).alias("ref_kind"))
+    return [as_column(channel).alias("source_channel"), F.col(source).alias("source_id"), F.col(via).alias("resolved_via"), F.col("sha").alias("target_sha"), F.lit(route).alias("route"), as_column(kind).alias("ref_kind")]
 
 
 def by_merge_commit(t: Tables) -> DataFrame:
@@ -127,10 +138,34 @@ def by_comment_parent(t: Tables, first: DataFrame) -> DataFrame:
     return _edges(own.join(inherited, "number"), CH_COMMENT, "record_id", "number", PARENT_NUMBER, F.col("ref_kind"))
 
 
+def comment_edges(t: Tables, first: DataFrame, also: tuple[str, ...] = (), seen: Observed | None = None) -> DataFrame:
+    """deduped() of by_comment_parent(), without an exchange of edges; `also` are columns of the target commit.
+
+    A comment of one parent has each of its commits once, as its parent has. Those that records give several parents are made
+    distinct afterwards. Targets are those of the first pass, so none is absent.
+    """
+    own = t.comments.where(truthy(F.col("parent_id")) & truthy(F.col("record_id"))).select("record_id", F.col("parent_id").alias("number"))
+    per = own.groupBy("record_id").agg(F.min("number").alias("number"), F.max("number").alias("last"), F.count("*").alias("times"))
+    one = per.where("number = last").drop("last")
+    several = own.join(per.where("number < last").select("record_id"), "record_id", "left_semi").withColumn("times", F.lit(1).cast("bigint"))
+    kinds = [] if seen is None else [F.count_distinct("ref_kind").alias("kinds")]
+    best = F.min(F.struct(rank(F.col("ref_kind")).alias("rank"), "ref_kind")).alias("best")
+    handed = first.groupBy(F.col("resolved_via").alias("number"), F.col("target_sha").alias("sha")).agg(best, *kinds, *[F.max(c).alias(c) for c in also])
+
+    def met(comments: DataFrame) -> DataFrame:
+        found = comments.join(handed, "number")
+        if seen is not None:
+            found = seen.watch(found, candidates=F.sum(F.col("times") * F.col("kinds")))
+        found = found.withColumn("ref_kind", F.col("best.ref_kind"))
+        return found.select(*_edge_columns(CH_COMMENT, "record_id", "number", PARENT_NUMBER, F.col("ref_kind")), *also)
+
+    return met(one).unionByName(deduped(met(several), also))
+
+
 ROUTES = (
     EdgeRoute("pull request -> merge commit", 1, by_merge_commit), EdgeRoute("issue -> pull request -> merge commit", 1, by_issue_in_pr),
     EdgeRoute("commit message -> number", 1, by_commit_message), EdgeRoute("review comment -> parent pull request", 1, by_review_parent),
-    EdgeRoute("comment -> parent", 2, by_comment_parent),
+    EdgeRoute("comment -> parent", 2, by_comment_parent, comment_edges),
 )
 
 
@@ -166,10 +201,11 @@ def rank(kind: Column) -> Column:
     return F.when(kind == API, 0).when(kind == CLOSES, 1).when(kind == MENTIONS, 2).otherwise(9)
 
 
-def deduped(edges: DataFrame) -> DataFrame:
-    """One row per (channel, record, commit, route) with its strongest kind."""
+def deduped(edges: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (channel, record, commit, route) with its strongest kind; `also` are columns of the target commit."""
     best = F.min(F.struct(rank(F.col("ref_kind")).alias("rank"), "ref_kind", "resolved_via"))
-    return edges.groupBy(*KEY).agg(best.alias("best")).select("source_channel", "source_id", F.col("best.resolved_via").alias("resolved_via"), "target_sha", "route", F.col("best.ref_kind").alias("ref_kind"))
+    found = edges.groupBy(*KEY).agg(best.alias("best"), *[F.max(c).alias(c) for c in also])
+    return found.select("source_channel", "source_id", F.col("best.resolved_via").alias("resolved_via"), "target_sha", "route", F.col("best.ref_kind").alias("ref_kind"), *also)
 
 
 def with_exact(edges: DataFrame) -> DataFrame:
@@ -188,23 +224,44 @@ def with_membership(edges: DataFrame, **tables: DataFrame | None) -> DataFrame:
     return edges
 
 
-def link(t: Tables, seen: Observed | None = None) -> DataFrame:
-    """The whole edge table in its fixed order, or an error that tells which input is missing.
+def distinct_edges(t: Tables, routes: tuple[EdgeRoute, ...] = ROUTES, seen: Observed | None = None, **membership: DataFrame | None) -> DataFrame:
+    """deduped(collect()), with membership flags if asked for, where edges of the second pass need no exchange."""
+    t, flags = t.prepared(seen), tuple(f"in_{name}" for name in membership)
+    # flags are looked up by target, as the universe is: one exchange serves all
+    first = held(with_membership(in_universe(first_pass_candidates(t, routes), t.lineage, seen), **membership), "first-pass")
+    union = deduped(first, flags)
+    for r in (r for r in routes if r.pass_number == 2):
+        if r.whole is None:
+            more = with_membership(deduped(in_universe(r.find(t, first), t.lineage, seen)), **membership)
+        else:
+            more = r.whole(t, first, flags, seen)
+        union = union.unionByName(more)
+    return union
+
+
+def edge_table(t: Tables, seen: Observed | None = None) -> DataFrame:
+    """The whole edge table, in no order, or an error that tells which input is missing.
 
     With `seen`, candidates, those dropped as absent, and pull requests read and merged are counted as the table is written.
     """
     check_inputs(t)
-    edges = with_membership(with_exact(deduped(collect(t, seen=seen))), ledger=t.ledger, refm=t.refm, ck=t.structure)
-    return edges.select(*EDGE, "exact", "in_ledger", "in_refm", "in_ck").orderBy("source_channel", "source_id", "target_sha", "route")
+    edges = with_exact(distinct_edges(t, seen=seen, ledger=t.ledger, refm=t.refm, ck=t.structure))
+    return edges.select(*EDGE, "exact", "in_ledger", "in_refm", "in_ck")
+
+
+def link(t: Tables, seen: Observed | None = None) -> DataFrame:
+    """edge_table() in its fixed order, for exports; ordering moves every edge once."""
+    return edge_table(t, seen).orderBy("source_channel", "source_id", "target_sha", "route")
 
 
 def dropped_absent(t: Tables) -> DataFrame:
-    """One row: candidates that name a commit absent from the universe, each attempt counted."""
-    t = t.prepared()
-    first = held(first_pass_candidates(t), "candidates")
-    tried = first.unionByName(by_comment_parent(t, in_universe(first, t.lineage)))
-    known = t.lineage.select(F.col("sha").alias("target_sha")).distinct().withColumn("known", F.lit(True))
-    return tried.where(truthy(F.col("target_sha"))).join(known, "target_sha", "left").agg(F.count_if(F.col("known").isNull()).alias("dropped_absent"))
+    """One row: candidates that name a commit absent from the universe, each attempt counted.
+
+    Comments are candidates for commits of kept edges alone, so those absent are all of the first pass.
+    """
+    known = t.lineage.select(F.col("sha").alias("target_sha")).distinct()
+    tried = first_pass_candidates(t.prepared()).select("target_sha").where(truthy(F.col("target_sha")))
+    return tried.join(known, "target_sha", "left_anti").agg(F.count("*").alias("dropped_absent"))
 
 
 def channel_summary(edges: DataFrame, t: Tables) -> DataFrame:

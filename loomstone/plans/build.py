@@ -185,7 +185,7 @@ def link(w: Workspace, plan: RunPlan) -> bool:
         ledger=w.table("ledger"), refm=w.table("refm"), structure=w.table("ck"),
     )
     seen = Observed()
-    sinks.refresh(linkage.link(t, seen), f"{w.output}/link")
+    sinks.refresh(linkage.edge_table(t, seen), f"{w.output}/link")
     counts = seen.values()
     lost = counts["pull_lines"] - counts["merged_pulls"]
     w.note(plan, counts | {"never_merged": lost})

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomstone.operators import coverage, diffs, heuristics, linkage, state, structural, universe
+from loomstone.operators import coverage, diffs, events, heuristics, linkage, state, structural, universe
 
 PR = "record_id long, merged_at long, merge_commit_sha string, text string, ingest_seq long"
 
@@ -47,6 +47,41 @@ def test_absent_targets_are_counted_before_dedupe(spark):
     assert linkage.dropped_absent(tables(spark)).first()[0] == 4
 
 
+def test_edges_of_comments_are_not_exchanged(spark):
+    """The whole edge table equals the plain one, also for comments with several parents, and only small sides are shuffled."""
+    number = "cast(id % 40 AS bigint)"
+    prs = spark.range(400).selectExpr("id AS record_id", "5L AS merged_at", "concat('s', id) AS merge_commit_sha", f"concat('Fixes #', {number}, ' see #', {number} + 1) AS text", "id AS ingest_seq")
+    comments = spark.range(3000).selectExpr("id AS record_id", "id % 40 AS parent_id").unionByName(spark.range(0, 3000, 7).selectExpr("id AS record_id", "(id + 1 + id % 2) % 40 AS parent_id")).unionByName(spark.range(50).selectExpr("id AS record_id", "id % 40 AS parent_id"))
+    lineage = prs.where("record_id % 9 <> 0").selectExpr("merge_commit_sha AS sha")
+    t = tables(spark, prs=prs, comments=comments, lineage=lineage, ledger=lineage.limit(100).localCheckpoint(), refm=lineage.where("sha LIKE '%1'").selectExpr("sha AS sha1"))
+    plain = linkage.with_membership(linkage.with_exact(linkage.deduped(linkage.collect(t))), ledger=t.ledger, refm=t.refm, ck=None)
+    seen, old = events.Observed(), events.Observed()
+    found = linkage.edge_table(t, seen)
+    rows = [tuple(r) for r in found.collect()]
+    assert sorted(rows) == sorted(tuple(r) for r in plain.select(*found.columns).collect()) and len(rows) > 50_000
+    linkage.collect(t, seen=old).write.format("noop").mode("overwrite").save()
+    assert seen.values() == old.values() and old.values()["dropped_absent"] == linkage.dropped_absent(t).first()[0] > 0
+
+    def exchanged(df):
+        """Most rows that an exchange of the plan wrote."""
+        df.collect()
+        todo, most = [df._jdf.queryExecution().executedPlan()], 0
+        while todo:
+            p = todo.pop()
+            name = p.getClass().getSimpleName()
+            if name == "AdaptiveSparkPlanExec":
+                todo.append(p.executedPlan())
+            elif name.endswith("QueryStageExec"):
+                todo.append(p.plan())
+            elif name == "ShuffleExchangeExec":
+                most = max(most, p.metrics().apply("shuffleRecordsWritten").value())
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+        return most
+
+    assert exchanged(plain) > 50_000 and exchanged(linkage.edge_table(t)) < 25_000
+    assert [tuple(r) for r in linkage.link(t).collect()] == sorted(rows, key=lambda r: (r[0], r[1], r[3], r[4]))
+
+
 def test_flags_tell_absent_tables_from_empty_ones(spark):
     t = tables(spark, ledger=spark.createDataFrame([("s1",)], "sha string"), refm=spark.createDataFrame([], "sha1 string"))
     rows = linkage.link(t).collect()
