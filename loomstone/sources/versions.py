@@ -73,7 +73,7 @@ class VersionedTable:
 
     def replace(self, df: DataFrame) -> int:
         """The whole table from df; the new version's number."""
-        parts = self._written(df.withColumn(PART, F.lit(0)))
+        parts = self._written(df)
         return self._publish({"schema": df.schema.jsonValue(), "buckets": None, "unit": None, "parts": parts})
 
     def upsert(self, rows: DataFrame, unit: str, buckets: int = 64) -> int:
@@ -98,9 +98,12 @@ class VersionedTable:
         return self._publish(told | {"parts": told["parts"] | parts}, base=n)
 
     def _written(self, df: DataFrame) -> dict[str, list[str]]:
-        """New files of the rows by their part."""
+        """New files of the rows by their part; rows that name none are all of one, and are written where they are."""
         folder = f"_data/{uuid.uuid4().hex}"
-        df.hint("rebalance", PART).write.partitionBy(PART).parquet(self._at(folder))
+        if PART in df.columns:
+            df.hint("rebalance", PART).write.partitionBy(PART).parquet(self._at(folder))
+        else:
+            df.write.parquet(self._at(f"{folder}/{PART}=0"))
         found: dict[str, list[str]] = {}
         for name in store.children(self.spark, self._at(folder)):
             if name.startswith(f"{PART}="):

@@ -30,6 +30,15 @@ def test_readers_see_the_old_or_the_new_table(spark, tmp_path, monkeypatch):
     assert seen == [[0, 1, 2]] * 2 and ids(before) == [0, 1, 2] and ids(table.read()) == [0, 1, 2, 3, 4] and ids(table.read(1)) == [0, 1, 2]
 
 
+def test_a_replaced_table_is_written_where_its_rows_are(spark, tmp_path):
+    """No exchange of all rows towards their one part: each task's rows are a file."""
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(spark.range(0, 100_000, 1, 5))
+    assert len(table.read().inputFiles()) == 5 and table.read().count() == 100_000 and table.read().columns == ["id"]
+    table.replace(spark.range(0))
+    assert table.read().count() == 0 and table.read().columns == ["id"]
+
+
 @pytest.mark.parametrize("dies_in", ["_written", "_publish", "create", "pointer"])
 def test_a_killed_writer_changes_nothing(spark, tmp_path, monkeypatch, dies_in):
     table = VersionedTable(spark, str(tmp_path / "t"))
