@@ -30,6 +30,8 @@ from loomstone.sources.versions import VersionedTable
 
 #: A unit's state, as kept.
 STATE = "unit string, repo string, channel string, page int, next string, since string, newest string, complete boolean, reset bigint, items bigint, fault string"
+#: Pages of a unit in one of run()'s later rounds, at most.
+MOST = 1 << 14
 _DELIVERY = f"kind string, raw string, place int, {STATE}"
 _STATE_NAMES = [c.split()[0] for c in STATE.split(", ")]
 
@@ -119,10 +121,14 @@ class Collection:
         return found.withColumn("key", F.concat_ws("#", "repo", F.col("record_id").cast("string")))
 
     def run(self, pages: int, rounds: int = 0, now: float | None = None) -> dict[str, int]:
-        """Rounds until no unit is open, or `rounds` of them; what all of them took, and what is left."""
+        """Rounds until no unit is open, or `rounds` of them; what all of them took, and what is left.
+
+        The first round takes up to `pages` pages of each unit, every further one twice as many as the one before, up to
+        MOST, so the rounds of a long channel are few. A round that fails is lost: as much as was there before it, at most.
+        """
         total, done = {"rounds": 0, "items": 0}, 0
         while (not rounds or done < rounds) and not self.open_units(now).where("fault IS NULL").isEmpty():
-            told = self.take(pages, now)
+            told = self.take(max(pages, min(pages << done, MOST)), now)
             done += 1
             total = {"rounds": done, "items": total["items"] + told["items"]}
         left = self.states().agg(F.count_if(~F.col("complete")).alias("open"), F.count_if(F.col("fault").isNotNull()).alias("refused")).first()

@@ -63,6 +63,12 @@ def test_a_round_that_fails_is_done_again(spark, tmp_path, monkeypatch):
     assert found.run(3, now=0)["open"] == 0 and found.records("prs").count() == 21
 
 
+def test_rounds_of_a_long_channel_are_few(spark, tmp_path):
+    found = service(spark, tmp_path, ("r40", "prs"))
+    told = found.run(1, now=0)
+    assert told["rounds"] <= 6 and told["open"] == 0 and states(found)["r40/prs"][:2] == (40, True) and found.records("prs").count() == 120
+
+
 def test_no_units(spark, tmp_path):
     found = service(spark, tmp_path)
     assert found.states().count() == 0 and found.run(3) == {"rounds": 0, "items": 0, "open": 0, "refused": 0} and found.records("prs") is None
