@@ -9,16 +9,24 @@ near, whatever the number of rows under one key; a range is listed a bounded num
 A key with a third of all rows is dealt by its bins; a bin that is still large is many ranges at one place, where the pairs
 are the result, and adaptive execution splits it.
 
+Bins are for keys of many ranges alone: where a plain join of a key would try no more than FEW pairs for each of its rows,
+which is what listing it would cost, it is joined plainly. Keys beyond that are counted first and written to the shared folder.
+
 Edge cases: ends are inclusive; rows with a null key or end overlap nothing; a range whose end lies before its start overlaps
 what holds both, as overlaps() says; repeated rows give repeated pairs; empty sides give an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WIDTH, STEP, LEVELS = 32, 8, 5
+from loomstone.sources.store import held
+
+WIDTH, STEP, LEVELS, FEW = 32, 8, 5, 16
 _TOP = LEVELS - 1
 
 
@@ -61,9 +69,26 @@ def candidates(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], l
     return mine.join(theirs, condition & (F.col("__l.bin") == F.greatest("__l.first", "__r.first")))
 
 
+def many_ranged(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
+    """Keys, as __key0 and on, under which a plain join would try more than FEW pairs a row."""
+    names = [f"__key{i}" for i in range(len(keys))]
+    mine = left.groupBy(*[F.col(k).alias(n) for (k, _), n in zip(keys, names, strict=True)]).agg(F.count("*").alias("__mine"))
+    theirs = right.groupBy(*[F.col(k).alias(n) for (_, k), n in zip(keys, names, strict=True)]).agg(F.count("*").alias("__theirs"))
+    many = F.col("__mine").cast("double") * F.col("__theirs") > FEW * (F.col("__mine") + F.col("__theirs"))
+    return mine.where(f"__mine > {FEW}").join(theirs.where(f"__theirs > {FEW}"), names).where(many).select(*names)
+
+
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str | tuple[str, str]], left_range: tuple[str, str], right_range: tuple[str, str]) -> DataFrame:
     """All columns of both sides for each pair of rows with equal keys and overlapping ranges."""
     named = [(k, k) if isinstance(k, str) else k for k in keys]
-    near = candidates(left, right, named, left_range, right_range)
+    both = [*[left[c] for c in left.columns], *[right[c] for c in right.columns]]
     true = overlaps(left[left_range[0]], left[left_range[1]], right[right_range[0]], right[right_range[1]])
-    return near.where(true).select(*[left[c] for c in left.columns], *[right[c] for c in right.columns])
+    equal = lambda one, other: reduce(and_, [a == b for a, b in zip(one, other, strict=True)])
+    mine, theirs = [left[k] for k, _ in named], [right[k] for _, k in named]
+    hot = held(many_ranged(left, right, named), "many-ranged")
+    if hot.isEmpty():
+        return left.join(right, equal(mine, theirs) & true).select(*both)
+    hots = [hot[c] for c in hot.columns]
+    plain = left.join(hot, equal(mine, hots), "left_anti").join(right, equal(mine, theirs) & true).select(*both)
+    near = candidates(left.join(hot, equal(mine, hots), "left_semi"), right.join(hot, equal(theirs, hots), "left_semi"), named, left_range, right_range)
+    return plain.union(near.where(true).select(*both))
