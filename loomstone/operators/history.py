@@ -46,14 +46,14 @@ def _greatest(rows: DataFrame) -> DataFrame:
 
 
 def _undominated(rows: DataFrame, wide: DataFrame) -> DataFrame:
-    """Without dependences that a way over another dependence of the same commit outweighs.
+    """Rows with a source, without dependences that a way over another dependence of the same commit outweighs.
 
     Ways over two dependences are found by one join; only commits with several dependences are asked about.
     """
-    own = rows.where("source IS NOT NULL").join(wide.select("id"), "id", "left_semi")
-    ahead = rows.where("source IS NOT NULL").select(F.col("id").alias("source"), F.col("source").alias("beyond"), F.col("w").alias("more"))
+    own = rows.join(wide.select("id"), "id", "left_semi")
+    ahead = rows.select(F.col("id").alias("source"), F.col("source").alias("beyond"), F.col("w").alias("more"))
     reached = own.join(ahead, "source").groupBy("id", F.col("beyond").alias("source")).agg(F.max(F.col("w") + F.col("more")).alias("longer"))
-    kept = rows.join(reached, ["id", "source"], "left").where(F.col("source").isNull() | F.col("longer").isNull() | (F.col("longer") < F.col("w")))
+    kept = rows.join(reached, ["id", "source"], "left").where(F.col("longer").isNull() | (F.col("longer") < F.col("w")))
     back = reached.where("id = source").select("id", "source", F.col("longer").alias("w"))  # a way back to itself is kept, to be told
     return kept.select("id", "source", "w").unionByName(back)
 
@@ -99,7 +99,10 @@ def solve(rows: DataFrame, top: int | None = None, rounds: Rounds | None = None,
             fast = held(ways_ahead.withColumn("lifted", F.lit(False)) if fast is None else _followed(fast, told, top), "history-ways")
             lifted = fast.where("lifted")
         known = told.where("done").select("id")
-        left = rows.join(known, "id", "left_anti")
+        # an id's own value meets nothing: kept apart, as rows without a source would all come to one task of a join by source
+        own_values, left = told.where("NOT done").select("id", F.col("c").alias("w")), rows.where("source IS NOT NULL")
+        if top is not None:  # else a settled commit has no dependences left
+            left = left.join(known, "id", "left_anti")
         if wide:
             left = _undominated(left, told.where("NOT done AND n > 1"))
         # one that waits for a value known now has its own turn to take it in; it hands nothing on before
@@ -108,8 +111,8 @@ def solve(rows: DataFrame, top: int | None = None, rounds: Rounds | None = None,
         met = left.join(folded, F.col("source") == F.col("__id"), "left")
         none = F.lit(None).cast(dict(rows.dtypes)["source"])
         ways = F.when(F.col("known"), F.array(F.struct(F.col("s").alias("source"), (F.col("w") + F.col("ws")).alias("w")), F.struct(none.alias("source"), (F.col("w") + F.col("c")).alias("w")))).otherwise(F.array(F.struct("source", "w")))
-        # a way that leads nowhere has no weight; a row without a source is an id's own, and stays
-        following = met.select("id", F.explode(ways).alias("x")).select("id", "x.*").where(F.col("w").isNotNull() | F.col("source").isNull())
+        # a way that leads nowhere has no weight
+        following = met.select("id", F.explode(ways).alias("x")).select("id", "x.*").where("w IS NOT NULL").unionByName(own_values.select("id", none.alias("source"), "w"))
         if lifted is not None:
             following = following.unionByName(lifted.select("id", none.alias("source"), F.lit(top).cast("bigint").alias("w")))
         rows = held(_greatest(following), "history")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +112,20 @@ def test_orders(spark):
     assert [tuple(r) for r in history.out_of_order(df).collect()] == [("b", "a")]
     deep = history.generations(df).orderBy("generation", "sha")
     assert [r["sha"] for r in deep.collect()] == ["a", "b", "c"] and deep.select(F.max("generation")).first()[0] == 2
+
+
+def test_own_values_do_not_meet_in_one_task(spark, monkeypatch):
+    """A join by source takes rows that have one: all others would come to one of its tasks, a row for each commit."""
+    plans, held = [], history.held
+
+    def seen(df, label):
+        if label == "history":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString().split("\n"))
+        return held(df, label)
+
+    monkeypatch.setattr(history, "held", seen)
+    commits = [(f"c{k}", [f"c{k // 2}"] + ([f"c{k - 1}"] if k % 7 == 0 else []) if k else []) for k in range(16)]
+    found = history.generations(spark.createDataFrame(commits, SCHEMA))
+    assert {r["sha"]: r["generation"] for r in found.collect()} == depth_by_hand(commits)
+    above = [plan[k - 1] for plan in plans for k, line in enumerate(plan) if re.search(r"Relation \[id#\d+,source#\d+,w#\d+L\]", line)]
+    assert above and all("isnotnull(source#" in x for x in above)
