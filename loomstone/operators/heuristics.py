@@ -39,9 +39,12 @@ def flatten_violations(records: DataFrame) -> DataFrame:
 
 
 def with_weights(refactorings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Adds complexity_score and impact_category from rules (refactoring_type, score, category)."""
+    """Adds complexity_score and impact_category from rules (refactoring_type, score, category).
+
+    Rules are a row per type, as seeds hold them, and are broadcast: few types are no key to exchange refactorings by.
+    """
     known = rules.select("refactoring_type", F.col("score").alias("__score"), F.col("category").alias("__category"))
-    joined = refactorings.join(known, "refactoring_type", "left")
+    joined = refactorings.join(F.broadcast(known), "refactoring_type", "left")
     return joined.withColumns({"complexity_score": F.coalesce("__score", F.lit(UNKNOWN_SCORE)), "impact_category": F.coalesce("__category", F.lit(UNKNOWN_CATEGORY))}).drop("__score", "__category")
 
 

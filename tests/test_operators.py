@@ -183,6 +183,14 @@ def test_pieces(spark):
     assert rows[0]["p"] == want and rows[0]["two"] == want[:2] and rows[1]["p"] == ["<COMMIT_MESSAGE></COMMIT_MESSAGE>"]
 
 
+def test_weights_move_no_refactorings(spark):
+    rules = spark.createDataFrame([("Move Class", 0.8, "High")], "refactoring_type string, score double, category string")
+    rows = spark.createDataFrame([("Move Class", "r"), ("Other", "r"), (None, "r")], "refactoring_type string, repository string")
+    found = heuristics.with_weights(rows, rules)
+    assert {r["refactoring_type"]: (r["complexity_score"], r["impact_category"]) for r in found.collect()} == {"Move Class": (0.8, "High"), "Other": (0.1, "Unclassified"), None: (0.1, "Unclassified")}
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_structure(spark):
     classes = spark.createDataFrame([("f1", "A"), ("f2", "A"), ("f3", "B")], "file string, class string")
     methods = spark.createDataFrame([("A", "m1"), ("A", "m2"), ("Gone", "m3")], "class string, method string")
