@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,13 +27,11 @@ def files_of(raw: Column, keep_marked: bool = False) -> Column:
 
     The text is cut at its headers inside the row, by higher-order functions, so no diff leaves its task.
     """
-    unmarked = lambda x: ~(x.startswith("--- ") | x.startswith("+++ "))
-
     def of_sign(lines: Column, sign: str) -> Column:
         """The file's lines of a sign, without it; lines[0] is the rest of the header."""
         hunk = F.array_position(F.transform(lines, lambda x: x.rlike("^@@ .*? @@")), True)  # from 1, 0 if there is none
         inside = lambda i: (hunk > 0) & (i >= hunk) if keep_marked else F.lit(False)
-        own = F.filter(lines, lambda x, i: (i > 0) & x.startswith(sign) & (unmarked(x) | inside(i)))
+        own = F.filter(lines, lambda x, i: (i > 0) & x.startswith(sign) & (~x.startswith(f"{3 * sign} ") | inside(i)))
         return F.transform(own, lambda x: F.substring(x, 2, 1 << 30))
 
     def entry(lines: Column, place: Column) -> Column:
@@ -43,13 +43,14 @@ def files_of(raw: Column, keep_marked: bool = False) -> Column:
 
     bodies = F.slice(F.split(raw, f"(?dm)^{HEADER}", -1), 2, 1 << 30)
     listed = F.transform(F.transform(bodies, lambda x: F.split(x, "\n", -1)), entry)
-    ranked = F.array_sort(F.transform(listed, sized))
+    ranked = F.sort_array(F.transform(listed, sized))
     return F.transform(ranked, lambda x: x["f"])
 
 
 def split_files(diffs: DataFrame, unit: str = "sha1", raw: str = "raw", keep_marked: bool = False) -> DataFrame:
     """(unit, files) of every row with a file, as files_of(); two rows of one unit stay apart."""
-    return diffs.select(unit, files_of(F.col(raw), keep_marked).alias("files")).where(F.size("files") > 0)
+    # asked of the text, as a filter on the files would make them twice
+    return diffs.where(F.col(raw).rlike(f"(?dm)^{HEADER}")).select(unit, files_of(F.col(raw), keep_marked).alias("files"))
 
 
 def capped(files: DataFrame, most: int | None) -> DataFrame:
@@ -78,6 +79,16 @@ def parents(shas: Column) -> dict[str, Column]:
     return {"n_parents": F.size(shas), "is_merge": F.size(shas) > 1}
 
 
+def not_blank(text: Column) -> Column:
+    """Whether strip() leaves anything, told by the first character that it would leave."""
+    return text.rlike(r"(?U)\S")
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where a lambda of a higher-order function would compute the value at each of its uses."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def render_pieces(message: Column, files: Column, most: int | None = None) -> Column:
     """The message, then a piece per file with its removed and its added lines.
 
@@ -85,13 +96,12 @@ def render_pieces(message: Column, files: Column, most: int | None = None) -> Co
     """
 
     def block(name: str, lines: Column) -> Column:
-        kept = F.filter(lines, lambda x: strip(x) != "")
-        return F.when(F.size(kept) > 0, F.concat(F.lit(f"<{name}>"), F.array_join(kept, "\n"), F.lit(f"</{name}>")))
+        joined = F.array_join(F.filter(lines, not_blank), "\n")  # empty only without lines
+        return once(joined, lambda x: F.when(x != "", F.concat(F.lit(f"\n<{name}>"), x, F.lit(f"</{name}>"))))
 
     def piece(f: Column) -> Column:
-        changed = F.array_compact(F.array(block("REMOVED", f["removed"]), block("ADDED", f["added"])))
-        head = F.concat(F.lit("<FILE>"), f["file"], F.lit("</FILE>"))
-        return F.when(F.size(changed) > 0, F.array_join(F.concat(F.array(head), changed), "\n"))
+        changed = F.concat_ws("", block("REMOVED", f["removed"]), block("ADDED", f["added"]))
+        return once(changed, lambda x: F.when(x != "", F.concat(F.lit("<FILE>"), f["file"], F.lit("</FILE>"), x)))
 
     first = F.concat(F.lit("<COMMIT_MESSAGE>"), F.coalesce(message, F.lit("")), F.lit("</COMMIT_MESSAGE>"))
     rest = F.array_compact(F.transform(F.coalesce(files, F.array().cast("array<struct<file:string,added:array<string>,removed:array<string>,n_added:int,n_removed:int>>")), piece))

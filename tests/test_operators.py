@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from loomstone.functions.text import strip
 from loomstone.operators import coverage, diffs, events, heuristics, linkage, state, structural, universe
 
 PR = "record_id long, merged_at long, merge_commit_sha string, text string, ingest_seq long"
@@ -183,6 +184,16 @@ def test_pieces(spark):
     assert rows[0]["p"] == want and rows[0]["two"] == want[:2] and rows[1]["p"] == ["<COMMIT_MESSAGE></COMMIT_MESSAGE>"]
 
 
+def test_files_are_made_once(spark, tmp_path):
+    """A filter on the files would make them twice; what it asks of the text keeps the same rows."""
+    raw = [(0, None), (1, ""), (2, "no header"), (3, "diff --git a/x b/x\n@@ -1 +1 @@\n-a\n+b"), (4, "lead\ndiff --git "), (5, "x diff --git a/x b/x")]
+    split = diffs.split_files(spark.createDataFrame(raw, "sha1 int, raw string"), "sha1")
+    assert {r["sha1"]: [f["file"] for f in r["files"]] for r in split.collect()} == {3: ["x"], 4: [""]}
+    assert split._jdf.queryExecution().optimizedPlan().toString().count("split(raw") == 1
+    blank = spark.createDataFrame([(x,) for x in ("", " \t", "\u00a0\u2003\x85", " a ", "\u200b", "\n\n", "\nb")], "x string")
+    assert blank.where(diffs.not_blank(F.col("x")) != (strip(F.col("x")) != "")).count() == 0
+
+
 def test_weights_move_no_refactorings(spark):
     rules = spark.createDataFrame([("Move Class", 0.8, "High")], "refactoring_type string, score double, category string")
     rows = spark.createDataFrame([("Move Class", "r"), ("Other", "r"), (None, "r")], "refactoring_type string, repository string")
