@@ -129,3 +129,16 @@ def reachable_against_manifest(reached: DataFrame, manifests: DataFrame) -> Data
     counted = reached.groupBy("repo").agg(F.count_distinct("sha").alias("reachable"))
     both = manifests.select("repo", "head_commits").join(counted, "repo", "left").withColumn("reachable", F.coalesce("reachable", F.lit(0).cast("bigint")))
     return both.select("repo", "reachable", "head_commits", F.coalesce(F.nullif("head_commits", F.lit(0)) == F.col("reachable"), F.lit(True)).alias("agrees"))
+
+
+def cochanges(files: DataFrame, commit: str, file: str, each: int = 1 << 18) -> DataFrame:
+    """(a, b, n): in how many commits two files changed together, a before b.
+
+    Commits, and then pairs, are dealt to so many tasks that one has about `each` of the counted rows: their number grows with
+    the table, and not their memory. Pairs are counted where they meet, as those of one task of commits hardly repeat.
+    """
+    own = files.select(F.col(commit).alias("commit"), F.col(file).alias("file"))
+    tasks = 1 + own.count() // each
+    changed = own.repartition(tasks, "commit").distinct()
+    pairs = changed.withColumnRenamed("file", "a").join(changed.withColumnRenamed("file", "b"), "commit").where("a < b")
+    return pairs.select("a", "b").repartition(2 * tasks, "a", "b").groupBy("a", "b").agg(F.count("*").alias("n"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import collections
 import random
 
 import pytest
@@ -202,6 +203,14 @@ def test_weights_move_no_refactorings(spark):
     assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cochanges(spark):
+    changed = [(c, f) for c in range(40) for f in {c % 5, c % 7, c % 3}] * 2
+    want = collections.Counter((a, b) for c in range(40) for a in {c % 5, c % 7, c % 3} for b in {c % 5, c % 7, c % 3} if a < b)
+    found = universe.cochanges(spark.createDataFrame(changed, "c int, f int"), "c", "f", each=20)
+    assert {(r["a"], r["b"]): r["n"] for r in found.collect()} == dict(want)
+    assert found.rdd.getNumPartitions() == 2 * (1 + len(changed) // 20)  # more rows, more tasks
+
+
 def test_structure(spark):
     classes = spark.createDataFrame([("f1", "A"), ("f2", "A"), ("f3", "B")], "file string, class string")
     methods = spark.createDataFrame([("A", "m1"), ("A", "m2"), ("Gone", "m3")], "class string, method string")
