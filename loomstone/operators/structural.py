@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstone.schemas import LEDGER
+from loomstone.sources.store import held
 
 # Paths that are not production code.
 NON_PRODUCTION = (
@@ -66,13 +67,17 @@ def metric_rows(lines: DataFrame, value: str = "value") -> DataFrame:
     that a row lacks are null; blank lines are no rows.
     """
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    fields = F.from_csv(value, ", ".join(f"c{k} string" for k in range(WIDEST)))
-    each = lines.where(F.trim(value) != "").select(F.col("_metadata.file_path").alias("file"), place.alias("place"), F.array(*[fields[f"c{k}"] for k in range(WIDEST)]).alias("fields"))
-    # the header comes along with a file's rows: one pass, and lines are numbered once
-    names = F.filter(F.transform("header", lambda x: F.ltrim(x, F.lit("\ufeff"))), lambda x: x.isNotNull())
-    header = each.groupBy("file").agg(F.min_by("fields", "place").alias("header"), F.min("place").alias("first"))
-    rows = each.join(header, "file").where("place > first").withColumn("header", names)
-    return rows.select("file", F.map_from_arrays("header", F.slice("fields", F.lit(1), F.size("header"))).alias("metrics"))
+
+    def fields(line: str) -> Column:
+        parsed = F.from_csv(line, ", ".join(f"c{k} string" for k in range(WIDEST)))
+        return F.array(*[parsed[f"c{k}"] for k in range(WIDEST)])
+
+    # lines are kept once: many small files are opened once, whatever is asked of them, and all see one numbering
+    each = held(lines.where(F.trim(value) != "").select(F.col("_metadata.file_path").alias("file"), place.alias("place"), F.col(value).alias("line")), "metric-lines")
+    header = each.groupBy("file").agg(F.min_by("line", "place").alias("header"), F.min("place").alias("first"))
+    names = F.filter(F.transform(fields("header"), lambda x: F.ltrim(x, F.lit("\ufeff"))), lambda x: x.isNotNull())
+    rows = each.join(header.withColumn("header", names), "file").where("place > first")
+    return rows.select("file", F.map_from_arrays("header", F.slice(fields("line"), F.lit(1), F.size("header"))).alias("metrics"))
 
 
 def ingested(files: DataFrame, classes: DataFrame, methods: DataFrame, runs: DataFrame) -> DataFrame:

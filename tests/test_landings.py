@@ -7,7 +7,7 @@ import json
 import pytest
 
 from loomstone import schemas
-from loomstone.operators import events, linkage
+from loomstone.operators import events, linkage, structural
 from loomstone.plans import build, stages
 from loomstone.sources import files, sinks
 
@@ -67,6 +67,13 @@ def test_metrics_files_of_every_case(spark, tmp_path):
     assert listing.where("in_temp").count() == 6  # files of no bytes count as absent and are not listed
 
 
+def test_metrics_files_are_opened_once(spark, tmp_path):
+    write(tmp_path / "a.csv", "class,loc\nA,1\nB\n")
+    rows = structural.metric_rows(spark.read.text(str(tmp_path)))
+    assert "Format: Text" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(str(r["metrics"]) for r in rows.collect()) == ["{'class': 'A', 'loc': '1'}", "{'class': 'B', 'loc': None}"]
+
+
 def test_structure_stage_takes_landed_metrics(spark, tmp_path, place):
     write(place / "ck" / "a" / "temp" / "class.csv", "file,class\nA.java,A\n")
     write(place / "ck" / "a" / "temp" / "method.csv", "file,class,method\nA.java,A,m()\n")
