@@ -68,19 +68,36 @@ def list_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
     Only the listing is read, not the files.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder).select("path", "length")
-    parts = F.regexp_extract_all("path", F.lit(r"/([^/]+)(/temp)?/([^/]+)\.csv$"), F.lit(0))
-    whole = F.get(parts, F.lit(0))
+    return _placed(spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder).select("path", "length"), F.col("path"))
+
+
+def _placed(found: DataFrame, path: Column) -> DataFrame:
+    """found with sha, name and in_temp, as the path tells them; other files go."""
+    whole = F.get(F.regexp_extract_all(path, F.lit(r"/([^/]+)(/temp)?/([^/]+)\.csv$"), F.lit(0)), F.lit(0))
     at = lambda k: F.regexp_extract(whole, r"^/([^/]+)(/temp)?/([^/]+)\.csv$", k)
-    return found.select(at(1).alias("sha"), at(3).alias("name"), "path", "length", (at(2) != "").alias("in_temp")).where("sha <> ''")
+    more = [c for c in found.columns if c not in ("path", "length")]
+    return found.select(at(1).alias("sha"), at(3).alias("name"), "path", "length", (at(2) != "").alias("in_temp"), *more).where("sha <> ''")
+
+
+#: What opening a file costs, in bytes read meanwhile; Spark's own 4 MB give each task a few dozen small files at most.
+OPEN_COST = 256 << 10
+
+
+def small_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """Lines of the files below a folder whose names fit, many small files to a task; the caller's session stays as it is."""
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    own.conf.set("spark.sql.files.openCostInBytes", str(OPEN_COST))
+    return own.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
 
 
 def read_structure(spark: SparkSession, folder: str) -> DataFrame:
-    """A record per snapshot of runs.jsonl in the folder, from the files that its runs left; see structural.ingested()."""
-    def rows(name: str) -> DataFrame:
-        return structural.metric_rows(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{name}.csv").text(folder))
+    """A record per snapshot of runs.jsonl in the folder, from the files that its runs left; see structural.ingested().
 
-    return structural.ingested(list_metrics(spark, folder), rows("class"), rows("method"), read_records(spark, f"{folder}/runs.jsonl", RUNS))
+    Files are listed once and opened once, those of both names together.
+    """
+    found, rows = structural.metric_files(small_files(spark, folder, "{class,method}.csv"))
+    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    return structural.ingested(_placed(found.withColumnRenamed("file", "path"), path), rows, read_records(spark, f"{folder}/runs.jsonl", RUNS))
 
 
 def read_json_document(spark: SparkSession, path: str, schema: str) -> DataFrame:

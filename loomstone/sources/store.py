@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 
 def _at(spark: SparkSession, path: str):
@@ -92,3 +94,27 @@ def held(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def land_each(rows: DataFrame, folder: str, *by: str) -> None:
+    """Writes a text file for each row (by, value) to the folder <by>=<its value>/... of its own, of plain letters and digits.
+
+    In a store of local paths Spark's writer starts several processes a file, to set permissions, so tasks write by themselves
+    there; a file is moved into place whole, and a task that runs again replaces it by the same.
+    """
+    where, fs = _at(rows.sparkSession, folder)
+    uri = fs.makeQualified(where).toUri()
+    if uri.getScheme() != "file":
+        return rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(*by).text(folder)
+    base = uri.getPath()
+
+    def land(part: Iterator[Row]) -> None:
+        for row in part:
+            place = os.path.join(base, *[f"{c}={row[c]}" for c in by])
+            os.makedirs(place, exist_ok=True)
+            beside = f"{place}/.{uuid.uuid4().hex}"
+            with open(beside, "wb") as out:
+                out.write(f"{row['value']}\n".encode())
+            os.replace(beside, f"{place}/part-0.txt")
+
+    rows.foreachPartition(land)

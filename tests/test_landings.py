@@ -9,7 +9,7 @@ import pytest
 from loomstone import schemas
 from loomstone.operators import events, linkage, structural
 from loomstone.plans import build, stages
-from loomstone.sources import files, sinks
+from loomstone.sources import files, sinks, store
 
 
 def run(w, tmp_path, stage, **flags):
@@ -74,6 +74,37 @@ def test_metrics_files_are_opened_once(spark, tmp_path):
     assert sorted(str(r["metrics"]) for r in rows.collect()) == ["{'class': 'A', 'loc': '1'}", "{'class': 'B', 'loc': None}"]
 
 
+def test_counts_of_metrics_files_need_no_parsing(spark, tmp_path):
+    write(tmp_path / "ck" / "a" / "temp" / "class.csv", "\ufefffile,class\n\nA.java,A\nB.java,B")
+    write(tmp_path / "ck" / "a" / "temp" / "method.csv", "\n  \nfile,class,method\nA.java,A,m()\n\n")
+    write(tmp_path / "ck" / "b+c d" / "class.csv", "\n\n")  # blank lines alone: there, without rows
+    write(tmp_path / "ck" / "e" / "temp" / "class.csv", "")
+    # a is run twice: the crash has no counts and no report, and its rows do not count twice
+    told = [("a", False), ("a", True), ("b+c d", True), ("e", True)]
+    (tmp_path / "ck" / "runs.jsonl").write_text("".join(json.dumps({"sha": s, "timestamp": i, "exit_ok": ok, "timed_out": False}) + "\n" for i, (s, ok) in enumerate(told)))
+    found = files.read_structure(spark, str(tmp_path / "ck"))
+    rows = [(r["status"], r["n_classes"], r["n_methods"], r["csv_source"], r["method_source"], len(r["report"])) for r in found.orderBy("timestamp").collect()]
+    assert rows == [("crash", 0, 0, "temp", "temp", 0), ("success", 2, 1, "temp", "temp", 2), ("empty_output", 0, 0, "repo_root", "absent", 0), ("missing_output", 0, 0, "absent", "absent", 0)]
+    plan = found.drop("report")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_csv" not in plan and "metric-lines" not in plan and plan.count("Join") == 1
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    for k in range(300):
+        write(tmp_path / "in" / f"{k}.txt", f"{k}\n")
+    lines = files.small_files(spark, str(tmp_path / "in"), "*.txt")
+    assert lines.count() == 300 and lines.rdd.getNumPartitions() <= 5  # dozens of files each otherwise
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(files.OPEN_COST)
+
+
+def test_each_row_lands_as_a_file(spark, tmp_path):
+    rows = spark.createDataFrame([("temp", "c1", "x\ny"), ("root", "c2", "\ufeffä"), ("temp", "c3", "")], "place string, sha string, value string")
+    for _ in range(2):  # a task that runs again leaves the same
+        store.land_each(rows, f"file://{tmp_path}/out", "place", "sha")
+    found = {str(p.relative_to(tmp_path / "out")): p.read_bytes().decode() for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    assert found == {"place=temp/sha=c1/part-0.txt": "x\ny\n", "place=root/sha=c2/part-0.txt": "\ufeffä\n", "place=temp/sha=c3/part-0.txt": "\n"}
+
+
 def test_structure_stage_takes_landed_metrics(spark, tmp_path, place):
     write(place / "ck" / "a" / "temp" / "class.csv", "file,class\nA.java,A\n")
     write(place / "ck" / "a" / "temp" / "method.csv", "file,class,method\nA.java,A,m()\n")
